@@ -1,7 +1,9 @@
 """Per-file aggregates of annotations.
 
 Counts are formed first, so what is ranked or collected afterwards is small;
-ties go to the value seen first, tracked as one sortable number.
+ties go to the value seen first, tracked as one sortable number. Arrays are
+exploded in the outer form and empty rows dropped after it: for the inner form
+the optimizer tests the array's size first and thereby builds it twice.
 """
 
 from __future__ import annotations
@@ -9,20 +11,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmill import schemas
 from feedmill.functions.text import strip
 from feedmill.operators.annotation import (
     DEFAULT_LANGUAGE,
     annotate_entities,
     annotate_key_phrases,
     annotate_sentiment,
-    detect_language,
+    language_of,
 )
 from feedmill.operators.ordering import first_k
+from feedmill.schemas import ENTITIES_TYPE, ITEMS_TYPE, NLP_TYPE, SCORES_TYPE, SENTIMENT_TYPE
 
 SCORES = ("Positive", "Negative", "Neutral", "Mixed")
+TOP_ENTITIES = 10
+TOP_PHRASES = 30
 _POSITION_BITS = 24
-_ITEM = "array<struct<text:string,cnt:bigint>>"
+# Scores are summed as decimals: the sum does not depend on the order of rows.
+_SCORE_TYPE = "decimal(18,12)"
+_SUM_TYPE = "decimal(28,12)"
 
 
 def first_seen(seg_no: str, position: str) -> Column:
@@ -40,6 +46,10 @@ def _ordered(cols: list[str], order: Column) -> Column:
     return F.transform(rows, lambda r: F.struct(*[r[c].alias(c) for c in cols]))
 
 
+def _score_sums(scores: str) -> list[Column]:
+    return [F.sum(F.col(f"{scores}.{s}").cast(_SCORE_TYPE)).alias(s) for s in SCORES]
+
+
 def aggregate_sentiment(rows: DataFrame, by: str = "source_key") -> DataFrame:
     """Label counts, average scores, total and dominant label per file. [NLP6]
 
@@ -49,10 +59,10 @@ def aggregate_sentiment(rows: DataFrame, by: str = "source_key") -> DataFrame:
     per_label = good.groupBy(by, "label").agg(
         F.count(F.lit(1)).alias("cnt"),
         F.min("seg_no").alias("seen"),
-        *[F.sum(f"scores.{s}").alias(s) for s in SCORES],
+        *_score_sums("scores"),
     )
     total = F.sum("cnt")
-    averages = [x for s in SCORES for x in (F.lit(s), F.round(F.sum(s) / total, 4))]
+    averages = [x for s in SCORES for x in (F.lit(s), F.round(F.sum(s).cast("double") / total, 4))]
     return per_label.groupBy(by).agg(
         F.struct(
             F.map_from_entries(_ordered(["label", "cnt"], F.col("seen"))).alias("counts"),
@@ -67,7 +77,8 @@ def entity_rows(rows: DataFrame, by: str = "source_key") -> DataFrame:
     """Exploded entities with their first-seen number."""
     return (
         rows.filter(F.col("error").isNull())
-        .select(by, "seg_no", F.posexplode("entities").alias("pos", "e"))
+        .select(by, "seg_no", F.posexplode_outer("entities").alias("pos", "e"))
+        .filter("pos is not null")
         .select(by, F.col("e.type").alias("type"), F.col("e.text").alias("text"), first_seen("seg_no", "pos").alias("seen"))
     )
 
@@ -80,13 +91,13 @@ def entity_totals(rows: DataFrame, by: str = "source_key") -> DataFrame:
     )
 
 
-def top_entities(rows: DataFrame, by: str = "source_key", k: int = 10) -> DataFrame:
+def top_entities(rows: DataFrame, by: str = "source_key", k: int = TOP_ENTITIES) -> DataFrame:
     """The ``k`` most frequent texts of each entity type, with their rank. [NLP8]"""
     order = [F.desc("cnt"), F.asc("seen"), F.asc("text")]
     return first_k(entity_totals(rows, by), [by, "type"], order, k, "rank")
 
 
-def aggregate_entities(rows: DataFrame, by: str = "source_key", k: int = 10) -> DataFrame:
+def aggregate_entities(rows: DataFrame, by: str = "source_key", k: int = TOP_ENTITIES) -> DataFrame:
     """Counts by type and top texts by type per file, types in first-seen order. [NLP8]"""
     totals = entity_totals(rows, by)
     per_type = totals.groupBy(by, "type").agg(F.sum("cnt").alias("total"), F.min("seen").alias("type_seen"))
@@ -115,7 +126,7 @@ def phrase_totals(rows: DataFrame, by: str = "source_key") -> DataFrame:
     """Count of each lower-cased, trimmed phrase per file. [NLP10]"""
     return (
         rows.filter(F.col("error").isNull())
-        .select(by, "seg_no", F.posexplode("phrases").alias("pos", "raw"))
+        .select(by, "seg_no", F.posexplode_outer("phrases").alias("pos", "raw"))
         .select(by, strip(F.lower("raw")).alias("text"), first_seen("seg_no", "pos").alias("seen"))
         .filter(F.col("text") != "")
         .groupBy(by, "text")
@@ -123,17 +134,70 @@ def phrase_totals(rows: DataFrame, by: str = "source_key") -> DataFrame:
     )
 
 
-def top_key_phrases(rows: DataFrame, by: str = "source_key", k: int = 30) -> DataFrame:
+def top_key_phrases(rows: DataFrame, by: str = "source_key", k: int = TOP_PHRASES) -> DataFrame:
     """The ``k`` most frequent phrases of each file, with their rank. [NLP10]"""
     order = [F.desc("cnt"), F.asc("seen"), F.asc("text")]
     return first_k(phrase_totals(rows, by), by, order, k, "rank")
 
 
-def aggregate_key_phrases(rows: DataFrame, by: str = "source_key", k: int = 30) -> DataFrame:
+def aggregate_key_phrases(rows: DataFrame, by: str = "source_key", k: int = TOP_PHRASES) -> DataFrame:
     top = top_key_phrases(rows, by, k)
     return top.groupBy(by).agg(_ordered(["text", "cnt"], F.col("rank")).alias("key_phrases"))
 
 
+def annotate(
+    segments: DataFrame, sentiment_scorer=None, entity_extractor=None, phrase_extractor=None,
+    default_language: str = DEFAULT_LANGUAGE,
+) -> DataFrame:
+    """All annotations of a segment side by side; ``*_error`` marks failed ones."""
+    rows = segments
+    for step, plug_in, name in (
+        (annotate_sentiment, sentiment_scorer, "sentiment"),
+        (annotate_entities, entity_extractor, "entity"),
+        (annotate_key_phrases, phrase_extractor, "phrase"),
+    ):
+        rows = step(rows, plug_in).withColumnRenamed("error", f"{name}_error")
+    return rows.withColumn("language", language_of(F.col("segment"), default=default_language))
+
+
+def _facts(annotated: DataFrame, by: str) -> DataFrame:
+    """Every annotation as a row ``kind, name, text, seen`` with scores for sentiment."""
+
+    def fact(kind: str, name: Column, text: Column, place: Column, scores: Column | None = None) -> Column:
+        no_scores = F.lit(None).cast(SCORES_TYPE)
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            name.cast("string").alias("name"),
+            text.cast("string").alias("text"),
+            place.cast("bigint").alias("place"),
+            (no_scores if scores is None else scores).alias("scores"),
+        )
+
+    none, start = F.lit(None), F.lit(0)
+    entities = F.when(F.col("entity_error").isNull(), F.col("entities"))
+    phrases = F.when(F.col("phrase_error").isNull(), F.col("phrases"))
+    single = F.array_compact(
+        F.array(
+            fact("document", none, none, start),
+            fact("language", F.col("language"), none, start),
+            F.when(F.col("sentiment_error").isNull(), fact("label", F.col("label"), none, start, F.col("scores"))),
+        )
+    )
+    all_facts = [
+        single,
+        F.transform(entities, lambda e, i: fact("type", e["type"], none, i)),
+        F.transform(entities, lambda e, i: fact("entity", e["type"], e["text"], i)),
+        F.transform(phrases, lambda p, i: fact("phrase", none, strip(F.lower(p)), i)),
+    ]
+    nothing = F.slice(single, 1, 0)
+    facts = F.concat(*[F.coalesce(f, nothing) for f in all_facts])
+    # The outer form keeps the optimizer from testing the array's size first,
+    # which would build it twice; it is never empty here.
+    rows = annotated.select(by, "seg_no", F.explode_outer(facts).alias("_f"))
+    rows = rows.select(by, "seg_no", "_f.kind", "_f.name", "_f.text", "_f.place", "_f.scores")
+    return rows.filter("kind <> 'phrase' or text <> ''").withColumn("seen", first_seen("seg_no", "place"))
+
+
 def nlp_results(
     files: DataFrame,
     segments: DataFrame,
@@ -142,46 +206,91 @@ def nlp_results(
     sentiment_scorer=None,
     entity_extractor=None,
     phrase_extractor=None,
-    dense: bool = False,
 ) -> DataFrame:
     """One nested ``nlp`` result per file in ``files``. [NLP11, NLP12]
 
-    A file without segments was blank: it is marked skipped and has empty
-    results. ``total_documents`` counts segments sent, failed ones included.
+    One read of the segments: each is annotated once, its annotations become
+    rows, one grouped count serves all results, and only the short top lists of
+    a file are brought together. A file without segments was blank: it is
+    marked skipped and has empty results. ``total_documents`` counts the
+    segments sent, failed ones included.
     """
-    sent = segments.groupBy(by).agg(F.count(F.lit(1)).alias("total_documents"))
-    parts = [
-        sent,
-        detect_language(segments, by, default=default_language, dense=dense),
-        aggregate_sentiment(annotate_sentiment(segments, sentiment_scorer), by),
-        aggregate_entities(annotate_entities(segments, entity_extractor), by),
-        aggregate_key_phrases(annotate_key_phrases(segments, phrase_extractor), by),
-    ]
-    joined = files.select(by)
-    for part in parts:
-        joined = joined.join(part, by, "left")
-    skipped = F.col("total_documents").isNull()
-    no_map = F.expr("cast(map() as map<string,bigint>)")
-    empty_sentiment = F.struct(
-        no_map.alias("counts"),
-        F.create_map(*[x for s in SCORES for x in (F.lit(s), F.lit(0.0))]).alias("average_scores"),
-        F.lit("NEUTRAL").alias("dominant_sentiment"),
-        F.lit(0).cast("bigint").alias("total_analyzed"),
+    annotated = annotate(segments, sentiment_scorer, entity_extractor, phrase_extractor, default_language)
+    counted = (
+        _facts(annotated, by)
+        .groupBy(by, "kind", "name", "text")
+        .agg(F.count(F.lit(1)).alias("cnt"), F.min("seen").alias("seen"), *_score_sums("scores"))
     )
-    empty_entities = F.struct(
-        no_map.alias("counts_by_type"),
-        F.expr(f"cast(map() as map<string,{_ITEM}>)").alias("top_entities_by_type"),
+    # Labels, types and languages are groups of one row; entity texts of a type
+    # and phrases of a file are the groups that get cut.
+    order = [F.desc("cnt"), F.asc("seen"), F.asc("text")]
+    top = first_k(counted, [by, "kind", "name"], order, TOP_PHRASES, "rank")
+    item = F.struct("kind", "name", "text", "cnt", "seen", "rank", *SCORES)
+    gathered = top.groupBy(by).agg(F.collect_list(item).alias("_all"))
+
+    def of_kind(kind: str, key, keep=lambda r: F.lit(True)) -> Column:
+        """Rows of one kind as (name, text, cnt, ...) sorted by ``key``."""
+        rows = F.filter("_all", lambda r: (r["kind"] == kind) & keep(r))
+        keyed = F.transform(rows, lambda r: F.struct(key(r).alias("_o"), r.alias("r")))
+        return F.transform(F.array_sort(keyed), lambda k: k["r"])
+
+    parts = gathered.select(
+        by,
+        of_kind("document", lambda r: r["seen"]).alias("_documents"),
+        of_kind("language", lambda r: r["seen"]).alias("_languages"),
+        of_kind("label", lambda r: r["seen"]).alias("_labels"),
+        of_kind("type", lambda r: r["seen"]).alias("_types"),
+        of_kind("entity", lambda r: r["rank"], lambda r: r["rank"] <= TOP_ENTITIES).alias("_entities"),
+        of_kind("phrase", lambda r: r["rank"]).alias("_phrases"),
     )
-    return joined.select(
+
+    def items(rows: Column) -> Column:
+        return F.transform(rows, lambda r: F.struct(r["text"].alias("text"), r["cnt"].alias("cnt")))
+
+    def total(rows: Column) -> Column:
+        return F.aggregate(rows, F.lit(0).cast("bigint"), lambda a, r: a + r["cnt"])
+
+    def average(score: str) -> Column:
+        summed = F.aggregate(F.col("_labels"), F.lit(0).cast(_SUM_TYPE), lambda a, r: (a + r[score]).cast(_SUM_TYPE))
+        return F.when(F.size("_labels") == 0, 0.0).otherwise(
+            F.round(F.try_divide(summed.cast("double"), total(F.col("_labels"))), 4)
+        )
+
+    by_count = F.transform("_labels", lambda r: F.struct(r["cnt"], -r["seen"], r["name"].alias("name")))
+    results = parts.select(
         by,
         F.struct(
-            F.coalesce("language", F.lit(default_language)).alias("language"),
-            F.coalesce("total_documents", F.lit(0)).alias("total_documents"),
-            skipped.alias("skipped"),
-            F.when(~skipped, F.coalesce("sentiment", empty_sentiment)).alias("sentiment"),
-            F.when(~skipped, F.coalesce("entities", empty_entities)).alias("entities"),
-            F.coalesce("key_phrases", F.expr(f"cast(array() as {_ITEM})")).alias("key_phrases"),
+            F.coalesce(F.try_element_at("_languages", F.lit(1))["name"], F.lit(default_language)).alias("language"),
+            total(F.col("_documents")).alias("total_documents"),
+            F.lit(False).alias("skipped"),
+            F.struct(
+                F.map_from_entries(F.transform("_labels", lambda r: F.struct(r["name"], r["cnt"]))).alias("counts"),
+                F.create_map(*[x for s in SCORES for x in (F.lit(s), average(s))]).alias("average_scores"),
+                F.coalesce(F.array_max(by_count)["name"], F.lit("NEUTRAL")).alias("dominant_sentiment"),
+                total(F.col("_labels")).alias("total_analyzed"),
+            ).alias("sentiment"),
+            F.struct(
+                F.map_from_entries(F.transform("_types", lambda r: F.struct(r["name"], r["cnt"]))).alias("counts_by_type"),
+                F.map_from_entries(
+                    F.transform(
+                        "_types",
+                        lambda t: F.struct(
+                            t["name"], items(F.filter("_entities", lambda e: e["name"].eqNullSafe(t["name"])))
+                        ),
+                    )
+                ).alias("top_entities_by_type"),
+            ).alias("entities"),
+            items(F.col("_phrases")).alias("key_phrases"),
         )
-        .cast(schemas.NLP_TYPE)
-        .alias("nlp"),
+        .cast(NLP_TYPE)
+        .alias("_nlp"),
     )
+    blank = F.struct(
+        F.lit(default_language),
+        F.lit(0).cast("bigint"),
+        F.lit(True),
+        F.lit(None).cast(SENTIMENT_TYPE),
+        F.lit(None).cast(ENTITIES_TYPE),
+        F.expr(f"cast(array() as {ITEMS_TYPE})"),
+    ).cast(NLP_TYPE)
+    return files.select(by).join(results, by, "left").select(by, F.coalesce("_nlp", blank).alias("nlp"))

@@ -175,14 +175,12 @@ def annotate_sentiment(segments: DataFrame, scorer: Callable | None = None, **op
 
 def entities_of(col: Column, patterns: dict[str, str] = ENTITY_PATTERNS) -> Column:
     """Array of (type, text) found by the patterns, type by type."""
-    found = [
-        F.transform(
-            F.regexp_extract_all(col, F.lit(pattern), F.lit(0)),
-            lambda t, name=name: F.struct(F.lit(name).alias("type"), t.alias("text")),
-        )
-        for name, pattern in patterns.items()
-    ]
-    return F.concat(*found)
+
+    def of_type(name: str, pattern: str) -> Column:
+        texts = F.regexp_extract_all(col, F.lit(pattern), F.lit(0))
+        return F.transform(texts, lambda t: F.struct(F.lit(name).alias("type"), t.alias("text")))
+
+    return F.concat(*[of_type(name, pattern) for name, pattern in patterns.items()])
 
 
 def annotate_entities(segments: DataFrame, extractor: Callable | None = None, **options) -> DataFrame:

@@ -22,8 +22,9 @@ def segment(df: DataFrame, text: str = "normalized_text", max_bytes: int | None
     )
     chosen = F.when(F.size(parts) > 0, parts).otherwise(F.array(F.col(text)))
     rest = [c for c in df.columns if c != text]
+    # Outer, so that the optimizer does not test the size of a second copy first.
     rows = df.filter(~tx.is_blank(F.col(text))).select(
-        *rest, F.posexplode(chosen).alias("seg_no", "segment")
+        *rest, F.posexplode_outer(chosen).alias("seg_no", "segment")
     )
     rows = rows.withColumn("seg_no", F.col("seg_no").cast("bigint"))
     return rows if max_bytes is None else cut_segments(rows, max_bytes)

@@ -63,7 +63,7 @@ def review_files(rows: DataFrame, files: DataFrame, sample_n: int | None = SAMPL
         )
         texts = normalization.sample_text(normalization.normalize_column(first), n=sample_n)
         parts = segments.segment(texts)
-    nlp = aggregation.nlp_results(files, parts, dense=sample_n is not None)
+    nlp = aggregation.nlp_results(files, parts)
     state = files.join(summary, "source_key", "left").join(texts, "source_key", "left")
     return _conform(state.join(nlp, "source_key", "left").withColumn("data_type", F.lit("text_reviews")))
 
@@ -75,7 +75,7 @@ def text_files(files: DataFrame, data_type: str, text: str) -> DataFrame:
         return _conform(typed.withColumn("normalized_text", F.col(text)))
     normal = typed.withColumn("normalized_text", normalize_text(F.col(text)))
     parts = segments.segment(normal.select("source_key", "normalized_text"))
-    nlp = aggregation.nlp_results(normal.select("source_key"), parts, dense=True)
+    nlp = aggregation.nlp_results(normal.select("source_key"), parts)
     return _conform(normal.join(nlp, "source_key", "left"))
 
 

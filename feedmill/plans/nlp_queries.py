@@ -135,7 +135,7 @@ _SENTIMENT_SUMMARY = f"""per_label AS (SELECT source_key, label, count(*) AS cnt
 dominant AS (SELECT source_key, arg_max(label, (cnt, -seen)) AS dominant_sentiment FROM per_label GROUP BY 1),
 summary AS (SELECT source_key, count(*) AS total_analyzed,
     {', '.join(f"count(*) FILTER (WHERE label = '{x}') AS n_{x.lower()}" for x in _LABELS)},
-    {', '.join(f'round(sum({x}) / count(*), 4) AS avg_{x}' for x in ('positive', 'negative', 'neutral', 'mixed'))}
+    {', '.join(f'round(sum({x}::DECIMAL(18,12))::DOUBLE / count(*), 4) AS avg_{x}' for x in ('positive', 'negative', 'neutral', 'mixed'))}
   FROM s GROUP BY 1)"""
 
 

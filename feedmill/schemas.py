@@ -21,7 +21,7 @@ REVIEW_SCHEMA = T.StructType(
 #: Same columns with every cell kept as text, so bad cells survive until cleaned.
 RAW_REVIEW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in REVIEW_COLUMNS])
 
-_ITEM = "array<struct<text:string,cnt:bigint>>"
+ITEMS_TYPE = "array<struct<text:string,cnt:bigint>>"
 
 VALIDATION_TYPE = (
     "struct<total_rows:bigint,valid_rows:bigint,invalid_rows:bigint,"
@@ -32,11 +32,11 @@ SENTIMENT_TYPE = (
     "dominant_sentiment:string,total_analyzed:bigint>"
 )
 ENTITIES_TYPE = (
-    f"struct<counts_by_type:map<string,bigint>,top_entities_by_type:map<string,{_ITEM}>>"
+    f"struct<counts_by_type:map<string,bigint>,top_entities_by_type:map<string,{ITEMS_TYPE}>>"
 )
 NLP_TYPE = (
     "struct<language:string,total_documents:bigint,skipped:boolean,"
-    f"sentiment:{SENTIMENT_TYPE},entities:{ENTITIES_TYPE},key_phrases:{_ITEM}>"
+    f"sentiment:{SENTIMENT_TYPE},entities:{ENTITIES_TYPE},key_phrases:{ITEMS_TYPE}>"
 )
 SCORES_TYPE = "struct<Positive:double,Negative:double,Neutral:double,Mixed:double>"
 MESSAGES_TYPE = (
