@@ -20,6 +20,12 @@ SPACE_CLASS = (
     r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+# The same set for the JVM: Latin blanks as single characters and a range test
+# in front of the others, so an ordinary letter is ruled out at once.
+_JVM_SPACE = (
+    r"[\x09\x0a\x0b\x0c\x0d\x1c\x1d\x1e\x1f\x20\x85\xa0[\x{1680}-\x{3000}&&"
+    r"[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]]"
+)
 _SPACE_RANGES = (
     (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
     (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
@@ -31,8 +37,8 @@ HTML_PATTERN = r"<[^>]+>"
 URL_PATTERN = rf"(?i)https?://[^{SPACE_CLASS}]+|www\.[^{SPACE_CLASS}]+"
 EMOJI_PATTERNS = {
     "reference": (
-        r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}"
-        r"\x{2500}-\x{2BEF}\x{2702}-\x{27B0}\x{24C2}-\x{1F251}]+"
+        # The wide first range takes in symbols, flags and Asian scripts alike.
+        r"[\x{24C2}-\x{1F251}\x{1F300}-\x{1F64F}\x{1F680}-\x{1F6FF}]+"
     ),
     # Keeps Asian scripts and takes in the newer pictograph blocks.
     "narrow": (
@@ -65,7 +71,18 @@ def is_blank(col: Column) -> Column:
 
 def words(col: Column) -> Column:
     """Whitespace-separated tokens, none of them empty."""
-    return F.filter(F.split(strip(col), rf"[{SPACE_CLASS}]+"), lambda w: w != "")
+    text = strip(col)
+    return F.when(text == "", F.expr("cast(array() as array<string>)")).otherwise(F.split(text, _JVM_SPACE + "+"))
+
+
+def one_if_filled(col: Column) -> Column:
+    """Array of the stripped text, empty if it is blank.
+
+    Exploded in the outer form and filtered on the result, it drops blank texts
+    while their costly expression runs once; a plain filter would be pushed
+    below the projection and run it again.
+    """
+    return F.filter(F.array(strip(col)), lambda t: t != "")
 
 
 @lru_cache(maxsize=None)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from feedmill.functions import text as tx
 from feedmill.operators.segments import BATCH_SIZE
 
 DEFAULT_LANGUAGE = "en"
@@ -46,6 +45,9 @@ ENTITY_PATTERNS = {
     "NAME": r"[A-Z][a-z]+ [A-Z][a-z]+",
 }
 
+#: Text every match of a default pattern holds.
+ENTITY_MARKS = {"EMAIL": "@", "URL": "://"}
+
 #: Words that end a key phrase.
 STOP_WORDS = tuple(
     dict.fromkeys(
@@ -176,8 +178,13 @@ def annotate_sentiment(segments: DataFrame, scorer: Callable | None = None, **op
 def entities_of(col: Column, patterns: dict[str, str] = ENTITY_PATTERNS) -> Column:
     """Array of (type, text) found by the patterns, type by type."""
 
+    no_texts = F.expr("cast(array() as array<string>)")
+
     def of_type(name: str, pattern: str) -> Column:
         texts = F.regexp_extract_all(col, F.lit(pattern), F.lit(0))
+        if pattern == ENTITY_PATTERNS.get(name) and name in ENTITY_MARKS:
+            # Texts without the mark skip a pattern that is slow to fail.
+            texts = F.when(F.contains(col, F.lit(ENTITY_MARKS[name])), texts).otherwise(no_texts)
         return F.transform(texts, lambda t: F.struct(F.lit(name).alias("type"), t.alias("text")))
 
     return F.concat(*[of_type(name, pattern) for name, pattern in patterns.items()])
@@ -193,16 +200,11 @@ def annotate_entities(segments: DataFrame, extractor: Callable | None = None, **
 
 
 def key_phrases_of(col: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
-    """Word runs between stop words and punctuation, lower-cased.
-
-    Words are set apart by two blanks so that neighbouring stop words each
-    have their own pair.
-    """
-    spaced = F.regexp_replace(F.lower(col), rf"[^\p{{L}}\p{{N}}{tx.SPACE_CLASS}]+", " | ")
-    spaced = F.concat(F.lit(" "), F.regexp_replace(spaced, rf"[{tx.SPACE_CLASS}]+", "  "), F.lit(" "))
-    cut = F.regexp_replace(spaced, f" (?:{'|'.join(stop_words)}) ", " | ")
-    phrases = F.transform(F.split(cut, r"\|"), lambda p: F.trim(F.regexp_replace(p, " +", " ")))
-    return F.filter(phrases, lambda p: p != "")
+    """Word runs, lower-cased, between stop words and anything but words and blanks."""
+    marked = F.regexp_replace(F.lower(col), r"[^\p{L}\p{N} ]+", " | ")
+    tokens = F.transform(F.split(marked, " +"), lambda w: F.when(w.isin(*stop_words), "|").otherwise(w))
+    joined = F.btrim(F.array_join(tokens, " "))
+    return F.filter(F.split(joined, r"[ |]*\|[ |]*"), lambda p: p != "")
 
 
 def annotate_key_phrases(segments: DataFrame, extractor: Callable | None = None, **options) -> DataFrame:

@@ -20,12 +20,12 @@ def segment(df: DataFrame, text: str = "normalized_text", max_bytes: int | None
     parts = F.filter(
         F.transform(F.split(text, "---"), lambda p: tx.strip(p)), lambda p: p != ""
     )
-    chosen = F.when(F.size(parts) > 0, parts).otherwise(F.array(F.col(text)))
+    # A text of separators only has no parts but is not blank.
+    whole = F.filter(F.array(F.col(text)), lambda t: tx.strip(t) != "")
+    chosen = F.when(F.size(parts) > 0, parts).otherwise(whole)
     rest = [c for c in df.columns if c != text]
-    # Outer, so that the optimizer does not test the size of a second copy first.
-    rows = df.filter(~tx.is_blank(F.col(text))).select(
-        *rest, F.posexplode_outer(chosen).alias("seg_no", "segment")
-    )
+    rows = df.select(*rest, F.posexplode_outer(chosen).alias("seg_no", "segment"))
+    rows = rows.filter("segment is not null")
     rows = rows.withColumn("seg_no", F.col("seg_no").cast("bigint"))
     return rows if max_bytes is None else cut_segments(rows, max_bytes)
 
@@ -39,9 +39,12 @@ def segments_from_rows(
     and splitting them again, without ever building the joined text.
     """
     rest = [c for c in df.columns if c not in (text, order)]
-    return df.filter(~tx.is_blank(F.col(text))).select(
-        *rest, F.col(order).cast("bigint").alias("seg_no"), tx.strip(F.col(text)).alias("segment")
+    rows = df.select(
+        *rest,
+        F.col(order).cast("bigint").alias("seg_no"),
+        F.explode_outer(tx.one_if_filled(F.col(text))).alias("segment"),
     )
+    return rows.filter("segment is not null")
 
 
 def cut_segments(df: DataFrame, max_bytes: int = 5000) -> DataFrame:

@@ -13,6 +13,7 @@ from feedmill.plans.views import (
     NL,
     REVIEWS_SQL,
     count_sql,
+    listed,
     normalize_sql,
     quote,
     reviews,
@@ -198,10 +199,12 @@ def top_entities(spark, sf_dir):
 
 def phrase_cte(source: str, expr: str) -> str:
     """CTE ``phr``: count and first place per file and phrase."""
-    spaced = f"regexp_replace(lower({expr}), '[^\\p{{L}}\\p{{N}}{tx.SPACE_CLASS}]+', ' | ', 'g')"
-    spaced = f"' ' || regexp_replace({spaced}, '[{tx.SPACE_CLASS}]+', '  ', 'g') || ' '"
-    cut = f"regexp_replace({spaced}, ' (?:{'|'.join(annotation.STOP_WORDS)}) ', ' | ', 'g')"
-    parts = f"list_transform(string_split({cut}, '|'), lambda p: trim(regexp_replace(p, ' +', ' ', 'g'), ' '))"
+    marked = f"regexp_replace(lower({expr}), '[^\\p{{L}}\\p{{N}} ]+', ' | ', 'g')"
+    tokens = (
+        f"list_transform(regexp_split_to_array({marked}, ' +'), "
+        f"lambda w: CASE WHEN list_contains({listed(annotation.STOP_WORDS)}, w) THEN '|' ELSE w END)"
+    )
+    parts = f"regexp_split_to_array(trim(array_to_string({tokens}, ' '), ' '), '[ |]*\\|[ |]*')"
     return f"""cand AS (SELECT source_key, seg_no, list_filter({parts}, lambda p: p <> '') AS l FROM {source}),
 pflat AS (SELECT source_key, seg_no, unnest(l) AS text, unnest(range(len(l))) AS pos FROM cand),
 phr AS (SELECT source_key, text, count(*) AS cnt, min(seg_no::HUGEINT * 16777216 + pos) AS seen FROM pflat GROUP BY ALL),

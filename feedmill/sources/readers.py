@@ -16,6 +16,7 @@ UNREADABLE_SURVEY = "Could not read survey data."
 # Line breaks besides CR and LF, which the text reader handles.
 LINE_BREAKS = r"[\x{b}\x{c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 _ROW_BITS = 33
+SPREAD_FLOOR = 1 << 20
 
 
 def key_from_path(path: Column) -> Column:
@@ -88,6 +89,22 @@ def read_reviews_salvage(spark: SparkSession, path: str | list[str], column: str
     )
 
 
+def spread(df: DataFrame, core_bytes: int = 16 << 20) -> DataFrame:
+    """Share a small table of few files among the cores before CPU-heavy work.
+
+    A file of one row group is read by one task, however many cores wait. Only
+    tables with fewer files than cores and at most ``core_bytes`` per core are
+    redistributed; a large table keeps its scan partitions and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # Size first: listing the files of a large table is work for nothing.
+    if not SPREAD_FLOOR < size <= cores * core_bytes or len(df.inputFiles()) >= cores:
+        return df
+    # Hashing on the first column is repeatable and, unlike round robin, needs no sort.
+    return df.repartition(cores, df.columns[0])
+
+
 def text_column_scores(df: DataFrame) -> DataFrame:
     """Mean length of the non-null texts of every string column, in column order."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
