@@ -225,62 +225,57 @@ def nlp_results(
     # and phrases of a file are the groups that get cut.
     order = [F.desc("cnt"), F.asc("seen"), F.asc("text")]
     top = first_k(counted, [by, "kind", "name"], order, TOP_PHRASES, "rank")
-    item = F.struct("kind", "name", "text", "cnt", "seen", "rank", *SCORES)
-    gathered = top.groupBy(by).agg(F.collect_list(item).alias("_all"))
 
-    def of_kind(kind: str, key, keep=lambda r: F.lit(True)) -> Column:
-        """Rows of one kind as (name, text, cnt, ...) sorted by ``key``."""
-        rows = F.filter("_all", lambda r: (r["kind"] == kind) & keep(r))
-        keyed = F.transform(rows, lambda r: F.struct(key(r).alias("_o"), r.alias("r")))
-        return F.transform(F.array_sort(keyed), lambda k: k["r"])
-
-    parts = gathered.select(
-        by,
-        of_kind("document", lambda r: r["seen"]).alias("_documents"),
-        of_kind("language", lambda r: r["seen"]).alias("_languages"),
-        of_kind("label", lambda r: r["seen"]).alias("_labels"),
-        of_kind("type", lambda r: r["seen"]).alias("_types"),
-        of_kind("entity", lambda r: r["rank"], lambda r: r["rank"] <= TOP_ENTITIES).alias("_entities"),
-        of_kind("phrase", lambda r: r["rank"]).alias("_phrases"),
+    def gather(kind: str, *cols: str, keep: Column | None = None) -> Column:
+        """Rows of one kind as structs, sorted by their first column."""
+        wanted = F.col("kind") == kind
+        wanted = wanted if keep is None else wanted & keep
+        return F.array_sort(F.collect_list(F.when(wanted, F.struct(*cols))))
+
+    def only(kind: str, value: Column | str) -> Column:
+        return F.when(F.col("kind") == kind, F.col(value) if isinstance(value, str) else value)
+
+    analysed = F.sum(only("label", "cnt"))
+    gathered = top.groupBy(by).agg(
+        F.sum(only("document", "cnt")).alias("documents"),
+        F.min(only("language", F.struct("seen", "name")))["name"].alias("language"),
+        gather("label", "seen", "name", "cnt").alias("labels"),
+        F.max(only("label", F.struct("cnt", -F.col("seen"), "name")))["name"].alias("dominant"),
+        F.coalesce(analysed, F.lit(0)).alias("analysed"),
+        *[F.round(F.sum(only("label", s)).cast("double") / analysed, 4).alias(s) for s in SCORES],
+        gather("type", "seen", "name", "cnt").alias("types"),
+        gather("entity", "rank", "name", "text", "cnt", keep=F.col("rank") <= TOP_ENTITIES).alias("entities"),
+        gather("phrase", "rank", "text", "cnt").alias("phrases"),
     )
 
+    def counts(rows: str) -> Column:
+        return F.map_from_entries(F.transform(rows, lambda r: F.struct(r["name"], r["cnt"])))
+
     def items(rows: Column) -> Column:
         return F.transform(rows, lambda r: F.struct(r["text"].alias("text"), r["cnt"].alias("cnt")))
 
-    def total(rows: Column) -> Column:
-        return F.aggregate(rows, F.lit(0).cast("bigint"), lambda a, r: a + r["cnt"])
-
-    def average(score: str) -> Column:
-        summed = F.aggregate(F.col("_labels"), F.lit(0).cast(_SUM_TYPE), lambda a, r: (a + r[score]).cast(_SUM_TYPE))
-        return F.when(F.size("_labels") == 0, 0.0).otherwise(
-            F.round(F.try_divide(summed.cast("double"), total(F.col("_labels"))), 4)
-        )
-
-    by_count = F.transform("_labels", lambda r: F.struct(r["cnt"], -r["seen"], r["name"].alias("name")))
-    results = parts.select(
+    averages = [x for s in SCORES for x in (F.lit(s), F.coalesce(F.col(s), F.lit(0.0)))]
+    top_by_type = F.transform(
+        "types",
+        lambda t: F.struct(t["name"], items(F.filter("entities", lambda e: e["name"].eqNullSafe(t["name"])))),
+    )
+    results = gathered.select(
         by,
         F.struct(
-            F.coalesce(F.try_element_at("_languages", F.lit(1))["name"], F.lit(default_language)).alias("language"),
-            total(F.col("_documents")).alias("total_documents"),
+            F.coalesce("language", F.lit(default_language)).alias("language"),
+            F.col("documents").alias("total_documents"),
             F.lit(False).alias("skipped"),
             F.struct(
-                F.map_from_entries(F.transform("_labels", lambda r: F.struct(r["name"], r["cnt"]))).alias("counts"),
-                F.create_map(*[x for s in SCORES for x in (F.lit(s), average(s))]).alias("average_scores"),
-                F.coalesce(F.array_max(by_count)["name"], F.lit("NEUTRAL")).alias("dominant_sentiment"),
-                total(F.col("_labels")).alias("total_analyzed"),
+                counts("labels").alias("counts"),
+                F.create_map(*averages).alias("average_scores"),
+                F.coalesce("dominant", F.lit("NEUTRAL")).alias("dominant_sentiment"),
+                F.col("analysed").alias("total_analyzed"),
             ).alias("sentiment"),
             F.struct(
-                F.map_from_entries(F.transform("_types", lambda r: F.struct(r["name"], r["cnt"]))).alias("counts_by_type"),
-                F.map_from_entries(
-                    F.transform(
-                        "_types",
-                        lambda t: F.struct(
-                            t["name"], items(F.filter("_entities", lambda e: e["name"].eqNullSafe(t["name"])))
-                        ),
-                    )
-                ).alias("top_entities_by_type"),
+                counts("types").alias("counts_by_type"),
+                F.map_from_entries(top_by_type).alias("top_entities_by_type"),
             ).alias("entities"),
-            items(F.col("_phrases")).alias("key_phrases"),
+            items(F.col("phrases")).alias("key_phrases"),
         )
         .cast(NLP_TYPE)
         .alias("_nlp"),

@@ -82,17 +82,17 @@ def run_dialog(df: DataFrame, fn: Callable[[list[str]], list], batch: int = 25)
     given = df.columns
     asked = call_model(df.withColumn("request", prompts.request_body(F.col("messages"))), fn, batch)
     answered = parse_model_response(asked).withColumnRenamed("error", "_error").drop("request", "response")
-    dialog = prompts.followup_messages(F.col("messages"), F.col("insights"))
+    dialog = prompts.followup_messages(F.col("messages"), F.col("_insights"))
     # A failed analysis has nothing to follow up on: its request stays null.
     body = F.when(F.col("_error").isNull(), prompts.request_body(dialog))
-    again = answered.withColumnsRenamed({"insights": "_insights", "input_tokens": "input_tokens_"})
+    again = answered.withColumnsRenamed({"insights": "_insights", "input_tokens": "_input_tokens"})
     again = call_model(again.withColumn("request", body), _skip_null(fn), batch)
     parsed = parse_model_response(again)
     return parsed.select(
         *given,
         F.when(F.col("_error").isNull(), F.col("_insights")).alias("insights"),
         F.when(F.col("_error").isNull(), F.col("insights")).alias("top_priority_action"),
-        F.when(F.col("_error").isNull(), F.col("input_tokens_")).otherwise(F.lit(0)).alias("input_tokens"),
+        F.when(F.col("_error").isNull(), F.col("_input_tokens")).otherwise(F.lit(0)).alias("input_tokens"),
         F.col("_error").alias("error"),
     )
 

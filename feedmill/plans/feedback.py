@@ -46,22 +46,19 @@ def _conform(df: DataFrame) -> DataFrame:
 def review_files(rows: DataFrame, files: DataFrame, sample_n: int | None = SAMPLE_ROWS) -> DataFrame:
     """Validation, sample text and NLP of every review file.
 
-    ``sample_n`` rows of a file reach the annotators (None: all rows); the
-    validation always covers all rows.
+    The first ``sample_n`` rows of a file reach the annotators (None: all rows);
+    validation always covers all rows, prompts always quote a sample.
     """
-    checked = validation.validate(rows.select("source_key", "row_no", "review_content"), "review_content")
+    rows = rows.select("source_key", "row_no", "review_content")
+    checked = validation.validate(rows, "review_content")
     summary = validation.validation_summary(checked, "source_key", files)
     summary = summary.select("source_key", F.struct(*summary.columns[1:]).alias("validation"))
+    # Cut to the sample before the costly cleaning.
+    sample = first_k(rows, "source_key", [F.col("row_no")], sample_n or SAMPLE_ROWS, "_rank")
+    texts = normalization.sample_text(normalization.normalize_column(sample), n=sample_n or SAMPLE_ROWS)
     if sample_n is None:
-        normal = normalization.normalize_column(rows.select("source_key", "row_no", "review_content"))
-        parts = segments.segments_from_rows(normal.drop("review_content"))
-        texts = normalization.sample_text(normal)
+        parts = segments.segments_from_rows(normalization.normalize_column(rows).drop("review_content"))
     else:
-        # Cut to the sample before the costly cleaning.
-        first = first_k(
-            rows.select("source_key", "row_no", "review_content"), "source_key", [F.col("row_no")], sample_n, "_r"
-        )
-        texts = normalization.sample_text(normalization.normalize_column(first), n=sample_n)
         parts = segments.segment(texts)
     nlp = aggregation.nlp_results(files, parts)
     state = files.join(summary, "source_key", "left").join(texts, "source_key", "left")
