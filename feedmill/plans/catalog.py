@@ -1,6 +1,12 @@
 """All registered queries; importing the query modules fills the registry."""
 
-from feedmill.plans import dialog_queries, nlp_queries, table_queries  # noqa: F401
+from feedmill.plans import (  # noqa: F401
+    dialog_queries,
+    metric_queries,
+    nlp_queries,
+    source_queries,
+    table_queries,
+)
 from feedmill.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Normalised table as CSV. [SNK1]"""
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    # Spark's CSV writer trims cells unless told not to.
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(header=True, quote='"', escape='"', **kept).csv(path)
 
 
 def write_texts(
