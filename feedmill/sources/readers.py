@@ -122,6 +122,8 @@ def pick_text_column(df: DataFrame, preferred: str = "review_content") -> str |
     """The preferred column if present, else the string column with the longest texts. [SRC3]"""
     if preferred in df.columns:
         return preferred
+    if not any(isinstance(f.dataType, T.StringType) for f in df.schema.fields):
+        return None
     best = (
         text_column_scores(df)
         .filter("mean_length is not null")
@@ -139,7 +141,8 @@ def read_catalog(spark: SparkSession, table: str) -> DataFrame:
 def read_objects(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Whole objects with size, time and bytes. [SRC6]
 
-    Without a use of ``content`` Spark reads the listing only.
+    Without a use of ``content`` Spark reads the listing only. Spark skips files
+    of zero bytes; where they matter, take the file list from the notifications.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(
