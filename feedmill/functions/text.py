@@ -71,8 +71,8 @@ def is_blank(col: Column) -> Column:
 
 def words(col: Column) -> Column:
     """Whitespace-separated tokens, none of them empty."""
-    text = strip(col)
-    return F.when(text == "", F.expr("cast(array() as array<string>)")).otherwise(F.split(text, _JVM_SPACE + "+"))
+    none = F.expr("cast(array() as array<string>)")
+    return bind(strip(col), lambda t: F.when(t == "", none).otherwise(F.split(t, _JVM_SPACE + "+")))
 
 
 def one_if_filled(col: Column) -> Column:
@@ -102,47 +102,74 @@ def nfc(col: Column) -> Column:
     return F.coalesce(_nfc_batch()(candidate), col)
 
 
+def bind(col: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of the value of ``col``, which is computed once however often used."""
+    return F.transform(F.array(col), fn)[0]
+
+
+def _has(col: Column, *parts: str) -> Column:
+    found = F.lit(False)
+    for part in parts:
+        found = found | F.contains(col, F.lit(part))
+    return found
+
+
+def _step(col: Column, needed: Callable[[Column], Column], step: Callable[[Column], Column]) -> Column:
+    """Run a regex step only on texts that can match: a byte search is far
+    cheaper than a scan by the regex engine, and most texts need few steps."""
+    return bind(col, lambda t: F.when(needed(t), step(t)).otherwise(t))
+
+
 def strip_html(col: Column) -> Column:
-    return F.regexp_replace(col, HTML_PATTERN, " ")
+    return _step(col, lambda t: _has(t, "<"), lambda t: F.regexp_replace(t, HTML_PATTERN, " "))
 
 
 def strip_urls(col: Column) -> Column:
-    return F.regexp_replace(col, URL_PATTERN, " ")
+    return _step(
+        col,
+        lambda t: _has(t, "://") | _has(F.lower(t), "www."),
+        lambda t: F.regexp_replace(t, URL_PATTERN, " "),
+    )
 
 
 def strip_emoji(col: Column, emoji_class: str = "reference") -> Column:
-    return F.regexp_replace(col, EMOJI_PATTERNS[emoji_class], " ")
+    pattern = EMOJI_PATTERNS[emoji_class]
+    return _step(col, lambda t: F.octet_length(t) > F.length(t), lambda t: F.regexp_replace(t, pattern, " "))
 
 
 def decode_entities(col: Column) -> Column:
     """Ordered replacement: a decoded ``&`` can form the next entity."""
-    for entity, char in ENTITIES:
-        col = F.replace(col, F.lit(entity), F.lit(char))
-    return col
+
+    def decode(text: Column) -> Column:
+        for entity, char in ENTITIES:
+            text = F.replace(text, F.lit(entity), F.lit(char))
+        return text
+
+    return _step(col, lambda t: _has(t, "&"), decode)
 
 
 def collapse_punct(col: Column) -> Column:
     """Runs of three or more of one mark become a single mark."""
-    return F.regexp_replace(col, r"([!?.,;:-])\1{2,}", "$1")
+    runs = [mark * 3 for mark in "!?.,;:-"]
+    return _step(
+        col, lambda t: _has(t, *runs), lambda t: F.regexp_replace(t, r"([!?.,;:-])\1{2,}", "$1")
+    )
 
 
 def collapse_spaces(col: Column) -> Column:
-    return F.regexp_replace(col, " {2,}", " ")
+    return _step(col, lambda t: _has(t, "  "), lambda t: F.regexp_replace(t, " {2,}", " "))
 
 
 def collapse_newlines_strip(col: Column) -> Column:
-    return strip(F.regexp_replace(col, "\n{3,}", "\n\n"))
+    runs = _step(col, lambda t: _has(t, "\n\n\n"), lambda t: F.regexp_replace(t, "\n{3,}", "\n\n"))
+    return strip(runs)
 
 
 def normalize_text(col: Column, emoji_class: str = "reference") -> Column:
     """All cleaning steps in their order; null becomes the empty text."""
-    col = nfc(F.coalesce(col, F.lit("")))
-    for step in (strip_html, strip_urls):
-        col = step(col)
+    col = strip_urls(strip_html(nfc(F.coalesce(col, F.lit("")))))
     col = strip_emoji(col, emoji_class)
-    for step in (decode_entities, collapse_punct, collapse_spaces, collapse_newlines_strip):
-        col = step(col)
-    return col
+    return collapse_newlines_strip(collapse_spaces(collapse_punct(decode_entities(col))))
 
 
 def truncate_bytes(col: Column, limit: int = 5000) -> Column:

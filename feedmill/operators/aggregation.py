@@ -18,6 +18,7 @@ from feedmill.operators.annotation import (
     annotate_key_phrases,
     annotate_sentiment,
     language_of,
+    letter_words,
 )
 from feedmill.operators.ordering import first_k
 from feedmill.schemas import ENTITIES_TYPE, ITEMS_TYPE, NLP_TYPE, SCORES_TYPE, SENTIMENT_TYPE
@@ -150,14 +151,18 @@ def annotate(
     default_language: str = DEFAULT_LANGUAGE,
 ) -> DataFrame:
     """All annotations of a segment side by side; ``*_error`` marks failed ones."""
-    rows = segments
-    for step, plug_in, name in (
-        (annotate_sentiment, sentiment_scorer, "sentiment"),
-        (annotate_entities, entity_extractor, "entity"),
-        (annotate_key_phrases, phrase_extractor, "phrase"),
+    # The words serve language and sentiment alike.
+    rows = segments.withColumn("_words", letter_words(F.col("segment")))
+    words = F.col("_words")
+    shared = {} if sentiment_scorer else {"tokens": words}
+    rows = rows.withColumn("language", language_of(F.col("segment"), default=default_language, tokens=words))
+    for step, plug_in, name, options in (
+        (annotate_sentiment, sentiment_scorer, "sentiment", shared),
+        (annotate_entities, entity_extractor, "entity", {}),
+        (annotate_key_phrases, phrase_extractor, "phrase", {}),
     ):
-        rows = step(rows, plug_in).withColumnRenamed("error", f"{name}_error")
-    return rows.withColumn("language", language_of(F.col("segment"), default=default_language))
+        rows = step(rows, plug_in, **options).withColumnRenamed("error", f"{name}_error")
+    return rows.drop("_words")
 
 
 def _facts(annotated: DataFrame, by: str) -> DataFrame:

@@ -71,13 +71,15 @@ def language_of(
     profiles: dict[str, Sequence[str]] = LANGUAGE_PROFILES,
     default: str = DEFAULT_LANGUAGE,
     head_chars: int | None = None,
+    tokens: Column | None = None,
 ) -> Column:
     """Language whose profile has most hits; earlier profiles win ties. [NLP4]
 
     ``head_chars`` limits the look to the start of the text, as a hosted
-    detector would.
+    detector would; ``tokens`` are the text's ``letter_words`` if at hand.
     """
-    tokens = letter_words(col if head_chars is None else F.substring(col, 1, head_chars))
+    if tokens is None:
+        tokens = letter_words(col if head_chars is None else F.substring(col, 1, head_chars))
     every = [w for profile in profiles.values() for w in profile]
 
     def best(hits: Column) -> Column:
@@ -122,6 +124,7 @@ def lexicon_sentiment(
     col: Column,
     positive: Sequence[str] = POSITIVE_WORDS,
     negative: Sequence[str] = NEGATIVE_WORDS,
+    tokens: Column | None = None,
 ) -> Column:
     """Label and four scores from word counts. [NLP5]
 
@@ -149,7 +152,8 @@ def lexicon_sentiment(
             ).alias("scores"),
         )
 
-    hits = F.filter(letter_words(col), lambda w: w.isin(*positive, *negative))
+    tokens = letter_words(col) if tokens is None else tokens
+    hits = F.filter(tokens, lambda w: w.isin(*positive, *negative))
     # One-element transform: both counts are computed once and used many times.
     counts = F.transform(F.array(hits), lambda h: F.struct(
         F.size(F.filter(h, lambda w: w.isin(*positive))).alias("p"),

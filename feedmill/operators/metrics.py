@@ -57,7 +57,9 @@ def _point(metric: str, value: Column, unit: str, dims: Column) -> Column:
 
 
 def _emit(df: DataFrame, points: Column, ts: str = "ts") -> DataFrame:
-    return df.select(ts, F.explode(points).alias("_p")).select(ts, "_p.*")
+    # Outer, so that the optimizer does not build the array once more to test its size.
+    rows = df.select(ts, F.explode_outer(points).alias("_p")).select(ts, "_p.*")
+    return rows.filter("metric is not null")
 
 
 def metric_points(state: DataFrame) -> DataFrame:

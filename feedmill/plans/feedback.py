@@ -136,9 +136,28 @@ def run_feedback(
     }
 
 
-def write_outputs(out: dict[str, DataFrame], path: str) -> None:
-    """All sinks of a run."""
-    writers.write_insights(out["insights"], f"{path}/insights")
-    writers.write_reports(out["reports"], f"{path}/quality-reports")
-    out["review_queue"].write.mode("append").parquet(f"{path}/review-queue")
-    writers.append_points(out["points"], f"{path}/metrics")
+def write_outputs(out: dict[str, DataFrame], path: str, run: str) -> None:
+    """All sinks of one run; repeating the run replaces its own output only."""
+    writers.write_insights(out["insights"], f"{path}/insights/run={run}", "overwrite")
+    writers.write_reports(out["reports"], f"{path}/quality-reports/run={run}", "overwrite")
+    out["review_queue"].write.mode("overwrite").parquet(f"{path}/review-queue/run={run}")
+    writers.append_points(out["points"], f"{path}/metrics/run={run}", "overwrite")
+
+
+def batch_flow(
+    work_dir: str,
+    out_dir: str,
+    build: Callable[[DataFrame], list[DataFrame]],
+    model: Callable[[list[str]], list] | None = None,
+    model_id: str = "none",
+) -> Callable[[DataFrame, int], None]:
+    """The flow as a function of one micro-batch, for ``start_batches``. [STR5]
+
+    ``build`` turns the batch's good rows into branch states.
+    """
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        out = run_feedback(build(batch), f"{work_dir}/batch={batch_id}", model, model_id)
+        write_outputs(out, out_dir, str(batch_id))
+
+    return process

@@ -50,6 +50,6 @@ def write_clean(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     writer.parquet(path)
 
 
-def append_points(df: DataFrame, path: str) -> None:
+def append_points(df: DataFrame, path: str, mode: str = "append") -> None:
     """Metric points, by metric name. [SNK6]"""
-    df.write.mode("append").partitionBy("metric").parquet(path)
+    df.write.mode(mode).partitionBy("metric").parquet(path)

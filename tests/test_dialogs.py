@@ -167,6 +167,37 @@ def test_flow(spark, tmp_path):
         assert queue == {k for k, r in reports.items() if r.score_breakdown.final_score < 70}
         assert {r.metric for r in out["stage_points"].collect()} >= {"DataQualityScore", "EntitiesFound", "InsightsGenerated"}
         assert sum(r.files for r in out["summary"].collect()) == 5
-        feedback.write_outputs(out, str(tmp_path / f"out{sample}"))
+        for _ in range(2):  # a repeated run replaces its output
+            feedback.write_outputs(out, str(tmp_path / f"out{sample}"), "1")
         stored = spark.read.json(str(tmp_path / f"out{sample}" / "insights"))
         assert stored.filter("data_type = 'audio' and dt = '2024-03-05'").count() == 1
+
+
+def test_flow_on_a_stream(spark, tmp_path):
+    """Files land in two rounds; a record of unknown type goes to the dead letters."""
+    from feedmill.operators.routing import with_data_type
+    from feedmill.streaming import streams
+
+    src = str(tmp_path / "src")
+    schema = "source_key string, transcript string"
+
+    def land(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+
+    def build(batch):
+        files = batch.select("source_key", "transcript").withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
+        return [feedback.text_files(files, "audio", "transcript")]
+
+    def run():
+        rows = with_data_type(spark.readStream.schema(schema).parquet(src))
+        rows = rows.withColumn("error", F.when(F.col("data_type") == "unknown", "unknown data type"))
+        process = feedback.batch_flow(str(tmp_path / "work"), str(tmp_path / "out"), build)
+        streams.start_batches(rows, process, str(tmp_path / "state"), str(tmp_path / "dead")).awaitTermination()
+
+    land([("audio/a.mp3", "a good call"), ("lost/b", "x")])
+    run()
+    land([("audio/c.mp3", "a bad call")])
+    run()
+    reports = spark.read.json(str(tmp_path / "out" / "quality-reports"))
+    assert {(r.source_key, r.run) for r in reports.collect()} == {("audio/a.mp3", 0), ("audio/c.mp3", 1)}
+    assert [r.source_key for r in spark.read.parquet(str(tmp_path / "dead")).collect()] == ["lost/b"]
