@@ -31,21 +31,16 @@ def number_rows(
     of ``block`` order values; a small table of block sizes gives the number of
     rows before each block, and only the rows of one block are sorted together.
     """
-    by = keys(by)
-    cut = df.withColumn("_block", F.floor(F.col(order) / block))
-    sizes = cut.groupBy(*by, "_block").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)],
-        F.col("_block").alias("_kb"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
-    )
-    match = F.col("_block") == F.col("_kb")
-    for i, c in enumerate(by):
-        match = match & F.col(c).eqNullSafe(F.col(f"_k{i}"))
-    inside = Window.partitionBy(*by, "_block").orderBy(order)
+    # A struct compares null keys as equal, so one plain key serves grouping,
+    # join and window, and the rows are shuffled once.
+    group = F.struct(*[F.col(c) for c in keys(by)])
+    cut = df.withColumns({"_group": group, "_block": F.floor(F.col(order) / block)})
+    sizes = cut.groupBy("_group", "_block").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy("_group").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_group", "_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_group", "_block").orderBy(order)
     return (
-        cut.join(starts, match, "left")
+        cut.join(starts, ["_group", "_block"])
         .withColumn(name, F.row_number().over(inside) + F.col("_before"))
         .select(*df.columns, name)
     )

@@ -13,6 +13,7 @@ from feedmill.plans.table_queries import CHECKED
 from feedmill.plans.views import POINTS_SQL, event_points, reviews, table
 from feedmill.schemas import NLP_TYPE, VALIDATION_TYPE
 from feedmill.session import shared_dir
+from feedmill.sources.readers import is_small
 from feedmill.streaming import streams
 
 
@@ -119,13 +120,13 @@ def _shown(series):
         "metric",
         "points",
         F.round("total", 4).alias("total"),
-        F.round("average", 4).alias("average"),
+        F.round("average", 8).alias("average"),
     )
 
 
 _SHOWN_SQL = (
     "SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, metric, points, round(total, 4) AS total, "
-    "round(average, 4) AS average FROM series"
+    "round(average, 8) AS average FROM series"
 )
 
 
@@ -231,8 +232,9 @@ def extraction_points(spark, sf_dir):
 
 def stream_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     batch = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    files = spark.readStream.schema(batch.schema).option("pathGlobFilter", f"{name}.parquet")
-    return files.parquet(sf_dir)
+    files = spark.readStream.schema(batch.schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    return files.repartition(cores, batch.columns[0]) if is_small(batch) else files
 
 
 @query(

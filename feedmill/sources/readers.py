@@ -89,20 +89,24 @@ def read_reviews_salvage(spark: SparkSession, path: str | list[str], column: str
     )
 
 
+def is_small(df: DataFrame, core_bytes: int = 16 << 20) -> bool:
+    """True for a table of fewer files than cores and at most ``core_bytes`` per core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # Size first: listing the files of a large table is work for nothing.
+    return SPREAD_FLOOR < size <= cores * core_bytes and len(df.inputFiles()) < cores
+
+
 def spread(df: DataFrame, core_bytes: int = 16 << 20) -> DataFrame:
     """Share a small table of few files among the cores before CPU-heavy work.
 
-    A file of one row group is read by one task, however many cores wait. Only
-    tables with fewer files than cores and at most ``core_bytes`` per core are
-    redistributed; a large table keeps its scan partitions and is not shuffled.
+    A file of one row group is read by one task, however many cores wait. A
+    large table keeps its scan partitions and is not shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    # Size first: listing the files of a large table is work for nothing.
-    if not SPREAD_FLOOR < size <= cores * core_bytes or len(df.inputFiles()) >= cores:
+    if not is_small(df, core_bytes):
         return df
     # Hashing on the first column is repeatable and, unlike round robin, needs no sort.
-    return df.repartition(cores, df.columns[0])
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, df.columns[0])
 
 
 def text_column_scores(df: DataFrame) -> DataFrame:
