@@ -12,11 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedmill.functions.keys import fits_inline
 from feedmill.functions.text import normalize_text
 from feedmill.operators import aggregation, dialogs, metrics, normalization, quality, segments, validation
 from feedmill.operators.ordering import first_k
 from feedmill.schemas import NLP_TYPE, VALIDATION_TYPE
 from feedmill.sinks import writers
+from feedmill.sources import payloads
 
 SAMPLE_ROWS = 50
 ANALYSED = ("text_reviews", "audio")
@@ -76,6 +78,37 @@ def text_files(files: DataFrame, data_type: str, text: str) -> DataFrame:
     return _conform(normal.join(nlp, "source_key", "left"))
 
 
+def branches(
+    reviews: DataFrame | None = None,
+    review_list: DataFrame | None = None,
+    ocr: DataFrame | None = None,
+    calls: DataFrame | None = None,
+    surveys: DataFrame | None = None,
+    sample_n: int | None = SAMPLE_ROWS,
+) -> list[DataFrame]:
+    """Branch states of whatever kinds of input there are. [RT2]
+
+    ``reviews`` are rows of review files, ``review_list`` their files (``source_key,
+    ts``); ``ocr`` holds ``source_key, ts, length, ocr_json``, ``calls``
+    ``source_key, ts, transcript_json``, ``surveys`` ``source_key, ts,
+    survey_summary``. A failed reading is a null payload: its text is empty and
+    the file goes on.
+    """
+    out = []
+    if reviews is not None:
+        files = review_list
+        if files is None:
+            files = reviews.select("source_key").distinct().withColumn("ts", F.lit(None).cast("timestamp"))
+        out.append(review_files(reviews, files, sample_n))
+    if ocr is not None:
+        out.append(text_files(payloads.ocr_text(ocr).drop("ocr_json"), "images", "extracted_text"))
+    if calls is not None:
+        out.append(text_files(payloads.transcript_text(calls).drop("transcript_json"), "audio", "transcript"))
+    if surveys is not None:
+        out.append(text_files(surveys, "surveys", "survey_summary"))
+    return out
+
+
 def _keep(df: DataFrame, path: str) -> DataFrame:
     """Write the table and go on from its stored form."""
     df.write.mode("overwrite").parquet(path)
@@ -83,29 +116,35 @@ def _keep(df: DataFrame, path: str) -> DataFrame:
 
 
 def run_feedback(
-    branches: list[DataFrame],
+    states: list[DataFrame],
     work_dir: str,
     model: Callable[[list[str]], list] | None = None,
     model_id: str = "none",
     profile: str = "current",
     threshold: float = quality.THRESHOLD,
+    images: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """From branch states to insights, reports, review queue and metric points.
 
-    ``branches`` come from ``review_files`` and ``text_files``. Without a model
-    the files are scored on validation and annotations alone.
+    ``states`` come from ``branches``. Without a model the files are scored on
+    validation and annotations alone. ``images`` (``source_key, length,
+    content``) puts small images into their prompts; the bytes are not stored.
     """
-    state = branches[0]
-    for branch in branches[1:]:
+    state = states[0]
+    for branch in states[1:]:
         state = state.unionByName(branch)
     state = _keep(state, f"{work_dir}/state")
-    answered = dialogs.build_messages(state)
+    asked = state
+    if images is not None and model is not None:
+        small = images.filter(fits_inline(F.col("length"))).select("source_key", "content")
+        asked = state.join(small, "source_key", "left")
+    answered = dialogs.build_messages(asked)
     if model is None:
         none = {c: F.lit(None).cast("string") for c in ("insights", "top_priority_action", "error")}
         answered = answered.withColumns({**none, "input_tokens": F.lit(0).cast("bigint")})
     else:
         answered = dialogs.run_dialog(answered, model)
-    answered = _keep(answered, f"{work_dir}/answers")
+    answered = _keep(answered.drop("messages", "content"), f"{work_dir}/answers")
     scored = quality.score_quality(
         answered.withColumns(
             {

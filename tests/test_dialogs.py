@@ -201,3 +201,52 @@ def test_flow_on_a_stream(spark, tmp_path):
     reports = spark.read.json(str(tmp_path / "out" / "quality-reports"))
     assert {(r.source_key, r.run) for r in reports.collect()} == {("audio/a.mp3", 0), ("audio/c.mp3", 1)}
     assert [r.source_key for r in spark.read.parquet(str(tmp_path / "dead")).collect()] == ["lost/b"]
+
+
+def test_flow_from_payloads_with_images(spark, tmp_path):
+    """Small images are part of the prompt; failed readings go on with an empty text."""
+    stamp = F.lit("2024-03-05").cast("timestamp")
+    ocr = spark.createDataFrame(
+        [("images/a.png", 3, '{"Blocks":[{"BlockType":"LINE","Text":"good label"}]}'), ("images/b.png", 9_000_000, None)],
+        "source_key string, length bigint, ocr_json string",
+    ).withColumn("ts", stamp)
+    calls = spark.createDataFrame([("audio/x.mp3", None)], "source_key string, transcript_json string").withColumn("ts", stamp)
+    images = spark.createDataFrame(
+        [("images/a.png", 3, bytearray(b"img")), ("images/b.png", 9_000_000, bytearray(b"big"))],
+        "source_key string, length bigint, content binary",
+    )
+
+    def model(bodies):
+        out = []
+        for body in bodies:
+            content = json.loads(body)["messages"][0]["content"]
+            kinds = ",".join(sorted(k for c in content for k in c))
+            out.append(json.dumps({"output": {"message": {"content": [{"text": kinds}]}}}))
+        return out
+
+    out = feedback.run_feedback(
+        feedback.branches(ocr=ocr, calls=calls), str(tmp_path / "w"), model, "m", images=images
+    )
+    got = {r.source_key: r for r in out["state"].collect()}
+    assert {k: r.insights for k, r in got.items()} == {"images/a.png": "image,text", "images/b.png": "text", "audio/x.mp3": "text"}
+    assert got["images/a.png"].extracted_text == "good label" and got["images/b.png"].extracted_text == ""
+    assert got["audio/x.mp3"].nlp.skipped and got["audio/x.mp3"].final_score == 50.0
+
+
+def test_flow_from_files(spark, tmp_path):
+    """CSV and text files on disk to stored reports."""
+    from feedmill.schemas import REVIEW_COLUMNS
+    from feedmill.sources import readers
+
+    for folder in ("text-reviews", "surveys"):
+        (tmp_path / folder).mkdir()
+    cells = {"review_content": '"A good, solid product\nthat lasts"', "rating": "5"}
+    line = ",".join(cells.get(c, "") for c in REVIEW_COLUMNS)
+    (tmp_path / "text-reviews" / "r.csv").write_text(",".join(REVIEW_COLUMNS) + "\n" + line + "\n")
+    (tmp_path / "surveys" / "s.txt").write_text("I love it")
+    rows = readers.read_reviews(spark, str(tmp_path / "text-reviews"))
+    surveys = readers.read_text_documents(spark, str(tmp_path / "surveys"))
+    out = feedback.run_feedback(feedback.branches(rows, surveys=surveys), str(tmp_path / "w"))
+    got = {r.source_key: r.score_breakdown.final_score for r in out["reports"].collect()}
+    assert set(got) == {"text-reviews/r.csv", "surveys/s.txt"} and got["text-reviews/r.csv"] == 100.0
+    assert got["surveys/s.txt"] == 50.0
