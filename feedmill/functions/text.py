@@ -35,6 +35,8 @@ SPACE_CHARS = "".join(chr(c) for low, high in _SPACE_RANGES for c in range(low,
 # Markup, link and emoji patterns.
 HTML_PATTERN = r"<[^>]+>"
 URL_PATTERN = rf"(?i)https?://[^{SPACE_CLASS}]+|www\.[^{SPACE_CLASS}]+"
+# Every spelling of ``www.`` ends in one of these; a byte search finds them.
+_WWW_ENDS = ("ww.", "WW.", "wW.", "Ww.")
 EMOJI_PATTERNS = {
     "reference": (
         # The wide first range takes in symbols, flags and Asian scripts alike.
@@ -69,10 +71,12 @@ def is_blank(col: Column) -> Column:
     return col.isNull() | (strip(col) == "")
 
 
-def words(col: Column) -> Column:
-    """Whitespace-separated tokens, none of them empty."""
+def words(col: Column, stripped: bool = False) -> Column:
+    """Whitespace-separated tokens, none of them empty; ``stripped`` texts have
+    no whitespace at their ends any more."""
     none = F.expr("cast(array() as array<string>)")
-    return bind(strip(col), lambda t: F.when(t == "", none).otherwise(F.split(t, _JVM_SPACE + "+")))
+    text = col if stripped else strip(col)
+    return bind(text, lambda t: F.when(t == "", none).otherwise(F.split(t, _JVM_SPACE + "+")))
 
 
 def one_if_filled(col: Column) -> Column:
@@ -97,8 +101,11 @@ def _nfc_batch() -> Callable[[Column], Column]:
 
 def nfc(col: Column) -> Column:
     """Unicode NFC. Spark has no such function, so texts that may need it go to
-    an Arrow UDF; the UDF sees null for all others, which are NFC already."""
-    candidate = F.when(col.rlike(rf"[^{_NFC_STABLE}]"), col)
+    an Arrow UDF; the UDF sees null for all others, which are NFC already. The
+    tests go from cheap to exact: ASCII, Latin letters, all stable blocks."""
+    wide = F.octet_length(col) > F.length(col)
+    exact = col.rlike(r"[^\x{0}-\x{2FF}]") & col.rlike(rf"[^{_NFC_STABLE}]")
+    candidate = F.when(wide & exact, col)
     return F.coalesce(_nfc_batch()(candidate), col)
 
 
@@ -127,7 +134,7 @@ def strip_html(col: Column) -> Column:
 def strip_urls(col: Column) -> Column:
     return _step(
         col,
-        lambda t: _has(t, "://") | _has(F.lower(t), "www."),
+        lambda t: _has(t, "://", *_WWW_ENDS),
         lambda t: F.regexp_replace(t, URL_PATTERN, " "),
     )
 

@@ -18,7 +18,7 @@ from feedmill.operators.annotation import (
     annotate_key_phrases,
     annotate_sentiment,
     language_of,
-    letter_words,
+    tokens_of,
 )
 from feedmill.operators.ordering import first_k
 from feedmill.schemas import ENTITIES_TYPE, ITEMS_TYPE, NLP_TYPE, SCORES_TYPE, SENTIMENT_TYPE
@@ -151,18 +151,18 @@ def annotate(
     default_language: str = DEFAULT_LANGUAGE,
 ) -> DataFrame:
     """All annotations of a segment side by side; ``*_error`` marks failed ones."""
-    # The words serve language and sentiment alike.
-    rows = segments.withColumn("_words", letter_words(F.col("segment")))
-    words = F.col("_words")
-    shared = {} if sentiment_scorer else {"tokens": words}
-    rows = rows.withColumn("language", language_of(F.col("segment"), default=default_language, tokens=words))
-    for step, plug_in, name, options in (
-        (annotate_sentiment, sentiment_scorer, "sentiment", shared),
+    rows = segments.withColumn("_tokens", tokens_of(F.col("segment")))
+    tokens = F.col("_tokens")
+    rows = rows.withColumn("language", language_of(F.col("segment"), default=default_language, tokens=tokens))
+    for step, plug_in, name, shared in (
+        (annotate_sentiment, sentiment_scorer, "sentiment", {"tokens": tokens}),
         (annotate_entities, entity_extractor, "entity", {}),
-        (annotate_key_phrases, phrase_extractor, "phrase", {}),
+        (annotate_key_phrases, phrase_extractor, "phrase", {"tokens": tokens}),
     ):
-        rows = step(rows, plug_in, **options).withColumnRenamed("error", f"{name}_error")
-    return rows.drop("_words")
+        rows = step(rows, plug_in, **({} if plug_in else shared)).withColumnRenamed("error", f"{name}_error")
+    if phrase_extractor:
+        rows = rows.withColumn("phrases", F.transform("phrases", lambda p: strip(F.lower(p))))
+    return rows.drop("_tokens")
 
 
 def _facts(annotated: DataFrame, by: str) -> DataFrame:
@@ -192,7 +192,7 @@ def _facts(annotated: DataFrame, by: str) -> DataFrame:
         single,
         F.transform(entities, lambda e, i: fact("type", e["type"], none, i)),
         F.transform(entities, lambda e, i: fact("entity", e["type"], e["text"], i)),
-        F.transform(phrases, lambda p, i: fact("phrase", none, strip(F.lower(p)), i)),
+        F.transform(phrases, lambda p, i: fact("phrase", none, p, i)),
     ]
     nothing = F.slice(single, 1, 0)
     facts = F.concat(*[F.coalesce(f, nothing) for f in all_facts])

@@ -57,9 +57,19 @@ STOP_WORDS = tuple(
 )
 
 
-def letter_words(col: Column) -> Column:
-    """Lower-cased runs of letters; the array may hold one empty text."""
-    return F.split(F.lower(col), r"[^\p{L}]+")
+BREAK = "|"
+
+
+def words_of(col: Column) -> Column:
+    """Lower-cased runs of letters and digits; the array may hold one empty text."""
+    return F.split(F.lower(col), r"[^\p{L}\p{N}]+")
+
+
+def tokens_of(col: Column) -> Column:
+    """Lower-cased runs of letters and digits, with ``|`` wherever anything but
+    blanks stands between two; one split serves all default annotators."""
+    marked = F.regexp_replace(F.lower(col), r"[^a-z0-9 \p{L}\p{N}]+", f" {BREAK} ")
+    return F.split(marked, " +")
 
 
 def _listed(tokens: Column, listed: Sequence[str]) -> Column:
@@ -76,10 +86,10 @@ def language_of(
     """Language whose profile has most hits; earlier profiles win ties. [NLP4]
 
     ``head_chars`` limits the look to the start of the text, as a hosted
-    detector would; ``tokens`` are the text's ``letter_words`` if at hand.
+    detector would; ``tokens`` are its ``words_of`` or ``tokens_of`` if at hand.
     """
     if tokens is None:
-        tokens = letter_words(col if head_chars is None else F.substring(col, 1, head_chars))
+        tokens = words_of(col if head_chars is None else F.substring(col, 1, head_chars))
     every = [w for profile in profiles.values() for w in profile]
 
     def best(hits: Column) -> Column:
@@ -152,7 +162,7 @@ def lexicon_sentiment(
             ).alias("scores"),
         )
 
-    tokens = letter_words(col) if tokens is None else tokens
+    tokens = words_of(col) if tokens is None else tokens
     hits = F.filter(tokens, lambda w: w.isin(*positive, *negative))
     # One-element transform: both counts are computed once and used many times.
     counts = F.transform(F.array(hits), lambda h: F.struct(
@@ -203,12 +213,13 @@ def annotate_entities(segments: DataFrame, extractor: Callable | None = None, **
     )
 
 
-def key_phrases_of(col: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
+def key_phrases_of(
+    col: Column, stop_words: Sequence[str] = STOP_WORDS, tokens: Column | None = None
+) -> Column:
     """Word runs, lower-cased, between stop words and anything but words and blanks."""
-    marked = F.regexp_replace(F.lower(col), r"[^\p{L}\p{N} ]+", " | ")
-    tokens = F.transform(F.split(marked, " +"), lambda w: F.when(w.isin(*stop_words), "|").otherwise(w))
-    joined = F.btrim(F.array_join(tokens, " "))
-    return F.filter(F.split(joined, r"[ |]*\|[ |]*"), lambda p: p != "")
+    tokens = tokens_of(col) if tokens is None else tokens
+    cut = F.transform(tokens, lambda w: F.when(w.isin(*stop_words), BREAK).otherwise(w))
+    return F.filter(F.split(F.btrim(F.array_join(cut, " ")), r"[ |]*\|[ |]*"), lambda p: p != "")
 
 
 def annotate_key_phrases(segments: DataFrame, extractor: Callable | None = None, **options) -> DataFrame:

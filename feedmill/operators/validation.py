@@ -35,7 +35,7 @@ def validate(df: DataFrame, col: str, null_issue: str = "empty_review") -> DataF
     staged = df.withColumn("_text", tx.strip(F.col(col)))
     cleaned = tx.strip(tx.strip_urls(tx.strip_html(F.col("_text"))))
     staged = staged.withColumn("_clean", cleaned)
-    staged = staged.withColumn("_words", tx.words(F.lower("_clean")))
+    staged = staged.withColumn("_words", tx.words(F.lower("_clean"), stripped=True))
     total = F.size("_words")
     distinct = F.size(F.array_distinct("_words"))
     checks = F.array_compact(

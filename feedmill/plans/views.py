@@ -115,7 +115,7 @@ def normalize_sql(expr: str) -> str:
 
 
 def words_sql(expr: str) -> str:
-    return f"regexp_split_to_array(lower({expr}), '[^\\p{{L}}]+')"
+    return f"regexp_split_to_array(lower({expr}), '[^\\p{{L}}\\p{{N}}]+')"
 
 
 def count_sql(tokens: str, values) -> str:
