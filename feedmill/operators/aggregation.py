@@ -29,7 +29,6 @@ TOP_PHRASES = 30
 _POSITION_BITS = 24
 # Scores are summed as decimals: the sum does not depend on the order of rows.
 _SCORE_TYPE = "decimal(18,12)"
-_SUM_TYPE = "decimal(28,12)"
 
 
 def first_seen(seg_no: str, position: str) -> Column:

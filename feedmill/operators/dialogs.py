@@ -15,10 +15,6 @@ RESPONSE_TYPE = (
     "output struct<message:struct<content:array<struct<text:string>>>>,"
     "usage struct<inputTokens:bigint>"
 )
-INSIGHT_COLUMNS = (
-    "source_bucket", "source_key", "data_type", "timestamp", "model_id", "insights",
-    "top_priority_action", "nlp", "validation",
-)
 
 
 def _with_missing(df: DataFrame, columns: dict[str, str]) -> DataFrame:

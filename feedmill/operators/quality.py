@@ -57,6 +57,7 @@ def quality_status(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def quality_report(df: DataFrame, threshold: float = THRESHOLD, base: str = "base_score") -> DataFrame:
     """One report per file. [QLT6]"""
+    # The field names of a report.
     return quality_status(df, threshold).select(
         "data_type",
         "source_key",

@@ -39,8 +39,3 @@ NLP_TYPE = (
     f"sentiment:{SENTIMENT_TYPE},entities:{ENTITIES_TYPE},key_phrases:{ITEMS_TYPE}>"
 )
 SCORES_TYPE = "struct<Positive:double,Negative:double,Neutral:double,Mixed:double>"
-MESSAGES_TYPE = (
-    "array<struct<role:string,content:array<struct<text:string,"
-    "image_format:string,image_b64:string>>>>"
-)
-POINT_SCHEMA = "ts timestamp, metric string, value double, unit string, dims map<string,string>"

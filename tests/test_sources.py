@@ -232,3 +232,26 @@ def test_dead_letters_are_idempotent_per_batch(spark, tmp_path):
     stream = spark.readStream.schema(rows.schema).parquet(src)
     streams.start_batches(stream, lambda df, i: seen.append((i, df.count())), str(tmp_path / "c"), str(tmp_path / "dead")).awaitTermination()
     assert seen == [(0, 1)] and spark.read.parquet(str(tmp_path / "dead")).count() == 1
+
+
+def test_catalog_table(spark):
+    spark.range(3).createOrReplaceTempView("some_reviews")
+    assert readers.read_catalog(spark, "some_reviews").count() == 3
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    """The cluster's folder is used; without one only a local session may go on."""
+    from types import SimpleNamespace as Fake
+
+    from feedmill.session import shared_dir
+
+    def session(folder, master):
+        context = Fake(master=master, getConf=lambda: Fake(get=lambda name: None))
+        return Fake(conf=Fake(get=lambda name, default: folder), sparkContext=context)
+
+    cluster = session("/shared/place/", "yarn")
+    one, two = shared_dir(cluster, "x"), shared_dir(cluster, "x")
+    assert one.startswith("/shared/place/x-") and one != two
+    assert "x-" in shared_dir(session(None, "local[2]"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session(None, "yarn"), "x")
