@@ -11,6 +11,7 @@ from feedmill.functions import numbers
 from feedmill.operators.ordering import first_k
 
 MIN_CONTENT = 10
+FILE_ORDER = ("row_no", "source_key")
 PRICES = ("discounted_price", "actual_price")
 
 
@@ -40,10 +41,15 @@ def quality_filter(df: DataFrame) -> DataFrame:
     return df.filter(keep_condition())
 
 
-def dedup_reviews(df: DataFrame, key: str = "review_id", order: Sequence[str] = ("row_no",)) -> DataFrame:
-    """First row per key by ``order``; rows without a key count as one key. [ETL6]"""
+def dedup_reviews(df: DataFrame, key: str = "review_id", order: Sequence[str] = FILE_ORDER) -> DataFrame:
+    """First row per key by ``order``; rows without a key count as one key. [ETL6]
+
+    The file breaks ties between rows of equal number, so the survivor is the
+    same in every run; order columns the table lacks are left out.
+    """
     if key not in df.columns:
         return df
+    order = [c for c in order if c in df.columns]
     return first_k(df, key, [F.col(c) for c in order], 1, "_rank").drop("_rank")
 
 
@@ -62,7 +68,7 @@ def add_features(df: DataFrame) -> DataFrame:
     return df.withColumns(features)
 
 
-def clean_reviews(df: DataFrame, order: Sequence[str] = ("row_no",)) -> DataFrame:
+def clean_reviews(df: DataFrame, order: Sequence[str] = FILE_ORDER) -> DataFrame:
     """The whole job as one plan. [ETL13]"""
     return add_features(dedup_reviews(quality_filter(clean_numbers(df)), order=order))
 
@@ -97,6 +103,6 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(watch, F.count(F.lit(1)).alias("rows")), watch
 
 
-def run_etl(df: DataFrame, order: Sequence[str] = ("row_no",)) -> tuple[DataFrame, DataFrame]:
+def run_etl(df: DataFrame, order: Sequence[str] = FILE_ORDER) -> tuple[DataFrame, DataFrame]:
     """Cleaned table and its stage counters. [ETL13]"""
     return clean_reviews(df, order), stage_counters(df)

@@ -25,7 +25,10 @@ def sample_text(
     order: str = "row_no",
     n: int = 50,
 ) -> DataFrame:
-    """First ``n`` rows of each file, blanks dropped after the cut, joined. [NRM11]"""
+    """First ``n`` rows of each file, blanks dropped after the cut, joined. [NRM11]
+
+    To clean only what is sampled, cut the raw table with ``first_rows`` first.
+    """
     by = keys(by)
     kept = first_k(df.select(*by, order, text), by, [F.col(order)], n, "_rank")
     row = F.when(~tx.is_blank(F.col(text)), F.struct(F.col(order), F.col(text)))

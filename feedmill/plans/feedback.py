@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from feedmill.functions.keys import fits_inline
 from feedmill.functions.text import normalize_text
 from feedmill.operators import aggregation, dialogs, metrics, normalization, quality, segments, validation
-from feedmill.operators.ordering import first_k
+from feedmill.operators.ordering import first_rows
 from feedmill.schemas import NLP_TYPE, VALIDATION_TYPE
 from feedmill.sinks import writers
 from feedmill.sources import payloads
@@ -56,7 +56,7 @@ def review_files(rows: DataFrame, files: DataFrame, sample_n: int | None = SAMPL
     summary = validation.validation_summary(checked, "source_key", files)
     summary = summary.select("source_key", F.struct(*summary.columns[1:]).alias("validation"))
     # Cut to the sample before the costly cleaning.
-    sample = first_k(rows, "source_key", [F.col("row_no")], sample_n or SAMPLE_ROWS, "_rank")
+    sample = first_rows(rows, "source_key", "row_no", sample_n or SAMPLE_ROWS)
     texts = normalization.sample_text(normalization.normalize_column(sample), n=sample_n or SAMPLE_ROWS)
     if sample_n is None:
         parts = segments.segments_from_rows(normalization.normalize_column(rows).drop("review_content"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from feedmill.functions import text as tx
 from feedmill.operators import etl, normalization, rules, validation
+from feedmill.operators.ordering import first_rows
 from feedmill.plans.registry import query
 from feedmill.plans.views import (
     NL,
@@ -151,7 +152,7 @@ samples AS (SELECT source_key, coalesce(string_agg(norm, {NL} || {NL} || '---' |
 @query("normalized_sample", f"WITH {REVIEWS_SQL}, {SAMPLED} SELECT source_key, normalized_text FROM samples")
 def normalized_sample(spark, sf_dir):
     rows = reviews(spark, sf_dir).select("source_key", "row_no", "review_content")
-    first = normalization.first_k(rows, "source_key", [F.col("row_no")], 50, "rank")
+    first = first_rows(rows, "source_key", "row_no", 50)
     return normalization.sample_text(normalization.normalize_column(first))
 
 

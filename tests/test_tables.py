@@ -131,3 +131,15 @@ def test_batches(spark):
     sparse = segments.with_batch_id(rows, dense=False)
     for df in (dense, sparse):
         assert {r.batch_id: r["count"] for r in df.groupBy("batch_id").count().collect()} == {0: 25, 1: 25, 2: 10}
+
+
+def test_first_rows_equal_a_full_ranking(spark):
+    rows = spark.range(2000).selectExpr("if(id % 3 < 2, 'hot', 'k' || id % 7) as k", "(id * 31) % 2003 as o", "'t' || id as t")
+    want = ordering.first_k(rows, "k", [F.col("o")], 50, "rank").drop("rank")
+    got = ordering.first_rows(rows, "k", "o", 50)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_dedup_breaks_ties_by_file(spark):
+    rows = spark.createDataFrame([("r", 1, "b"), ("r", 1, "a"), ("r", 2, "0")], "review_id string, row_no int, source_key string")
+    assert [r.source_key for r in etl.dedup_reviews(rows).collect()] == ["a"]
