@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import mixing, quality, sharding
+from feedmill.llm import mixing, quality, sharding, simhash
 from feedmill.llm.common import table
 from feedmill.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -38,3 +38,11 @@ def op10_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", *[F.col(f"_q_{c}").alias(c) for c in counts], F.col("_base").alias("base_failed"), F.col("_kept").alias("kept")
     )
+
+
+@query("op6_simhash_pigeonring")
+def op6_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of each document and the smallest id of its group of near copies."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
