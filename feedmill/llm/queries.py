@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import mixing, quality, sharding, simhash
+from feedmill.llm import line_dedup, mixing, quality, sharding, simhash
 from feedmill.llm.common import table
 from feedmill.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -46,3 +46,11 @@ def op6_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op9_line_chunks")
+def op9_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without the line chunks that an earlier document or place has."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = line_dedup.dedup_lines(docs)
+    return cut.select("doc_id", "text", F.col("_removed").cast("long").alias("n_removed_lines"))
