@@ -167,9 +167,9 @@ def verdicts(seen: DataFrame, holdout: DataFrame, stratum: str, risk: float = RI
     cut = cut.select(F.struct("stratum").alias("_at"), F.col("cutoffs").alias("_cut"))
     joined = seen.join(cut, F.struct(seen[stratum].alias("stratum")) == F.col("_at"), "left")
     broken = _breaks(lambda rule: F.col(f"_cut.{rule}"))
-    return joined.withColumns({"_base": base_failed(), "_broken": broken}).select(
-        *seen.columns, "_base", (~F.col("_base") & ~F.col("_broken")).alias("_kept")
-    )
+    # One expression over both sides: a filter on it is not pushed down in parts, which would count twice.
+    kept = F.when(F.col("_base") | F.col("_broken"), False).otherwise(True)
+    return joined.withColumns({"_base": base_failed(), "_broken": broken}).select(*seen.columns, "_base", kept.alias("_kept"))
 
 
 def judge(

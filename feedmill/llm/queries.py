@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import line_dedup, mixing, quality, sharding, simhash
+from feedmill.llm import line_dedup, mixing, pieces, quality, sharding, simhash
 from feedmill.llm.common import table
 from feedmill.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -54,3 +54,18 @@ def op9_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = line_dedup.dedup_lines(docs)
     return cut.select("doc_id", "text", F.col("_removed").cast("long").alias("n_removed_lines"))
+
+
+#: Where the public piece table lies; never part of this repository.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op3_piece_lattice")
+def op3_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The piece ids of each document, and whether they decode to its text again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pieces.encode(docs, PIECES)
+    return done.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
