@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import line_dedup, mixing, pieces, quality, sharding, simhash
+from feedmill.llm import chat, line_dedup, mixing, pieces, quality, sharding, simhash
 from feedmill.llm.common import table
 from feedmill.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -69,3 +69,34 @@ def op3_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
+
+
+@query(
+    "op2_snapshot_collapse",
+    """
+    with turns as (
+        select conv_id, row_number() over (partition by conv_id order by turn nulls last, role nulls first, text nulls first) pos,
+               role, text
+        from (select distinct conv_id, turn, role, text from conversations)
+    ),
+    talks as (
+        select conv_id, count(*) n_turns, list({'r': role, 't': text} order by pos) said from turns group by conv_id
+    ),
+    talk_prefixes as (
+        select distinct k, said[1:k] said from (select said, unnest(range(1, n_turns)) k from talks)
+    ),
+    best as (
+        select min(conv_id) conv_id, any_value(n_turns) n_turns, count(*) n_equal, said from talks t
+        where not exists (select 1 from talk_prefixes p where p.k = t.n_turns and p.said = t.said)
+        group by said
+    )
+    select t.conv_id, (t.pos - 1) // 256 part, b.n_turns, b.n_equal,
+           string_agg('<|im_start|>' || replace(coalesce(role, 'unknown'), '<|', '< |') || chr(10)
+               || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10), '' order by pos) as text
+    from turns t join best b on t.conv_id is not distinct from b.conv_id
+    group by t.conv_id, (t.pos - 1) // 256, b.n_turns, b.n_equal
+    """,
+)
+def op2_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chat texts of all conversations that no other conversation contains."""
+    return chat.render(table(spark, sf_dir, "conversations"))
