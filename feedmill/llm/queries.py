@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import chat, line_dedup, mixing, pieces, quality, sharding, simhash
+from feedmill.llm import chat, line_dedup, mixing, pieces, pii, quality, sharding, simhash
 from feedmill.llm.common import table
 from feedmill.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -100,3 +100,11 @@ def op3_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chat texts of all conversations that no other conversation contains."""
     return chat.render(table(spark, sf_dir, "conversations"))
+
+
+@query("op4_feistel_pseudonyms")
+def op4_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with pseudonyms for its personal values. A deployment passes its own key."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pii.pseudonymize(docs, key="public test key")
+    return done.select("doc_id", "text", F.size("_values").cast("long").alias("n_values"))
