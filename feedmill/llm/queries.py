@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import chat, line_dedup, mixing, pieces, pii, quality, sharding, simhash
+from feedmill.llm import chat, embeddings, line_dedup, mixing, pieces, pii, quality, sharding, simhash
 from feedmill.llm.common import table
 from feedmill.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -108,3 +108,10 @@ def op4_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = pii.pseudonymize(docs, key="public test key")
     return done.select("doc_id", "text", F.size("_values").cast("long").alias("n_values"))
+
+
+@query("op5_multi_index")
+def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of each vector at a cosine of 0.9, and whether it is the one that its group keeps."""
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
