@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.llm import chat, embeddings, line_dedup, mixing, pieces, pii, quality, sharding, simhash
+from feedmill.llm import (
+    chat, embeddings, line_dedup, mixing, pages as page_text, pieces, pii, quality, sharding, simhash,
+)
 from feedmill.llm.common import table
 from feedmill.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -115,3 +117,9 @@ def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of each vector at a cosine of 0.9, and whether it is the one that its group keeps."""
     found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+@query("op7_dom_marginals")
+def op7_dom_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    return page_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
