@@ -128,7 +128,15 @@ def _step(col: Column, needed: Callable[[Column], Column], step: Callable[[Colum
 
 
 def strip_html(col: Column) -> Column:
-    return _step(col, lambda t: _has(t, "<"), lambda t: F.regexp_replace(t, HTML_PATTERN, " "))
+    """Tags become a blank. Nothing behind the last ``>`` can match, and a search
+    there would run to the end of the text from every ``<``."""
+
+    def strip_tags(text: Column) -> Column:
+        tail = F.substring_index(text, ">", -1)
+        head = F.substr(text, F.lit(1), F.length(text) - F.length(tail))
+        return F.concat(F.regexp_replace(head, HTML_PATTERN, " "), tail)
+
+    return _step(col, lambda t: _has(t, "<") & _has(t, ">"), strip_tags)
 
 
 def strip_urls(col: Column) -> Column:

@@ -26,7 +26,8 @@ from feedmill.schemas import ENTITIES_TYPE, ITEMS_TYPE, NLP_TYPE, SCORES_TYPE, S
 SCORES = ("Positive", "Negative", "Neutral", "Mixed")
 TOP_ENTITIES = 10
 TOP_PHRASES = 30
-_POSITION_BITS = 24
+# Fixed value: Spark's arrays have fewer places than this.
+_PLACES = 1 << 31
 # Scores are summed as decimals: the sum does not depend on the order of rows.
 _SCORE_TYPE = "decimal(18,12)"
 
@@ -34,10 +35,11 @@ _SCORE_TYPE = "decimal(18,12)"
 def first_seen(seg_no: str, position: str) -> Column:
     """Segment number and place inside it as one ordered number.
 
-    Places past 2^24 share the last value; ranking falls back to the text there.
+    A decimal holds every pair of a long and an array place, and unlike a
+    struct it keeps the aggregate in the hash table.
     """
-    place = F.least(F.col(position).cast("bigint"), F.lit((1 << _POSITION_BITS) - 1))
-    return F.shiftleft(F.col(seg_no).cast("bigint"), _POSITION_BITS) + place
+    number = F.col(seg_no).cast("decimal(20,0)") * F.lit(_PLACES).cast("decimal(10,0)") + F.col(position).cast("decimal(10,0)")
+    return number.cast("decimal(38,0)")
 
 
 def _ordered(cols: list[str], order: Column) -> Column:
@@ -210,6 +212,8 @@ def nlp_results(
     sentiment_scorer=None,
     entity_extractor=None,
     phrase_extractor=None,
+    top_entities: int = TOP_ENTITIES,
+    top_phrases: int = TOP_PHRASES,
 ) -> DataFrame:
     """One nested ``nlp`` result per file in ``files``. [NLP11, NLP12]
 
@@ -217,7 +221,8 @@ def nlp_results(
     rows, one grouped count serves all results, and only the short top lists of
     a file are brought together. A file without segments was blank: it is
     marked skipped and has empty results. ``total_documents`` counts the
-    segments sent, failed ones included.
+    segments sent, failed ones included. ``top_entities`` per type and
+    ``top_phrases`` per file are listed.
     """
     annotated = annotate(segments, sentiment_scorer, entity_extractor, phrase_extractor, default_language)
     counted = (
@@ -228,7 +233,7 @@ def nlp_results(
     # Labels, types and languages are groups of one row; entity texts of a type
     # and phrases of a file are the groups that get cut.
     order = [F.desc("cnt"), F.asc("seen"), F.asc("text")]
-    top = first_k(counted, [by, "kind", "name"], order, TOP_PHRASES, "rank")
+    top = first_k(counted, [by, "kind", "name"], order, max(top_entities, top_phrases), "rank")
 
     def gather(kind: str, *cols: str, keep: Column | None = None) -> Column:
         """Rows of one kind as structs, sorted by their first column."""
@@ -248,8 +253,8 @@ def nlp_results(
         F.coalesce(analysed, F.lit(0)).alias("analysed"),
         *[F.round(F.sum(only("label", s)).cast("double") / analysed, 4).alias(s) for s in SCORES],
         gather("type", "seen", "name", "cnt").alias("types"),
-        gather("entity", "rank", "name", "text", "cnt", keep=F.col("rank") <= TOP_ENTITIES).alias("entities"),
-        gather("phrase", "rank", "text", "cnt").alias("phrases"),
+        gather("entity", "rank", "name", "text", "cnt", keep=F.col("rank") <= top_entities).alias("entities"),
+        gather("phrase", "rank", "text", "cnt", keep=F.col("rank") <= top_phrases).alias("phrases"),
     )
 
     def counts(rows: str) -> Column:

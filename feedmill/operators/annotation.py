@@ -37,7 +37,7 @@ NEGATIVE_WORDS = (
 
 #: Entity type -> pattern. Plain classes only: no look-around, no nested loops.
 ENTITY_PATTERNS = {
-    "EMAIL": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]*[A-Za-z0-9]",
+    "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]*[A-Za-z0-9]",
     "URL": r"https?://[A-Za-z0-9./?=&_%#:+~-]+",
     "IP": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
     "DATE": r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
@@ -47,6 +47,9 @@ ENTITY_PATTERNS = {
 
 #: Text every match of a default pattern holds.
 ENTITY_MARKS = {"EMAIL": "@", "URL": "://"}
+#: The same matches by a search that takes every run of characters at once and
+#: is linear in it; runs without the mark are dropped afterwards.
+ENTITY_SCANS = {"EMAIL": r"[A-Za-z0-9._%+-]++(?:@[A-Za-z0-9.-]*[A-Za-z0-9])?"}
 
 #: Words that end a key phrase.
 STOP_WORDS = tuple(
@@ -195,10 +198,14 @@ def entities_of(col: Column, patterns: dict[str, str] = ENTITY_PATTERNS) -> Colu
     no_texts = F.expr("cast(array() as array<string>)")
 
     def of_type(name: str, pattern: str) -> Column:
-        texts = F.regexp_extract_all(col, F.lit(pattern), F.lit(0))
-        if pattern == ENTITY_PATTERNS.get(name) and name in ENTITY_MARKS:
+        mark = ENTITY_MARKS.get(name) if pattern == ENTITY_PATTERNS.get(name) else None
+        scan = ENTITY_SCANS.get(name, pattern) if mark else pattern
+        texts = F.regexp_extract_all(col, F.lit(scan), F.lit(0))
+        if mark:
+            if scan != pattern:
+                texts = F.filter(texts, lambda t: F.contains(t, F.lit(mark)))
             # Texts without the mark skip a pattern that is slow to fail.
-            texts = F.when(F.contains(col, F.lit(ENTITY_MARKS[name])), texts).otherwise(no_texts)
+            texts = F.when(F.contains(col, F.lit(mark)), texts).otherwise(no_texts)
         return F.transform(texts, lambda t: F.struct(F.lit(name).alias("type"), t.alias("text")))
 
     return F.concat(*[of_type(name, pattern) for name, pattern in patterns.items()])
@@ -232,13 +239,20 @@ def annotate_key_phrases(segments: DataFrame, extractor: Callable | None = None,
 
 
 def score_batches(
-    df: DataFrame, fn: Callable[[list], list], output: str, text: str = "segment", batch: int = BATCH_SIZE
+    df: DataFrame,
+    fn: Callable[[list], list],
+    output: str,
+    text: str = "segment",
+    batch: int = BATCH_SIZE,
+    retry_rows: bool = False,
 ) -> DataFrame:
     """Run a user's function over lists of at most ``batch`` texts.
 
     ``fn`` returns one value per text (a tuple if ``output`` names several
     columns, dicts for structs). A batch that raises keeps its rows: the columns
     are null and ``error`` holds the reason, so aggregates can leave them out.
+    With ``retry_rows`` the texts of such a batch are tried one by one, so that
+    a bad text costs only itself.
     Only the text column leaves the JVM. The call counts as non-deterministic,
     so that no optimizer rule runs a costly model twice for one row.
     """
@@ -263,7 +277,10 @@ def score_batches(
             texts = column.to_pylist()
             rows: list[dict] = []
             for start in range(0, len(texts), batch):
-                rows += score(texts[start : start + batch])
+                part = score(texts[start : start + batch])
+                if retry_rows and len(part) > 1 and "error" in part[0]:
+                    part = [row for text in texts[start : start + batch] for row in score([text])]
+                rows += part
             yield pa.array(rows, type=arrow_type)
 
     run.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}

@@ -190,3 +190,14 @@ def test_golden_score(spark):
     rows = spark.range(1465).selectExpr("'f' as source_key", "case when id < 931 then 'a text that is fine' else 'x' end as t")
     got = validation.validation_summary(validation.validate(rows, "t")).collect()[0]
     assert (got.valid_rows, got.invalid_rows, got.quality_score) == (931, 534, 63.55)
+
+
+def test_tags_without_an_end_are_linear(spark):
+    """Nothing behind the last closing bracket is searched."""
+    import time
+
+    df = spark.range(1).selectExpr("repeat('<', 1000000) as a", "concat('<b>x</b> ', repeat('<', 1000000)) as b")
+    start = time.perf_counter()
+    row = df.select(*[tx.strip_html(F.col(c)).alias(c) for c in ("a", "b")]).collect()[0]
+    assert time.perf_counter() - start < 5
+    assert row.a == "<" * 1000000 and row.b == " x  " + "<" * 1000000
