@@ -91,9 +91,9 @@ def image_format(key: Column) -> Column:
     return _lookup(F.coalesce(extension(key), F.lit("jpeg")), IMAGE_FORMATS, "jpeg")
 
 
-def fits_inline(length: Column) -> Column:
+def fits_inline(length: Column, limit: int = IMAGE_BYTE_LIMIT) -> Column:
     """True for images small enough for a direct call; unknown size is not."""
-    return F.coalesce(length <= IMAGE_BYTE_LIMIT, F.lit(False))
+    return F.coalesce(length <= limit, F.lit(False))
 
 
 def normalized_key(key: Column) -> Column:

@@ -23,11 +23,18 @@ def _with_missing(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     )
 
 
-def build_messages(df: DataFrame) -> DataFrame:
-    """Add ``messages`` by ``data_type``. [PRM1-PRM6]
+def build_messages(
+    df: DataFrame,
+    frames: prompts.Frames = prompts.Frames(),
+    limits: prompts.Limits = prompts.Limits(),
+    inline_bytes: int = keys.IMAGE_BYTE_LIMIT,
+) -> DataFrame:
+    """Add ``messages`` by ``data_type``, ``left_out_chars`` and ``image_inline``. [PRM1-PRM6]
 
     Reads ``source_key, data_type, nlp, normalized_text, extracted_text,
     transcript, survey_summary, content, length``; missing columns count as null.
+    ``left_out_chars`` is what the caller's limits keep from the prompt;
+    ``image_inline`` says whether the image itself is in it.
     """
     texts = ("normalized_text", "extracted_text", "transcript", "survey_summary")
     given = df.columns
@@ -35,26 +42,37 @@ def build_messages(df: DataFrame) -> DataFrame:
         df, {**{t: "string" for t in texts}, "content": "binary", "length": "bigint", "nlp": NLP_TYPE}
     )
     c = F.col
-    image_text = prompts.first_text(c("extracted_text"), c("normalized_text"))
-    images = prompts.image_messages(
-        image_text, c("content"), keys.image_format(c("source_key")), keys.fits_inline(c("length"))
+    kind = c("data_type")
+    body = (
+        F.when(kind == "text_reviews", F.coalesce("normalized_text", F.lit("")))
+        .when(kind == "images", prompts.first_text(c("extracted_text"), c("normalized_text")))
+        .when(kind == "audio", prompts.first_text(c("transcript"), c("normalized_text")))
+        .when(kind == "surveys", prompts.first_text(c("survey_summary"), c("normalized_text")))
+        .otherwise(prompts.first_text(c("normalized_text")))
     )
-    text = (
-        F.when(c("data_type") == "text_reviews", prompts.review_prompt(c("source_key"), c("nlp"), c("normalized_text")))
-        .when(c("data_type") == "audio", prompts.audio_prompt(prompts.first_text(c("transcript"), c("normalized_text"))))
-        .when(c("data_type") == "surveys", prompts.survey_prompt(prompts.first_text(c("survey_summary"), c("normalized_text"))))
-        .otherwise(prompts.generic_prompt(prompts.first_text(c("normalized_text"))))
-    )
-    messages = F.when(c("data_type") == "images", images).otherwise(prompts.text_messages(text))
-    return full.withColumn("messages", messages).select(*given, "messages")
+    inline = (kind == "images") & keys.fits_inline(c("length"), inline_bytes) & c("content").isNotNull()
+    images = prompts.image_messages(body, c("content"), keys.image_format(c("source_key")), inline, frames, limits)
+    text = F.when(kind == "text_reviews", prompts.review_prompt(c("source_key"), c("nlp"), body, frames, limits))
+    for name, frame in (("audio", frames.audio), ("surveys", frames.survey)):
+        text = text.when(kind == name, prompts.text_prompt(frame, body, limits))
+    text = text.otherwise(prompts.text_prompt(frames.generic, body, limits))
+    messages = F.when(kind == "images", images).otherwise(prompts.text_messages(text))
+    return full.withColumns(
+        {
+            "messages": messages,
+            "left_out_chars": prompts.left_out(body, limits).cast("bigint"),
+            "image_inline": F.coalesce(inline, F.lit(False)),
+        }
+    ).select(*given, "messages", "left_out_chars", "image_inline")
 
 
 def call_model(df: DataFrame, fn: Callable[[list[str]], list], batch: int = 25) -> DataFrame:
     """Send ``request`` bodies to the user's ``fn`` and add ``response`` and ``error``. [PRM8]
 
-    A failed batch keeps its rows with an ``error`` and no response.
+    A request that fails keeps its row with an ``error`` and no response; the
+    others of its batch are sent again one by one.
     """
-    return score_batches(df, fn, "response string", text="request", batch=batch)
+    return score_batches(df, fn, "response string", text="request", batch=batch, retry_rows=True)
 
 
 def parse_model_response(df: DataFrame, json_col: str = "response") -> DataFrame:

@@ -13,18 +13,14 @@ def with_data_type(df: DataFrame, key_col: str = "source_key") -> DataFrame:
     return df.withColumn("data_type", keys.data_type(F.col(key_col)))
 
 
-def route(df: DataFrame) -> dict[str, DataFrame]:
-    """One table per data type, and ``dead_letter`` for the unknown ones. [RT2]
+def route(df: DataFrame) -> DataFrame:
+    """The rows with ``data_type`` and, for unknown types, an ``error``, in one pass. [RT2]
 
-    Each table is a filter on ``data_type``; over a table stored by that column
-    it reads only its own folders.
+    Store it by ``data_type`` and a branch reads only its own folder;
+    ``split_dead_letters`` parts the errors.
     """
     routed = df if "data_type" in df.columns else with_data_type(df)
-    tables = {name: routed.filter(F.col("data_type") == name) for name in keys.DATA_TYPES.values()}
-    tables["dead_letter"] = routed.filter(F.col("data_type") == "unknown").withColumn(
-        "error", F.lit("unknown data type")
-    )
-    return tables
+    return routed.withColumn("error", F.when(F.col("data_type") == "unknown", F.lit("unknown data type")))
 
 
 def route_upload(df: DataFrame, filename: str = "filename") -> DataFrame:

@@ -129,12 +129,7 @@ def objects(spark, sf_dir):
   CASE WHEN data_type = 'unknown' THEN 'unknown data type' END AS error FROM o""",
 )
 def route_objects(spark, sf_dir):
-    tables = routing.route(objects(spark, sf_dir))
-    routed = None
-    for name, rows in tables.items():
-        rows = rows if name == "dead_letter" else rows.withColumn("error", F.lit(None).cast("string"))
-        routed = rows if routed is None else routed.unionByName(rows)
-    return routed.select("page_id", "source_key", "data_type", "error")
+    return routing.route(objects(spark, sf_dir)).select("page_id", "source_key", "data_type", "error")
 
 
 @query(
@@ -205,14 +200,25 @@ _A, _B = prompts.AUDIO_FRAME.split("%s")
 
 @query(
     "audio_prompt",
-    f"SELECT {CALL_KEY} AS source_key, {quote(_A)} || left(text, 5000) || {quote(_B)} AS prompt FROM conversations",
+    f"SELECT {CALL_KEY} AS source_key, {quote(_A)} || text || {quote(_B)} AS prompt FROM conversations",
 )
 def audio_prompt(spark, sf_dir):
     built = dialogs.build_messages(calls(spark, sf_dir))
     return built.select("source_key", F.col("messages")[0]["content"][0]["text"].alias("prompt"))
 
 
-def _cut(frame: str, limit: str = "left(text, 5000)") -> str:
+@query(
+    "audio_prompt_cut",
+    f"""SELECT {CALL_KEY} AS source_key, {quote(_A)} || left(text, 200) || {quote(_B)} AS prompt,
+  greatest(length(text) - 200, 0) AS left_out_chars FROM conversations""",
+)
+def audio_prompt_cut(spark, sf_dir):
+    """A caller's own limit, and what it leaves out."""
+    built = dialogs.build_messages(calls(spark, sf_dir), limits=prompts.Limits(text_chars=200))
+    return built.select("source_key", F.col("messages")[0]["content"][0]["text"].alias("prompt"), "left_out_chars")
+
+
+def _cut(frame: str, limit: str = "text") -> str:
     before, after = frame.split("%s")
     return f"{quote(before)} || {limit} || {quote(after)}"
 
@@ -262,14 +268,16 @@ def followup(spark, sf_dir):
     )
 
 
-def echo_model():
-    """A stand-in model: answers with the size of the last message."""
+def echo_model(bad: str | None = None):
+    """A stand-in model: answers with the size of the last message; a call that holds ``bad`` fails as a whole."""
 
     def answer(bodies: list[str]) -> list[str]:
         out = []
         for body in bodies:
             messages = json.loads(body)["messages"]
             text = messages[-1]["content"][-1]["text"]
+            if bad is not None and bad in text:
+                raise ValueError("bad request")
             reply = {
                 "output": {"message": {"content": [{"text": f"turns={len(messages)}"}, {"text": f"chars={len(text)}"}]}},
                 "usage": {"inputTokens": len(text)},
@@ -280,7 +288,18 @@ def echo_model():
     return answer
 
 
-_PROMPT_SIZE = f"(least(length(text), 5000) + {len(_A) + len(_B)})"
+_PROMPT_SIZE = f"(length(text) + {len(_A) + len(_B)})"
+
+
+@query(
+    "model_batch_failing",
+    f"""SELECT {CALL_KEY} AS source_key, contains(text, 'Th') AS failed,
+  CASE WHEN NOT contains(text, 'Th') THEN 'turns=1' || {NL} || 'chars=' || {_PROMPT_SIZE} END AS insights FROM conversations""",
+)
+def model_batch_failing(spark, sf_dir):
+    """Requests that fail cost only themselves, whatever else is in their batch."""
+    answered = dialogs.run_dialog(dialogs.build_messages(calls(spark, sf_dir)), echo_model("Th"))
+    return answered.select("source_key", F.col("error").isNotNull().alias("failed"), "insights")
 
 
 @query(

@@ -284,19 +284,19 @@ _PROMPT_PARTS = (
     "coalesce(label_line, '')",
     "coalesce(entity_lines, '  (no entities detected)')",
     "coalesce(phrase_line, '(none)')",
-    "left(coalesce(normalized_text, ''), 3000)",
+    "coalesce(normalized_text, '')",
 )
 _PROMPT = quote(_FRAME[0]) + "".join(f" || {v} || {quote(p)}" for v, p in zip(_PROMPT_PARTS, _FRAME[1:]))
 
 PROMPT_SQL = f"""label_lines AS (SELECT source_key, string_agg(label || ': ' || cnt, ', ' ORDER BY seen) AS label_line
   FROM per_label GROUP BY 1),
 type_lines AS (SELECT source_key, type, min(seen) AS type_seen,
-    string_agg('"' || text || '"', ', ' ORDER BY rank) FILTER (WHERE rank <= 5) AS line FROM tops GROUP BY 1, 2),
+    string_agg('"' || text || '"', ', ' ORDER BY rank) FILTER (WHERE rank <= 10) AS line FROM tops GROUP BY 1, 2),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY source_key ORDER BY type_seen) AS type_no FROM type_lines),
 entity_text AS (SELECT source_key, string_agg('  - ' || type || ': ' || line, {NL} ORDER BY type_seen) AS entity_lines
-  FROM numbered WHERE type_no <= 5 GROUP BY 1),
+  FROM numbered GROUP BY 1),
 phrase_text AS (SELECT source_key, string_agg('"' || text || '"', ', ' ORDER BY rank) AS phrase_line
-  FROM ptops WHERE rank <= 15 GROUP BY 1)
+  FROM ptops WHERE rank <= 30 GROUP BY 1)
 SELECT f.source_key, {_PROMPT} AS prompt FROM files f LEFT JOIN dominant USING (source_key)
   LEFT JOIN label_lines USING (source_key) LEFT JOIN entity_text USING (source_key)
   LEFT JOIN phrase_text USING (source_key) LEFT JOIN samples USING (source_key)"""

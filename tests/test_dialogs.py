@@ -20,7 +20,10 @@ def test_review_prompt_fallbacks(spark):
     text = dialogs.build_messages(df).collect()[0].messages[0].content[0].text
     for part in ("key=k", "UNKNOWN", "  (no entities detected)", "(none)"):
         assert part in text
-    assert "x" * 3000 in text and "x" * 3001 not in text
+    assert "x" * 4000 in text
+    short = dialogs.build_messages(df, limits=prompts.Limits(text_chars=3000)).collect()[0]
+    assert "x" * 3000 in short.messages[0].content[0].text and "x" * 3001 not in short.messages[0].content[0].text
+    assert short.left_out_chars == 1000
 
 
 def test_review_prompt_limits(spark):
@@ -34,9 +37,12 @@ def test_review_prompt_limits(spark):
         f"'counts_by_type', cast(map() as map<string,bigint>), 'top_entities_by_type', map({types})), "
         f"'key_phrases', transform(sequence(1, 20), i -> {entry.format('p')})) as nlp",
     )
-    text = df.select(prompts.review_prompt(F.col("source_key"), F.col("nlp"), F.lit("s"))).collect()[0][0]
+    whole = df.select(prompts.review_prompt(F.col("source_key"), F.col("nlp"), F.lit("s"))).collect()[0][0]
+    assert '"e7"' in whole and "T6" in whole and '"p20"' in whole
+    limits = prompts.Limits(types=5, entities=5, phrases=15)
+    text = df.select(prompts.review_prompt(F.col("source_key"), F.col("nlp"), F.lit("s"), limits=limits)).collect()[0][0]
     assert "POSITIVE: 2, MIXED: 1" in text
-    assert '  - T4: "e1", "e2", "e3", "e4", "e5"\n\n' in text and "T5" not in text and '"e6"' not in text
+    assert '  - T4: "e1", "e2", "e3", "e4", "e5"\n' in text and "T5" not in text and '"e6"' not in text
     assert '"p15"' in text and '"p16"' not in text
 
 
@@ -244,7 +250,7 @@ def test_flow_from_files(spark, tmp_path):
     line = ",".join(cells.get(c, "") for c in REVIEW_COLUMNS)
     (tmp_path / "text-reviews" / "r.csv").write_text(",".join(REVIEW_COLUMNS) + "\n" + line + "\n")
     (tmp_path / "surveys" / "s.txt").write_text("I love it")
-    rows = readers.read_reviews(spark, str(tmp_path / "text-reviews"))
+    rows = readers.read_reviews(spark, str(tmp_path / "text-reviews"), multi_line=True)
     surveys = readers.read_text_documents(spark, str(tmp_path / "surveys"))
     out = feedback.run_feedback(feedback.branches(rows, surveys=surveys), str(tmp_path / "w"))
     got = {r.source_key: r.score_breakdown.final_score for r in out["reports"].collect()}
