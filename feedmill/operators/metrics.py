@@ -63,10 +63,12 @@ def _emit(df: DataFrame, points: Column, ts: str = "ts") -> DataFrame:
 
 
 def metric_points(state: DataFrame) -> DataFrame:
-    """0..n points per finished file. [MET1, MET2]
+    """Points of finished and failed files. [MET1, MET2]
 
-    Reads ``ts, data_type, final_quality_score, validation, nlp, input_tokens``.
-    Each metric is emitted once, with its dimensions; ``metric_rollup`` adds the
+    Reads ``ts, data_type, pipeline_status, final_quality_score, validation, nlp,
+    input_tokens``. A file whose status is not SUCCEEDED gives a failure point
+    and nothing else; a table without the column holds finished files only. Each
+    metric is emitted once, with its dimensions; ``metric_rollup`` adds the
     totals without dimensions.
     """
     kind = F.coalesce("data_type", F.lit("unknown"))
@@ -75,6 +77,9 @@ def metric_points(state: DataFrame) -> DataFrame:
     invalid = safe_double(c("validation.invalid_rows"))
     tokens = safe_double(c("input_tokens"))
     has_validation = c("validation").isNotNull()
+    done = F.lit(True)
+    if "pipeline_status" in state.columns:
+        done = F.coalesce(c("pipeline_status") == "SUCCEEDED", F.lit(False))
     single = F.array(
         _point(SUCCEEDED, F.lit(1.0), "Count", dims),
         F.when(
@@ -93,7 +98,26 @@ def metric_points(state: DataFrame) -> DataFrame:
             SENTIMENT_COUNT, e["value"], "Count", _dims(DataType=kind, Sentiment=e["key"])
         ),
     )
-    return _emit(state, F.concat(F.array_compact(single), labels))
+    failed = F.array(_point(FAILED, F.lit(1.0), "Count", dims))
+    return _emit(state, F.when(done, F.concat(F.array_compact(single), labels)).otherwise(failed))
+
+
+def notification_points(notices: DataFrame) -> DataFrame:
+    """A start per object that enters the flow, a failure per bad record. [MET3]
+
+    Reads ``ts, data_type, status`` as ``parse_notifications`` gives them;
+    skipped objects and records of unknown shape give no point.
+    """
+    dims = _dims(DataType=F.coalesce("data_type", F.lit("unknown")))
+    point = F.when(F.col("status") == "started", _point(STARTED, F.lit(1.0), "Count", dims)).when(
+        F.col("status") == "failed", _point(FAILED, F.lit(1.0), "Count", dims)
+    )
+    return _emit(notices.filter(F.col("status").isin("started", "failed")), F.array(point))
+
+
+def _exact_sum(value: str) -> Column:
+    """Sum that does not depend on the order of rows."""
+    return F.sum(F.col(value).cast("decimal(28,8)"))
 
 
 def validation_points(summary: DataFrame) -> DataFrame:
@@ -162,8 +186,8 @@ def metric_rollup(points: DataFrame) -> DataFrame:
         .agg(
             F.grouping("data_type").alias("is_total"),
             F.count("value").alias("points"),
-            F.sum("value").alias("total"),
-            F.avg("value").alias("average"),
+            _exact_sum("value").cast("double").alias("total"),
+            (_exact_sum("value").cast("double") / F.count("value")).alias("average"),
         )
         .filter("is_total = 1 or data_type is not null")
         .select("metric", "data_type", "is_total", "points", "total", "average")
@@ -177,7 +201,8 @@ def dashboard_series(
     return (
         points.filter(F.col("metric").isin(*metrics))
         .groupBy(F.window("ts", period).alias("_w"), "metric")
-        .agg(F.count("value").alias("points"), F.sum("value").alias("total"), F.avg("value").alias("average"))
+        .agg(F.count("value").alias("points"), _exact_sum("value").cast("double").alias("total"))
+        .withColumn("average", F.col("total") / F.col("points"))
         .select(F.col("_w.start").alias("window_start"), "metric", "points", "total", "average")
     )
 
@@ -231,20 +256,33 @@ def sentiment_over_time(rows: DataFrame, period: str = "1 day", ts: str = "ts")
     return counts.withColumn("share", F.round(F.col("cnt") / total, 4))
 
 
-def run_summary(state: DataFrame, points: DataFrame) -> DataFrame:
-    """Files per type with their outcome, and the points they published. [MET11]"""
-    files = state.groupBy("data_type", "pipeline_status").agg(
+def run_summary(state: DataFrame, points: DataFrame, notices: DataFrame | None = None) -> DataFrame:
+    """Files per type and outcome with the points they published. [MET11]
+
+    Files without a type count as ``unknown``, as their points do. ``notices``
+    (``data_type, status``) adds rows for objects that were started and skipped.
+    """
+    kind = F.coalesce("data_type", F.lit("unknown"))
+    files = state.groupBy(kind.alias("data_type"), "pipeline_status").agg(
         F.count(F.lit(1)).alias("files"), F.max("ts").alias("completed_at")
     )
-    published = points.groupBy(F.col("dims")["DataType"].alias("data_type")).agg(
+    if notices is not None:
+        seen = notices.filter(F.col("status").isin("started", "skipped"))
+        files = files.unionByName(
+            seen.groupBy(kind.alias("data_type"), F.upper("status").alias("pipeline_status")).agg(
+                F.count(F.lit(1)).alias("files"), F.lit(None).cast("timestamp").alias("completed_at")
+            )
+        )
+    # A failed file's only point is its failure.
+    outcome = F.when(F.col("metric") == FAILED, F.lit("FAILED")).otherwise(F.lit("SUCCEEDED"))
+    published = points.groupBy(F.col("dims")["DataType"].alias("_kind"), outcome.alias("_outcome")).agg(
         F.count(F.lit(1)).alias("metrics_published")
     )
-    return files.join(published, "data_type", "left").select(
+    same = (F.col("data_type") == F.col("_kind")) & (F.col("pipeline_status") == F.col("_outcome"))
+    return files.join(published, same, "left").select(
         "data_type",
         "pipeline_status",
         "files",
-        F.when(F.col("pipeline_status") == "SUCCEEDED", F.coalesce("metrics_published", F.lit(0)))
-        .otherwise(F.lit(0))
-        .alias("metrics_published"),
+        F.coalesce("metrics_published", F.lit(0)).alias("metrics_published"),
         "completed_at",
     )

@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from feedmill.operators import annotation, metrics, validation
 from feedmill.operators.routing import with_data_type
 from feedmill.plans.nlp_queries import sentiment_cte
-from feedmill.plans.registry import query
+from feedmill.plans.registry import QUERIES, query
 from feedmill.plans.table_queries import CHECKED
-from feedmill.plans.views import POINTS_SQL, event_points, reviews, table
+from feedmill.plans.views import POINTS_SQL, event_points, reviews, spread, table
 from feedmill.schemas import NLP_TYPE, VALIDATION_TYPE
 from feedmill.session import shared_dir
-from feedmill.sources.readers import is_small
 from feedmill.streaming import streams
 
 
@@ -51,7 +50,8 @@ def states(spark, sf_dir):
 
 
 _STATE_POINTS = """s AS (SELECT *, CASE WHEN event_type <> 'signup' THEN event_type ELSE 'unknown' END AS k FROM events),
-p AS (SELECT ts, k, 'PipelineExecutionsSucceeded' AS metric, 1.0::DOUBLE AS value, NULL AS sentiment FROM s
+p AS (SELECT ts, k, CASE WHEN event_type = 'error' THEN 'PipelineExecutionsFailed' ELSE 'PipelineExecutionsSucceeded' END
+    AS metric, 1.0::DOUBLE AS value, NULL AS sentiment FROM s
   UNION ALL SELECT ts, k, 'FinalDataQualityScore', CASE WHEN event_type = 'view' THEN 0.0::DOUBLE ELSE value END, NULL
     FROM s WHERE event_type <> 'error'
   UNION ALL SELECT ts, k, 'ValidationQualityScore', 50.0::DOUBLE, NULL FROM s WHERE event_type IN ('click', 'view')
@@ -84,12 +84,15 @@ def metric_points(spark, sf_dir):
 
 @query(
     "run_summary",
-    f"""WITH {_STATE_POINTS}, files AS (SELECT CASE WHEN event_type <> 'signup' THEN event_type END AS data_type,
-    CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCEEDED' END AS pipeline_status, count(*) AS files,
-    strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS completed FROM events GROUP BY 1, 2),
-n AS (SELECT k, count(*) AS c FROM p GROUP BY 1)
-SELECT data_type, pipeline_status, files, CASE WHEN pipeline_status = 'SUCCEEDED' THEN coalesce(c, 0) ELSE 0 END
-  AS metrics_published, completed FROM files LEFT JOIN n ON k = data_type""",
+    """WITH per_file AS (SELECT ts, CASE WHEN event_type = 'signup' THEN 'unknown' ELSE event_type END AS data_type,
+    CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCEEDED' END AS pipeline_status,
+    CASE event_type WHEN 'error' THEN 1
+      WHEN 'click' THEN 3 + (event_id % 4 > 0)::INTEGER + (event_id % 3 > 0)::INTEGER
+      WHEN 'view' THEN 3 + (event_id % 4 > 0)::INTEGER
+      WHEN 'purchase' THEN 4 + 2 * (event_id % 3 > 0)::INTEGER
+      ELSE 2 END AS points FROM events)
+SELECT data_type, pipeline_status, count(*) AS files, sum(points)::BIGINT AS metrics_published,
+  strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS completed FROM per_file GROUP BY 1, 2""",
 )
 def run_summary(spark, sf_dir):
     state = states(spark, sf_dir)
@@ -97,6 +100,22 @@ def run_summary(spark, sf_dir):
     return summary.withColumn("completed", F.date_format("completed_at", "yyyy-MM-dd HH:mm:ss")).drop("completed_at")
 
 
+@query(
+    "notification_points",
+    """WITH n AS (SELECT page_id % 5 AS shape, CASE page_id % 4 WHEN 0 THEN 'text_reviews' WHEN 1 THEN 'images'
+    WHEN 2 THEN 'unknown' ELSE 'surveys' END AS kind FROM pages)
+SELECT 'PipelineExecutionsStarted' AS metric, kind AS data_type, count(*) AS n FROM n
+  WHERE shape IN (0, 1, 2) AND kind <> 'unknown' GROUP BY 2
+UNION ALL SELECT 'PipelineExecutionsStarted', 'audio', count(*) FROM n WHERE shape = 1 HAVING count(*) > 0
+UNION ALL SELECT 'PipelineExecutionsFailed', kind, count(*) FROM n WHERE shape = 3 GROUP BY 2""",
+)
+def notification_points(spark, sf_dir):
+    """Starts and failures as the notifications tell them."""
+    notices = QUERIES["parse_notifications"](spark, sf_dir).withColumn("ts", F.lit(None).cast("timestamp"))
+    points = metrics.notification_points(notices)
+    return points.groupBy("metric", F.col("dims")["DataType"].alias("data_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "metric_rollup",
     f"""WITH {POINTS_SQL} SELECT metric, data_type, (grouping(data_type))::INTEGER AS is_total, count(*) AS points,
@@ -232,9 +251,7 @@ def extraction_points(spark, sf_dir):
 
 def stream_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     batch = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    files = spark.readStream.schema(batch.schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
-    cores = spark.sparkContext.defaultParallelism
-    return files.repartition(cores, batch.columns[0]) if is_small(batch) else files
+    return spread(spark.readStream.schema(batch.schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir))
 
 
 @query(

@@ -6,11 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.functions import text as tx
-from feedmill.sources.readers import spread
 
 NL = "chr(10)"
 
 
+#: A session setting: how many partitions the caller wants its input tables dealt to.
+PARTITIONS = "feedmill.input.partitions"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Input tables as the files give them, unless the caller set ``PARTITIONS``.
+
+    A test table of one row group is one task whatever the split size; a
+    benchmark on such tables sets the number of its cores. Nothing is decided by
+    the size of the data.
+    """
+    wanted = df.sparkSession.conf.get(PARTITIONS, None)
+    return df.repartition(int(wanted), df.columns[0]) if wanted else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 

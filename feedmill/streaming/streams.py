@@ -28,7 +28,7 @@ def stream_objects(spark: SparkSession, root: str, max_files: int = 1000) -> Dat
     )
     return with_data_type(
         files.select(
-            key_from_path(F.col("path")).alias("source_key"), F.col("modificationTime").alias("ts"), "length", "content"
+            key_from_path(F.col("path"), root).alias("source_key"), F.col("modificationTime").alias("ts"), "length", "content"
         )
     )
 
@@ -51,8 +51,10 @@ def stream_dashboard(
         .withColumn("ts", F.col("ts").cast("timestamp"))
         .withWatermark("ts", delay)
         .groupBy(F.window("ts", period).alias("_w"), "metric")
-        .agg(F.count("value").alias("points"), F.sum("value").alias("total"), F.avg("value").alias("average"))
-        .select(F.col("_w.start").alias("window_start"), "metric", "points", "total", "average")
+        .agg(F.count("value").alias("points"), F.sum(F.col("value").cast("decimal(28,8)")).cast("double").alias("total"))
+        .select(
+            F.col("_w.start").alias("window_start"), "metric", "points", "total", (F.col("total") / F.col("points")).alias("average")
+        )
     )
 
 

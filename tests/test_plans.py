@@ -64,11 +64,12 @@ def test_filters_reach_the_scan(spark, sf_dir):
     assert "EqualTo(lang,fr)" in plan(kept)
 
 
-def test_small_tables_are_spread_and_large_ones_left_alone(spark, tmp_path):
-    from feedmill.sources import readers
-
-    path = str(tmp_path / "t")
-    spark.range(200_000).selectExpr("id", "uuid() as x").coalesce(1).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert "REPARTITION" in plan(readers.spread(df))
-    assert "REPARTITION" not in plan(readers.spread(df, core_bytes=1000))
+def test_tables_are_dealt_out_only_if_the_caller_says_so(spark, sf_dir):
+    from feedmill.plans import views
+
+    assert "REPARTITION" not in plan(table(spark, sf_dir, "documents"))
+    spark.conf.set(views.PARTITIONS, "3")
+    try:
+        assert "REPARTITION" in plan(table(spark, sf_dir, "documents"))
+    finally:
+        spark.conf.unset(views.PARTITIONS)
