@@ -1,4 +1,4 @@
-"""Registered queries: readers, generated rows and sink round trips.
+"""Registered queries: readers and sink round trips.
 
 Round trips write below the shared folder of the session and read back.
 """
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedmill.plans.registry import query
 from feedmill.plans.table_queries import _BY_CATEGORY, CLEANED, by_category
-from feedmill.plans.views import REVIEWS_SQL, listed, quote, reviews, strip_sql, table
+from feedmill.plans.views import REVIEWS_SQL, quote, reviews, strip_sql, table
 from feedmill.functions import text as tx
 from feedmill.operators import etl, metrics, quality
 from feedmill.plans.dialog_queries import _answers_sql, answers
@@ -17,7 +17,7 @@ from feedmill.plans.metric_queries import _STATE_POINTS, states
 from feedmill.schemas import RAW_REVIEW_SCHEMA, REVIEW_COLUMNS, REVIEW_SCHEMA
 from feedmill.session import shared_dir
 from feedmill.sinks import writers
-from feedmill.sources import generators, readers
+from feedmill.sources import readers
 
 _PRESENT = (
     "product_id", "category", "actual_price", "discount_percentage", "rating", "rating_count", "user_id",
@@ -36,25 +36,52 @@ def review_csv(spark, sf_dir) -> str:
 
 @query("read_csv_roundtrip", f"WITH {REVIEWS_SQL} SELECT {', '.join(_PRESENT)} FROM reviews")
 def read_csv_roundtrip(spark, sf_dir):
-    return readers.read_reviews(spark, review_csv(spark, sf_dir), RAW_REVIEW_SCHEMA).select(*_PRESENT)
+    return readers.read_reviews(spark, review_csv(spark, sf_dir), RAW_REVIEW_SCHEMA, multi_line=True).select(*_PRESENT)
 
 
 @query(
     "read_csv_order",
-    f"""WITH {REVIEWS_SQL} SELECT count(*) AS n, count(DISTINCT review_content) AS texts,
-  sum(length(review_content))::BIGINT AS chars, true AS rows_numbered_once FROM reviews""",
+    f"""WITH {REVIEWS_SQL} SELECT count(*) AS n, sum(length(review_content))::BIGINT AS chars, true AS rows_numbered_once
+FROM reviews""",
 )
 def read_csv_order(spark, sf_dir):
-    rows = readers.read_reviews(spark, review_csv(spark, sf_dir))
+    rows = readers.read_reviews(spark, review_csv(spark, sf_dir), multi_line=True)
     per_row = rows.groupBy("source_key", "row_no").agg(
-        F.count(F.lit(1)).alias("n"), F.max("review_content").alias("review_content")
-    )
-    return per_row.agg(
-        F.sum("n").alias("n"),
-        F.count_distinct("review_content").alias("texts"),
-        F.sum(F.length("review_content")).alias("chars"),
-        (F.max("n") == 1).alias("rows_numbered_once"),
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("review_content")).alias("chars")
     )
+    return per_row.agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"), (F.max("n") == 1).alias("rows_numbered_once"))
+
+
+@query(
+    "read_csv_mixed",
+    """WITH d AS (SELECT doc_id, replace(text, chr(10), ' ') AS t FROM documents),
+k AS (SELECT 'mixed/' || CASE doc_id % 3 WHEN 0 THEN 'named' WHEN 1 THEN 'other' ELSE 'broken' END AS kind, * FROM d)
+SELECT kind, review_content, error, count(*) AS n FROM (
+  SELECT kind, CASE WHEN doc_id % 3 < 2 OR doc_id % 6 = 2 THEN nullif(t, '') END AS review_content,
+    CASE WHEN doc_id % 6 = 5 THEN 'malformed line' END AS error FROM k) GROUP BY 1, 2, 3""",
+)
+def read_csv_mixed(spark, sf_dir):
+    """Files with the named column, with other columns, and with lines that do not parse, in one read."""
+    folder = f"{shared_dir(spark, 'mixed')}/mixed"
+    text = F.replace("text", F.lit("\n"), F.lit(" "))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("t"), "lang", "source")
+    cell = F.concat(F.lit('"'), F.replace("t", F.lit('"'), F.lit('""')), F.lit('"'))
+    lines = {
+        "named": ("review_id,review_content,lang,source", F.concat_ws(",", "doc_id", cell, "lang", "source")),
+        "other": ("a,b,c", F.concat_ws(",", "lang", "source", cell)),
+        "broken": ("a,b", F.when(F.col("doc_id") % 6 == 5, F.lit('x,"open,y')).otherwise(F.concat_ws(",", "lang", cell))),
+    }
+    for i, (kind, (header, line)) in enumerate(lines.items()):
+        # Every text file of a folder begins with the header.
+        own = docs.filter(F.col("doc_id") % 3 == i)
+        headed = own.select(F.spark_partition_id().alias("_p"), line.alias("value"))
+        # One file per partition: its first line is the header.
+        first = headed.select("_p").distinct().select("_p", F.lit(0).alias("_o"), F.lit(header).alias("value"))
+        both = first.unionByName(headed.withColumn("_o", F.lit(1))).repartition("_p").sortWithinPartitions("_p", "_o")
+        both.select("value").write.partitionBy().text(f"{folder}/{kind}")
+    rows = readers.read_mixed(spark, folder)
+    kind = F.concat_ws("/", F.slice(F.split("source_key", "/"), 1, 2)).alias("kind")
+    return rows.groupBy(kind, "review_content", "error").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -72,7 +99,10 @@ def read_csv_salvage(spark, sf_dir):
     return readers.read_reviews_salvage(spark, folder).select("review_content")
 
 
-@query("schema_drift")
+@query(
+    "schema_drift",
+    """SELECT * FROM (VALUES ('rating', 'double', 'string', 'type_changed'), ('review_id', 'string', 'int', 'type_changed')) AS t(column_name, expected_type, found_type, change)""",
+)
 def schema_drift(spark, sf_dir):
     """Types inferred from CSV files against the catalog's."""
     return readers.schema_drift(readers.infer_csv(spark, review_csv(spark, sf_dir)), REVIEW_SCHEMA)
@@ -96,11 +126,26 @@ def pick_text_column(spark, sf_dir):
     return readers.text_column_scores(documents).withColumn("picked", F.col("column_name") == F.lit(best))
 
 
-@query("read_objects")
+@query(
+    "read_objects",
+    """SELECT 'surveys/' || (doc_id % 7) AS folder, count(*) AS n, sum(octet_length(encode(text)) + 1)::BIGINT AS bytes,
+  sum(length(text))::BIGINT + count(*) AS chars, count(DISTINCT text) > 0 AS has_content FROM documents GROUP BY 1""",
+)
 def read_objects(spark, sf_dir):
-    """The table files themselves as objects; their bytes are not read."""
-    files = readers.read_objects(spark, sf_dir)
-    return files.select("source_key", "length", (F.col("length") <= 5 * 1024 * 1024).alias("fits_inline"))
+    """Texts written as objects and read back with their bytes."""
+    folder = shared_dir(spark, "objects")
+    docs = table(spark, sf_dir, "documents").withColumn("part", F.col("doc_id") % 7)
+    docs.select("part", "text").write.partitionBy("part").option("lineSep", "\n").text(f"{folder}/surveys")
+    files = readers.read_objects(spark, folder, root=folder)
+    text = F.decode("content", "UTF-8")
+    parts = files.select(
+        F.regexp_replace(F.regexp_extract("source_key", "^(surveys/part=[0-9]+)/", 1), "part=", "").alias("folder"),
+        "length",
+        F.length(text).cast("bigint").alias("chars"),
+    )
+    counts = docs.groupBy(F.concat(F.lit("surveys/"), "part").alias("folder")).agg(F.count(F.lit(1)).alias("n"))
+    sums = parts.groupBy("folder").agg(F.sum("length").alias("bytes"), F.sum("chars").alias("chars"))
+    return counts.join(sums, "folder").select("folder", "n", "bytes", "chars", (F.col("chars") > 0).alias("has_content"))
 
 
 @query(
@@ -122,60 +167,6 @@ def survey_texts(spark, sf_dir):
     )
 
 
-# --- generated rows ---------------------------------------------------------
-
-SEED = 7
-
-
-def _draw(slot: str, size: int) -> str:
-    return f"('0x' || substr(md5(doc_id || ':{SEED}:{slot}'), 1, 8))::BIGINT % {size}"
-
-
-def _choice(slot: str, values) -> str:
-    return f"{listed(values)}[{_draw(slot, len(values))} + 1]"
-
-
-def _by_rating(pools, slot: str) -> str:
-    return (
-        f"CASE WHEN rating >= 4 THEN {_choice(slot, pools['high'])} WHEN rating = 3 THEN "
-        f"{_choice(slot, pools['middle'])} ELSE {_choice(slot, pools['low'])} END"
-    )
-
-
-_RATING = "CASE " + " ".join(
-    f"WHEN {_draw('rating', 100)} < {sum(generators.RATING_WEIGHTS[:s])} THEN {s}" for s in range(1, 6)
-) + " END"
-
-
-@query(
-    "generate_reviews",
-    f"""WITH g AS (SELECT doc_id, {_draw('product', 10)} + 1 AS p, {_RATING} AS rating FROM documents)
-SELECT doc_id AS row_no, {listed([p[0] for p in generators.PRODUCTS])}[p] AS product_name,
-  {listed([p[2] for p in generators.PRODUCTS])}[p] AS discounted_price, rating::VARCHAR AS rating,
-  ({_draw('rating_count', 99901)} + 100)::VARCHAR AS rating_count, {_choice('user', generators.USERS)} AS user_name,
-  'R' || upper(substr(md5(doc_id || ':{SEED}:R'), 1, 12)) AS review_id,
-  {_by_rating(generators.TITLES, 'title')} AS review_title, {_by_rating(generators.CONTENTS, 'content')} AS review_content
-FROM g""",
-)
-def generate_reviews(spark, sf_dir):
-    """One synthetic review for every document id."""
-    rows = generators.review_rows(table(spark, sf_dir, "documents").select("doc_id"), SEED, "doc_id")
-    return rows.select(
-        "row_no", "product_name", "discounted_price", "rating", "rating_count", "user_name", "review_id",
-        "review_title", "review_content",
-    )
-
-
-@query(
-    "generate_unstructured",
-    f"""SELECT doc_id AS row_no, 'survey_unstructured_' || printf('%04d', doc_id + 1) || '.txt' AS filename,
-  replace({_choice('opener', generators.OPENERS)}, '{{}}', {_choice('product', [p[0] for p in generators.PRODUCTS])})
-  || ' ' || {listed(generators.STORIES)}[doc_id % {len(generators.STORIES)} + 1] AS text FROM documents""",
-)
-def generate_unstructured(spark, sf_dir):
-    return generators.unstructured_rows(table(spark, sf_dir, "documents").select("doc_id"), SEED, "doc_id")
-
-
 # --- sinks ------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,21 +10,47 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmill.functions import text as tx
-from feedmill.functions.keys import DATA_TYPES
 from feedmill.schemas import RAW_REVIEW_SCHEMA
 
 UNREADABLE_SURVEY = "Could not read survey data."
 # Line breaks besides CR and LF, which the text reader handles.
 LINE_BREAKS = r"[\x{b}\x{c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 _ROW_BITS = 33
-SPREAD_FLOOR = 1 << 20
 
 
-def key_from_path(path: Column) -> Column:
-    """Object key of a path: from the first known prefix folder on, else the file name."""
-    prefixes = "|".join(p.rstrip("/") for p in DATA_TYPES)
-    key = F.regexp_extract(path, rf".*/((?:{prefixes})/.*)$", 1)
-    return F.url_decode(F.replace(F.when(key != "", key).otherwise(F.substring_index(path, "/", -1)), F.lit("+"), F.lit("%2B")))
+def _decoded(path: Column) -> Column:
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _bare(path: str) -> str:
+    """A path without scheme, the way it stands in a full path of any file below it."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", path.rstrip("/"))
+
+
+def parent_of(path: str) -> str:
+    """The folder that holds ``path``; of a pattern, the folder above its fixed part."""
+    fixed = re.split(r"[*?{\[]", path.rstrip("/"))[0]
+    return fixed.rpartition("/")[0]
+
+
+def key_from_path(path: Column, root: str | list[str]) -> Column:
+    """Object key: the path relative to the root it lies in, else the file name.
+
+    Two files below different folders of a root keep different keys, and the
+    data type follows from the first folder below the root.
+    """
+    full = _decoded(path)
+    key = F.lit(None).cast("string")
+    for base in [root] if isinstance(root, str) else root:
+        mark = f"{_bare(base)}/"
+        mark = mark if mark.startswith("/") else f"/{mark}"
+        at = F.instr(full, mark)
+        key = F.coalesce(key, F.when(at > 0, F.substr(full, at + len(mark), F.length(full))))
+    return F.coalesce(key, F.substring_index(full, "/", -1))
+
+
+def _roots(path: str | list[str], root: str | None) -> list[str]:
+    return [root] if root is not None else [parent_of(p) for p in ([path] if isinstance(path, str) else path)]
 
 
 def _row_no() -> Column:
@@ -37,12 +64,18 @@ def _row_no() -> Column:
 
 
 def read_reviews(
-    spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_REVIEW_SCHEMA, multi_line: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType = RAW_REVIEW_SCHEMA,
+    multi_line: bool = False,
+    root: str | None = None,
 ) -> DataFrame:
-    """Review CSV files: header, quoted fields, one ``source_key`` per file. [SRC1]
+    """Review CSV files with this header, one ``source_key`` per file. [SRC1]
 
-    ``multi_line`` allows line breaks inside quotes, at the price that a file is
-    read by one task; turn it off for files known to hold a record per line.
+    Large files are split, so a record is a line. ``multi_line`` allows line
+    breaks inside quotes, at the price that a file is read by one task; ask for
+    it for the file sets that need it. Keys are relative to ``root``, by default
+    the folder that holds ``path``. Files with other headers: ``read_mixed``.
     """
     reader = (
         spark.read.option("header", True)
@@ -54,59 +87,86 @@ def read_reviews(
     )
     rows = reader.csv(path)
     return rows.select(
-        key_from_path(F.col("_metadata.file_path")).alias("source_key"), _row_no().alias("row_no"), *rows.columns
+        key_from_path(F.col("_metadata.file_path"), _roots(path, root)).alias("source_key"), _row_no().alias("row_no"), *rows.columns
     )
 
 
-def read_reviews_salvage(spark: SparkSession, path: str | list[str], column: str = "review_content") -> DataFrame:
-    """One column of malformed CSV files by plain comma splitting. [SRC2]
-
-    Bad bytes are replaced. The column is the first whose header contains the
-    name in any case; a file without it gives no rows, a short line gives null.
-    """
-    raw = spark.read.text(path).select(
+def _lines(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
+    """Lines of text files with their place: ``_file, _at, _id, _part, line``."""
+    files = spark.read.option("recursiveFileLookup", recursive).text(path)
+    return files.select(
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_at"),
-        F.monotonically_increasing_id().alias("_id"),
+        _row_no().alias("_id"),
         F.posexplode(F.split(tx.decode_utf8(F.col("value")), LINE_BREAKS)).alias("_part", "line"),
     )
-    lines = raw.select("_file", "line")
-    headers = raw.filter("_at = 0").groupBy("_file").agg(F.min_by("line", F.struct("_id", "_part")).alias("header"))
+
+
+def _headers(lines: DataFrame) -> DataFrame:
+    """The first line of each file: one small row per file."""
+    first = lines.filter("_at = 0").groupBy("_file").agg(F.min(F.struct("_id", "_part", "line")).alias("_h"))
+    return first.select(F.col("_file").alias("_hf"), F.col("_h.line").alias("header"), F.col("_h._id").alias("_hid"), F.col("_h._part").alias("_hpart"))
+
+
+def read_reviews_salvage(
+    spark: SparkSession, path: str | list[str], column: str = "review_content", root: str | None = None
+) -> DataFrame:
+    """One column of malformed CSV files by plain comma splitting, with ``row_no``. [SRC2]
+
+    Bad bytes are replaced. The column is the first whose header contains the
+    name in any case; a file without it gives no rows, a short line gives null.
+    """
+    lines = _lines(spark, path)
     names = F.transform(F.split("header", ","), lambda h: F.lower(F.btrim(h, F.lit('"'))))
     index = F.array_position(F.transform(names, lambda h: F.contains(h, F.lit(column.lower()))), F.lit(True))
-    headers = headers.select(F.col("_file").alias("_hf"), "header", index.cast("int").alias("_index"))
-    joined = lines.join(headers.filter("_index > 0"), F.col("_file") == F.col("_hf"))
-    body = joined.filter("line <> header").select("_file", "line", "_index")
-    # Lines equal to the header: one of them is the header, the others are rows.
-    repeated = joined.filter("line = header").groupBy("_file", "line", "_index").agg(F.count(F.lit(1)).alias("_n"))
-    repeated = repeated.filter("_n > 1").select(
-        "_file", "line", "_index", F.explode(F.sequence(F.lit(2), F.col("_n").cast("int")))
-    )
-    rows = body.unionByName(repeated.drop("col"))
-    return rows.select(
-        key_from_path(F.col("_file")).alias("source_key"),
+    headers = _headers(lines).withColumn("_index", index.cast("int")).filter("_index > 0")
+    body = lines.join(headers, F.col("_file") == F.col("_hf")).filter("_id <> _hid or _part <> _hpart")
+    return body.select(
+        key_from_path(F.col("_file"), _roots(path, root)).alias("source_key"),
+        F.col("_id").alias("row_no"),
         F.try_element_at(F.split("line", ","), F.col("_index")).alias(column),
     )
 
 
-def is_small(df: DataFrame, core_bytes: int = 16 << 20) -> bool:
-    """True for a table of fewer files than cores and at most ``core_bytes`` per core."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    # Size first: listing the files of a large table is work for nothing.
-    return SPREAD_FLOOR < size <= cores * core_bytes and len(df.inputFiles()) < cores
-
-
-def spread(df: DataFrame, core_bytes: int = 16 << 20) -> DataFrame:
-    """Share a small table of few files among the cores before CPU-heavy work.
+def read_mixed(
+    spark: SparkSession, path: str | list[str], column: str = "review_content", root: str | None = None
+) -> DataFrame:
+    """The review text of CSV files with any header: ``source_key, row_no, <column>, error``. [SRC1-SRC3]
 
-    A file of one row group is read by one task, however many cores wait. A
-    large table keeps its scan partitions and is not shuffled.
+    A file's text column is the one named ``column``, else the one with the
+    longest texts on average. Each record is a line. A line whose quotes do not
+    match, or with another number of cells than the header, is an error row
+    without a text; a file without a header line gives no rows. One bad file
+    costs only itself.
     """
-    if not is_small(df, core_bytes):
-        return df
-    # Hashing on the first column is repeatable and, unlike round robin, needs no sort.
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, df.columns[0])
+    lines = _lines(spark, path, recursive=True)
+    headers = _headers(lines)
+    # Cells of a line: quoted ones may hold commas and doubled quotes.
+    cell = r'"(?:[^"]|"")*+"|[^",]*+'
+    found = F.regexp_extract_all(F.concat(F.lit(","), F.col("line")), F.lit(f",({cell})"), F.lit(1))
+    whole = F.length(F.array_join(found, ",")) == F.length("line")
+    plain = F.transform(found, lambda c: F.when(c.startswith('"'), F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+    cells = lines.withColumns({"_cells": plain, "_whole": whole})
+    names = F.transform(F.split("header", ","), lambda h: F.btrim(h, F.lit('"')))
+    headers = headers.withColumn("_names", names)
+    body = cells.join(headers, F.col("_file") == F.col("_hf")).filter("_id <> _hid or _part <> _hpart")
+    good = F.col("_whole") & (F.size("_cells") == F.size("_names"))
+    body = body.withColumn("_good", good)
+    # Sums of lengths per file and place of a column: as many numbers as the widest header has names.
+    sizes = body.filter("_good").select("_file", F.posexplode("_cells").alias("_place", "_cell"))
+    means = sizes.groupBy("_file", "_place").agg(F.avg(F.length("_cell")).alias("_mean"))
+    longest = means.groupBy("_file").agg(F.max_by("_place", F.struct("_mean", -F.col("_place"))).alias("_longest"))
+    longest = longest.withColumnRenamed("_file", "_lf")
+    named = F.array_position("_names", column)
+    chosen = F.when(named > 0, named.cast("int") - 1).otherwise(F.col("_longest"))
+    rows = body.join(longest, F.col("_file") == F.col("_lf"), "left")
+    text = F.nullif(F.get("_cells", chosen), F.lit(""))
+    return rows.select(
+        key_from_path(F.col("_file"), _roots(path, root)).alias("source_key"),
+        F.col("_id").alias("row_no"),
+        F.when(F.col("_good"), text).alias(column),
+        F.when(~F.col("_good"), F.lit("malformed line")).alias("error"),
+    )
 
 
 def text_column_scores(df: DataFrame) -> DataFrame:
@@ -123,18 +183,18 @@ def text_column_scores(df: DataFrame) -> DataFrame:
 
 
 def pick_text_column(df: DataFrame, preferred: str = "review_content") -> str | None:
-    """The preferred column if present, else the string column with the longest texts. [SRC3]"""
+    """The preferred column if present, else the string column with the longest texts. [SRC3]
+
+    One row of means comes to the driver; of equal means the first column wins.
+    """
     if preferred in df.columns:
         return preferred
-    if not any(isinstance(f.dataType, T.StringType) for f in df.schema.fields):
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not names:
         return None
-    best = (
-        text_column_scores(df)
-        .filter("mean_length is not null")
-        .orderBy(F.desc("mean_length"), "position")
-        .head()
-    )
-    return best["column_name"] if best else None
+    means = df.agg(*[F.avg(F.length(n)).alias(n) for n in names]).first()
+    known = [n for n in names if means[n] is not None]
+    return max(known, key=lambda n: (round(means[n], 4), -names.index(n))) if known else None
 
 
 def read_catalog(spark: SparkSession, table: str) -> DataFrame:
@@ -142,15 +202,18 @@ def read_catalog(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def read_objects(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Whole objects with size, time and bytes. [SRC6]
+def read_objects(spark: SparkSession, path: str | list[str], root: str | None = None) -> DataFrame:
+    """Whole objects with size, time and bytes, keyed relative to ``root``, by default the folder that holds ``path``. [SRC6]
 
     Without a use of ``content`` Spark reads the listing only. Spark skips files
     of zero bytes; where they matter, take the file list from the notifications.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(
-        key_from_path(F.col("path")).alias("source_key"), F.col("modificationTime").alias("ts"), "length", "content"
+        key_from_path(F.col("path"), _roots(path, root)).alias("source_key"),
+        F.col("modificationTime").alias("ts"),
+        "length",
+        "content",
     )
 
 
@@ -158,9 +221,9 @@ def survey_text(content: Column) -> Column:
     return F.coalesce(tx.strip(tx.decode_utf8(content)), F.lit(UNREADABLE_SURVEY))
 
 
-def read_text_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_text_documents(spark: SparkSession, path: str | list[str], root: str | None = None) -> DataFrame:
     """Whole files as trimmed text, bad bytes replaced. [SRC5]"""
-    objects = read_objects(spark, path)
+    objects = read_objects(spark, path, root)
     return objects.select(
         "source_key", "ts", "length", survey_text(F.col("content")).alias("survey_summary"),
         (~F.is_valid_utf8(F.col("content").cast("string"))).alias("had_bad_bytes"),

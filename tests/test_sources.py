@@ -1,4 +1,4 @@
-"""Readers, routing, payloads, generators, metrics and streams on small files."""
+"""Readers, routing, payloads, metrics and streams on small files."""
 
 from __future__ import annotations
 
@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from feedmill.functions import keys
 from feedmill.operators import metrics, routing
-from feedmill.schemas import REVIEW_SCHEMA
-from feedmill.sources import generators, payloads, readers
+from feedmill.schemas import NLP_TYPE, REVIEW_SCHEMA, VALIDATION_TYPE
+from feedmill.sources import payloads, readers
 from feedmill.streaming import streams
 
 
@@ -58,7 +58,7 @@ def test_read_reviews(spark, tmp_path):
     body = [line('"one, with ""quotes"" and\na second line"'), line("two"), line("")]
     (folder / "a b+c.csv").write_text("\n".join([header, *body]) + "\n")
     (folder / "only_header.csv").write_text(header + "\n")
-    rows = readers.read_reviews(spark, str(folder)).orderBy("row_no").collect()
+    rows = readers.read_reviews(spark, str(folder), multi_line=True).orderBy("row_no").collect()
     assert [r.review_content for r in rows] == ['one, with "quotes" and\na second line', "two", None]
     assert {r.source_key for r in rows} == {"text-reviews/a b+c.csv"}
     files = {r.source_key for r in readers.read_objects(spark, str(folder)).collect()}
@@ -166,16 +166,67 @@ def test_payload_texts(spark):
     assert [r.transcript for r in payloads.transcript_text(calls).collect()] == ["hi", "", ""]
 
 
-def test_generated_reviews(spark):
-    a = generators.generate_reviews(spark, 4000, seed=3)
-    assert a.collect() == generators.generate_reviews(spark, 4000, seed=3).collect()
-    shares = {int(r.rating): r["count"] / 40 for r in a.groupBy("rating").count().collect()}
-    for stars, weight in enumerate(generators.RATING_WEIGHTS, 1):
-        assert shares[stars] == pytest.approx(weight, abs=3)
-    assert a.select("review_id").distinct().count() == 4000
-    texts = generators.generate_unstructured(spark, 30, seed=3).collect()
-    assert texts[0].filename == "survey_unstructured_0001.txt"
-    assert texts[0].text.endswith(generators.STORIES[0]) and texts[16].text.endswith(generators.STORIES[1])
+def test_failed_files_give_a_failure_only(spark):
+    rows = [("images", "SUCCEEDED", 80.0), (None, "FAILED", 10.0), (None, "SUCCEEDED", 20.0)]
+    state = spark.createDataFrame(rows, "data_type string, pipeline_status string, final_quality_score double")
+    state = state.selectExpr("timestamp'2024-01-01' as ts", "*", f"cast(null as {VALIDATION_TYPE}) as validation", f"cast(null as {NLP_TYPE}) as nlp", "0L as input_tokens")
+    points = metrics.metric_points(state)
+    got = sorted((r.dims["DataType"], r.metric, r.value) for r in points.collect())
+    assert got == [
+        ("images", metrics.FINAL_SCORE, 80.0), ("images", metrics.SUCCEEDED, 1.0), ("unknown", metrics.FINAL_SCORE, 20.0),
+        ("unknown", metrics.FAILED, 1.0), ("unknown", metrics.SUCCEEDED, 1.0),
+    ]
+    notices = spark.createDataFrame([("audio", "started"), ("unknown", "skipped")], "data_type string, status string")
+    summary = {(r.data_type, r.pipeline_status): (r.files, r.metrics_published) for r in metrics.run_summary(state, points, notices).collect()}
+    assert summary == {
+        ("images", "SUCCEEDED"): (1, 2), ("unknown", "SUCCEEDED"): (1, 2), ("unknown", "FAILED"): (1, 1),
+        ("audio", "STARTED"): (1, 0), ("unknown", "SKIPPED"): (1, 0),
+    }
+
+
+def test_keys_are_relative_to_the_root(spark):
+    paths = ["s3://b/text-reviews/2024/images/a.csv", "file:///x/y/images/a%20b+c.png", "s3://other/z.csv"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = [r[0] for r in df.select(readers.key_from_path(F.col("p"), ["s3://b", "/x/y"])).collect()]
+    assert got == ["text-reviews/2024/images/a.csv", "images/a b+c.png", "z.csv"]
+    assert readers.parent_of("/a/b/c/") == "/a/b" and readers.parent_of("s3://b/x/*.csv") == "s3://b/x"
+
+
+def test_survivor_does_not_depend_on_file_packing(spark, tmp_path):
+    from feedmill.operators import etl
+
+    folder = tmp_path / "text-reviews"
+    folder.mkdir()
+    header = "review_id,review_content,product_id,rating"
+    (folder / "zzz.csv").write_text(header + "\n" + "".join(f"{i},from zzz and long enough,p,5\n" for i in range(50)))
+    (folder / "aaa.csv").write_text(header + "\n" + "".join(f"{i},from aaa and long enough,p,5\n" for i in range(400)))
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header.split(",")])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    kept = []
+    for size in ("2000", old):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        rows = etl.dedup_reviews(readers.read_reviews(spark, str(folder), schema))
+        kept.append(sorted((r.review_id, r.review_content) for r in rows.collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert kept[0] == kept[1] and len(kept[0]) == 400 and all("aaa" in c for _, c in kept[0])
+
+
+def test_mixed_files(spark, tmp_path):
+    root = tmp_path / "in"
+    (root / "text-reviews" / "b").mkdir(parents=True)
+    (root / "text-reviews" / "a.csv").write_text('id,review_content\n1,"one, ""two"""\n2,\n3,"open\n')
+    (root / "text-reviews" / "b" / "a.csv").write_text("x,y\nshort,a much longer text\nk,and another one\ntoo,many,cells\n")
+    (root / "text-reviews" / "empty.csv").write_text("x,y\n")
+    (root / "text-reviews" / "bytes.csv").write_bytes(b"review_content\n\xff\xfe bad\n")
+    rows = readers.read_mixed(spark, str(root / "text-reviews")).collect()
+    got = sorted((r.source_key, r.review_content, r.error) for r in rows if r.review_content is not None)
+    assert got == [
+        ("text-reviews/a.csv", 'one, "two"', None), ("text-reviews/b/a.csv", "a much longer text", None),
+        ("text-reviews/b/a.csv", "and another one", None), ("text-reviews/bytes.csv", "\ufffd\ufffd bad", None),
+    ]
+    assert sorted(r.source_key for r in rows if r.error) == ["text-reviews/a.csv", "text-reviews/b/a.csv"]
 
 
 def series(spark, values):
