@@ -11,7 +11,7 @@ from feedmill.functions import numbers
 from feedmill.operators.ordering import first_k
 
 MIN_CONTENT = 10
-FILE_ORDER = ("row_no", "source_key")
+FILE_ORDER = ("source_key", "row_no")
 PRICES = ("discounted_price", "actual_price")
 
 
@@ -44,8 +44,9 @@ def quality_filter(df: DataFrame) -> DataFrame:
 def dedup_reviews(df: DataFrame, key: str = "review_id", order: Sequence[str] = FILE_ORDER) -> DataFrame:
     """First row per key by ``order``; rows without a key count as one key. [ETL6]
 
-    The file breaks ties between rows of equal number, so the survivor is the
-    same in every run; order columns the table lacks are left out.
+    Files go in the order of their keys and rows in the order of their file, so
+    the survivor is the same however the files are read; order columns the table
+    lacks are left out.
     """
     if key not in df.columns:
         return df

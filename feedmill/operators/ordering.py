@@ -25,14 +25,11 @@ def first_k(df: DataFrame, by: str | Sequence[str], order: Sequence[Column], k:
 def first_rows(df: DataFrame, by: str, order: str, n: int) -> DataFrame:
     """The first ``n`` rows per group of a table with wide rows.
 
-    ``order`` is unique in its group. Only keys and order values are ranked; one
-    last value per group then picks the rows where they are, so long texts are
-    neither sorted nor moved while the table of groups is small enough for
-    Spark to broadcast.
+    The rank filter cuts every group to ``n`` rows in each task before the
+    shuffle, so only texts that may be in the result are moved, whatever the
+    number of groups and however large one is.
     """
-    ranked = first_k(df.select(by, order), by, [F.col(order)], n, "_rank")
-    last = ranked.groupBy(by).agg(F.max(order).alias("_last"))
-    return df.join(last, by).filter(F.col(order) <= F.col("_last")).select(*df.columns)
+    return first_k(df, by, [F.col(order)], n, "_rank").drop("_rank")
 
 
 def number_rows(

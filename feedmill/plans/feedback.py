@@ -9,18 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.functions.keys import fits_inline
+from feedmill.functions import prompts
+from feedmill.functions.keys import IMAGE_BYTE_LIMIT, fits_inline
 from feedmill.functions.text import normalize_text
-from feedmill.operators import aggregation, dialogs, metrics, normalization, quality, segments, validation
+from feedmill.operators import aggregation, dialogs, metrics, normalization, quality, routing, segments, validation
 from feedmill.operators.ordering import first_rows
 from feedmill.schemas import NLP_TYPE, VALIDATION_TYPE
 from feedmill.sinks import writers
 from feedmill.sources import payloads
 
-SAMPLE_ROWS = 50
+#: Rows of a file that a prompt quotes; all rows are annotated.
+PROMPT_ROWS = 50
 ANALYSED = ("text_reviews", "audio")
 # Columns every branch contributes to the file state.
 STATE = {
@@ -35,6 +37,7 @@ STATE = {
     "normalized_text": "string",
     "validation": VALIDATION_TYPE,
     "nlp": NLP_TYPE,
+    "rows_left_out": "bigint",
 }
 
 
@@ -45,23 +48,27 @@ def _conform(df: DataFrame) -> DataFrame:
     )
 
 
-def review_files(rows: DataFrame, files: DataFrame, sample_n: int | None = SAMPLE_ROWS) -> DataFrame:
+def review_files(
+    rows: DataFrame, files: DataFrame, sample_n: int | None = None, prompt_rows: int = PROMPT_ROWS
+) -> DataFrame:
     """Validation, sample text and NLP of every review file.
 
-    The first ``sample_n`` rows of a file reach the annotators (None: all rows);
-    validation always covers all rows, prompts always quote a sample.
+    All rows reach the annotators, or the first ``sample_n`` of a file if the
+    caller says so. A prompt has to fit a model, so it quotes the first
+    ``prompt_rows``; ``rows_left_out`` counts the others.
     """
     rows = rows.select("source_key", "row_no", "review_content")
     checked = validation.validate(rows, "review_content")
     summary = validation.validation_summary(checked, "source_key", files)
-    summary = summary.select("source_key", F.struct(*summary.columns[1:]).alias("validation"))
+    left_out = F.greatest(F.col("total_rows") - prompt_rows, F.lit(0)).cast("bigint")
+    summary = summary.select(
+        "source_key", F.struct(*summary.columns[1:]).alias("validation"), left_out.alias("rows_left_out")
+    )
     # Cut to the sample before the costly cleaning.
-    sample = first_rows(rows, "source_key", "row_no", sample_n or SAMPLE_ROWS)
-    texts = normalization.sample_text(normalization.normalize_column(sample), n=sample_n or SAMPLE_ROWS)
-    if sample_n is None:
-        parts = segments.segments_from_rows(normalization.normalize_column(rows).drop("review_content"))
-    else:
-        parts = segments.segment(texts)
+    sample = first_rows(rows, "source_key", "row_no", prompt_rows)
+    texts = normalization.sample_text(normalization.normalize_column(sample), n=prompt_rows)
+    read = rows if sample_n is None else first_rows(rows, "source_key", "row_no", sample_n)
+    parts = segments.segments_from_rows(normalization.normalize_column(read).drop("review_content"))
     nlp = aggregation.nlp_results(files, parts)
     state = files.join(summary, "source_key", "left").join(texts, "source_key", "left")
     return _conform(state.join(nlp, "source_key", "left").withColumn("data_type", F.lit("text_reviews")))
@@ -84,7 +91,7 @@ def branches(
     ocr: DataFrame | None = None,
     calls: DataFrame | None = None,
     surveys: DataFrame | None = None,
-    sample_n: int | None = SAMPLE_ROWS,
+    sample_n: int | None = None,
 ) -> list[DataFrame]:
     """Branch states of whatever kinds of input there are. [RT2]
 
@@ -123,28 +130,42 @@ def run_feedback(
     profile: str = "current",
     threshold: float = quality.THRESHOLD,
     images: DataFrame | None = None,
+    notices: DataFrame | None = None,
+    frames: prompts.Frames = prompts.Frames(),
+    limits: prompts.Limits = prompts.Limits(),
+    inline_bytes: int = IMAGE_BYTE_LIMIT,
 ) -> dict[str, DataFrame]:
     """From branch states to insights, reports, review queue and metric points.
 
     ``states`` come from ``branches``. Without a model the files are scored on
     validation and annotations alone. ``images`` (``source_key, length,
-    content``) puts small images into their prompts; the bytes are not stored.
+    content``) puts images of up to ``inline_bytes`` into their prompts; the
+    bytes are not stored, ``image_inline`` tells which were. ``notices`` (``ts,
+    data_type, status``, from ``parse_notifications``) adds starts, failures and
+    skipped objects to points and summary. Files of an unknown type become
+    ``dead_letters``; only the others go on.
     """
     state = states[0]
     for branch in states[1:]:
         state = state.unionByName(branch)
     state = _keep(state, f"{work_dir}/state")
+    known = F.coalesce("data_type", F.lit("unknown")) != "unknown"
+    dead = state.filter(~known).withColumn("error", F.lit("unknown data type"))
+    state = state.filter(known)
     asked = state
     if images is not None and model is not None:
-        small = images.filter(fits_inline(F.col("length"))).select("source_key", "content")
+        small = images.filter(fits_inline(F.col("length"), inline_bytes)).select("source_key", "content")
         asked = state.join(small, "source_key", "left")
-    answered = dialogs.build_messages(asked)
+    answered = dialogs.build_messages(asked, frames, limits, inline_bytes)
     if model is None:
         none = {c: F.lit(None).cast("string") for c in ("insights", "top_priority_action", "error")}
         answered = answered.withColumns({**none, "input_tokens": F.lit(0).cast("bigint")})
     else:
         answered = dialogs.run_dialog(answered, model)
-    answered = _keep(answered.drop("messages", "content"), f"{work_dir}/answers")
+    answered = answered.drop("messages", "content")
+    if model is not None:
+        # A model call is not repeated for each output; without one there is nothing to keep.
+        answered = _keep(answered, f"{work_dir}/answers")
     scored = quality.score_quality(
         answered.withColumns(
             {
@@ -159,6 +180,8 @@ def run_feedback(
     finished = finished.withColumn("pipeline_status", F.lit("SUCCEEDED"))
     reports = quality.quality_report(scored, threshold)
     points = metrics.metric_points(finished)
+    if notices is not None:
+        points = points.unionByName(metrics.notification_points(notices))
     return {
         "state": finished,
         "insights": dialogs.insight_records(answered, model_id),
@@ -171,16 +194,37 @@ def run_feedback(
         .unionByName(metrics.nlp_points(state.filter("nlp is not null")))
         .unionByName(metrics.extraction_points(finished))
         .unionByName(metrics.quality_points(reports)),
-        "summary": metrics.run_summary(finished, points),
+        "summary": metrics.run_summary(finished, metrics.metric_points(finished), notices),
+        "dead_letters": dead,
     }
 
 
-def write_outputs(out: dict[str, DataFrame], path: str, run: str) -> None:
-    """All sinks of one run; repeating the run replaces its own output only."""
+def write_outputs(out: dict[str, DataFrame], path: str, run: str, rows: DataFrame | None = None) -> None:
+    """All sinks of one run; repeating the run replaces its own output only.
+
+    ``rows`` are the review rows; with them the normalised table is stored too.
+    """
+    state = out["state"]
     writers.write_insights(out["insights"], f"{path}/insights/run={run}", "overwrite")
     writers.write_reports(out["reports"], f"{path}/quality-reports/run={run}", "overwrite")
     out["review_queue"].write.mode("overwrite").parquet(f"{path}/review-queue/run={run}")
-    writers.append_points(out["points"], f"{path}/metrics/run={run}", "overwrite")
+    points = out["points"].unionByName(out["stage_points"])
+    writers.append_points(points, f"{path}/metrics/run={run}", "overwrite")
+    out["summary"].write.mode("overwrite").json(f"{path}/summary/run={run}")
+    out["dead_letters"].write.mode("overwrite").parquet(f"{path}/dead-letters/run={run}")
+    kept = {"images": ("extracted_text", "ocr", True), "audio": ("transcript", "transcript", True), "surveys": ("survey_summary", "survey", False)}
+    for kind, (text, key, skip_empty) in kept.items():
+        texts = routing.with_output_key(state.filter(F.col("data_type") == kind), key)
+        writers.write_texts(texts, f"{path}/texts/{kind}/run={run}", text, skip_empty, mode="overwrite")
+    if rows is not None:
+        normal = normalization.normalize_column(rows)
+        writers.write_csv(normal, f"{path}/normalized/run={run}")
+
+
+def remove_work(spark: SparkSession, work_dir: str) -> None:
+    """Delete the work tables of a run, once its outputs are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(work_dir)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def batch_flow(
@@ -196,7 +240,8 @@ def batch_flow(
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        out = run_feedback(build(batch), f"{work_dir}/batch={batch_id}", model, model_id)
-        write_outputs(out, out_dir, str(batch_id))
+        folder = f"{work_dir}/batch={batch_id}"
+        write_outputs(run_feedback(build(batch), folder, model, model_id), out_dir, str(batch_id))
+        remove_work(batch.sparkSession, folder)
 
     return process

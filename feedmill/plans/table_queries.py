@@ -184,7 +184,7 @@ nums AS (SELECT *, TRY_CAST(regexp_replace(rating, '[^0-9.]', '', 'g') AS DOUBLE
     TRY_CAST(replace(rating_count, ',', '') AS INTEGER) AS rc FROM reviews),
 kept AS (SELECT * FROM nums WHERE review_content IS NOT NULL AND length(review_content) > 10
     AND product_id IS NOT NULL AND r IS NOT NULL AND r BETWEEN 1 AND 5),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY row_no) AS rn FROM kept),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY source_key, row_no) AS rn FROM kept),
 clean AS (SELECT review_id, row_no, product_id, r AS rating, dp AS discount_percentage, ap AS actual_price,
     rc AS rating_count, length(review_content) AS review_length,
     coalesce(length(img_link) > 10, false) AS has_image_url, split_part(category, '|', 1) AS top_category,

@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _by_partition(df: DataFrame, *columns: str) -> DataFrame:
+    """One file per partition value, more for large ones, instead of one per task and value."""
+    return df.hint("rebalance", *columns)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Normalised table as CSV. [SNK1]"""
     # Spark's CSV writer trims cells unless told not to.
@@ -24,32 +29,33 @@ def write_texts(
     kept as a column instead of a path, so a million texts are not a million files.
     """
     rows = df.filter(F.coalesce(F.length(text), F.lit(0)) > 0) if skip_empty else df
-    rows.select("data_type", by, F.col(text).alias("text")).write.mode(mode).partitionBy("data_type").json(path)
+    kept = rows.select("data_type", by, F.col(text).alias("text"))
+    _by_partition(kept, "data_type").write.mode(mode).partitionBy("data_type").json(path)
 
 
 def write_insights(df: DataFrame, path: str, mode: str = "append") -> None:
     """Insight records by type and day. [SNK3]"""
     day = F.date_format("timestamp", "yyyy-MM-dd")
-    df.withColumn("dt", day).write.mode(mode).partitionBy("data_type", "dt").json(path)
+    _by_partition(df.withColumn("dt", day), "data_type", "dt").write.mode(mode).partitionBy("data_type", "dt").json(path)
 
 
 def write_reports(df: DataFrame, path: str, mode: str = "append") -> None:
     """Quality reports by type. [SNK4]"""
-    df.write.mode(mode).partitionBy("data_type").json(path)
+    _by_partition(df, "data_type").write.mode(mode).partitionBy("data_type").json(path)
 
 
-def write_clean(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_clean(df: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = False) -> None:
     """Cleaned reviews as Parquet by top category, if there is one. [ETL11, SNK5]
 
-    Only the categories present are overwritten, so a rerun of one feed leaves
-    the other categories alone.
+    The table is replaced as a whole. With ``dynamic`` only the categories
+    present are, so that one feed leaves the categories of others alone.
     """
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    if "top_category" in df.columns:
-        writer = writer.partitionBy("top_category")
-    writer.parquet(path)
+    parted = "top_category" in df.columns
+    rows = _by_partition(df, "top_category") if parted else df
+    writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    (writer.partitionBy("top_category") if parted else writer).parquet(path)
 
 
 def append_points(df: DataFrame, path: str, mode: str = "append") -> None:
     """Metric points, by metric name. [SNK6]"""
-    df.write.mode(mode).partitionBy("metric").parquet(path)
+    _by_partition(df, "metric").write.mode(mode).partitionBy("metric").parquet(path)

@@ -141,5 +141,5 @@ def test_first_rows_equal_a_full_ranking(spark):
 
 
 def test_dedup_breaks_ties_by_file(spark):
-    rows = spark.createDataFrame([("r", 1, "b"), ("r", 1, "a"), ("r", 2, "0")], "review_id string, row_no int, source_key string")
-    assert [r.source_key for r in etl.dedup_reviews(rows).collect()] == ["a"]
+    rows = spark.createDataFrame([("r", 1, "b"), ("r", 2, "a"), ("r", 3, "a")], "review_id string, row_no int, source_key string")
+    assert [(r.source_key, r.row_no) for r in etl.dedup_reviews(rows).collect()] == [("a", 2)]
