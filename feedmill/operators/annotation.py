@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from feedmill.operators.ordering import first_k
 from feedmill.operators.segments import BATCH_SIZE
 
 DEFAULT_LANGUAGE = "en"
@@ -126,11 +127,9 @@ def detect_language(
     language = language_of(F.col("segment"), profiles, default, head_chars)
     if dense:
         return segments.filter(F.col("seg_no") == 0).select(by, language.alias("language"))
-    # A small code instead of the text keeps the aggregate in the hash table.
-    names = F.array(*[F.lit(n) for n in dict.fromkeys([*profiles, default])])
-    coded = segments.select(by, "seg_no", F.array_position(names, language).alias("_code"))
-    first = coded.groupBy(by).agg(F.min_by("_code", "seg_no").alias("_code"))
-    return first.select(by, F.element_at(names, F.col("_code").cast("int")).alias("language"))
+    # Each task keeps one segment per file before anything is analysed or moved.
+    first = first_k(segments.select(by, "seg_no", "segment"), by, [F.col("seg_no")], 1, "_rank")
+    return first.select(by, language.alias("language"))
 
 
 def lexicon_sentiment(

@@ -288,13 +288,13 @@ def echo_model(bad: str | None = None):
     return answer
 
 
-_PROMPT_SIZE = f"(length(text) + {len(_A) + len(_B)})"
+PROMPT_SIZE = f"(length(text) + {len(_A) + len(_B)})"
 
 
 @query(
     "model_batch_failing",
     f"""SELECT {CALL_KEY} AS source_key, contains(text, 'Th') AS failed,
-  CASE WHEN NOT contains(text, 'Th') THEN 'turns=1' || {NL} || 'chars=' || {_PROMPT_SIZE} END AS insights FROM conversations""",
+  CASE WHEN NOT contains(text, 'Th') THEN 'turns=1' || {NL} || 'chars=' || {PROMPT_SIZE} END AS insights FROM conversations""",
 )
 def model_batch_failing(spark, sf_dir):
     """Requests that fail cost only themselves, whatever else is in their batch."""
@@ -304,9 +304,9 @@ def model_batch_failing(spark, sf_dir):
 
 @query(
     "model_batch",
-    f"""SELECT {CALL_KEY} AS source_key, 'turns=1' || {NL} || 'chars=' || {_PROMPT_SIZE} AS insights,
+    f"""SELECT {CALL_KEY} AS source_key, 'turns=1' || {NL} || 'chars=' || {PROMPT_SIZE} AS insights,
   'turns=3' || {NL} || 'chars={len(prompts.FOLLOWUP_TEXT)}' AS top_priority_action,
-  {_PROMPT_SIZE} AS input_tokens, 'demo' AS model_id FROM conversations""",
+  {PROMPT_SIZE} AS input_tokens, 'demo' AS model_id FROM conversations""",
 )
 def model_batch(spark, sf_dir):
     answered = dialogs.run_dialog(dialogs.build_messages(calls(spark, sf_dir)), echo_model())

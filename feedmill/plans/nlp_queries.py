@@ -275,6 +275,25 @@ def nlp_results(spark, sf_dir):
     return flat_nlp(review_nlp(spark, sf_dir))
 
 
+@query(
+    "nlp_blank_files",
+    f"""WITH d AS (SELECT 'files/' || source || '/' || (doc_id % 5) || '.csv' AS source_key,
+    CASE WHEN doc_id % 5 > 0 THEN text WHEN doc_id % 2 = 0 THEN '  ' END AS review_content FROM documents),
+n AS (SELECT source_key, count(*) FILTER (WHERE {normalize_sql('review_content')} <> '') AS filled FROM d GROUP BY 1)
+SELECT source_key, filled = 0 AS skipped, filled AS total_documents FROM n""",
+)
+def nlp_blank_files(spark, sf_dir):
+    """Files that hold nothing but blank rows are skipped, not failed."""
+    rows = table(spark, sf_dir, "documents").selectExpr(
+        "'files/' || source || '/' || (doc_id % 5) || '.csv' as source_key",
+        "doc_id as row_no",
+        "case when doc_id % 5 > 0 then text when doc_id % 2 = 0 then '  ' end as review_content",
+    )
+    parts = segments.segments_from_rows(normalization.normalize_column(rows).drop("review_content"))
+    found = aggregation.nlp_results(rows.select("source_key").distinct(), parts)
+    return found.select("source_key", "nlp.skipped", "nlp.total_documents")
+
+
 # --- prompts ----------------------------------------------------------------
 
 _FRAME = prompts.REVIEW_FRAME.split("%s")

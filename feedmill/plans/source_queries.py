@@ -5,14 +5,15 @@ Round trips write below the shared folder of the session and read back.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from feedmill.plans.registry import query
 from feedmill.plans.table_queries import _BY_CATEGORY, CLEANED, by_category
-from feedmill.plans.views import REVIEWS_SQL, quote, reviews, strip_sql, table
+from feedmill.plans.views import NL, REVIEWS_SQL, quote, reviews, strip_sql, table
 from feedmill.functions import text as tx
-from feedmill.operators import etl, metrics, quality
-from feedmill.plans.dialog_queries import _answers_sql, answers
+from feedmill.operators import dialogs, etl, metrics, quality
+from feedmill.plans.dialog_queries import CALL_KEY, PROMPT_SIZE, _answers_sql, answers, calls, echo_model
 from feedmill.plans.metric_queries import _STATE_POINTS, states
 from feedmill.schemas import RAW_REVIEW_SCHEMA, REVIEW_COLUMNS, REVIEW_SCHEMA
 from feedmill.session import shared_dir
@@ -121,9 +122,35 @@ _TEXT_COLUMNS = ("text", "lang", "source")
     + ") SELECT *, column_name = (SELECT arg_max(column_name, (mean_length, -position)) FROM m) AS picked FROM m",
 )
 def pick_text_column(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    best = readers.pick_text_column(documents)
-    return readers.text_column_scores(documents).withColumn("picked", F.col("column_name") == F.lit(best))
+    """The same choice as ``pick_text_column`` makes, in one scan."""
+    scores = readers.text_column_scores(table(spark, sf_dir, "documents"))
+    best = F.max_by("column_name", F.struct("mean_length", -F.col("position"))).over(Window.partitionBy(F.lit(0)))
+    return scores.withColumn("picked", F.col("column_name") == best)
+
+
+@query("read_catalog", "SELECT source, count(*) AS n, sum(length(text))::BIGINT AS chars FROM documents GROUP BY 1")
+def read_catalog(spark, sf_dir):
+    """A catalog table, here a view over the documents."""
+    table(spark, sf_dir, "documents").createOrReplaceTempView("feedmill_documents")
+    rows = readers.read_catalog(spark, "feedmill_documents")
+    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+@query(
+    "read_surveys",
+    f"""SELECT doc_id // 50 AS file, {strip_sql(f"string_agg(replace(text, chr(10), ' '), {NL} ORDER BY doc_id)")} AS survey_summary,
+  false AS had_bad_bytes FROM documents GROUP BY 1""",
+)
+def read_surveys(spark, sf_dir):
+    """Fifty documents to a text file, read back whole and trimmed."""
+    folder = shared_dir(spark, "survey-files")
+    docs = table(spark, sf_dir, "documents").withColumn("file", F.floor(F.col("doc_id") / 50))
+    lines = docs.select("file", "doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("line"))
+    ordered = lines.repartition("file").sortWithinPartitions("file", "doc_id")
+    ordered.select("file", "line").write.partitionBy("file").text(f"{folder}/surveys")
+    found = readers.read_text_documents(spark, f"{folder}/surveys")
+    file = F.regexp_extract("source_key", "file=([0-9]+)/", 1).cast("bigint").alias("file")
+    return found.select(file, "survey_summary", "had_bad_bytes")
 
 
 @query(
@@ -221,3 +248,31 @@ def write_texts(spark, sf_dir):
     )
     writers.write_texts(rows, folder, "survey_summary", skip_empty=False)
     return spark.read.schema("data_type string, output_key string, text string").json(folder)
+
+
+@query(
+    "write_insights",
+    f"""SELECT {CALL_KEY} AS source_key, 'audio' AS data_type, DATE '2024-01-01' + (conv_id % 5)::INTEGER AS dt,
+  'turns=1' || {NL} || 'chars=' || {PROMPT_SIZE} AS insights, 'demo' AS model_id FROM conversations""",
+)
+def write_insights(spark, sf_dir):
+    """Insight records stored by type and day and read back."""
+    folder = shared_dir(spark, "insights")
+    day = F.expr("timestamp '2024-01-01' + make_dt_interval(cast(conv_id % 5 as int))")
+    asked = dialogs.build_messages(calls(spark, sf_dir).withColumn("ts", day))
+    writers.write_insights(dialogs.insight_records(dialogs.run_dialog(asked, echo_model()), "demo"), folder)
+    stored = spark.read.schema("source_key string, data_type string, dt date, insights string, model_id string").json(folder)
+    return stored.select("source_key", "data_type", "dt", "insights", "model_id")
+
+
+@query(
+    "write_clean_again",
+    CLEANED + " " + _BY_CATEGORY,
+)
+def write_clean_again(spark, sf_dir):
+    """A second run replaces the first one, categories that are gone included."""
+    folder = shared_dir(spark, "clean-again")
+    clean = etl.clean_reviews(reviews(spark, sf_dir))
+    writers.write_clean(clean.withColumn("top_category", F.concat(F.lit("old-"), "top_category")), folder)
+    writers.write_clean(clean, folder)
+    return by_category(spark.read.schema(clean.schema).parquet(folder))

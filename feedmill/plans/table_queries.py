@@ -317,3 +317,18 @@ SELECT source_key, 'deployed' AS ruleset, count(*) AS rules, count(*) FILTER (WH
 def dq_pass_rates(spark, sf_dir):
     results = rules.evaluate(reviews(spark, sf_dir), "deployed", by="source_key")
     return rules.pass_rates(results, ("source_key", "ruleset"))
+
+
+@query(
+    "validate_encoding",
+    """SELECT doc_id, doc_id % 4 = 1 AS bad, length(text) >= 10 AND doc_id % 4 = 1 AND trim(text) <> '' AS reported
+FROM documents WHERE length(trim(text)) >= 10""",
+)
+def validate_encoding(spark, sf_dir):
+    """Every fourth text ends in a broken byte."""
+    long_enough = table(spark, sf_dir, "documents").filter("length(trim(text)) >= 10")
+    broken = F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("FF"))).cast("string")
+    bad = F.col("doc_id") % 4 == 1
+    rows = long_enough.select("doc_id", bad.alias("bad"), F.when(bad, broken).otherwise(F.col("text")).alias("t"))
+    checked = validation.validate(rows, "t")
+    return checked.select("doc_id", "bad", F.array_contains("issues", "invalid_encoding").alias("reported"))
