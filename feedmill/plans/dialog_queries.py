@@ -15,6 +15,7 @@ from feedmill.plans.table_queries import CHECKED
 from feedmill.plans.views import NL, normalize_sql, quote, reviews, table
 from feedmill.session import shared_dir
 from feedmill.sources import payloads
+from feedmill.streaming import streams
 
 CALL_KEY = "'audio/call_' || conv_id || '_' || turn || '.mp3'"
 
@@ -471,3 +472,32 @@ def call_reports(spark, sf_dir):
     out = feedback.run_feedback([state], shared_dir(spark, "calls"), echo_model(), "demo")
     return out["state"].select("source_key", "data_type", F.length("normalized_text").alias("chars"))
 
+
+
+@query(
+    "stream_feedback",
+    """WITH k AS (SELECT CASE WHEN turn % 5 = 4 THEN 'lost/' ELSE 'audio/' END || 'call_' || conv_id || '_' || turn || '.mp3'
+    AS source_key FROM conversations)
+SELECT source_key, CASE WHEN starts_with(source_key, 'audio/') THEN 'report' ELSE 'dead letter' END AS outcome FROM k""",
+)
+def stream_feedback(spark, sf_dir):
+    """The whole flow per micro-batch, over several input files; unknown types become dead letters."""
+    folder = shared_dir(spark, "stream-feedback")
+    name = "case when turn % 5 = 4 then 'lost/' else 'audio/' end || 'call_' || conv_id || '_' || turn || '.mp3'"
+    rows = table(spark, sf_dir, "conversations").selectExpr(
+        f"{name} as source_key", "timestamp '2024-01-01' as ts", "text as transcript", "turn % 2 as half"
+    )
+    rows.write.partitionBy("half").parquet(f"{folder}/in")
+    files = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    routed = routing.route(files.drop("half"))
+
+    def build(batch):
+        return [feedback.text_files(batch.select("source_key", "ts", "transcript"), "audio", "transcript")]
+
+    process = feedback.batch_flow(f"{folder}/work", f"{folder}/out", build)
+    streams.start_batches(routed, process, f"{folder}/state", f"{folder}/dead").awaitTermination()
+    reports = spark.read.schema("source_key string").json(f"{folder}/out/quality-reports")
+    dead = spark.read.parquet(f"{folder}/dead")
+    return reports.select("source_key", F.lit("report").alias("outcome")).unionByName(
+        dead.select("source_key", F.lit("dead letter").alias("outcome"))
+    )
