@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,35 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def wrap(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` as one struct ``_doc`` plus ``columns``, so that no name of the input can clash with a working name."""
+    return rows.select(F.struct("*").alias("_doc"), *[c.alias(n) for n, c in columns.items()])
+
+
+def unwrap(rows: DataFrame, names: list[str], *more: str | Column, **changed: Column) -> DataFrame:
+    """The columns ``names`` of ``_doc``, with ``changed`` ones replaced, plus ``more``."""
+    kept = [changed[c].alias(c) if c in changed else F.col(f"_doc.`{c}`") for c in names]
+    return rows.select(*kept, *more)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches for long texts, where the session has no setting of its own.
+
+    At the default of 10,000 rows a batch of documents takes tens of megabytes
+    in the JVM and again in Python.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, so that Python holds few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def n_words(text: Column) -> Column:
     """Words of a text; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

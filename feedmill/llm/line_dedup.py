@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from feedmill.llm.common import store
+from feedmill.functions.text import bind
+from feedmill.llm.common import slices, small_batches, store, unwrap, wrap
 
 WINDOW = 2
 DIVISOR = 3
@@ -65,7 +66,7 @@ def _places(docs: DataFrame) -> DataFrame:
     """``(_key, _print, first, end, hash)`` of all chunks of ``docs(_key, _print, _text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             row, first, end, code = [], [], [], []
             for n, text in enumerate(batch.column(2).to_pylist()):
                 # The same chunk in both chunkings counts once.
@@ -90,6 +91,7 @@ def _places(docs: DataFrame) -> DataFrame:
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(_key, _print, _spans)``: per document the line spans ``(first, end)`` to remove."""
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_print"), F.col(text).alias("_text"))
     places = store(_places(slim), "chunks")
     often = places.groupBy("hash").agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col("hash").alias("_hash"))
@@ -97,11 +99,17 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     # A struct compares null keys as equal.
     own = F.struct("_key", "_print")
     per_doc = found.groupBy(own.alias("_doc")).agg(F.collect_set(F.struct("first", "end", "hash")).alias("_c"))
-    lines = F.split("_text", "\n")
     texts = slim.withColumn("_own", own).join(per_doc, F.col("_own") == F.col("_doc"))
-    texts = texts.select("_key", "_print", lines.alias("_lines"), F.explode("_c").alias("_c")).select(
-        "_key", "_print", "_c.*", F.array_join(F.slice("_lines", F.col("_c.first") + 1, F.col("_c.end") - F.col("_c.first")), "\n").alias("_bytes")
+    # Bytes are cut out before the explode, which would copy all lines for each chunk.
+    cut = bind(
+        F.split("_text", "\n"),
+        lambda lines: F.transform(
+            "_c", lambda c: F.struct(
+                c.alias("c"), F.array_join(F.slice(lines, c["first"] + 1, c["end"] - c["first"]), "\n").alias("bytes")
+            ),
+        ),
     )
+    texts = texts.select("_key", "_print", F.inline(cut)).select("_key", "_print", "c.*", F.col("bytes").alias("_bytes"))
     # Null keys come last, so a document with a key keeps its chunk.
     place = F.struct(F.col("_key").isNull().alias("none"), "_key", "_print", "first", "end")
     groups = texts.groupBy("hash").agg(
@@ -120,12 +128,14 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     Rows that are equal in key and text are one document and are cut alike.
     """
     spans = store(removals(docs, key, text), "line_spans")
-    spans = spans.select(F.struct("_key", "_print").alias("_doc"), "_spans")
-    own = F.struct(F.col(key).alias("_key"), F.xxhash64(text).alias("_print"))
+    spans = spans.select(F.struct("_key", "_print").alias("_of"), "_spans")
+    rows = wrap(docs, _text=F.col(text), _own=F.struct(F.col(key).alias("_key"), F.xxhash64(text).alias("_print")))
     gone = F.array_distinct(F.flatten(F.transform("_spans", lambda s: F.sequence(s["first"], s["end"] - 1))))
-    joined = docs.withColumn("_own", own).join(spans, F.col("_own") == F.col("_doc"), "left").withColumn("_gone", gone)
-    # Lines are cut by place; array_except would also drop equal lines elsewhere.
-    kept = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("_gone", i))
-    new = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    names = [new.alias(c) if c == text else F.col(c) for c in docs.columns]
-    return joined.select(*names, F.coalesce(F.size("_gone"), F.lit(0)).alias("_removed"))
+    # The spans of a corpus have no size bound, so they are never broadcast.
+    joined = rows.hint("merge").join(spans, F.col("_own") == F.col("_of"), "left").withColumn("_gone", gone)
+    # Lines are cut by place, in one pass over the places.
+    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+    kept = F.transform(places, lambda i: F.get("_lines", i))
+    joined = joined.withColumn("_lines", F.when(F.col("_gone").isNotNull(), F.split("_text", "\n")))
+    new = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n"))
+    return unwrap(joined, docs.columns, F.coalesce(F.size("_gone"), F.lit(0)).alias("_removed"), **{text: new})
