@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from feedmill.llm.common import slices, small_batches
+
 TRAIN = 192
 TRAIN_BYTES = 60_000
 ROUNDS = 30
@@ -372,10 +374,11 @@ def fit(pages: DataFrame, key: str = "page_id", html: str = "html", most: int =
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``(key, url, text, n_chars)`` per row. Null and empty pages have an empty text. Repeated rows stay repeated."""
     weights = fit(pages, key, html)
+    small_batches(pages.sparkSession)
     slim = pages.select(key, url, F.col(html).cast("string").alias("_html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [main_text(page, weights) for page in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions.text import bind
+from feedmill.llm.common import unwrap, wrap
 
 ROUNDS = 10
 DAYS = (200, 365)
@@ -222,20 +223,19 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     Null texts stay null; texts without a valid value stay as they are. Texts
     without a digit or ``@`` are passed over by one cheap test.
     """
-    some = F.rlike(text, F.lit("[0-9@]")) | F.rlike(text, F.lit("(?i:password|passwd|token|secret|api_key)"))
-    found = F.when(some, F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0)))
-    step = docs.withColumn("_m", found)
+    body = F.col("_text")
+    some = F.rlike(body, F.lit("[0-9@]")) | F.rlike(body, F.lit("(?i:password|passwd|token|secret|api_key)"))
+    found = F.when(some, F.regexp_extract_all(body, F.lit(ANY), F.lit(0)))
+    step = wrap(docs, _text=F.col(text)).withColumn("_m", found)
     step = step.withColumn("_n", F.transform("_m", lambda m: F.struct(m.alias("m"), pseudonym(m, key).alias("p"))))
-    pieces = F.split(F.col(text), ANY, -1)
     joined = F.array_join(
         F.transform(
-            pieces,
+            F.split(body, ANY, -1),
             lambda part, i: F.concat(part, F.coalesce(F.get("_n", i)["p"], F.get("_n", i)["m"], F.lit(""))),
         ),
         "",
     )
     hit = F.coalesce(F.exists("_n", lambda x: x["p"].isNotNull()), F.lit(False))
-    new = F.when(hit, joined).otherwise(F.col(text))
-    names = [new.alias(c) if c == text else F.col(c) for c in docs.columns]
-    values = F.coalesce(F.transform(F.filter("_n", lambda x: x["p"].isNotNull()), lambda x: x["m"]), F.array().cast("array<string>"))
-    return step.select(*names, values.alias("_values"))
+    values = F.transform(F.filter("_n", lambda x: x["p"].isNotNull()), lambda x: x["m"])
+    values = F.coalesce(values, F.array().cast("array<string>")).alias("_values")
+    return unwrap(step, docs.columns, values, **{text: F.when(hit, joined).otherwise(body)})

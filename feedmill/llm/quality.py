@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from feedmill.llm.common import WORD, store
+from feedmill.llm.common import WORD, store, unwrap, wrap
 
 #: The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -188,13 +188,12 @@ def judge(
     rules reject. Repeated label rows count once. Without labels only the base
     rules reject. The labelled texts are read twice, and no text is moved.
     """
-    good = _good(labels, key)
-    held = docs.join(good, docs[key] == good["_key"], "left_semi").select(
-        F.col(text).alias("_text"), F.col(stratum).alias("_stratum")
-    )
+    slim = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(stratum).alias("_stratum"))
+    held = slim.join(_good(labels, key), "_key", "left_semi").select("_text", "_stratum")
     held = store(features(held, "_text").drop("_text"), "holdout")
-    seen = features(docs.withColumn("_stratum", F.col(stratum)), text)
-    return verdicts(seen, held, "_stratum", risk, delta).drop("_stratum")
+    seen = features(wrap(docs, _text=F.col(text), _stratum=F.col(stratum)), "_text")
+    counts = [c for c in seen.columns if c.startswith("_q_")]
+    return unwrap(verdicts(seen, held, "_stratum", risk, delta), docs.columns, *counts, "_base", "_kept")
 
 
 def report(

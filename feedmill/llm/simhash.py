@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from feedmill.llm.common import components, store
+from feedmill.llm.common import components, slices, small_batches, store, unwrap, wrap
 
 SHINGLE = 4
 SEED = 42
@@ -54,15 +54,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, fp)`` per row; ``fp`` holds the 64 bits in a signed long."""
-    slim = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("_text"))
+    """``(_key, fp)`` per row; ``fp`` holds the 64 bits in a signed long."""
+    small_batches(docs.sparkSession)
+    slim = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             prints = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], names=[key, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], names=["_key", "fp"])
 
-    schema = StructType([slim.schema[key], StructField("fp", LongType(), False)])
+    schema = StructType([slim.schema["_key"], StructField("fp", LongType(), False)])
     return slim.mapInArrow(run, schema)
 
 
@@ -159,10 +160,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bi
     prints = store(fingerprints(docs, key, text), "fingerprints")
     groups = store(link_groups(prints, bits), "fp_groups")
     # The smallest key per fingerprint comes first, so a group of copies is summed up on the map side.
-    least = prints.groupBy("fp").agg(F.min(key).alias("_least"))
+    least = prints.groupBy("fp").agg(F.min("_key").alias("_least"))
     named = groups.join(least, "fp").groupBy("group").agg(F.min("_least").alias("component_id"))
     named = groups.join(named, "group").select(F.col("fp").alias("_fp"), "component_id")
-    return prints.join(named, F.col("fp") == F.col("_fp")).select(key, "fp", "component_id")
+    return prints.join(named, F.col("fp") == F.col("_fp")).select(F.col("_key").alias(key), "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
@@ -173,4 +174,5 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int
     """
     found = near_duplicates(docs, key, text, bits)
     gone = found.filter(F.col("component_id") < F.col(key)).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    left = wrap(docs, _own=F.col(key)).join(gone, F.col("_own") == F.col("_gone"), "left_anti")
+    return unwrap(left, docs.columns)
