@@ -69,6 +69,15 @@ HINTS = {
     "body": "article content main post entry story text body-text article-body post-content entry-content maincontent",
 }
 WORDS = {w: g for g, words in HINTS.items() for w in words.split()}
+#: Beginnings that say the same, whatever follows.
+STEMS = {
+    w: WORDS[w]
+    for w in "comment advert sponsor promo cookie consent newsletter sidebar footer breadcrumb pagination navbar disqus related masthead".split()
+}
+
+
+def _hint(word: str) -> str | None:
+    return WORDS.get(word) or next((g for stem, g in STEMS.items() if word.startswith(stem)), None)
 
 PRIOR = {
     "bias": -0.5, "tag=article": 2.0, "tag=main": 2.0, "tag=p": 1.0, "tag=h1": 0.5, "tag=h2": 0.5, "tag=h3": 0.5,
@@ -95,11 +104,18 @@ class Node:
 def parse(page: str) -> list[Node]:
     """The block elements in page order, a root first. Parents come before their children. Linear in the page."""
     nodes, stack = [Node("root", -1)], [0]
+    # How many elements of a name are open: without one, the stack need not be searched.
+    opened: dict[str, int] = {}
     low = page.lower() if page.isascii() else re.sub("[A-Z]+", lambda m: m.group().lower(), page)
     buffer: list[str] = []
     links, place, at, end = 0, 0, 0, len(page)
     link_text = 0
 
+    def shut(depth: int) -> None:
+        for i in stack[depth:]:
+            opened[nodes[i].tag] -= 1
+        del stack[depth:]
+
     def flush() -> None:
         nonlocal place, link_text
         if buffer:
@@ -138,8 +154,8 @@ def parse(page: str) -> list[Node]:
         # A quoted value may hold the closing bracket.
         for quote in "\"'":
             if page.count(quote, start, stop) % 2:
-                close = page.find(quote, stop)
-                later = page.find(">", close) if 0 <= close < stop + 2000 else -1
+                close = page.find(quote, stop, stop + 2000)
+                later = page.find(">", close) if close >= 0 else -1
                 stop = later if later >= 0 else stop
         body = page[start + 1 : stop]
         at = stop + 1
@@ -155,8 +171,8 @@ def parse(page: str) -> list[Node]:
                 after = low.find(f"</{tag}", at)
                 if tag == "head":
                     # A head without an end stops at the body.
-                    opened = low.find("<body", at)
-                    after = opened if after < 0 or 0 <= opened < after else after
+                    body_at = low.find("<body", at)
+                    after = body_at if after < 0 or 0 <= body_at < after else after
                     at = after if after >= 0 else at
                 else:
                     close = page.find(">", after) if after >= 0 else -1
@@ -172,25 +188,28 @@ def parse(page: str) -> list[Node]:
             continue
         flush()
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if nodes[stack[depth]].tag == tag:
-                    del stack[depth:]
-                    break
+            if opened.get(tag):
+                for depth in range(len(stack) - 1, 0, -1):
+                    if nodes[stack[depth]].tag == tag:
+                        shut(depth)
+                        break
             continue
         links = 0
         if nodes[stack[-1]].tag == "p":
-            stack.pop()
+            shut(len(stack) - 1)
         closes, fence = CLOSES.get(tag, ((), ()))
-        for depth in range(len(stack) - 1, 0, -1):
-            name = nodes[stack[depth]].tag
-            if name in fence:
-                break
-            if name in closes:
-                del stack[depth:]
-                break
+        if any(opened.get(name) for name in closes):
+            for depth in range(len(stack) - 1, 0, -1):
+                name = nodes[stack[depth]].tag
+                if name in fence:
+                    break
+                if name in closes:
+                    shut(depth)
+                    break
         nodes.append(Node(tag, stack[-1], body[len(tag) :]))
         if tag not in VOID:
             stack.append(len(nodes) - 1)
+            opened[tag] = opened.get(tag, 0) + 1
     flush()
     return nodes
 
@@ -213,8 +232,8 @@ def features(nodes: list[Node]) -> list[list[str]]:
             for value in _NAMES.findall(n.attrs):
                 for word in value.strip("\"'").lower().split():
                     for part in {word, *re.split(r"[-_]", word)}:
-                        if part in WORDS:
-                            groups.add(WORDS[part])
+                        if group := _hint(part):
+                            groups.add(group)
             style = n.attrs.lower()
             if "display:none" in style.replace(" ", "") or re.search(r"\bhidden\b", style):
                 f.append("hidden")

@@ -30,7 +30,49 @@ def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op10_risk_rules")
+@query(
+    "op10_risk_rules",
+    r"""
+    with rungs(rung, symbols, dups, repeats, chars, uppers) as (values
+        (0, 2.5, 0.95, 0.5, 40, 0.95), (1, 2.0, 0.9, 0.49, 35, 0.9), (2, 1.5, 0.85, 0.48, 30, 0.8),
+        (3, 1.0, 0.8, 0.47, 25, 0.7), (4, 0.75, 0.75, 0.46, 20, 0.65), (5, 0.5, 0.7, 0.45, 16, 0.6),
+        (6, 0.35, 0.6, 0.42, 14, 0.55), (7, 0.25, 0.5, 0.4, 12, 0.5)),
+    t as (select doc_id, lang, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+        from documents),
+    spots as (select doc_id, i, count(*) over (partition by doc_id, win) as often
+        from (select doc_id, i, [w[i], w[i + 1], w[i + 2]] as win
+            from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from t))),
+    covered as (select doc_id, count(distinct p) as n from (select doc_id, unnest([i, i + 1, i + 2]) as p from spots
+        where often > 1) group by 1),
+    lines as (select doc_id, count(*) as n, count(*) - count(distinct line) as dup
+        from (select doc_id, unnest(string_split(t, chr(10))) as line from t)
+        where regexp_matches(line, '[^\x20\x09-\x0D]') group by 1),
+    counts as (select t.doc_id, lang, len(w) as n_words, list_sum(list_transform(w, lambda x: length(x)))::bigint as chars,
+            length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as symbols, coalesce(l.n, 0) as n_lines,
+            coalesce(l.dup, 0) as dup, coalesce(c.n, 0) as repeats, len(regexp_extract_all(t, '\p{Lu}')) as uppers
+        from t left join covered c using (doc_id) left join lines l using (doc_id)),
+    base as (select *, n_words < 50 or 100 * repeats > 50 * n_words as failed,
+            case when n_words > 0 then symbols / n_words else 0 end as r1, case when n_lines > 0 then dup / n_lines else 0 end as r2,
+            case when n_words > 0 then repeats / n_words else 0 end as r3, case when n_words > 0 then chars / n_words else 0 end as r4,
+            case when coalesce(chars, 0) > 0 then uppers / chars else 0 end as r5 from counts),
+    good as (select doc_id from labels where quality is not null group by 1 having min(quality) = 1),
+    tested as (select coalesce(lang, '') as lang, rung, count(*) as n,
+            count(*) filter (where r1 > symbols_cut or r2 > dups or r3 > repeats_cut or r4 > chars_cut or r5 > uppers_cut) as k
+        from (select * from base semi join good using (doc_id) where not failed),
+            (select rung, symbols as symbols_cut, dups, repeats as repeats_cut, chars as chars_cut, uppers as uppers_cut from rungs)
+        group by 1, 2),
+    proved as (select *, case when k < n * 0.01 then (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+            + i * ln(0.01) + (n - i) * ln(0.99))) from (select unnest(range(0, k + 1)) as i)) else 1 end
+            <= 0.05 / (select count(distinct lang) from tested) as safe from tested),
+    best as (select lang, max(rung) as rung from (select lang, rung, bool_and(safe) over (partition by lang order by rung) as ok
+        from proved) where ok group by 1),
+    cuts as (select b.lang as cut_lang, r.* from best b join rungs r using (rung))
+    select doc_id, n_words, coalesce(b.chars, 0) as word_chars, b.symbols as n_symbols, dup as n_dup_lines,
+        b.repeats as n_repeat_words, failed as base_failed,
+        not failed and not coalesce(r1 > c.symbols or r2 > c.dups or r3 > c.repeats or r4 > c.chars or r5 > c.uppers, false) as kept
+    from base b left join cuts c on coalesce(b.lang, '') = cut_lang
+    """,
+)
 def op10_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of each document and whether the certified rules keep it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -112,7 +154,23 @@ def op4_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", F.size("_values").cast("long").alias("n_values"))
 
 
-@query("op5_multi_index")
+@query(
+    "op5_multi_index",
+    """
+    with recursive fine as (
+        select vec_id, embedding::double[] as e from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            and len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ),
+    near as (select a.vec_id as x, b.vec_id as y from fine a join fine b
+        on a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.9),
+    reach as (select x, y from near union select r.x, n.y from reach r join near n on r.y = n.x)
+    select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(low, vec_id)) as component_id,
+        vec_id <= coalesce(low, vec_id) as kept
+    from embeddings left join (select x, count(*) as n from near group by 1) c on c.x = vec_id
+        left join (select x, min(y) as low from reach group by 1) r on r.x = vec_id
+    """,
+)
 def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of each vector at a cosine of 0.9, and whether it is the one that its group keeps."""
     found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))

@@ -266,7 +266,7 @@ def test_pages(spark):
         "<div class='comments'><p>Nice text, I have read all of it twice, thank you.</p></div></article>"
         "<footer>2020</footer></body></html>"
     )
-    rows = [(1, "u", site), (1, "u", site), (2, None, None), (3, "u", ""), (4, "u", "<" * 300_000), (5, "u", "<div>" * 30_000 + "x")]
+    rows = [(1, "u", site), (1, "u", site), (2, None, None), (3, "u", ""), (4, "u", "<" * 300_000), (5, "u", "<div>" * 30_000 + "</p><li>" * 30_000 + "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("own"))
     got = {r["page_id"]: r for r in pages.extract(df).collect()}
     assert got[1]["text"] == (
