@@ -10,7 +10,8 @@ pseudonym passes the same test. The network works on pairs ``(x, y)`` below
 kind      valid                                           permuted
 ========  ==============================================  =======================
 card      13 to 19 digits, Luhn sum right                 all digits, check digit new
-phone     +1 or (ddd), area and exchange from 2 on        area, exchange, line
+iban      15 to 34 characters, remainder 1 modulo 97      all digits, check digits new
+phone     North American, area and exchange from 2 on     area, exchange, line
 world     + and 8 to 15 digits                            all but the first two
 ssn       area 001-899 without 666, group, serial not 0   all
 ipv4      octets to 255, first 1 to 223                   all
@@ -38,13 +39,14 @@ EPOCH = "1900-01-01"
 MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 CLOUD_KEY = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
 SECRET = r"(?<![A-Za-z0-9])(?i:password|passwd|token|secret|api_key) ?[=:] ?\"?[A-Za-z0-9_-]{8,}"
-PHONE = r"(?<![\w+(])(?:\+1[ .-]?)?\([2-9]\d\d\) ?[2-9]\d\d[ .-]?\d{4}(?!\d)|(?<![\w+])\+1[ .-]?[2-9]\d\d[ .-]?[2-9]\d\d[ .-]?\d{4}(?!\d)"
+PHONE = r"(?<![\w+(])(?:\+1[ .-]?)?\([2-9]\d\d\) ?[2-9]\d\d[ .-]?\d{4}(?!\d)|(?<![\w+])\+1[ .-]?[2-9]\d\d[ .-]?[2-9]\d\d[ .-]?\d{4}(?!\d)|(?<![\w.+-])[2-9]\d\d[ .-][2-9]\d\d[ .-]\d{4}(?![\w-])"
 WORLD = r"(?<![\w+])\+[1-9]\d(?:[ .-]?\d){6,13}(?!\d)"
 DATE = r"(?<![\w.-])(?:\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})(?![\w-])"
 IPV4 = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])"
 CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"
-ANY = "|".join([MAIL, CLOUD_KEY, SECRET, PHONE, WORLD, DATE, IPV4, SSN, CARD])
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+ANY = "|".join([MAIL, CLOUD_KEY, SECRET, IBAN, PHONE, WORLD, DATE, IPV4, SSN, CARD])
 
 
 def _digest(key: str, *parts: Column) -> Column:
@@ -92,11 +94,21 @@ def luhn(payload: Column) -> Column:
     return F.pmod(F.lit(10) - total % 10, F.lit(10))
 
 
-def _refill(shape: Column, digits: Column) -> Column:
-    """``shape`` with its digits replaced in turn by ``digits``."""
+def remainder(code: Column) -> Column:
+    """A string of digits and capital letters modulo 97, letters counting from 10 on."""
+
+    def add(total: Column, c: Column) -> Column:
+        letter = F.rlike(c, F.lit("^[A-Z]$"))
+        return F.when(letter, (total * 100 + F.ascii(c) - 55) % 97).otherwise((total * 10 + c.cast("long")) % 97)
+
+    return F.aggregate(F.filter(F.split(code, ""), lambda c: c != ""), F.lit(0).cast("long"), add)
+
+
+def _refill(shape: Column, digits: Column, taken: str = "^[0-9]$") -> Column:
+    """``shape`` with its digits (or what ``taken`` matches) replaced in turn by ``digits``."""
 
     def put(s: Column, c: Column) -> Column:
-        digit = F.rlike(c, F.lit("^[0-9]$"))
+        digit = F.rlike(c, F.lit(taken))
         new = F.when(digit, F.substr(digits, s["i"] + 1, F.lit(1))).otherwise(c)
         return F.struct(F.concat(s["t"], new).alias("t"), (s["i"] + F.when(digit, 1).otherwise(0)).alias("i"))
 
@@ -123,7 +135,11 @@ def _kind(m: Column, d: Column) -> Column:
     social = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     full = lambda p: F.rlike(m, F.lit(f"^(?:{p})$"))
     kind = F.when(F.contains(m, F.lit("@")), "mail").when(full(r"AKIA[A-Z0-9]{16}"), "cloud").when(F.rlike(m, F.lit(r"^(?i:[a-z_]+) ?[=:]")), "secret")
-    kind = kind.when(full(r"(?:\+1[ .-]?)?\(?[2-9]\d\d\)?[ .-]?[2-9]\d\d[ .-]?\d{4}") & F.rlike(m, F.lit(r"[+(]")), "phone")
+    code = F.replace(m, F.lit(" "), F.lit(""))
+    moved = F.concat(F.substr(code, F.lit(5), F.length(code)), F.substr(code, F.lit(1), F.lit(4)))
+    account = full(r"[A-Z]{2}\d\d[A-Z0-9 ]+") & F.length(code).between(15, 34)
+    kind = kind.when(F.when(account, remainder(moved) == 1).otherwise(False), "iban")
+    kind = kind.when(full(r"(?:\+1[ .-]?)?\(?[2-9]\d\d\)?[ .-]?[2-9]\d\d[ .-]?\d{4}"), "phone")
     kind = kind.when(F.startswith(m, F.lit("+")), "world")
     shapes = {"iso": r"\d{4}-\d\d-\d\d", "dot": r"\d\d\.\d\d\.\d{4}", "dmy": r"\d\d/\d\d/\d{4}", "mdy": r"\d\d/\d\d/\d{4}"}
     for name, form in DATES.items():
@@ -147,6 +163,9 @@ def _pair(m: Column, d: Column, kind: Column) -> Column:
     phone = quad(
         _number(tail, 1, 3) - 200, (_number(tail, 4, 3) - 200) * 10000 + _number(tail, 7, 4), 800, 800 * 10000
     )
+    inner = F.substr(d, F.lit(3), n)  # without the check digits
+    part = F.floor((n - 2) / 2).cast("int")
+    iban = quad(_number(inner, 1, part), F.substr(inner, part + 1, n).cast("long"), _power(part), _power(n - 2 - part))
     rest = F.substr(d, F.lit(3), n)
     some = F.floor((n - 2) / 2).cast("int")
     world = quad(_number(rest, 1, some), F.substr(rest, some + 1, n).cast("long"), _power(some), _power(n - 2 - some))
@@ -157,7 +176,8 @@ def _pair(m: Column, d: Column, kind: Column) -> Column:
     o = F.transform(F.split(m, r"\."), lambda v: v.cast("long"))
     at = lambda i: F.get(o, F.lit(i))
     ipv4 = quad((at(0) - 1) * 256 + at(1), at(2) * 256 + at(3), 223 * 256, 65536)
-    out = F.when(kind == "card", card).when(kind == "phone", phone).when(kind == "world", world).when(kind == "ssn", ssn).when(kind == "ipv4", ipv4)
+    out = F.when(kind == "card", card).when(kind == "iban", iban).when(kind == "phone", phone).when(kind == "world", world)
+    out = out.when(kind == "ssn", ssn).when(kind == "ipv4", ipv4)
     for name, form in DATES.items():
         day = _day(m, form)
         out = out.when(kind == name, quad(F.floor(day / DAYS[1]), day % DAYS[1], *DAYS))
@@ -178,7 +198,18 @@ def _written(m: Column, d: Column, kind: Column, p: Column, q: Column) -> Column
     ssn = F.concat_ws("-", _pad(area, 3), _pad(F.floor(p["y"] / 9999) + 1, 2), _pad(p["y"] % 9999 + 1, 4))
     octets = [F.floor(p["x"] / 256) + 1, p["x"] % 256, F.floor(p["y"] / 256), p["y"] % 256]
     ipv4 = F.concat_ws(".", *[o.cast("string") for o in octets])
-    out = F.when(kind == "card", card).when(kind == "phone", phone).when(kind == "world", world).when(kind == "ssn", ssn).when(kind == "ipv4", ipv4)
+    code = F.replace(m, F.lit(" "), F.lit(""))
+    land = F.substr(code, F.lit(1), F.lit(2))
+    part = F.floor((n - 2) / 2).cast("int")
+    number = _refill(F.substr(code, F.lit(5), F.length(code)), F.concat(_pad(p["x"], part), _pad(p["y"], n - 2 - part)))
+    iban = bind(
+        number,
+        lambda v: _refill(
+            m, F.concat(land, _pad(98 - remainder(F.concat(v, land, F.lit("00"))), 2), v), "^[A-Z0-9]$"
+        ),
+    )
+    out = F.when(kind == "card", card).when(kind == "iban", iban).when(kind == "phone", phone).when(kind == "world", world)
+    out = out.when(kind == "ssn", ssn).when(kind == "ipv4", ipv4)
     for name, form in DATES.items():
         day = F.date_add(F.lit(EPOCH).cast("date"), (p["x"] * DAYS[1] + p["y"]).cast("int"))
         out = out.when(kind == name, F.date_format(day, form))
