@@ -40,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document."""
-    done = pieces.encode(docs, PIECES)
+    done = pieces.encode(docs, PIECES, back=False)
     return done.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids")
 
 

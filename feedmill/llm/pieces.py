@@ -34,12 +34,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from feedmill.llm.common import store
+from feedmill.functions.text import bind
+from feedmill.llm.common import slices, small_batches, store
 
 #: Fixed value: the mark that stands for a space.
 MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
-HOT = 400_000
+HOT = 600_000
+#: Share of the documents in which frequent units are looked for. Any choice gives the same ids.
+PROBE = 0.3
 #: A unit's boundaries are bits of a long. Longer units are encoded one by one in Python.
 LONGEST = 62
 
@@ -56,8 +59,10 @@ class Model:
     longest: int
 
     def table(self, spark: SparkSession) -> DataFrame:
-        rows = [(p, i, self.scores[p]) for p, i in self.ids.items()]
-        return spark.createDataFrame(rows, "piece string, id int, score double")
+        # Pieces of equal score rank equal.
+        order = {score: i for i, score in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        rows = [(p, i, order[self.scores[p]], self.scores[p]) for p, i in self.ids.items()]
+        return spark.createDataFrame(rows, "piece string, id int, rank int, score double")
 
 
 def load(path: str) -> Model:
@@ -74,6 +79,8 @@ def load(path: str) -> Model:
     if spec.precompiled_charsmap or spec.remove_extra_whitespaces or not spec.add_dummy_prefix or not spec.escape_whitespaces:
         raise ValueError("only models that keep texts as they are, behind one word mark, are supported")
     ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == 1}
+    if len(model.pieces) >= 1 << 20:
+        raise ValueError("an edge holds ids below 2^20")
     if any("\n" in p or MARK in p.lstrip(MARK) for p in ids):
         raise ValueError("a piece crosses units")
     byte_ids, texts = [0] * 256, []
@@ -92,98 +99,148 @@ def units(text: str | None) -> list[str]:
 
 
 
-def _byte_pieces(char: Column, model: Model) -> Column:
-    code = F.hex(F.encode(char, "UTF-8"))
+def _shift(value: Column, bits: int | Column) -> Column:
+    return F.call_function("shiftleft", value.cast("long"), F.lit(bits) if isinstance(bits, int) else bits)
+
+
+def _field(edge: Column, at: int, bits: int) -> Column:
+    return F.shiftrightunsigned(edge, at).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+
+
+#: An edge is one long: rank of the piece, start, end, whether it is a character
+#: without a piece, and its id or code point. Sorted edges are in merge order.
+_RANK, _START, _END, _RAW, _VALUE = (34, 20), (28, 6), (22, 6), (21, 1), (0, 21)
+
+
+def _edge(rank: Column, start: Column, end: Column, raw: Column, value: Column) -> Column:
+    parts = zip((rank, start, end, raw, value), (_RANK, _START, _END, _RAW, _VALUE))
+    edge = F.lit(0).cast("long")
+    for part, (at, _) in parts:
+        edge = edge.bitwiseOR(_shift(part, at))
+    return edge
+
+
+def _bit(place: Column) -> Column:
+    return _shift(F.lit(1), place.cast("int"))
+
+
+def _masks(edge: Column) -> Column:
+    """Bits of an edge's two ends, of the boundaries inside it, of both, and the edge without its rank."""
+    low = edge.bitwiseAND(F.lit((1 << _RANK[0]) - 1).cast("long"))
+    ends = _bit(_field(edge, *_START)).bitwiseOR(_bit(_field(edge, *_END)))
+    inner = _bit(_field(edge, *_END)) - _bit(_field(edge, *_START) + 1)
+    two = F.struct(ends.alias("ends"), inner.alias("inner"), low.alias("low"))
+    return bind(
+        two, lambda t: F.struct(t["ends"], t["inner"], t["ends"].bitwiseOR(t["inner"]).alias("cover"), t["low"])
+    )
+
+
+def _byte_pieces(code: Column, model: Model) -> Column:
+    """The byte pieces of a code point's UTF-8 form."""
     table = F.array(*[F.lit(i) for i in model.byte_ids])
-    each = lambda k: F.get(table, F.conv(F.substring(code, k * 2 + 1, F.lit(2)), 16, 10).cast("int"))
-    return F.transform(F.sequence(F.lit(0), (F.length(code) / 2).cast("int") - 1), each)
+    tail = lambda at: F.shiftrightunsigned(code, at).bitwiseAND(F.lit(63)) + 128
+    head = lambda at, mark: F.shiftrightunsigned(code, at) + mark
+    octets = (
+        F.when(code < 0x80, F.array(code))
+        .when(code < 0x800, F.array(head(6, 192), tail(0)))
+        .when(code < 0x10000, F.array(head(12, 224), tail(6), tail(0)))
+        .otherwise(F.array(head(18, 240), tail(12), tail(6), tail(0)))
+    )
+    return F.transform(octets, lambda o: F.get(table, o.cast("int")))
 
 
 def _merge(edges: Column, full: Column, size: Column) -> Column:
-    """Boundaries that are left after all merges; ``edges`` are sorted best first."""
+    """Boundaries that are left after all merges; ``edges`` are masks, best first."""
 
     def applies(mask: Column, e: Column) -> Column:
-        inside = mask.bitwiseAND(e["inner"])
-        return (F.bit_count(inside) == 1) & (mask.bitwiseAND(e["ends"]) == e["ends"])
+        return (mask.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(mask.bitwiseAND(e["inner"])) == 1)
 
     def step(state: Column, _: Column) -> Column:
         best = F.get(F.filter(edges, lambda e: applies(state["mask"], e)), F.lit(0))
         merged = F.transform(
             F.array(best),
-            lambda b: F.when(b.isNull(), F.struct(state["mask"].alias("mask"), F.lit(True).alias("done"))).otherwise(
-                F.struct(state["mask"].bitwiseAND(F.bitwise_not(b["inner"])).alias("mask"), F.lit(False).alias("done"))
+            lambda b: F.struct(
+                F.coalesce(state["mask"].bitwiseAND(F.bitwise_not(b["inner"])), state["mask"]).alias("mask"),
+                b.isNull().alias("done"),
             ),
         )[0]
         return F.when(state["done"], state).otherwise(merged)
 
     start = F.struct(full.alias("mask"), F.lit(False).alias("done"))
-    return F.aggregate(F.sequence(F.lit(1), size), start, step)["mask"]
+    return F.aggregate(F.sequence(F.lit(1), size.cast("int")), start, step)["mask"]
 
 
 def _viterbi(edges: Column, size: Column) -> Column:
     """Boundaries of the best path; ``edges`` are sorted by their end. Of equal paths the first found stays."""
     seed = F.transform(
-        F.sequence(F.lit(0), size),
+        F.sequence(F.lit(0), size.cast("int")),
         lambda k: F.struct(F.when(k == 0, F.lit(0.0)).alias("score"), F.when(k == 0, F.lit(1).cast("long")).alias("mask")),
     )
 
     def step(best: Column, e: Column) -> Column:
-        before, at = F.get(best, e["start"]), F.get(best, e["end"])
+        before, at = F.get(best, e["start"].cast("int")), F.get(best, e["end"].cast("int"))
         score = before["score"] + e["score"]
         better = before["score"].isNotNull() & (at["score"].isNull() | (score > at["score"]))
-        cell = F.struct(score.alias("score"), before["mask"].bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), e["end"])).alias("mask"))
+        cell = F.struct(score.alias("score"), before["mask"].bitwiseOR(_bit(e["end"])).alias("mask"))
         return F.when(better, F.transform(best, lambda c, k: F.when(k == e["end"], cell).otherwise(c))).otherwise(best)
 
     return F.element_at(F.aggregate(edges, seed, step), -1)["mask"]
 
 
 def encode_units(rows: DataFrame, model: Model, by: list[str]) -> DataFrame:
-    """``by``, ``unit`` and ``ids`` for ``rows(*by, unit)``; units have 1 to ``LONGEST`` characters.
+    """``by`` and ``ids`` for ``rows(*by, unit)``; units have 1 to ``LONGEST`` characters.
 
-    ``rows`` that are already partitioned by columns of ``by`` are not
-    shuffled: exploding and the join with the broadcast piece table, whose size
-    the model file bounds, keep the partitioning.
+    Only ``by`` and one number per edge are grouped. ``rows`` that are already
+    partitioned by columns of ``by`` are not shuffled: exploding and the join
+    with the broadcast piece table, whose size the model file bounds, keep the
+    partitioning.
     """
-    spark, one = rows.sparkSession, F.lit(1).cast("long")
-    shift = lambda place: F.call_function("shiftleft", one, place)
-    starts = rows.select(*by, "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("_s"))
+    both = list(dict.fromkeys([*by, "unit"]))
+    starts = rows.select(*both, F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("_s"))
     longest = F.least(F.lit(model.longest), F.length("unit") - F.col("_s"))
-    spans = starts.select(*by, "unit", "_s", F.explode(F.sequence(F.lit(1), longest)).alias("_n"))
-    spans = spans.withColumn("_piece", F.substring("unit", F.col("_s") + 1, F.col("_n")))
-    pieces = F.broadcast(model.table(spark))
+    spans = starts.select(*both, "_s", F.explode(F.sequence(F.lit(1), longest)).alias("_n"))
+    spans = spans.select(*by, "_s", "_n", F.substring("unit", F.col("_s") + 1, F.col("_n")).alias("_piece"))
+    pieces = F.broadcast(model.table(rows.sparkSession))
     found = spans.join(pieces, F.col("_piece") == F.col("piece"), "left").filter((F.col("_n") == 1) | F.col("id").isNotNull())
-    end = F.col("_s") + F.col("_n")
+    raw = F.col("id").isNull()
+    edge = _edge(
+        F.coalesce("rank", F.lit((1 << _RANK[1]) - 1)), F.col("_s"), F.col("_s") + F.col("_n"), raw.cast("long"),
+        F.coalesce("id", F.ascii("_piece")),
+    )
     # A character without a piece costs more than any piece.
     lost = min(model.scores.values()) - 10.0
-    edge = F.struct(
-        F.coalesce(-F.col("score"), F.lit(-lost)).alias("cost"),
-        F.col("_s").alias("start"),
-        end.alias("end"),
-        shift(F.col("_s")).bitwiseOR(shift(end)).alias("ends"),
-        (shift(end) - shift(F.col("_s") + 1)).alias("inner"),
-        F.col("id"),
-    )
-    lattice = found.groupBy(*by, "unit").agg(F.collect_list(edge).alias("_e")).withColumn("_size", F.length("unit"))
+    scored = F.struct(edge.alias("edge"), F.coalesce("score", F.lit(lost)).alias("score"))
+    lattice = found.groupBy(*by).agg(F.collect_list(edge if model.kind == "bpe" else scored).alias("_l"))
     if model.kind == "bpe":
-        wide = F.filter("_e", lambda e: e["end"] - e["start"] > 1)
-        full = shift(F.col("_size") + 1) - 1
-        folded = lattice.withColumn("_w", F.sort_array(wide)).withColumn(
-            "_mask", F.when(F.size("_w") == 0, full).otherwise(_merge(F.col("_w"), full, F.col("_size")))
-        )
+        lattice = lattice.withColumn("_e", F.sort_array("_l"))  # best first
     else:
-        order = F.transform("_e", lambda e: F.struct(e["end"].alias("end"), e["start"].alias("start"), (-e["cost"]).alias("score")))
-        folded = lattice.withColumn("_mask", _viterbi(F.sort_array(order), F.col("_size")))
-    on_path = lambda e: (F.col("_mask").bitwiseAND(e["ends"]) == e["ends"]) & (F.col("_mask").bitwiseAND(e["inner"]) == 0)
-    path = F.sort_array(F.transform(F.filter("_e", on_path), lambda e: F.struct(e["start"].alias("start"), e["id"].alias("id"))))
-    ids = F.flatten(
-        F.transform(
-            "_path",
-            lambda p: F.when(p["id"].isNotNull(), F.array(p["id"])).otherwise(
-                _byte_pieces(F.substring(F.col("unit"), p["start"] + 1, F.lit(1)), model)
+        lattice = lattice.withColumn("_e", F.transform("_l", lambda x: x["edge"]))
+    # Each character is an edge, so the ends of all edges are all the boundaries.
+    lattice = lattice.withColumn("_m", F.transform("_e", _masks))
+    every = F.aggregate("_m", F.lit(0).cast("long"), lambda mask, e: mask.bitwiseOR(e["ends"]))
+    lattice = lattice.withColumn("_full", every)
+    size = F.bit_count("_full") - 1
+    if model.kind == "bpe":
+        lattice = lattice.withColumn("_w", F.filter("_m", lambda e: e["inner"] != 0))
+        merged = F.when(F.size("_w") == 0, F.col("_full")).otherwise(_merge(F.col("_w"), F.col("_full"), size))
+        folded = lattice.withColumn("_mask", merged)
+    else:
+        order = F.transform(
+            "_l",
+            lambda x: F.struct(
+                _field(x["edge"], *_END).alias("end"), _field(x["edge"], *_START).alias("start"), x["score"].alias("score")
             ),
         )
+        folded = lattice.withColumn("_mask", _viterbi(F.sort_array(order), size))
+    # Bound, or the optimizer would fold the merges into the test of every edge.
+    on_path = bind(F.col("_mask"), lambda mask: F.filter("_m", lambda e: mask.bitwiseAND(e["cover"]) == e["ends"]))
+    # Without its rank an edge sorts by its start.
+    path = F.sort_array(F.transform(on_path, lambda e: e["low"]))
+    value = lambda e: _field(e, *_VALUE).cast("int")
+    ids = F.flatten(
+        F.transform("_path", lambda e: F.when(_field(e, *_RAW) == 0, F.array(value(e))).otherwise(_byte_pieces(value(e), model)))
     )
-    return folded.withColumn("_path", path).select(*by, "unit", ids.alias("ids"))
+    return folded.withColumn("_path", path).select(*by, ids.alias("ids"))
 
 
 def encode_long(unit: str, model: Model) -> list[int]:
@@ -241,13 +298,14 @@ def decode_ids(ids: list[int], model: Model) -> str:
 
 
 def _counts(docs: DataFrame) -> DataFrame:
-    """``(unit, n)``: counts of units seen more than once in a batch of texts; a hint for ``HOT``, not a statistic."""
+    """``(unit, n)``: units seen more than once in a batch of texts; they only choose what is encoded ahead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                seen.update(units(text))
+            for part in slices(iter([batch])):
+                for text in part.column(0).to_pylist():
+                    seen.update(units(text))
             often = [(u, n) for u, n in seen.items() if n > 1 and len(u) <= LONGEST]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([u for u, _ in often], pa.string()), pa.array([n for _, n in often], pa.int64())], names=["unit", "n"]
@@ -258,9 +316,10 @@ def _counts(docs: DataFrame) -> DataFrame:
 
 def hot_units(docs: DataFrame, model: Model, text: str, hot: int) -> dict[str, bytes]:
     """The ids, four bytes each, of at most ``hot`` frequent units; this bounded table goes to the driver."""
-    counts = store(_counts(docs.select(F.col(text).alias("_text"))).groupBy("unit").agg(F.sum("n").alias("n")), "units")
+    probe = docs.select(F.col(text).alias("_text")).sample(PROBE, seed=3)
+    counts = store(_counts(probe).groupBy("unit").agg(F.sum("n").alias("n")), "units")
     top = counts.orderBy(F.desc("n"), "unit").limit(hot).select("unit")
-    encoded = encode_units(top.repartition("unit"), model, [])
+    encoded = encode_units(top.repartition("unit"), model, ["unit"])
     out: dict[str, bytes] = {}
     for row in encoded.toArrow().to_batches():
         names, ids = row.column(0).to_pylist(), row.column(1)
@@ -269,51 +328,66 @@ def hot_units(docs: DataFrame, model: Model, text: str, hot: int) -> dict[str, b
     return out
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
-    """``(key, text, ids, decoded)`` per row of ``docs``: ids, and the text decoded from them again.
+def encode(
+    docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", hot: int = HOT, back: bool = True
+) -> DataFrame:
+    """``(key, text, ids, decoded)`` per row of ``docs``: ids and, unless ``back`` is off, the text decoded from them again.
 
     Null and empty texts have no ids and decode to an empty text. A text that
     holds the word mark itself decodes to a space there, as in any encoder of
     this kind. Repeated rows stay repeated.
     """
     spark, model = docs.sparkSession, load(path)
+    small_batches(spark)
     hot_ids = spark.sparkContext.broadcast(hot_units(docs, model, text, hot))
     slim = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_print"), F.col(text).cast("string").alias("_text"))
 
+    def rare_units(text: str | None, known: dict[str, bytes]) -> list[str]:
+        """The units of a text that are not encoded ahead, in an order that both passes agree on."""
+        return sorted(u for u in set(units(text)).difference(known) if len(u) <= LONGEST)
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, pack = hot_ids.value, zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            texts = batch.column(2).to_pylist()
-            rare = [sorted({u for u in units(t) if u not in known and len(u) <= LONGEST}) for t in texts]
-            packed = [None if t is None else pack.compress(t.encode()) for t in texts]
+        known = hot_ids.value
+        for batch in slices(batches):
+            rare = [rare_units(t, known) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(rare, pa.list_(pa.string())), pa.array(packed, pa.binary())],
-                names=["_key", "_print", "_rare", "_packed"],
+                [batch.column(0), pa.array(rare, pa.list_(pa.string()))], names=["_print", "_rare"]
             )
 
-    more = [StructField("_rare", ArrayType(StringType())), StructField("_packed", BinaryType())]
-    seen = slim.mapInArrow(scan, StructType([slim.schema["_key"], slim.schema["_print"], *more]))
-    # Rows that are equal in key and text share one row of rare units.
-    rare = seen.select("_print", "_rare").dropDuplicates(["_print"])
-    rare = rare.select("_print", F.explode("_rare").alias("unit"))
-    extra = encode_units(rare, model, ["_print"]).groupBy("_print").agg(
-        F.collect_list(F.struct("unit", "ids")).alias("_extra")
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = zstandard.ZstdCompressor(level=3)
+        for batch in slices(batches):
+            packed = [None if t is None else small.compress(t.encode()) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["_key", "_print", "_packed"]
+            )
+
+    prints = StructType([slim.schema["_print"], StructField("_rare", ArrayType(StringType()))])
+    # Rows that are equal in text share one row of rare units.
+    rare = slim.select("_print", "_text").mapInArrow(scan, prints).dropDuplicates(["_print"])
+    rare = rare.select("_print", F.posexplode("_rare").alias("_u", "unit"))
+    extra = encode_units(rare, model, ["_print", "_u"]).groupBy("_print").agg(
+        F.collect_list(F.struct("_u", "ids")).alias("_extra")
+    )
+    packed = slim.mapInArrow(
+        pack, StructType([slim.schema["_key"], slim.schema["_print"], StructField("_packed", BinaryType())])
     )
-    joined = seen.select("_key", "_print", "_packed").join(extra.withColumnRenamed("_print", "_of"), F.col("_print") == F.col("_of"), "left")
+    joined = packed.join(extra.withColumnRenamed("_print", "_of"), F.col("_print") == F.col("_of"), "left")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, unpack = hot_ids.value, zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in slices(batches):
             texts, found, decoded = [], [], []
             for data, extra in zip(batch.column(1), batch.column(2)):
                 raw = data.as_py()
                 text = None if raw is None else unpack.decompress(raw).decode()
-                own = {e["unit"]: np.array(e["ids"], "<i4").tobytes() for e in extra.as_py() or ()}
+                rare = rare_units(text, known)
+                own = {rare[e["_u"]]: np.array(e["ids"], "<i4").tobytes() for e in extra.as_py() or ()}
                 parts = [known.get(u) or own.get(u) or np.array(encode_long(u, model), "<i4").tobytes() for u in units(text)]
                 ids = np.frombuffer(b"".join(parts), "<i4")
                 texts.append(text)
                 found.append(ids)
-                decoded.append(decode_ids(ids.tolist(), model))
+                decoded.append(decode_ids(ids.tolist(), model) if back else None)
             sizes = np.cumsum([0, *map(len, found)])
             values = pa.array(np.concatenate(found) if found else np.zeros(0, "<i4"), pa.int32())
             yield pa.RecordBatch.from_arrays(
