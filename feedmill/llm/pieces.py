@@ -14,9 +14,9 @@ higher-order aggregate folds them into the unit's pieces:
 Characters without a piece become their bytes' pieces.
 
 Units are repeated very unevenly. The ``HOT`` most frequent ones (a bound, not a
-cut) are encoded once, and their ids are broadcast. All other units go through
-the same lattice where their document is, so texts are moved once, packed, and
-nothing that grows with the corpus is broadcast.
+cut) are encoded ahead, and their ids are broadcast. Every other unit is encoded
+once by the same lattice and joined back to the texts that hold it; texts are
+moved once, packed, and nothing that grows with the corpus is broadcast.
 """
 
 from __future__ import annotations
@@ -316,10 +316,11 @@ def _counts(docs: DataFrame) -> DataFrame:
 
 def hot_units(docs: DataFrame, model: Model, text: str, hot: int) -> dict[str, bytes]:
     """The ids, four bytes each, of at most ``hot`` frequent units; this bounded table goes to the driver."""
+    spark = docs.sparkSession
     probe = docs.select(F.col(text).alias("_text")).sample(PROBE, seed=3)
     counts = store(_counts(probe).groupBy("unit").agg(F.sum("n").alias("n")), "units")
     top = counts.orderBy(F.desc("n"), "unit").limit(hot).select("unit")
-    encoded = encode_units(top.repartition("unit"), model, ["unit"])
+    encoded = encode_units(top.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "unit"), model, ["unit"])
     out: dict[str, bytes] = {}
     for row in encoded.toArrow().to_batches():
         names, ids = row.column(0).to_pylist(), row.column(1)
@@ -366,7 +367,12 @@ def encode(
     # Rows that are equal in text share one row of rare units.
     rare = slim.select("_print", "_text").mapInArrow(scan, prints).dropDuplicates(["_print"])
     rare = rare.select("_print", F.posexplode("_rare").alias("_u", "unit"))
-    extra = encode_units(rare, model, ["_print", "_u"]).groupBy("_print").agg(
+    # Each of them is encoded once, however many texts hold it.
+    # A few bytes become many edges, so the partitions are not joined by their bytes.
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    distinct = rare.select("unit").distinct().repartition(many, "unit")
+    coded = encode_units(distinct, model, ["unit"]).withColumnRenamed("unit", "_unit")
+    extra = rare.join(coded, F.col("unit") == F.col("_unit")).groupBy("_print").agg(
         F.collect_list(F.struct("_u", "ids")).alias("_extra")
     )
     packed = slim.mapInArrow(
