@@ -5,7 +5,6 @@ Round trips write below the shared folder of the session and read back.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from feedmill.plans.registry import query
@@ -122,10 +121,8 @@ _TEXT_COLUMNS = ("text", "lang", "source")
     + ") SELECT *, column_name = (SELECT arg_max(column_name, (mean_length, -position)) FROM m) AS picked FROM m",
 )
 def pick_text_column(spark, sf_dir):
-    """The same choice as ``pick_text_column`` makes, in one scan."""
-    scores = readers.text_column_scores(table(spark, sf_dir, "documents"))
-    best = F.max_by("column_name", F.struct("mean_length", -F.col("position"))).over(Window.partitionBy(F.lit(0)))
-    return scores.withColumn("picked", F.col("column_name") == best)
+    """The same choice as ``pick_text_column`` makes."""
+    return readers.text_column_scores(table(spark, sf_dir, "documents"))
 
 
 @query("read_catalog", "SELECT source, count(*) AS n, sum(length(text))::BIGINT AS chars FROM documents GROUP BY 1")

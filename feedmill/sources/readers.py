@@ -170,7 +170,7 @@ def read_mixed(
 
 
 def text_column_scores(df: DataFrame) -> DataFrame:
-    """Mean length of the non-null texts of every string column, in column order."""
+    """Mean length of the non-null texts of every string column, and which is the text column, in one scan."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     means = df.agg(*[F.avg(F.length(n)).alias(n) for n in names])
     rows = F.array(
@@ -179,7 +179,8 @@ def text_column_scores(df: DataFrame) -> DataFrame:
             for i, n in enumerate(names)
         ]
     )
-    return means.select(F.explode(rows).alias("_c")).select("_c.*")
+    best = F.array_max(F.transform(rows, lambda r: F.struct(r["mean_length"], -r["position"], r["column_name"].alias("name"))))["name"]
+    return means.select(F.explode(rows).alias("_c"), best.alias("_best")).select("_c.*", (F.col("_c.column_name") == F.col("_best")).alias("picked"))
 
 
 def pick_text_column(df: DataFrame, preferred: str = "review_content") -> str | None:
