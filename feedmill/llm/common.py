@@ -70,6 +70,17 @@ def uniform(*parts: Column, seed: int) -> Column:
     return (bits.cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
+def bounded(rows: DataFrame, by: list[str], most: int) -> DataFrame:
+    """At most ``most`` rows, chosen by a hash of the columns ``by``, the same ones in every run.
+
+    A threshold from the number of rows leaves a few times ``most`` of them, so
+    that tasks do not each send ``most`` rows on.
+    """
+    share = min(1.0, 4.0 * most / max(1, rows.count()))
+    rank = uniform(*[F.col(c) for c in by], seed=77)
+    return rows.withColumn("_rank", rank).filter(F.col("_rank") < share).orderBy("_rank").limit(most).drop("_rank")
+
+
 def components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)`` as ``(node, component)``.
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.common import components, store
+from feedmill.llm.common import bounded, components, store
 
 LIMIT = 0.9
 SAMPLE = 4096
@@ -223,7 +223,7 @@ def near_duplicates(
     for length in lengths:
         own = nodes.filter(F.col("_size") == length).select("node", "weight", "_v")
         count = own.count()
-        picked = own.select("_v").orderBy(F.xxhash64("_v")).limit(sample).toPandas()["_v"]
+        picked = bounded(own.select("_v"), ["_v"], sample).toPandas()["_v"]
         part = links(own, *fit(_unit(np.stack(picked.to_numpy())), count, limit, recall), limit)
         found = part if found is None else found.unionByName(part)
     if found is None:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from feedmill.llm.common import slices, small_batches
+from feedmill.llm.common import bounded, slices, small_batches
 
 TRAIN = 192
 TRAIN_BYTES = 60_000
@@ -386,7 +386,7 @@ def fit(pages: DataFrame, key: str = "page_id", html: str = "html", most: int =
     """Weights from at most ``most`` labelled pages of up to ``TRAIN_BYTES`` bytes, the same ones in every run."""
     body = F.col(html)
     known = pages.filter(F.contains(F.lower(body), F.lit("<article")) & (F.octet_length(body) <= TRAIN_BYTES))
-    picked = known.orderBy(F.xxhash64(key, html)).limit(most).select(html).collect()
+    picked = bounded(known.select(F.col(key).alias("_key"), body.alias("_html")), ["_key", "_html"], most).select("_html").collect()
     return train([v for i, r in enumerate(picked) for v in variants(r[0], i)])
 
 

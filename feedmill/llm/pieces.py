@@ -319,7 +319,15 @@ def hot_units(docs: DataFrame, model: Model, text: str, hot: int) -> dict[str, b
     spark = docs.sparkSession
     probe = docs.select(F.col(text).alias("_text")).sample(PROBE, seed=3)
     counts = store(_counts(probe).groupBy("unit").agg(F.sum("n").alias("n")), "units")
-    top = counts.orderBy(F.desc("n"), "unit").limit(hot).select("unit")
+    # The lowest count that still leaves at most `hot` units; counts of 10,000 and more share a step.
+    steps = counts.groupBy(F.least("n", F.lit(10_000)).alias("n")).agg(F.count("*").alias("units")).orderBy(F.desc("n")).collect()
+    least, total = 10_000, 0
+    for step in steps:
+        total += step["units"]
+        if total > hot:
+            break
+        least = step["n"]
+    top = counts.filter(F.col("n") >= least).select("unit").limit(hot)
     encoded = encode_units(top.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "unit"), model, ["unit"])
     out: dict[str, bytes] = {}
     for row in encoded.toArrow().to_batches():
