@@ -179,7 +179,9 @@ def text_column_scores(df: DataFrame) -> DataFrame:
             for i, n in enumerate(names)
         ]
     )
-    best = F.array_max(F.transform(rows, lambda r: F.struct(r["mean_length"], -r["position"], r["column_name"].alias("name"))))["name"]
+    # The first of the longest: means are compared before places.
+    ranked = F.transform(rows, lambda r: F.struct(r["mean_length"], -r["position"], r["column_name"]))
+    best = F.array_max(ranked)["column_name"]
     return means.select(F.explode(rows).alias("_c"), best.alias("_best")).select("_c.*", (F.col("_c.column_name") == F.col("_best")).alias("picked"))
 
 
