@@ -11,7 +11,8 @@ kind      valid                                           permuted
 ========  ==============================================  =======================
 card      13 to 19 digits, Luhn sum right                 all digits, check digit new
 iban      15 to 34 characters, remainder 1 modulo 97      all digits, check digits new
-phone     North American, area and exchange from 2 on     area, exchange, line
+phone     +1 or (ddd) and ten digits                      the ten digits
+plain     ddd-ddd-dddd, area and exchange from 2 on       area, exchange, line
 world     + and 8 to 15 digits                            all but the first two
 ssn       area 001-899 without 666, group, serial not 0   all
 ipv4      octets to 255, first 1 to 223                   all
@@ -39,7 +40,7 @@ EPOCH = "1900-01-01"
 MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 CLOUD_KEY = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
 SECRET = r"(?<![A-Za-z0-9])(?i:password|passwd|token|secret|api_key) ?[=:] ?\"?[A-Za-z0-9_-]{8,}"
-PHONE = r"(?<![\w+(])(?:\+1[ .-]?)?\([2-9]\d\d\) ?[2-9]\d\d[ .-]?\d{4}(?!\d)|(?<![\w+])\+1[ .-]?[2-9]\d\d[ .-]?[2-9]\d\d[ .-]?\d{4}(?!\d)|(?<![\w.+-])[2-9]\d\d[ .-][2-9]\d\d[ .-]\d{4}(?![\w-])"
+PHONE = r"(?<![\w+(])(?:\+1[ .-]?)?\(\d{3}\) ?\d{3}[ .-]?\d{4}(?!\d)|(?<![\w+])\+1[ .-]?\d{3}[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\w.+-])[2-9]\d\d[ .-][2-9]\d\d[ .-]\d{4}(?![\w-])"
 WORLD = r"(?<![\w+])\+[1-9]\d(?:[ .-]?\d){6,13}(?!\d)"
 DATE = r"(?<![\w.-])(?:\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})(?![\w-])"
 IPV4 = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"
@@ -139,7 +140,8 @@ def _kind(m: Column, d: Column) -> Column:
     moved = F.concat(F.substr(code, F.lit(5), F.length(code)), F.substr(code, F.lit(1), F.lit(4)))
     account = full(r"[A-Z]{2}\d\d[A-Z0-9 ]+") & F.length(code).between(15, 34)
     kind = kind.when(F.when(account, remainder(moved) == 1).otherwise(False), "iban")
-    kind = kind.when(full(r"(?:\+1[ .-]?)?\(?[2-9]\d\d\)?[ .-]?[2-9]\d\d[ .-]?\d{4}"), "phone")
+    kind = kind.when(full(r"[2-9]\d\d[ .-][2-9]\d\d[ .-]\d{4}"), "plain")
+    kind = kind.when(full(r"(?:\+1[ .-]?)?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}"), "phone")
     kind = kind.when(F.startswith(m, F.lit("+")), "world")
     shapes = {"iso": r"\d{4}-\d\d-\d\d", "dot": r"\d\d\.\d\d\.\d{4}", "dmy": r"\d\d/\d\d/\d{4}", "mdy": r"\d\d/\d\d/\d{4}"}
     for name, form in DATES.items():
@@ -160,7 +162,8 @@ def _pair(m: Column, d: Column, kind: Column) -> Column:
     half = F.floor((n - 1) / 2).cast("int")
     card = quad(_number(d, 1, half), _number(d, half + 1, n - 1 - half), _power(half), _power(n - 1 - half))
     tail = F.substr(d, n - 9, F.lit(10))
-    phone = quad(
+    phone = quad(_number(tail, 1, 3), _number(tail, 4, 7), 1000, 10**7)
+    plain = quad(
         _number(tail, 1, 3) - 200, (_number(tail, 4, 3) - 200) * 10000 + _number(tail, 7, 4), 800, 800 * 10000
     )
     inner = F.substr(d, F.lit(3), n)  # without the check digits
@@ -177,7 +180,7 @@ def _pair(m: Column, d: Column, kind: Column) -> Column:
     at = lambda i: F.get(o, F.lit(i))
     ipv4 = quad((at(0) - 1) * 256 + at(1), at(2) * 256 + at(3), 223 * 256, 65536)
     out = F.when(kind == "card", card).when(kind == "iban", iban).when(kind == "phone", phone).when(kind == "world", world)
-    out = out.when(kind == "ssn", ssn).when(kind == "ipv4", ipv4)
+    out = out.when(kind == "plain", plain).when(kind == "ssn", ssn).when(kind == "ipv4", ipv4)
     for name, form in DATES.items():
         day = _day(m, form)
         out = out.when(kind == name, quad(F.floor(day / DAYS[1]), day % DAYS[1], *DAYS))
@@ -191,7 +194,8 @@ def _written(m: Column, d: Column, kind: Column, p: Column, q: Column) -> Column
     payload = F.concat(_pad(p["x"], half), _pad(p["y"], n - 1 - half))
     card = bind(payload, lambda v: _refill(m, F.concat(v, luhn(v).cast("string"))))
     number = F.concat((p["x"] + 200).cast("string"), (F.floor(p["y"] / 10000) + 200).cast("string"), _pad(p["y"] % 10000, 4))
-    phone = _refill(m, F.concat(F.substr(d, F.lit(1), n - 10), number))
+    plain = _refill(m, number)
+    phone = _refill(m, F.concat(F.substr(d, F.lit(1), n - 10), _pad(p["x"], 3), _pad(p["y"], 7)))
     some = F.floor((n - 2) / 2).cast("int")
     world = _refill(m, F.concat(F.substr(d, F.lit(1), F.lit(2)), _pad(p["x"], some), _pad(p["y"], n - 2 - some)))
     area = p["x"] + 1 + F.when(p["x"] + 1 >= 666, 1).otherwise(0)
@@ -209,7 +213,7 @@ def _written(m: Column, d: Column, kind: Column, p: Column, q: Column) -> Column
         ),
     )
     out = F.when(kind == "card", card).when(kind == "iban", iban).when(kind == "phone", phone).when(kind == "world", world)
-    out = out.when(kind == "ssn", ssn).when(kind == "ipv4", ipv4)
+    out = out.when(kind == "plain", plain).when(kind == "ssn", ssn).when(kind == "ipv4", ipv4)
     for name, form in DATES.items():
         day = F.date_add(F.lit(EPOCH).cast("date"), (p["x"] * DAYS[1] + p["y"]).cast("int"))
         out = out.when(kind == name, F.date_format(day, form))
