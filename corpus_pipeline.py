@@ -39,9 +39,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of each document."""
-    done = pieces.encode(docs, PIECES, back=False)
-    return done.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids")
+    """Piece ids of each document, and whether they decode to its text again."""
+    done = pieces.encode(docs, PIECES)
+    round_trip = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", round_trip.alias("round_trip"))
 
 
 STAGES = [

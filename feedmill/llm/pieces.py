@@ -337,10 +337,8 @@ def hot_units(docs: DataFrame, model: Model, text: str, hot: int) -> dict[str, b
     return out
 
 
-def encode(
-    docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", hot: int = HOT, back: bool = True
-) -> DataFrame:
-    """``(key, text, ids, decoded)`` per row of ``docs``: ids and, unless ``back`` is off, the text decoded from them again.
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+    """``(key, text, ids, decoded)`` per row of ``docs``: ids and the text decoded from them again.
 
     Null and empty texts have no ids and decode to an empty text. A text that
     holds the word mark itself decodes to a space there, as in any encoder of
@@ -401,7 +399,7 @@ def encode(
                 ids = np.frombuffer(b"".join(parts), "<i4")
                 texts.append(text)
                 found.append(ids)
-                decoded.append(decode_ids(ids.tolist(), model) if back else None)
+                decoded.append(decode_ids(ids.tolist(), model))
             sizes = np.cumsum([0, *map(len, found)])
             values = pa.array(np.concatenate(found) if found else np.zeros(0, "<i4"), pa.int32())
             yield pa.RecordBatch.from_arrays(

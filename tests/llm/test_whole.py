@@ -1,0 +1,15 @@
+"""Planted cases that once lost a part of the job."""
+
+from __future__ import annotations
+
+import corpus_pipeline
+
+
+def test_last_stage_decodes(spark, sf_dir):
+    """The stage named for encoding and decoding tells whether the ids give the text again."""
+    texts = ["one two  three", "caf\u00e9 \U0001f642\nline", "a \u2581 mark", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in corpus_pipeline.STAGES[-1][1](spark, df, sf_dir).collect()}
+    # A word mark of the text's own comes back as a space.
+    assert [got[i]["round_trip"] for i in range(5)] == [True, True, False, True, True]
+    assert got[0]["n_ids"] == len(got[0]["ids"]) > 0 and got[3]["n_ids"] == 0
