@@ -101,6 +101,36 @@ class Node:
     runs: list = field(default_factory=list)  # (place in the page, text)
 
 
+#: What follows a tag's name: one attribute with what stands before its value, up to an opening quote.
+_ATTRIBUTE = re.compile(
+    r"""[ \t\n\f\r/]*(?:[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:(["'])|[^ \t\n\f\r>]*+))?+)?+"""
+)
+_NAME = re.compile(r"[^ \t\n\f\r/>]*+")
+
+
+def tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """The place of the ``>`` that ends the tag whose name starts at ``at``, or -1. Reads each character once.
+
+    Only a quote that opens an attribute's value holds a ``>``; one that is
+    never closed is a character like any other. ``last`` has the place of the
+    last quote of either kind, filled when it is first needed.
+    """
+    at = _NAME.match(page, at).end()
+    while True:
+        found = _ATTRIBUTE.match(page, at)
+        at = found.end()
+        quote = found.group(1)
+        if quote:
+            if quote not in last:
+                last[quote] = page.rfind(quote)
+            if last[quote] >= at:
+                at = page.find(quote, at) + 1
+        elif at >= len(page):
+            return -1
+        elif page[at] == ">":
+            return at
+
+
 def parse(page: str) -> list[Node]:
     """The block elements in page order, a root first. Parents come before their children. Linear in the page."""
     nodes, stack = [Node("root", -1)], [0]
@@ -110,6 +140,7 @@ def parse(page: str) -> list[Node]:
     buffer: list[str] = []
     links, place, at, end = 0, 0, 0, len(page)
     link_text = 0
+    quotes: dict[str, int] = {}
 
     def shut(depth: int) -> None:
         for i in stack[depth:]:
@@ -148,15 +179,11 @@ def parse(page: str) -> list[Node]:
             buffer.append("<")
             at = start + 1
             continue
-        stop = page.find(">", start)
+        name = start + 1 + (lead == "/")
+        is_tag = page[name : name + 1].isalpha() and page[name].isascii()
+        stop = tag_end(page, name, quotes) if is_tag else page.find(">", start)
         if stop < 0:
             break
-        # A quoted value may hold the closing bracket.
-        for quote in "\"'":
-            if page.count(quote, start, stop) % 2:
-                close = page.find(quote, stop, stop + 2000)
-                later = page.find(">", close) if close >= 0 else -1
-                stop = later if later >= 0 else stop
         body = page[start + 1 : stop]
         at = stop + 1
         if lead in "!?":

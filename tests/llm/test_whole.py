@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import time
+
 import corpus_pipeline
 
+from feedmill.llm import pages
+
 
 def test_last_stage_decodes(spark, sf_dir):
     """The stage named for encoding and decoding tells whether the ids give the text again."""
@@ -13,3 +17,29 @@ def test_last_stage_decodes(spark, sf_dir):
     # A word mark of the text's own comes back as a space.
     assert [got[i]["round_trip"] for i in range(5)] == [True, True, False, True, True]
     assert got[0]["n_ids"] == len(got[0]["ids"]) > 0 and got[3]["n_ids"] == 0
+
+
+def _page_text(page):
+    return " ".join(text for n in pages.parse(page) for _, text in n.runs)
+
+
+def test_quotes_in_tags():
+    """A tag ends where its attributes end: apostrophes in values, brackets in values of any length."""
+    blob = '{"a": "<p>no text</p>", "b": ">"}' * 200
+    for attrs in (
+        """title="Don't" """, """alt='say "hi' """, """alt="the dog's bowl" data-x='{"a": ">"}'""", "title=Don't", 'href=/find?q="x',
+        f"data-state='{blob}'", f'srcdoc="{blob.replace(chr(34), "&quot;")}"', "a=1 b = '>' c", "/", "x'y",
+    ):
+        page = f"<div {attrs}><p>One.</p></div><img {attrs}><p>It's <b {attrs}>two</b {attrs}>.</p><p>Isn't \"it\"?</p>"
+        assert _page_text(page).split() == "One. It's two. Isn't \"it\"?".split(), attrs
+    # A quote that never closes is a character; a tag that never ends is no text.
+    assert _page_text('<p title="open>one</p><p>two</p>') == "one two"
+    assert _page_text("<p>one</p><a x='>' ") == "one"
+
+
+def test_tags_are_read_once():
+    """Time grows with the page, whatever its quotes."""
+    for part in ("<a x=\">\" ", "<a x='", "<a x=\"", "<a ", "<a = ", "< a='\">"):
+        began = time.time()
+        pages.parse(part * 60_000)
+        assert time.time() - began < 5, part
