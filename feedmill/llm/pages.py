@@ -43,9 +43,11 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SILENT = frozenset(
-    "audio button canvas datalist head iframe math noembed noframes noscript object option script select style svg"
+    "audio button canvas datalist head iframe noembed noframes noscript object option script select style svg"
     " template textarea title video xmp".split()
 )
+#: Those whose content has no markup; without an end tag they take the rest of the page.
+RAW = frozenset("noscript script style textarea title xmp".split())
 #: An element that closes an open one of its group, unless one of the others stands between.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -131,6 +133,17 @@ def tag_end(page: str, at: int, last: dict[str, int]) -> int:
             return at
 
 
+def _partners(low: str, tag: str) -> dict[int, int]:
+    """Where each element of a name ends, by where it starts; an end tag belongs to the last one still open."""
+    out, opened = {}, []
+    for found in re.finditer(rf"<(/?){tag}(?![a-z0-9:-])", low):
+        if not found.group(1):
+            opened.append(found.start())
+        elif opened:
+            out[opened.pop()] = found.start()
+    return out
+
+
 def parse(page: str) -> list[Node]:
     """The block elements in page order, a root first. Parents come before their children. Linear in the page."""
     nodes, stack = [Node("root", -1)], [0]
@@ -141,6 +154,7 @@ def parse(page: str) -> list[Node]:
     links, place, at, end = 0, 0, 0, len(page)
     link_text = 0
     quotes: dict[str, int] = {}
+    partners: dict[str, dict[int, int]] = {}
 
     def shut(depth: int) -> None:
         for i in stack[depth:]:
@@ -195,15 +209,22 @@ def parse(page: str) -> list[Node]:
         tag = found.group(1).lower()
         if tag in SILENT:
             if not closing and not body.endswith("/"):
-                after = low.find(f"</{tag}", at)
                 if tag == "head":
+                    after = low.find("</head", at)
                     # A head without an end stops at the body.
                     body_at = low.find("<body", at)
                     after = body_at if after < 0 or 0 <= body_at < after else after
                     at = after if after >= 0 else at
+                elif tag in RAW:
+                    close = page.find(">", after) if (after := low.find(f"</{tag}", at)) >= 0 else -1
+                    at = close + 1 if close >= 0 else end
                 else:
+                    if tag not in partners:
+                        partners[tag] = _partners(low, tag)
+                    after = partners[tag].get(start, -1)
                     close = page.find(">", after) if after >= 0 else -1
-                    at = close + 1 if close >= 0 else end
+                    # Without an end tag of its own, only the tag is passed over.
+                    at = close + 1 if close >= 0 else at
             continue
         if tag == "br":
             buffer.append(" ")

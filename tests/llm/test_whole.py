@@ -43,3 +43,19 @@ def test_tags_are_read_once():
         began = time.time()
         pages.parse(part * 60_000)
         assert time.time() - began < 5, part
+
+
+def test_silent_elements_without_an_end():
+    """Only raw text takes the rest of the page; the text of formulas is text."""
+    for tag in ("button", "option", "canvas", "object", "svg", "math", "audio", "template", "select"):
+        assert _page_text(f"<div><{tag} a=b></div><p>One.</p><p>Two.</p>") == "One. Two.", tag
+        # The end tag belongs to the later element.
+        assert _page_text(f"<div><{tag}></div><p>One.</p><{tag}></{tag}><p>Two.</p>") == "One. Two.", tag
+    for tag in ("button", "svg", "object"):
+        assert _page_text(f"<p>One.</p><{tag}>no <{tag}>no</{tag}> no</{tag}><p>Two.</p>") == "One. Two.", tag
+    for tag in ("script", "style", "textarea", "title", "xmp", "noscript"):
+        assert _page_text(f"<p>One.</p><{tag}><p>no</p>") == "One.", tag
+    assert _page_text("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p>") == "Let x=1 be."
+    began = time.time()
+    pages.parse("<button>" * 60_000 + "<option>" * 60_000)
+    assert time.time() - began < 5
