@@ -8,6 +8,10 @@ chunk by itself, so a repeated one-line passage is found wherever it stands; in
 the second only the rolling hash cuts. Chunks count if they have two lines with
 words or are such a passage.
 
+Passages of ``PASSAGE`` or more words over several lines are found by windows:
+the shortest runs of lines with so many words, from each line on and up to each
+line. They are chunks like the others and do not depend on what surrounds them.
+
 The first occurrence, by key and place, stays; the other occurrences are
 removed after their bytes are compared. Only hashes and places are shuffled for
 all chunks, texts only for those whose hash occurs twice.
@@ -35,18 +39,15 @@ _BASE = 0x9E3779B97F4A7C15
 _TOP = 1 << 64
 
 
-def chunks(text: str | None, isolate: bool) -> list[tuple[int, int, bytes]]:
-    """``(first line, end line, bytes)`` of the chunks that count; none for a null or blank text."""
-    lines = (text or "").encode().split(b"\n")
-    hashes = [xxhash.xxh64_intdigest(line) for line in lines]
-    sizes = [len(line.split()) for line in lines]
+def _cuts(hashes: list[int], sizes: list[int], isolate: bool) -> list[tuple[int, int]]:
+    """``(first line, end line)`` of the chunks of one chunking that count."""
     out, start, rolling = [], 0, 0
     drop = pow(_BASE, WINDOW, _TOP)
 
     def close(end: int) -> None:
         held = sizes[start:end]
         if sum(held) >= LEAST_WORDS and (sum(n > 0 for n in held) > 1 or (end - start == 1 and held[0] >= PASSAGE)):
-            out.append((start, end, b"\n".join(lines[start:end])))
+            out.append((start, end))
 
     for i, h in enumerate(hashes):
         if isolate and sizes[i] >= PASSAGE and start < i:
@@ -56,12 +57,60 @@ def chunks(text: str | None, isolate: bool) -> list[tuple[int, int, bytes]]:
         if i >= WINDOW:
             rolling = (rolling - hashes[i - WINDOW] * drop) % _TOP
         # The high bits of a product are mixed best.
-        if ((rolling * _BASE) % _TOP >> 32) % DIVISOR == 0 or i + 1 == len(lines) or (isolate and sizes[i] >= PASSAGE):
+        if ((rolling * _BASE) % _TOP >> 32) % DIVISOR == 0 or i + 1 == len(hashes) or (isolate and sizes[i] >= PASSAGE):
             close(i + 1)
             start = i + 1
     return out
 
 
+def windows(sizes: list[int]) -> list[tuple[int, int]]:
+    """``(first line, end line)`` of the shortest runs of lines with ``PASSAGE`` words, from each line on and up to each line.
+
+    Every line of a passage of that many words, from its first line with words
+    to its last, is in a window that lies in the passage. So two texts share
+    such a passage just where they share its windows, and the shared windows
+    together are the whole of it, with no boundary that depends on the lines
+    around. Fewer than twice ``PASSAGE`` windows go over a line.
+    """
+    full = [i for i, n in enumerate(sizes) if n]
+    out, start, end, held = set(), 0, 0, 0
+    # Two pointers over the lines with words: held is the sum of full[start:end].
+    for start, i in enumerate(full):
+        while end < len(full) and held < PASSAGE:
+            held += sizes[full[end]]
+            end += 1
+        if held < PASSAGE:
+            break
+        out.add((i, full[end - 1] + 1))
+        held -= sizes[i]
+    start, held = 0, 0
+    for i in full:
+        held += sizes[i]
+        while held - sizes[full[start]] >= PASSAGE:
+            held -= sizes[full[start]]
+            start += 1
+        if held >= PASSAGE:
+            out.add((full[start], i + 1))
+    # Blank lines between two lines that are windows by themselves.
+    for i, j in zip(full, full[1:]):
+        if j > i + 1 and sizes[i] >= PASSAGE and sizes[j] >= PASSAGE:
+            out.add((i, j + 1))
+    return sorted(out)
+
+
+def spans(lines: list[bytes], isolate: bool) -> list[tuple[int, int]]:
+    """``(first line, end line)`` of the chunks that count; with ``isolate`` the windows are among them."""
+    sizes = [len(line.split()) for line in lines]
+    found = _cuts([xxhash.xxh64_intdigest(line) for line in lines], sizes, isolate)
+    return sorted({*found, *windows(sizes)}) if isolate else found
+
+
+def chunks(text: str | None, isolate: bool) -> list[tuple[int, int, bytes]]:
+    """``(first line, end line, bytes)`` of the chunks that count; none for a null or blank text."""
+    lines = (text or "").encode().split(b"\n")
+    return [(a, b, b"\n".join(lines[a:b])) for a, b in spans(lines, isolate)]
+
+
 def _places(docs: DataFrame) -> DataFrame:
     """``(_key, _print, first, end, hash)`` of all chunks of ``docs(_key, _print, _text)``."""
 
@@ -69,12 +118,13 @@ def _places(docs: DataFrame) -> DataFrame:
         for batch in slices(batches):
             row, first, end, code = [], [], [], []
             for n, text in enumerate(batch.column(2).to_pylist()):
+                lines = (text or "").encode().split(b"\n")
                 # The same chunk in both chunkings counts once.
-                for a, b, data in {c[:2]: c for way in (True, False) for c in chunks(text, way)}.values():
+                for a, b in {*spans(lines, True), *spans(lines, False)}:
                     row.append(n)
                     first.append(a)
                     end.append(b)
-                    code.append(xxhash.xxh64_intdigest(data, 9))
+                    code.append(xxhash.xxh64_intdigest(b"\n".join(lines[a:b]), 9))
             took = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import random
 import time
 
 import corpus_pipeline
 
-from feedmill.llm import pages
+from feedmill.llm import line_dedup, pages
 
 
 def test_last_stage_decodes(spark, sf_dir):
@@ -59,3 +60,60 @@ def test_silent_elements_without_an_end():
     began = time.time()
     pages.parse("<button>" * 60_000 + "<option>" * 60_000)
     assert time.time() - began < 5
+
+
+def _common_runs(texts):
+    """Brute force: per text the lines of runs of 50 or more words that an earlier place has."""
+    lines = {k: t.split("\n") for k, t in texts.items()}
+    gone = {k: set() for k in texts}
+    for k, own in lines.items():
+        for j, other in lines.items():
+            for a in range(len(own)):
+                for b in range(len(other)):
+                    if (j, b) >= (k, a) or own[a] != other[b] or (a and b and own[a - 1] == other[b - 1]):
+                        continue
+                    n = 0
+                    while a + n < len(own) and b + n < len(other) and own[a + n] == other[b + n]:
+                        n += 1
+                    run = range(a, a + n)
+                    if sum(len(own[i].split()) for i in run) >= 50:
+                        full = [i for i in run if own[i].split()]
+                        gone[k].update(range(full[0], full[-1] + 1))
+    return gone
+
+
+def test_multi_line_passages(spark):
+    """Planted passages of short and long lines in other surroundings go as a whole, wherever they stand."""
+    rng = random.Random(5)
+
+    def line(n):
+        return " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+
+    texts = {}
+    for plan in ([12] * 5, [12] * 6, [12] * 10, [60, 5], [5, 60], [7, 0, 60, 0, 0, 55, 3], [1] * 50, [49, 0, 0, 1], [20, 28], [24, 25, 30, 0, 9]):
+        for _ in range(4):
+            passage = [line(n) for n in plan]
+            for _ in range(3):
+                # Too few words to be a chunk of their own.
+                before, after = ([line(2) for _ in range(rng.randrange(1, 4))] for _ in "ab")
+                texts[len(texts)] = "\n".join([*before, *passage, *after])
+    # A passage that repeats within one text and overlaps itself.
+    texts[len(texts)] = "\n".join(["x " * 30, "y " * 30] * 3 + ["z"])
+    want = _common_runs(texts)
+    for k, t in texts.items():
+        # Windows alone tell what brute force does; the chunks may take shorter repeats as well.
+        own = t.split("\n")
+        assert all(sum(len(x.split()) for x in own[a:b]) >= 50 for a, b in line_dedup.windows([len(x.split()) for x in own]))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: set(r["gone"]) for r in line_dedup.removals(df).selectExpr(
+        "_key as doc_id", "array_distinct(flatten(transform(_spans, s -> sequence(s.first, s.end - 1)))) as gone"
+    ).collect()}
+    short = {k for k in texts if sum(len(x.split()) for x in texts[k].split("\n")) < 60 and not want[k]}
+    assert len(short) > 5
+    for k in texts:
+        extra = got.get(k, set()) - want[k]
+        assert want[k] <= got.get(k, set()), k
+        assert not extra or k in short, (k, extra)
+    cut = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}
+    for k, t in texts.items():
+        assert cut[k] == "\n".join(x for i, x in enumerate(t.split("\n")) if i not in got.get(k, set()))
