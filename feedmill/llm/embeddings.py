@@ -8,8 +8,8 @@ number of visits is the smallest that found the target share of links in a
 bounded sample. Candidates are verified by their cosine in double precision.
 
 Codebooks are fitted on a bounded sample (``SAMPLE`` vectors); every vector is
-indexed. A cell's residents and visitors are dealt to blocks of bounded size,
-and a block gives counts and a spanning forest of its links, never its pairs.
+indexed. A cell's residents are dealt to blocks and its visitors to parts of
+bounded size; a block and a part give counts and a spanning forest of its links, never its pairs.
 Equal vectors are one node with a weight.
 """
 
@@ -28,9 +28,11 @@ from feedmill.llm.common import bounded, components, store
 LIMIT = 0.9
 SAMPLE = 4096
 RECALL = 0.995
-#: Residents per cell aimed at, and rows per block.
+#: Residents per cell aimed at, and per block.
 CELL = 128
 BLOCK = 2048
+#: Visitors per part of a cell.
+PART = 4 * BLOCK
 
 
 def unit_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
@@ -134,6 +136,32 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def dealt(placed: DataFrame) -> DataFrame:
+    """``(node, weight, _v, cells, cell, block, part, resident)``: each visitor of a cell meets each of its residents once.
+
+    ``placed`` is ``(node, weight, _v, cells, home)``. A cell's residents are
+    dealt to as many blocks, its visitors to as many parts as their numbers
+    need; every block meets every part, so no group grows with the table.
+    """
+    sizes = placed.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
+    # Residents visit their own cell, so each cell has visitors.
+    come = placed.select(F.explode("cells").alias("_at")).groupBy("_at").agg(F.ceil(F.count("*") / PART).cast("int").alias("_parts"))
+    sizes = sizes.join(come, F.col("home") == F.col("_at")).select(F.col("home").alias("cell"), "_blocks", "_parts")
+    visitors = placed.select("node", "weight", "_v", "cells", F.explode("cells").alias("cell")).join(sizes, "cell")
+    # A visitor carries its home only; a resident needs all the cells that it visits itself.
+    visitors = visitors.select(
+        "node", "weight", "_v", F.slice("cells", 1, 1).alias("cells"), "cell",
+        F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("block"),
+        F.pmod(F.xxhash64("node", F.lit(1)), F.col("_parts").cast("long")).cast("int").alias("part"), F.lit(False).alias("resident"),
+    )
+    residents = placed.withColumnRenamed("home", "cell").join(sizes, "cell").select(
+        "node", "weight", "_v", "cells", "cell",
+        F.pmod(F.xxhash64("node"), F.col("_blocks").cast("long")).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("part"), F.lit(True).alias("resident"),
+    )
+    return residents.unionByName(visitors)
+
+
 def links(nodes: DataFrame, books: list[np.ndarray], visits: int, limit: float) -> DataFrame:
     """``(node, n, other)``: parts of each node's link count, weighted, and forest edges (``n`` = 0).
 
@@ -150,22 +178,6 @@ def links(nodes: DataFrame, books: list[np.ndarray], visits: int, limit: float)
 
     placed = nodes.mapInPandas(place, "node long, weight long, _v array<double>, cells array<long>")
     placed = store(placed.withColumn("home", F.get("cells", F.lit(0))), "cells")
-    # Residents are dealt to as many blocks as their cell needs; visitors go to each of them.
-    sizes = placed.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
-    visitors = placed.select("node", "weight", "_v", "cells", F.posexplode("cells").alias("_at", "cell"))
-    visitors = visitors.join(sizes, F.col("cell") == F.col("home")).drop("home")
-    mixed = F.xxhash64("node")
-    # A visitor carries its home only; a resident needs all the cells that it visits itself.
-    visitors = visitors.select(
-        "node", "weight", "_v", F.slice("cells", 1, 1).alias("cells"), "cell", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("block"),
-        F.pmod(mixed, F.lit(1 << 20)).alias("_salt"), F.lit(False).alias("resident"),
-    )
-    residents = placed.join(sizes.withColumnRenamed("home", "_of"), F.col("home") == F.col("_of")).select(
-        "node", "weight", "_v", "cells", F.col("home").alias("cell"),
-        F.pmod(mixed, F.col("_blocks").cast("long")).cast("int").alias("block"), F.lit(0).cast("long").alias("_salt"),
-        F.lit(True).alias("resident"),
-    )
-
     def verify(f: pd.DataFrame) -> pd.DataFrame:
         here, come = f[f["resident"]], f[~f["resident"]]
         empty = pd.DataFrame({"node": [], "n": [], "other": []}).astype("int64")
@@ -197,8 +209,7 @@ def links(nodes: DataFrame, books: list[np.ndarray], visits: int, limit: float)
         rows += [(a, 0, b) for a, b in _forest(*map(np.array, zip(*edges)))] if edges else []
         return pd.DataFrame(rows, columns=["node", "n", "other"]).astype("int64") if rows else empty
 
-    met = residents.unionByName(visitors)
-    return met.groupBy("cell", "block").applyInPandas(verify, "node long, n long, other long")
+    return dealt(placed).groupBy("cell", "block", "part").applyInPandas(verify, "node long, n long, other long")
 
 
 def near_duplicates(

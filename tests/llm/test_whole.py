@@ -6,8 +6,10 @@ import random
 import time
 
 import corpus_pipeline
+import numpy as np
+import plain
 
-from feedmill.llm import line_dedup, pages
+from feedmill.llm import embeddings, line_dedup, pages
 
 
 def test_last_stage_decodes(spark, sf_dir):
@@ -117,3 +119,27 @@ def test_multi_line_passages(spark):
     cut = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}
     for k, t in texts.items():
         assert cut[k] == "\n".join(x for i, x in enumerate(t.split("\n")) if i not in got.get(k, set()))
+
+
+def test_hot_cell(spark, monkeypatch):
+    """A cell of many blocks: no group grows with it, and links and groups are those of brute force."""
+    monkeypatch.setattr(embeddings, "BLOCK", 32)
+    monkeypatch.setattr(embeddings, "PART", 64)
+    seen = []
+    whole = embeddings.dealt
+    monkeypatch.setattr(embeddings, "dealt", lambda placed: seen.append(whole(placed)) or seen[-1])
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 16))
+    # A third lies near each other, but not so near that all of it links.
+    x[:300] = x[0] + 0.35 * rng.normal(size=(300, 16))
+    x[5] = x[4]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(df, recall=1.0).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    group = plain.groups(range(900), [(int(a), int(b)) for a, b in zip(*np.nonzero(near)) if a < b])
+    assert got == {i: (int(near[i].sum()) - 1, group[i]) for i in range(900)}
+    sizes = seen[0].groupBy("cell", "block", "part", "resident").count().collect()
+    assert {r["cell"] for r in sizes if r["block"] > 2 and r["part"] > 2}
+    # Dealt by a hash, so the sizes vary around the bound.
+    assert max(r["count"] for r in sizes if r["resident"]) < 2 * 32 and max(r["count"] for r in sizes if not r["resident"]) < 2 * 64
