@@ -48,6 +48,11 @@ SSN = r"(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])"
 CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 ANY = "|".join([MAIL, CLOUD_KEY, SECRET, IBAN, PHONE, WORLD, DATE, IPV4, SSN, CARD])
+#: 14 digits or more in two groups or more; no group runs on into a word or ends in a hyphen.
+RUN = r"(?<![\w-])(?=(?:\d[ -]?){14})\d++(?!\w|-(?!\d))(?:[ -]\d++(?!\w|-(?!\d)))++"
+BEFORE_RUN = "|".join([MAIL, CLOUD_KEY, SECRET, IBAN, PHONE, WORLD, DATE, IPV4, SSN, RUN])
+#: A noncharacter, to mark cards with.
+FENCE = "\ufdd0"
 
 
 def _digest(key: str, *parts: Column) -> Column:
@@ -252,6 +257,78 @@ def pseudonym(match: Column, key: str) -> Column:
     return bind(parts, with_kind)
 
 
+def _card_at(groups: Column, i: Column) -> Column:
+    """How many of a run's groups of digits from ``i`` on are one card by length, form and check digit; 0 for none."""
+
+    def rated(k: Column) -> Column:
+        digits = F.array_join(F.transform(F.slice(groups, i + 1, k), lambda g: F.regexp_replace(g, "[ -]", "")), "")
+
+        def rate(d: Column) -> Column:
+            n = F.length(d)
+            # The commonest length first. One group of digits may begin with any of them.
+            order = F.when(n == 16, 1).when(n == 15, 2).when(n == 14, 3).when(n == 13, 4).when(n.between(17, 19), 5)
+            known = (k == 1) | F.when(n == 16, F.rlike(d, F.lit("^(?:[3-6]|2[2-7])"))).when(n.isin(14, 15), F.startswith(d, F.lit("3"))).when(
+                n == 13, F.startswith(d, F.lit("4"))
+            ).when(n == 19, F.rlike(d, F.lit("^[3-6]")))
+            valid = F.when(
+                order.isNotNull() & known, luhn(F.substr(d, F.lit(1), n - 1)) == F.substr(d, n, F.lit(1)).cast("int")
+            )
+            return F.when(F.coalesce(valid, F.lit(False)), F.struct(order.alias("order"), k.alias("k")))
+
+        return bind(digits, rate)
+
+    # No card is written in more than five groups.
+    most = F.least(F.lit(5), F.size(groups) - i)
+    return F.coalesce(F.array_min(F.transform(F.sequence(F.lit(1), most), rated))["k"], F.lit(0))
+
+
+def _fence_run(run: Column, fence: Column) -> Column:
+    """A run of digits with ``fence`` before and after each card in it that begins and ends at a separator."""
+
+    def mark(groups: Column) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            group = F.get(groups, i)
+            digits = F.regexp_replace(group, "[ -]", "")
+            separator = F.substr(group, F.length(digits) + 1, F.length(group))
+
+            def put(left: Column) -> Column:
+                # Left counts the groups of the card that are still to come, this one included.
+                opens = F.when((s["left"] == 0) & (left > 0), fence).otherwise("")
+                closes = F.when(left == 1, fence).otherwise("")
+                return F.struct(
+                    F.concat(s["t"], opens, digits, closes, separator).alias("t"), F.greatest(left - 1, F.lit(0)).alias("left")
+                )
+
+            return bind(F.when(s["left"] > 0, s["left"]).otherwise(_card_at(groups, i)), put)
+
+        zero = F.struct(F.lit("").alias("t"), F.lit(0).alias("left"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), zero, step)["t"]
+
+    return bind(F.split(run, "(?<=[ -])"), mark)
+
+
+def fenced(text: Column, fence: Column) -> Column:
+    """``text`` with ``fence`` around each card that stands beside other groups of digits.
+
+    The longest run of digits over blanks and hyphens may hold a card and a
+    short number; no pattern tells where it must be cut, only the check digit.
+    What the other patterns match first is no part of a run.
+    """
+    found = F.regexp_extract_all(text, F.lit(BEFORE_RUN), F.lit(0))
+
+    def mark(m: Column) -> Column:
+        run = F.rlike(m, F.lit("^[0-9 -]+$")) & (F.length(F.regexp_replace(m, "[^0-9]", "")) > 13)
+        return F.when(run, _fence_run(m, fence)).otherwise(m)
+
+    marked = bind(
+        F.transform(found, mark),
+        lambda runs: F.array_join(
+            F.transform(F.split(text, BEFORE_RUN, -1), lambda part, i: F.concat(part, F.coalesce(F.get(runs, i), F.lit("")))), ""
+        ),
+    )
+    return F.when(F.rlike(text, F.lit(RUN)), marked).otherwise(text)
+
+
 def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with pseudonyms in ``text``, plus ``_values``: what was replaced, in order.
 
@@ -259,17 +336,21 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     without a digit or ``@`` are passed over by one cheap test.
     """
     body = F.col("_text")
+    # One more of a character than the text has of it, so that what marks a card is told from the text.
+    had = F.length(body) - F.length(F.replace(body, F.lit(FENCE), F.lit("")))
     some = F.rlike(body, F.lit("[0-9@]")) | F.rlike(body, F.lit("(?i:password|passwd|token|secret|api_key)"))
-    found = F.when(some, F.regexp_extract_all(body, F.lit(ANY), F.lit(0)))
-    step = wrap(docs, _text=F.col(text)).withColumn("_m", found)
+    found = F.when(some, F.regexp_extract_all("_cut", F.lit(ANY), F.lit(0)))
+    step = wrap(docs, _text=F.col(text)).withColumn("_fence", F.repeat(F.lit(FENCE), had + 1))
+    step = step.withColumn("_cut", fenced(body, F.col("_fence"))).withColumn("_m", found)
     step = step.withColumn("_n", F.transform("_m", lambda m: F.struct(m.alias("m"), pseudonym(m, key).alias("p"))))
     joined = F.array_join(
         F.transform(
-            F.split(body, ANY, -1),
+            F.split("_cut", ANY, -1),
             lambda part, i: F.concat(part, F.coalesce(F.get("_n", i)["p"], F.get("_n", i)["m"], F.lit(""))),
         ),
         "",
     )
+    joined = F.replace(joined, F.col("_fence"), F.lit(""))
     hit = F.coalesce(F.exists("_n", lambda x: x["p"].isNotNull()), F.lit(False))
     values = F.transform(F.filter("_n", lambda x: x["p"].isNotNull()), lambda x: x["m"])
     values = F.coalesce(values, F.array().cast("array<string>")).alias("_values")

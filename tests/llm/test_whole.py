@@ -9,7 +9,7 @@ import corpus_pipeline
 import numpy as np
 import plain
 
-from feedmill.llm import embeddings, line_dedup, pages
+from feedmill.llm import embeddings, line_dedup, pages, pii
 
 
 def test_last_stage_decodes(spark, sf_dir):
@@ -143,3 +143,29 @@ def test_hot_cell(spark, monkeypatch):
     assert {r["cell"] for r in sizes if r["block"] > 2 and r["part"] > 2}
     # Dealt by a hash, so the sizes vary around the bound.
     assert max(r["count"] for r in sizes if r["resident"]) < 2 * 32 and max(r["count"] for r in sizes if not r["resident"]) < 2 * 64
+
+
+def test_cards_beside_short_numbers(spark):
+    """The card goes, with the same pseudonym as alone; what stands beside it stays or is looked at by itself."""
+    card, amex, other = "4111 1111 1111 1111", "3782 822463 10005", "5500 0000 0000 0004"
+    solid = card.replace(" ", "")
+    kept = [
+        (card, "", " 123"), (card, "", " 12/27"), (solid, "12 ", ""), (card, "12 ", ""), (solid, "", " 123"), (solid, "", "-123"),
+        (card.replace(" ", "-"), "", " 123"), (card, "9999 ", " 99"), (card, "1 2 3 ", " 4 5 6"), (amex, "", " 1234 12/27"),
+        (card, "99 ", " 12-May"), (card, "no ", ". 7"), (amex, "\ufdd0 77 ", " 8 \ufdd0\ufdd0"), (card, "2021 2022 2023 ", " 2024 2025"),
+    ]
+    alone = [card, solid, card.replace(" ", "-"), amex, other]
+    mixed = [f"{card} {other} 123", f"{card} 212-555-0100", f"{card} 123-45-6789", f"password=12-{solid}", "DE89 3704 0044 0532 0130 00"]
+    texts = [*alone, *(a + c + b for c, a, b in kept), *mixed, "1990 1991 1992 1993 1994 1995 1996 1997", "12 4111111111111112", "7 " * 20_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in pii.pseudonymize(df, "k").collect()}
+    new = {c: rows[i]["text"] for i, c in enumerate(alone)}
+    assert all(c != n for c, n in new.items())
+    for i, (c, a, b) in enumerate(kept, len(alone)):
+        assert rows[i]["text"] == a + new[c] + b and rows[i]["_values"] == [c], texts[i]
+    at = len(alone) + len(kept)
+    assert rows[at]["text"] == f"{new[card]} {new[other]} 123"
+    for i, value in ((at + 1, "212-555-0100"), (at + 2, "123-45-6789")):
+        assert rows[i]["text"].startswith(new[card] + " ") and rows[i]["_values"] == [card, value]
+    assert rows[at + 3]["_values"] == [f"password=12-{solid}"] and rows[at + 4]["_values"] == [texts[at + 4]]
+    assert all(rows[i]["text"] == texts[i] and not rows[i]["_values"] for i in range(at + 6, len(texts)))
