@@ -386,6 +386,14 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     )
     joined = packed.join(extra.withColumnRenamed("_print", "_of"), F.col("_print") == F.col("_of"), "left")
 
+    def coded_unit(unit: str, known: dict[str, bytes], own: dict[str, bytes]) -> bytes:
+        if len(unit) > LONGEST:
+            return np.array(encode_long(unit, model), "<i4").tobytes()
+        ids = known.get(unit) or own.get(unit)
+        if not ids:
+            raise RuntimeError(f"the lattice gave no ids for the unit {unit!r}")
+        return ids
+
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, unpack = hot_ids.value, zstandard.ZstdDecompressor()
         for batch in slices(batches):
@@ -395,7 +403,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                 text = None if raw is None else unpack.decompress(raw).decode()
                 rare = rare_units(text, known)
                 own = {rare[e["_u"]]: np.array(e["ids"], "<i4").tobytes() for e in extra.as_py() or ()}
-                parts = [known.get(u) or own.get(u) or np.array(encode_long(u, model), "<i4").tobytes() for u in units(text)]
+                parts = [coded_unit(u, known, own) for u in units(text)]
                 ids = np.frombuffer(b"".join(parts), "<i4")
                 texts.append(text)
                 found.append(ids)

@@ -8,8 +8,10 @@ import time
 import corpus_pipeline
 import numpy as np
 import plain
+import pytest
 
-from feedmill.llm import embeddings, line_dedup, pages, pii
+from feedmill.llm import embeddings, line_dedup, pages, pieces, pii
+from feedmill.llm.queries import PIECES
 
 
 def test_last_stage_decodes(spark, sf_dir):
@@ -169,3 +171,14 @@ def test_cards_beside_short_numbers(spark):
         assert rows[i]["text"].startswith(new[card] + " ") and rows[i]["_values"] == [card, value]
     assert rows[at + 3]["_values"] == [f"password=12-{solid}"] and rows[at + 4]["_values"] == [texts[at + 4]]
     assert all(rows[i]["text"] == texts[i] and not rows[i]["_values"] for i in range(at + 6, len(texts)))
+
+
+def test_units_come_from_the_lattice(spark, monkeypatch):
+    """A unit that the lattice loses is an error; only longer ones are merged in Python."""
+    df = spark.createDataFrame([(1, "some plain words")], "doc_id long, text string")
+    long = spark.createDataFrame([(1, "x" * 200)], "doc_id long, text string")
+    whole = pieces.encode_units
+    monkeypatch.setattr(pieces, "encode_units", lambda rows, model, by: whole(rows, model, by).filter("unit <> unit"))
+    assert pieces.encode(long, PIECES).first()["decoded"] == "x" * 200
+    with pytest.raises(Exception, match="gave no ids"):
+        pieces.encode(df, PIECES).collect()
