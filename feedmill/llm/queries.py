@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.llm import (
-    chat, embeddings, line_dedup, mixing, pages as page_text, pieces, pii, quality, sharding, simhash,
+    bpe, centroids, chat, embeddings, line_dedup, mixing, pages as page_text, pieces, pii, quality, resampling, sharding, simhash,
 )
 from feedmill.llm.common import table
 from feedmill.llm.registry import ORACLES, QUERIES, query  # noqa: F401
@@ -181,3 +181,100 @@ def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_dom_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of each page."""
     return page_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+#: Where the public merge list lies; never part of this repository.
+MERGES = "/opt/tokenizers/word_bpe_49k.json"
+
+
+@query("op11_stream_bpe")
+def op11_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of each document and of the text decoded from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = bpe.encode(docs, MERGES)
+    return done.select(
+        "doc_id", F.size("_ids").cast("long").alias("n_tokens"), F.sha2("_packed", 256).alias("ids_sha256"),
+        F.sha2("_decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query(
+    "op12_bracketed_resampling",
+    r"""
+    with bits as (select list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by b) as t
+        from (select unnest(range(256))::bigint as b)),
+    texts as (select 0 as kind, row_number() over () as r, doc_id, coalesce(text, '') as t from documents
+        union all select 1, row_number() over (), null, coalesce(text, '') from benchmark),
+    split as (select kind, r, doc_id, regexp_extract_all(
+            translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+        from texts),
+    runs as (select kind, r, array_to_string(w[i:i + n - 1], ' ') as f
+        from (select kind, r, w, n, unnest(range(1, len(w) - n + 2)) as i from split, (select unnest([1, 2, 3]) as n))),
+    codes as (select f, xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(f))),
+            lambda i: ('0x' || hex(encode(f))[2 * i + 1:2 * i + 2])::bigint)),
+            lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 as b
+        from (select distinct f from runs), bits),
+    counted as (select kind, r, b, count(*) as n from runs join codes using (f) group by 1, 2, 3),
+    totals as (select b, coalesce(sum(n) filter (where kind = 0), 0)::double as s, coalesce(sum(n) filter (where kind = 1), 0)::double as t
+        from counted group by 1),
+    gain as (select b, floor(1000 * ln((t + 1) * ((select sum(s) from totals) + 10000) / ((s + 1) * ((select sum(t) from totals) + 10000)))) as g
+        from totals),
+    weighed as (select r, sum(n)::bigint as n_features, sum(n * g)::bigint as weight from counted join gain using (b) where kind = 0 group by 1),
+    scored as (select r, doc_id, len(w) as words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+            coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
+        from split left join weighed using (r) where kind = 0),
+    placed as (select r, row_number() over (order by score desc, doc_id) as place from scored where words >= 20)
+    select doc_id, n_features, weight, score,
+        case when place <= 5 * (select count(*) from placed) // 100 then place end as rank
+    from scored left join placed using (r)
+    """,
+)
+def op12_bracketed_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and place of each document in a draw of 5 % that leans towards the benchmark texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resampling.draw(docs, table(spark, sf_dir, "benchmark").select("text"), carry=["doc_id"])
+    return drawn.select(
+        "doc_id", F.col("_features").alias("n_features"), F.col("_weight").alias("weight"), F.col("_score").alias("score"),
+        F.col("_rank").alias("rank"),
+    )
+
+
+def _rounds_sql(rounds: int) -> str:
+    """Assignment and new means for each round, as one step after the other."""
+    near = """
+    d{i} as materialized (select r, c, list_sum(list_transform(list_zip(v.x, m.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as dist
+        from v, c{i} m),
+    a{i} as materialized (select r, c, dist from d{i} qualify row_number() over (partition by r order by dist, c) = 1)"""
+    mean = """,
+    s{i} as (select c, pos, sum(x[pos])::hugeint as s, count(*)::hugeint as n
+        from a{i} join v using (r), (select unnest(range(1, 65)) as pos) group by 1, 2),
+    n{i} as (select c, list((case when s >= 0 then s // n else -((n - 1 - s) // n) end)::bigint order by pos) as x from s{i} group by 1),
+    c{j} as materialized (select c, coalesce(n{i}.x, c{i}.x) as x from c{i} left join n{i} using (c)),"""
+    return "".join(near.format(i=i) + (mean.format(i=i, j=i + 1) if i < rounds else "") for i in range(rounds + 1))
+
+
+@query(
+    "op13_rotated_filter",
+    f"""
+    with v as materialized (
+        select row_number() over (order by vec_id) as r, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as x
+        from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ),
+    c0 as (select row_number() over (order by sha256('2:' || vec_id)) - 1 as c, x from v
+        order by sha256('2:' || vec_id) limit 40),
+    {_rounds_sql(5)}
+    select vec_id, a5.c::int as cluster, dist as distance, (sum(dist) over (partition by a5.c))::bigint as cluster_inertia,
+        (sum(dist) over ())::bigint as inertia, sha256(array_to_string(c5.x, ',')) as centroid_sha256
+    from a5 join v using (r) join c5 on c5.c = a5.c
+    """,
+)
+def op13_rotated_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of each vector after five rounds around 40 centroids, in exact whole numbers."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    done = centroids.cluster(vectors, k=40, rounds=5, carry=["vec_id"])
+    return done.select(
+        "vec_id", F.col("_cluster").alias("cluster"), F.col("_distance").alias("distance"),
+        F.col("_cluster_inertia").alias("cluster_inertia"), F.col("_inertia").alias("inertia"),
+        F.col("_centroid_sha256").alias("centroid_sha256"),
+    )
