@@ -13,7 +13,8 @@ the shortest runs of lines with so many words, from each line on and up to each
 line. They are chunks like the others and do not depend on what surrounds them.
 
 The first occurrence, by key and place, stays; the other occurrences are
-removed after their bytes are compared. Only hashes and places are shuffled for
+removed after their bytes are compared, inside one document only those that do
+not overlap the first. Only hashes and places are shuffled for
 all chunks, texts only for those whose hash occurs twice.
 """
 
@@ -112,11 +113,11 @@ def chunks(text: str | None, isolate: bool) -> list[tuple[int, int, bytes]]:
 
 
 def _places(docs: DataFrame) -> DataFrame:
-    """``(_key, _print, first, end, hash)`` of all chunks of ``docs(_key, _print, _text)``."""
+    """``(_key, _print, first, end, hash, more)`` of all chunks of ``docs(_key, _print, _text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            row, first, end, code = [], [], [], []
+            row, first, end, code, more = [], [], [], [], []
             for n, text in enumerate(batch.column(2).to_pylist()):
                 lines = (text or "").encode().split(b"\n")
                 # The same chunk in both chunkings counts once.
@@ -124,31 +125,43 @@ def _places(docs: DataFrame) -> DataFrame:
                     row.append(n)
                     first.append(a)
                     end.append(b)
-                    code.append(xxhash.xxh64_intdigest(b"\n".join(lines[a:b]), 9))
+                    digest = xxhash.xxh3_128_intdigest(b"\n".join(lines[a:b]))
+                    code.append(digest >> 64)
+                    more.append(digest & (_TOP - 1))
             took = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(took), batch.column(1).take(took), pa.array(first, pa.int32()),
-                    pa.array(end, pa.int32()), pa.array(np.array(code, dtype=np.uint64).view(np.int64)),
+                    pa.array(end, pa.int32()), *(pa.array(np.array(h, dtype=np.uint64).view(np.int64)) for h in (code, more)),
                 ],
-                names=["_key", "_print", "first", "end", "hash"],
+                names=["_key", "_print", "first", "end", "hash", "more"],
             )
 
-    fields = [StructField("first", IntegerType()), StructField("end", IntegerType()), StructField("hash", LongType())]
+    numbers = {"first": IntegerType(), "end": IntegerType(), "hash": LongType(), "more": LongType()}
+    fields = [StructField(n, t) for n, t in numbers.items()]
     schema = StructType([docs.schema["_key"], docs.schema["_print"], *fields])
     return docs.mapInArrow(run, schema)
 
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(_key, _print, _spans)``: per document the line spans ``(first, end)`` to remove."""
+    """``(_key, _print, _gone)``: per document the numbers of the lines to remove.
+
+    A later occurrence of a chunk goes with all its lines if the first one is
+    in another document. Inside one document it is a repeat only if it does not
+    overlap the first one, and lines of first occurrences stay: so a text of
+    equal lines, a refrain or a table keeps each passage whole once.
+    """
     small_batches(docs.sparkSession)
     slim = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_print"), F.col(text).alias("_text"))
     places = store(_places(slim), "chunks")
-    often = places.groupBy("hash").agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col("hash").alias("_hash"))
-    found = store(places.join(often, F.col("hash") == F.col("_hash")).drop("_hash"), "repeated_chunks")
+    often = places.groupBy("hash", "more").agg(F.count("*").alias("_n")).filter("_n > 1")
+    often = often.select(F.col("hash").alias("_hash"), F.col("more").alias("_more"))
+    same = (F.col("hash") == F.col("_hash")) & (F.col("more") == F.col("_more"))
+    found = store(places.join(often, same).drop("_hash", "_more"), "repeated_chunks")
     # A struct compares null keys as equal.
     own = F.struct("_key", "_print")
-    per_doc = found.groupBy(own.alias("_doc")).agg(F.collect_set(F.struct("first", "end", "hash")).alias("_c"))
+    chunk = F.struct("first", "end", "hash", "more")
+    per_doc = found.groupBy(own.alias("_doc")).agg(F.collect_set(chunk).alias("_c"))
     texts = slim.withColumn("_own", own).join(per_doc, F.col("_own") == F.col("_doc"))
     # Bytes are cut out before the explode, which would copy all lines for each chunk.
     cut = bind(
@@ -162,27 +175,37 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     texts = texts.select("_key", "_print", F.inline(cut)).select("_key", "_print", "c.*", F.col("bytes").alias("_bytes"))
     # Null keys come last, so a document with a key keeps its chunk.
     place = F.struct(F.col("_key").isNull().alias("none"), "_key", "_print", "first", "end")
-    groups = texts.groupBy("hash").agg(
+    groups = texts.groupBy("hash", "more").agg(
         F.min("_bytes").alias("_lo"), F.max("_bytes").alias("_hi"), F.min(place).alias("_first")
     )
-    # Equal hashes over different bytes are left alone.
-    groups = groups.filter(F.col("_lo") == F.col("_hi")).select(F.col("hash").alias("_hash"), "_first")
-    late = found.join(groups, F.col("hash") == F.col("_hash")).filter(place > F.col("_first"))
-    return late.groupBy("_key", "_print").agg(F.collect_set(F.struct("first", "end")).alias("_spans"))
+    # Equal hashes of 128 bits over different bytes, should they ever meet, are left alone.
+    groups = groups.filter(F.col("_lo") == F.col("_hi")).select(F.col("hash").alias("_hash"), F.col("more").alias("_more"), "_first")
+    seen = found.join(groups, same)
+    here = F.col("_first._key").eqNullSafe(F.col("_key")) & (F.col("_first._print").eqNullSafe(F.col("_print")))
+    lines = F.struct("first", "end")
+    # F.when without a match is null, which collect_set leaves out.
+    spans = seen.groupBy("_key", "_print").agg(
+        F.collect_set(F.when(~here, lines)).alias("_other"),
+        F.collect_set(F.when(here & (F.col("first") >= F.col("_first.end")), lines)).alias("_repeat"),
+        F.collect_set(F.when(place == F.col("_first"), lines)).alias("_kept"),
+    )
+    each = lambda c: F.array_distinct(F.flatten(F.transform(c, lambda s: F.sequence(s["first"], s["end"] - 1))))
+    gone = F.array_union(each("_other"), F.array_except(each("_repeat"), each("_kept")))
+    return spans.select("_key", "_print", F.array_sort(gone).alias("_gone")).filter(F.size("_gone") > 0)
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with repeated chunks cut out of ``text``, plus ``_removed`` (number of lines cut).
 
-    A null text stays null; a text that is nothing but repeats becomes empty.
-    Rows that are equal in key and text are one document and are cut alike.
+    A null text stays null; a text that is nothing but repeats of other
+    documents becomes empty. Rows that are equal in key and text are one
+    document and are cut alike.
     """
     spans = store(removals(docs, key, text), "line_spans")
-    spans = spans.select(F.struct("_key", "_print").alias("_of"), "_spans")
+    spans = spans.select(F.struct("_key", "_print").alias("_of"), "_gone")
     rows = wrap(docs, _text=F.col(text), _own=F.struct(F.col(key).alias("_key"), F.xxhash64(text).alias("_print")))
-    gone = F.array_distinct(F.flatten(F.transform("_spans", lambda s: F.sequence(s["first"], s["end"] - 1))))
     # The spans of a corpus have no size bound, so they are never broadcast.
-    joined = rows.hint("merge").join(spans, F.col("_own") == F.col("_of"), "left").withColumn("_gone", gone)
+    joined = rows.hint("merge").join(spans, F.col("_own") == F.col("_of"), "left")
     # Lines are cut by place, in one pass over the places.
     places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     kept = F.transform(places, lambda i: F.get("_lines", i))

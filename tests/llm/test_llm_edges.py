@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedmill.llm import chat, embeddings, line_dedup, mixing, pages, pieces, pii, quality, sharding, simhash
+from feedmill.llm.common import store
 from feedmill.llm.queries import PIECES
 
 PASSAGE = " ".join(f"w{i}" for i in range(60))
@@ -209,7 +210,7 @@ def test_feistel_is_one_to_one(spark):
 def test_pseudonyms_stay_valid(spark):
     values = ["4111111111111111", "DE89 3704 0044 0532 0130 00", "FR1420041010050500013M02606", "212-555-0100", "+1 (212) 555-0100", "+49 30 1234567", "10.1.2.3", "123-45-6789", "2001-02-03", "03.02.2001", "25/12/2001"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "doc_id long, text string")
-    once = pii.pseudonymize(df, "k").cache()
+    once = store(pii.pseudonymize(df, "k"), "once")
     twice = pii.pseudonymize(once.drop("_values"), "k")
     assert {r["doc_id"] for r in twice.collect() if len(r["_values"]) == 1} == set(range(len(values)))
     shape = F.regexp_replace("text", "[0-9]", "0")

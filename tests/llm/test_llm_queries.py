@@ -8,7 +8,8 @@ import oracle
 import plain
 import pytest
 
-from feedmill.llm import line_dedup, queries
+from feedmill.llm import queries
+from feedmill.llm.common import store
 
 
 @pytest.fixture(scope="module")
@@ -120,17 +121,10 @@ def test_op8(spark, sf_dir, docs):
 
 
 def test_op9(spark, sf_dir, docs):
-    places = {}
-    for k, r in docs.items():
-        for a, b, data in {c[:2]: c for way in (True, False) for c in line_dedup.chunks(r["text"], way)}.values():
-            places.setdefault(data, []).append((k, a, b))
-    gone = {}
-    for found in places.values():
-        for k, a, b in sorted(found)[1:]:
-            gone.setdefault(k, set()).update(range(a, b))
+    gone = plain.repeated_lines({k: r["text"] for k, r in docs.items()})
     for r in rows(spark, sf_dir, "op9_line_chunks"):
         lines = docs[r["doc_id"]]["text"].split("\n")
-        cut = gone.get(r["doc_id"], set())
+        cut = gone[r["doc_id"]]
         assert r["text"] == "\n".join(x for i, x in enumerate(lines) if i not in cut)
 
 
@@ -146,9 +140,9 @@ def test_pipeline(spark, sf_dir):
     """Stage by stage, each on what its predecessor kept."""
     lib = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=queries.PIECES)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    kept = [docs.cache()]
+    kept = [docs]
     for _, stage in corpus_pipeline.STAGES:
-        kept.append(stage(spark, kept[-1], sf_dir).cache())
+        kept.append(store(stage(spark, kept[-1], sf_dir), "stage"))
     raw, ruled, cut, single, mixed, coded = [d.collect() for d in kept]
     assert {r["doc_id"] for r in ruled} == {r["doc_id"] for r in raw if not plain.base_failed(r["text"])}
     assert {r["doc_id"] for r in cut} == {r["doc_id"] for r in ruled} and all(r["n_chars"] == len(r["text"]) for r in cut)
