@@ -61,27 +61,50 @@ SELECT kind, review_content, error, count(*) AS n FROM (
     CASE WHEN doc_id % 6 = 5 THEN 'malformed line' END AS error FROM k) GROUP BY 1, 2, 3""",
 )
 def read_csv_mixed(spark, sf_dir):
-    """Files with the named column, with other columns, and with lines that do not parse, in one read."""
-    folder = f"{shared_dir(spark, 'mixed')}/mixed"
+    """Files with the named column and blank lines, with a quoted header, and with lines that do not parse, in one read."""
     text = F.replace("text", F.lit("\n"), F.lit(" "))
     docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("t"), "lang", "source")
     cell = F.concat(F.lit('"'), F.replace("t", F.lit('"'), F.lit('""')), F.lit('"'))
     lines = {
-        "named": ("review_id,review_content,lang,source", F.concat_ws(",", "doc_id", cell, "lang", "source")),
-        "other": ("a,b,c", F.concat_ws(",", "lang", "source", cell)),
+        "named": ("review_id,review_content,lang,source", F.concat(F.concat_ws(",", "doc_id", cell, "lang", "source"), F.lit("\n"))),
+        "other": ('a,"b, ""the source""",c', F.concat_ws(",", "lang", "source", cell)),
         "broken": ("a,b", F.when(F.col("doc_id") % 6 == 5, F.lit('x,"open,y')).otherwise(F.concat_ws(",", "lang", cell))),
     }
+    rows = readers.read_mixed(spark, _headed_files(spark, docs, lines))
+    kind = F.concat_ws("/", F.slice(F.split("source_key", "/"), 1, 2)).alias("kind")
+    return rows.groupBy(kind, "review_content", "error").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "read_csv_multiline",
+    """WITH k AS (SELECT 'mixed/' || CASE doc_id % 2 WHEN 0 THEN 'named' ELSE 'other' END AS kind, text FROM documents)
+SELECT kind, nullif(text, '') AS review_content, NULL AS error, count(*) AS n FROM k GROUP BY 1, 2""",
+)
+def read_csv_multiline(spark, sf_dir):
+    """Texts with their line breaks in quoted cells, below headers of two kinds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("t"), "lang", "source")
+    cell = F.concat(F.lit('"'), F.replace("t", F.lit('"'), F.lit('""')), F.lit('"'))
+    lines = {
+        "named": ('"review_content","the\nplace",lang', F.concat_ws(",", cell, "doc_id", "lang")),
+        "other": ("a,b,c", F.concat(F.lit("\n"), F.concat_ws(",", "lang", "source", cell), F.lit("\r"))),
+    }
+    rows = readers.read_mixed(spark, _headed_files(spark, docs, lines), multi_line=True)
+    kind = F.concat_ws("/", F.slice(F.split("source_key", "/"), 1, 2)).alias("kind")
+    return rows.groupBy(kind, "review_content", "error").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _headed_files(spark, docs, lines) -> str:
+    """A folder with one kind of files for each entry of ``lines``, by ``doc_id``; each file begins with its header."""
+    folder = f"{shared_dir(spark, 'mixed')}/mixed"
     for i, (kind, (header, line)) in enumerate(lines.items()):
         # Every text file of a folder begins with the header.
-        own = docs.filter(F.col("doc_id") % 3 == i)
+        own = docs.filter(F.col("doc_id") % len(lines) == i)
         headed = own.select(F.spark_partition_id().alias("_p"), line.alias("value"))
         # One file per partition: its first line is the header.
         first = headed.select("_p").distinct().select("_p", F.lit(0).alias("_o"), F.lit(header).alias("value"))
         both = first.unionByName(headed.withColumn("_o", F.lit(1))).repartition("_p").sortWithinPartitions("_p", "_o")
         both.select("value").write.partitionBy().text(f"{folder}/{kind}")
-    rows = readers.read_mixed(spark, folder)
-    kind = F.concat_ws("/", F.slice(F.split("source_key", "/"), 1, 2)).alias("kind")
-    return rows.groupBy(kind, "review_content", "error").agg(F.count(F.lit(1)).alias("n"))
+    return folder
 
 
 @query(

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from feedmill.functions import text as tx
 from feedmill.schemas import RAW_REVIEW_SCHEMA
+from feedmill.sources import records
 
 UNREADABLE_SURVEY = "Could not read survey data."
 # Line breaks besides CR and LF, which the text reader handles.
@@ -72,23 +73,28 @@ def read_reviews(
 ) -> DataFrame:
     """Review CSV files with this header, one ``source_key`` per file. [SRC1]
 
-    Large files are split, so a record is a line. ``multi_line`` allows line
-    breaks inside quotes, at the price that a file is read by one task; ask for
-    it for the file sets that need it. Keys are relative to ``root``, by default
-    the folder that holds ``path``. Files with other headers: ``read_mixed``.
+    Large files are split. Without ``multi_line`` a record is a line; with it
+    quoted cells may hold line breaks, and the byte ranges of a file are still
+    read side by side. Keys are relative to ``root``, by default the folder that
+    holds ``path``. Files with other headers: ``read_mixed``.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .schema(schema)
-    )
+    key = lambda path_col: key_from_path(path_col, _roots(path, root)).alias("source_key")
+    if multi_line:
+        found = records.records(spark, path)
+        names = F.array(*[F.lit(f.name) for f in schema.fields])
+        wrong = F.raise_error(F.concat(F.lit("the header does not name the schema's columns: "), F.substr("record", F.lit(1), F.lit(500))))
+        same = F.coalesce(records.cells(F.col("record")) == names, F.lit(False))
+        # A header is checked where it lies, and left out.
+        body = found.filter(F.when(F.col("is_header"), F.when(same, False).otherwise(wrong.cast("boolean"))).otherwise(True))
+        parsed = F.from_csv("record", _ddl(schema), {"quote": '"', "escape": '"'})
+        return body.select(key(F.col("_file")), F.col("_id").alias("row_no"), parsed.alias("_c")).select("source_key", "row_no", "_c.*")
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("enforceSchema", False).schema(schema)
     rows = reader.csv(path)
-    return rows.select(
-        key_from_path(F.col("_metadata.file_path"), _roots(path, root)).alias("source_key"), _row_no().alias("row_no"), *rows.columns
-    )
+    return rows.select(key(F.col("_metadata.file_path")), _row_no().alias("row_no"), *rows.columns)
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def _lines(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
@@ -129,28 +135,36 @@ def read_reviews_salvage(
 
 
 def read_mixed(
-    spark: SparkSession, path: str | list[str], column: str = "review_content", root: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    column: str = "review_content",
+    root: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """The review text of CSV files with any header: ``source_key, row_no, <column>, error``. [SRC1-SRC3]
 
     A file's text column is the one named ``column``, else the one with the
-    longest texts on average. Each record is a line. A line whose quotes do not
+    longest texts on average. A record is a line, or with ``multi_line`` a
+    record with line breaks inside its quotes. A record whose quotes do not
     match, or with another number of cells than the header, is an error row
-    without a text; a file without a header line gives no rows. One bad file
-    costs only itself.
+    without a text; blank lines are skipped; a file without a header gives no
+    rows. One bad file costs only itself.
     """
-    lines = _lines(spark, path, recursive=True)
-    headers = _headers(lines)
-    # Cells of a line: quoted ones may hold commas and doubled quotes.
-    cell = r'"(?:[^"]|"")*+"|[^",]*+'
-    found = F.regexp_extract_all(F.concat(F.lit(","), F.col("line")), F.lit(f",({cell})"), F.lit(1))
-    whole = F.length(F.array_join(found, ",")) == F.length("line")
-    plain = F.transform(found, lambda c: F.when(c.startswith('"'), F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
-    cells = lines.withColumns({"_cells": plain, "_whole": whole})
-    names = F.transform(F.split("header", ","), lambda h: F.btrim(h, F.lit('"')))
-    headers = headers.withColumn("_names", names)
-    body = cells.join(headers, F.col("_file") == F.col("_hf")).filter("_id <> _hid or _part <> _hpart")
-    good = F.col("_whole") & (F.size("_cells") == F.size("_names"))
+    if multi_line:
+        found = records.records(spark, path, recursive=True)
+    else:
+        lines = _lines(spark, path, recursive=True).filter(~F.col("line").rlike(r"\A[ \t\r]*\z"))
+        first = _headers(lines)
+        heads = first.select("_hf", "_hid", "_hpart")
+        lines = lines.join(heads, F.col("_file") == F.col("_hf"))
+        is_header = (F.col("_id") == F.col("_hid")) & (F.col("_part") == F.col("_hpart"))
+        record = F.when(is_header, F.ltrim("line", F.lit("\ufeff"))).otherwise(F.col("line"))
+        found = lines.select("_file", "_id", record.alias("record"), is_header.alias("is_header"), F.lit(False).alias("is_open"))
+    found = found.select("_file", "_id", "is_header", records.cells(F.col("record")).alias("_cells"))
+    # One small row for each file.
+    names = found.filter("is_header").select(F.col("_file").alias("_hf"), F.col("_cells").alias("_names"))
+    body = found.filter("not is_header").join(names, F.col("_file") == F.col("_hf"))
+    good = F.coalesce(F.size("_cells") == F.size("_names"), F.lit(False))
     body = body.withColumn("_good", good)
     # Sums of lengths per file and place of a column: as many numbers as the widest header has names.
     sizes = body.filter("_good").select("_file", F.posexplode("_cells").alias("_place", "_cell"))
