@@ -33,7 +33,7 @@ ROWS, PAIRS = 2048, 16_384
 #: Whole components beyond this could take a squared distance beyond a long.
 REACH = 1 << 27
 #: Share of the variance that the leading coordinates hold, up to a half of all coordinates.
-ENERGY = 0.8
+ENERGY = 0.9
 
 
 def whole(rows: DataFrame, vector: str, dims: int, scale: float) -> DataFrame:
@@ -126,7 +126,7 @@ class Frame:
 
     def place(self, centroids: list[list[int]]) -> "Frame":
         out = Frame(self.mean, self.axes, self.lead)
-        out.centroids = np.array(centroids, np.int64)
+        out.centroids = np.array(centroids, np.int64).reshape(-1, len(self.mean))
         out.c_lead, out.c_rest = rotated(out.centroids.astype(float), self.mean, self.axes, self.lead)
         return out
 
