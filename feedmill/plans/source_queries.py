@@ -17,7 +17,7 @@ from feedmill.plans.metric_queries import _STATE_POINTS, states
 from feedmill.schemas import RAW_REVIEW_SCHEMA, REVIEW_COLUMNS, REVIEW_SCHEMA
 from feedmill.session import shared_dir
 from feedmill.sinks import writers
-from feedmill.sources import readers
+from feedmill.sources import drift, readers
 
 _PRESENT = (
     "product_id", "category", "actual_price", "discount_percentage", "rating", "rating_count", "user_id",
@@ -131,6 +131,36 @@ def schema_drift(spark, sf_dir):
     return readers.schema_drift(readers.infer_csv(spark, review_csv(spark, sf_dir)), REVIEW_SCHEMA)
 
 
+@query(
+    "schema_drift_runs",
+    """WITH n AS (SELECT doc_id % 4 AS k, count(*) AS rows FROM documents GROUP BY 1)
+SELECT * FROM (
+  SELECT 'two' AS run, 'source' AS column_name, 'added' AS change, NULL AS expected_type, 'string' AS found_type, rows::BIGINT AS rows FROM n WHERE k = 1
+  UNION ALL SELECT 'two', 'doc_id', 'type_changed', 'int', 'bigint', rows FROM n WHERE k = 1
+  UNION ALL SELECT 'three', 'lang', 'removed', 'string', NULL, rows FROM n WHERE k = 2
+  UNION ALL SELECT 'three', 'doc_id', 'type_changed', 'int', 'string', rows FROM n WHERE k = 2)""",
+)
+def schema_drift_runs(spark, sf_dir):
+    """Four runs over a growing folder: each reads its new files only and tells only changes not told before."""
+    folder, state = f"{shared_dir(spark, 'drift')}/in", shared_dir(spark, "drift-state")
+    docs = table(spark, sf_dir, "documents")
+    loads = {
+        "one": docs.filter("doc_id % 4 = 0").select(F.col("doc_id").cast("int"), "text", "lang"),
+        "two": docs.filter("doc_id % 4 = 1").select((F.col("doc_id") + 5_000_000_000).alias("doc_id"), "text", "lang", "source"),
+        "three": docs.filter("doc_id % 4 = 2").select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "text", "source"),
+        "four": docs.filter("doc_id % 4 = 3").select((F.col("doc_id") + 5_000_000_000).alias("doc_id"), "text", "lang", "source"),
+    }
+    expected = loads["one"].schema
+    told = []
+    for run, rows in loads.items():
+        writers.write_csv(rows, f"{folder}/{run}")
+        told.append(drift.drift_run(spark, folder, expected, state, run).withColumn("run", F.lit(run)))
+    out = told[0]
+    for part in told[1:]:
+        out = out.unionByName(part)
+    return out.select("run", "column_name", "change", "expected_type", "found_type", "rows")
+
+
 _TEXT_COLUMNS = ("text", "lang", "source")
 
 

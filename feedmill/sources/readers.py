@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmill.functions import text as tx
 from feedmill.schemas import RAW_REVIEW_SCHEMA
-from feedmill.sources import records
+from feedmill.sources import drift, records
 
 UNREADABLE_SURVEY = "Could not read survey data."
 # Line breaks besides CR and LF, which the text reader handles.
@@ -262,9 +260,6 @@ def schema_drift(df: DataFrame, expected: T.StructType) -> DataFrame:
     )
 
 
-def infer_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Files of new folders with an inferred schema, for ``schema_drift``."""
-    paths = path if isinstance(path, str) else list(path)
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').option(
-        "inferSchema", True
-    ).csv(paths)
+def infer_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Files of new folders with an inferred schema, for ``schema_drift``; large files are split."""
+    return read_reviews(spark, path, drift.infer_schema(spark, path), multi_line=True).drop("source_key", "row_no")
