@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.functions.text import strip
+from feedmill.functions.text import normalize_text, one_if_filled, strip
 from feedmill.operators.annotation import (
     DEFAULT_LANGUAGE,
     annotate_entities,
@@ -21,6 +21,7 @@ from feedmill.operators.annotation import (
     tokens_of,
 )
 from feedmill.operators.ordering import first_k
+from feedmill.operators.validation import summary_of, validate
 from feedmill.schemas import ENTITIES_TYPE, ITEMS_TYPE, NLP_TYPE, SCORES_TYPE, SENTIMENT_TYPE
 
 SCORES = ("Positive", "Negative", "Neutral", "Mixed")
@@ -166,42 +167,80 @@ def annotate(
     return rows.drop("_tokens")
 
 
-def _facts(annotated: DataFrame, by: str) -> DataFrame:
-    """Every annotation as a row ``kind, name, text, seen`` with scores for sentiment."""
+def _fact(kind: str, name: Column, text: Column, place: Column, scores: Column | None = None) -> Column:
+    no_scores = F.lit(None).cast(SCORES_TYPE)
+    return F.struct(
+        F.lit(kind).alias("kind"),
+        name.cast("string").alias("name"),
+        text.cast("string").alias("text"),
+        place.cast("bigint").alias("place"),
+        (no_scores if scores is None else scores).alias("scores"),
+    )
 
-    def fact(kind: str, name: Column, text: Column, place: Column, scores: Column | None = None) -> Column:
-        no_scores = F.lit(None).cast(SCORES_TYPE)
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            name.cast("string").alias("name"),
-            text.cast("string").alias("text"),
-            place.cast("bigint").alias("place"),
-            (no_scores if scores is None else scores).alias("scores"),
-        )
 
+def _annotation_facts() -> Column:
+    """The annotations of a segment as facts ``kind, name, text, place``, with scores for sentiment."""
     none, start = F.lit(None), F.lit(0)
     entities = F.when(F.col("entity_error").isNull(), F.col("entities"))
     phrases = F.when(F.col("phrase_error").isNull(), F.col("phrases"))
     single = F.array_compact(
         F.array(
-            fact("document", none, none, start),
-            fact("language", F.col("language"), none, start),
-            F.when(F.col("sentiment_error").isNull(), fact("label", F.col("label"), none, start, F.col("scores"))),
+            _fact("document", none, none, start),
+            _fact("language", F.col("language"), none, start),
+            F.when(F.col("sentiment_error").isNull(), _fact("label", F.col("label"), none, start, F.col("scores"))),
         )
     )
     all_facts = [
         single,
-        F.transform(entities, lambda e, i: fact("type", e["type"], none, i)),
-        F.transform(entities, lambda e, i: fact("entity", e["type"], e["text"], i)),
-        F.transform(phrases, lambda p, i: fact("phrase", none, p, i)),
+        F.transform(entities, lambda e, i: _fact("type", e["type"], none, i)),
+        F.transform(entities, lambda e, i: _fact("entity", e["type"], e["text"], i)),
+        F.transform(phrases, lambda p, i: _fact("phrase", none, p, i)),
     ]
     nothing = F.slice(single, 1, 0)
-    facts = F.concat(*[F.coalesce(f, nothing) for f in all_facts])
+    return F.concat(*[F.coalesce(f, nothing) for f in all_facts])
+
+
+def _row_facts() -> Column:
+    """The verdict and the issues of a validated row as facts."""
+    none, start = F.lit(None), F.lit(0)
+    verdict = F.array(_fact("row", F.when(F.col("is_valid"), "valid").otherwise("invalid"), none, start))
+    return F.concat(verdict, F.transform("issues", lambda i: _fact("issue", i, none, start)))
+
+
+def _count(rows: DataFrame, facts: Column, by: str) -> DataFrame:
     # The outer form keeps the optimizer from testing the array's size first,
     # which would build it twice; it is never empty here.
-    rows = annotated.select(by, "seg_no", F.explode_outer(facts).alias("_f"))
+    rows = rows.select(by, "seg_no", F.explode_outer(facts).alias("_f"))
     rows = rows.select(by, "seg_no", "_f.kind", "_f.name", "_f.text", "_f.place", "_f.scores")
-    return rows.filter("kind <> 'phrase' or text <> ''").withColumn("seen", first_seen("seg_no", "place"))
+    rows = rows.filter("kind <> 'phrase' or text <> ''").withColumn("seen", first_seen("seg_no", "place"))
+    return rows.groupBy(by, "kind", "name", "text").agg(
+        F.count(F.lit(1)).alias("cnt"), F.min("seen").alias("seen"), *_score_sums("scores")
+    )
+
+
+def nlp_counts(annotated: DataFrame, by: str = "source_key") -> DataFrame:
+    """``by, kind, name, text, cnt, seen`` and score sums: all that the results of a file need, and mergeable."""
+    return _count(annotated, _annotation_facts(), by)
+
+
+def review_counts(rows: DataFrame, by: str = "source_key", text: str = "review_content", order: str = "row_no") -> DataFrame:
+    """Counts of validation and annotations of review rows in one pass over the texts.
+
+    Each row is checked, cleaned and annotated once; blank rows are only checked.
+    """
+    checked = validate(rows.select(by, order, text), text)
+    filled = F.get(one_if_filled(normalize_text(F.col(text))), 0)
+    parts = checked.select(by, F.col(order).cast("bigint").alias("seg_no"), "issues", "is_valid", filled.alias("segment"))
+    annotated = annotate(parts)
+    facts = F.when(F.col("segment").isNull(), _row_facts()).otherwise(F.concat(_row_facts(), _annotation_facts()))
+    return _count(annotated, facts, by)
+
+
+def merge_counts(parts: DataFrame, by: str = "source_key") -> DataFrame:
+    """Counts of the same files from several loads as one."""
+    return parts.groupBy(by, "kind", "name", "text").agg(
+        F.sum("cnt").alias("cnt"), F.min("seen").alias("seen"), *[F.sum(s).cast("decimal(28,12)").alias(s) for s in SCORES]
+    )
 
 
 def nlp_results(
@@ -225,11 +264,19 @@ def nlp_results(
     ``top_phrases`` per file are listed.
     """
     annotated = annotate(segments, sentiment_scorer, entity_extractor, phrase_extractor, default_language)
-    counted = (
-        _facts(annotated, by)
-        .groupBy(by, "kind", "name", "text")
-        .agg(F.count(F.lit(1)).alias("cnt"), F.min("seen").alias("seen"), *_score_sums("scores"))
-    )
+    counted = nlp_counts(annotated, by)
+    return file_results(files, counted, by, default_language, top_entities, top_phrases).select(by, "nlp")
+
+
+def file_results(
+    files: DataFrame,
+    counted: DataFrame,
+    by: str = "source_key",
+    default_language: str = DEFAULT_LANGUAGE,
+    top_entities: int = TOP_ENTITIES,
+    top_phrases: int = TOP_PHRASES,
+) -> DataFrame:
+    """``nlp``, ``validation`` and ``rows`` of each file in ``files`` from its counts."""
     # Labels, types and languages are groups of one row; entity texts of a type
     # and phrases of a file are the groups that get cut.
     order = [F.desc("cnt"), F.asc("seen"), F.asc("text")]
@@ -255,6 +302,9 @@ def nlp_results(
         gather("type", "seen", "name", "cnt").alias("types"),
         gather("entity", "rank", "name", "text", "cnt", keep=F.col("rank") <= top_entities).alias("entities"),
         gather("phrase", "rank", "text", "cnt", keep=F.col("rank") <= top_phrases).alias("phrases"),
+        F.coalesce(F.sum(only("row", "cnt")), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when((F.col("kind") == "row") & (F.col("name") == "valid"), F.col("cnt"))), F.lit(0)).alias("valid"),
+        F.map_from_entries(F.collect_list(only("issue", F.struct("name", "cnt")))).alias("issues"),
     )
 
     def counts(rows: str) -> Column:
@@ -270,7 +320,10 @@ def nlp_results(
     )
     results = gathered.select(
         by,
-        F.struct(
+        "rows",
+        "valid",
+        "issues",
+        F.when(F.col("documents").isNotNull(), F.struct(
             F.coalesce("language", F.lit(default_language)).alias("language"),
             F.col("documents").alias("total_documents"),
             F.lit(False).alias("skipped"),
@@ -285,7 +338,7 @@ def nlp_results(
                 F.map_from_entries(top_by_type).alias("top_entities_by_type"),
             ).alias("entities"),
             items(F.col("phrases")).alias("key_phrases"),
-        )
+        ))
         .cast(NLP_TYPE)
         .alias("_nlp"),
     )
@@ -297,4 +350,8 @@ def nlp_results(
         F.lit(None).cast(ENTITIES_TYPE),
         F.expr(f"cast(array() as {ITEMS_TYPE})"),
     ).cast(NLP_TYPE)
-    return files.select(by).join(results, by, "left").select(by, F.coalesce("_nlp", blank).alias("nlp"))
+    known = files.select(by).join(results, by, "left")
+    total, valid = F.coalesce("rows", F.lit(0)).cast("bigint"), F.coalesce("valid", F.lit(0)).cast("bigint")
+    return known.select(
+        by, F.coalesce("_nlp", blank).alias("nlp"), summary_of(total, valid, F.col("issues")).alias("validation"), total.alias("rows")
+    )

@@ -96,17 +96,20 @@ def validation_summary(
         F.array(*[F.struct(F.lit(n).alias("key"), F.col(f"_{n}").alias("value")) for n in ISSUES]),
         lambda e: e["value"] > 0,
     )
+    summary = summary_of(F.col("total_rows"), F.col("valid_rows"), F.map_from_entries(entries))
+    return counted.select(*by, summary.alias("_s")).select(*by, "_s.*")
+
+
+def summary_of(total: Column, valid: Column, issues: Column) -> Column:
+    """The summary as a struct, from the number of rows, of valid rows, and of rows per issue. [VAL9]"""
     none_found = F.create_map(F.lit(NO_CONTENT), F.lit(1).cast("bigint"))
-    score = F.round(F.try_divide("valid_rows", "total_rows") * 100, 2)
-    return counted.select(
-        *by,
-        "total_rows",
-        "valid_rows",
-        (F.col("total_rows") - F.col("valid_rows")).alias("invalid_rows"),
+    score = F.round(F.try_divide(valid, total) * 100, 2)
+    return F.struct(
+        total.alias("total_rows"),
+        valid.alias("valid_rows"),
+        (total - valid).alias("invalid_rows"),
         F.coalesce(score, F.lit(0.0)).alias("quality_score"),
-        F.when(F.col("total_rows") == 0, none_found)
-        .otherwise(F.map_from_entries(entries))
-        .alias("validation_issues"),
+        F.when(total == 0, none_found).otherwise(issues).alias("validation_issues"),
     )
 
 

@@ -58,20 +58,30 @@ def review_files(
     ``prompt_rows``; ``rows_left_out`` counts the others.
     """
     rows = rows.select("source_key", "row_no", "review_content")
-    checked = validation.validate(rows, "review_content")
-    summary = validation.validation_summary(checked, "source_key", files)
-    left_out = F.greatest(F.col("total_rows") - prompt_rows, F.lit(0)).cast("bigint")
-    summary = summary.select(
-        "source_key", F.struct(*summary.columns[1:]).alias("validation"), left_out.alias("rows_left_out")
-    )
     # Cut to the sample before the costly cleaning.
     sample = first_rows(rows, "source_key", "row_no", prompt_rows)
-    texts = normalization.sample_text(normalization.normalize_column(sample), n=prompt_rows)
-    read = rows if sample_n is None else first_rows(rows, "source_key", "row_no", sample_n)
+    if sample_n is None:
+        return review_state(files, aggregation.review_counts(rows), sample, prompt_rows)
+    # Validation sees all rows, the annotators a part.
+    checked = validation.validate(rows, "review_content")
+    summary = validation.validation_summary(checked, "source_key", files)
+    summary = summary.select("source_key", F.struct(*summary.columns[1:]).alias("validation"), F.col("total_rows").alias("rows"))
+    read = first_rows(rows, "source_key", "row_no", sample_n)
     parts = segments.segments_from_rows(normalization.normalize_column(read).drop("review_content"))
-    nlp = aggregation.nlp_results(files, parts)
-    state = files.join(summary, "source_key", "left").join(texts, "source_key", "left")
-    return _conform(state.join(nlp, "source_key", "left").withColumn("data_type", F.lit("text_reviews")))
+    return _review_state(files, summary.join(aggregation.nlp_results(files, parts), "source_key", "left"), sample, prompt_rows)
+
+
+def review_state(files: DataFrame, counts: DataFrame, sample: DataFrame, prompt_rows: int = PROMPT_ROWS) -> DataFrame:
+    """The state of review files from their counts (``review_counts``) and the raw rows that a prompt quotes."""
+    return _review_state(files, aggregation.file_results(files, counts), sample, prompt_rows)
+
+
+def _review_state(files: DataFrame, results: DataFrame, sample: DataFrame, prompt_rows: int) -> DataFrame:
+    texts = normalization.sample_text(normalization.normalize_column(sample), n=prompt_rows)
+    left_out = F.greatest(F.col("rows") - prompt_rows, F.lit(0)).cast("bigint")
+    results = results.withColumn("rows_left_out", left_out).drop("rows")
+    state = files.join(results, "source_key", "left").join(texts, "source_key", "left")
+    return _conform(state.withColumn("data_type", F.lit("text_reviews")))
 
 
 def text_files(files: DataFrame, data_type: str, text: str) -> DataFrame:
