@@ -15,7 +15,7 @@ from feedmill.plans.table_queries import CHECKED
 from feedmill.plans.views import NL, normalize_sql, quote, reviews, table
 from feedmill.session import shared_dir
 from feedmill.sources import payloads
-from feedmill.streaming import streams
+from feedmill.streaming import filestate, streams
 
 CALL_KEY = "'audio/call_' || conv_id || '_' || turn || '.mp3'"
 
@@ -460,6 +460,26 @@ def feedback_reports(spark, sf_dir):
     )
 
 
+@query("stream_file_reports", _FLOW_SQL)
+def stream_file_reports(spark, sf_dir):
+    """The same reports from a stream that brings the rows of every file in several micro-batches."""
+    folder = shared_dir(spark, "file-reports")
+    rows = reviews(spark, sf_dir).select("source_key", "row_no", "review_content", (F.col("row_no") % 3).alias("load"))
+    rows.hint("rebalance", "load").write.partitionBy("load").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in").drop("load")
+    process = feedback.file_flow(f"{folder}/files", f"{folder}/work", f"{folder}/out")
+    streams.start_batches(stream, process, f"{folder}/state").awaitTermination()
+    stored = spark.read.json(f"{folder}/out/quality-reports")
+    b = F.col("score_breakdown")
+    return filestate.latest(stored).select(
+        "source_key",
+        "data_type",
+        b["base_score_from_validation"].alias("base"),
+        b["comprehend_boost"].alias("boost"),
+        b["final_score"].cast("double").alias("final_score"),
+    )
+
+
 @query(
     "call_reports",
     f"""WITH n AS (SELECT {CALL_KEY} AS source_key, text, {normalize_sql('text')} AS t FROM conversations)

@@ -20,6 +20,7 @@ from feedmill.operators.ordering import first_rows
 from feedmill.schemas import NLP_TYPE, VALIDATION_TYPE
 from feedmill.sinks import writers
 from feedmill.sources import payloads
+from feedmill.streaming import filestate
 
 #: Rows of a file that a prompt quotes; all rows are annotated.
 PROMPT_ROWS = 50
@@ -255,3 +256,29 @@ def batch_flow(
         remove_work(batch.sparkSession, folder)
 
     return process
+
+
+def file_flow(
+    state_dir: str,
+    work_dir: str,
+    out_dir: str,
+    model: Callable[[list[str]], list] | None = None,
+    model_id: str = "none",
+    prompt_rows: int = PROMPT_ROWS,
+) -> Callable[[DataFrame, int], None]:
+    """The flow over review rows as they come, for ``start_batches``. [STR5]
+
+    A file's rows may be spread over any number of micro-batches. Each batch
+    renews the results of the files it touches under its own run; ``latest``
+    picks the last result of each file.
+    """
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        run = f"{batch_id:012d}"
+        folder = f"{work_dir}/batch={batch_id}"
+        touched = filestate.add_rows(batch, state_dir, run, prompt_rows)
+        state = review_state(touched.files, touched.counts, touched.rows, prompt_rows)
+        write_outputs(run_feedback([state], folder, model, model_id), out_dir, run)
+        remove_work(batch.sparkSession, folder)
+
+    return process
