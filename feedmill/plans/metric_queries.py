@@ -13,7 +13,7 @@ from feedmill.plans.table_queries import CHECKED
 from feedmill.plans.views import POINTS_SQL, event_points, reviews, spread, table
 from feedmill.schemas import NLP_TYPE, VALIDATION_TYPE
 from feedmill.session import shared_dir
-from feedmill.streaming import streams
+from feedmill.streaming import alarms, streams
 
 
 def states(spark, sf_dir):
@@ -290,6 +290,30 @@ def stream_metrics(spark, sf_dir):
     return _shown(streams.run_to_table(series, f"{folder}/table", f"{folder}/state"))
 
 
+_CLOSED = "(SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL '10 minutes'"
+
+
+@query(
+    "stream_alarms",
+    f"""WITH {POINTS_SQL}, rules(rule, rule_metric, periods) AS (VALUES ('low-quality', 'FinalDataQualityScore', 3), ('failures', 'PipelineExecutionsFailed', 1)),
+low AS (SELECT rule, periods, window_start AS w FROM series JOIN rules ON metric = rule_metric
+  WHERE window_start + INTERVAL '5 minutes' <= {_CLOSED}
+    AND CASE rule WHEN 'low-quality' THEN average < 70 ELSE total >= 3 END),
+runs AS (SELECT rule, periods, min(w) AS b, max(w) AS e, count(*) AS n
+  FROM (SELECT *, w - INTERVAL '5 minutes' * row_number() OVER (PARTITION BY rule ORDER BY w) AS g FROM low) GROUP BY rule, periods, g)
+SELECT rule, 'ALARM' AS status, strftime(b + INTERVAL '5 minutes' * (periods - 1), '%Y-%m-%d %H:%M:%S') AS window_start FROM runs WHERE n >= periods
+UNION ALL SELECT rule, 'OK', strftime(e + INTERVAL '5 minutes', '%Y-%m-%d %H:%M:%S') FROM runs
+  WHERE n >= periods AND e + INTERVAL '10 minutes' <= {_CLOSED}""",
+)
+def stream_alarms(spark, sf_dir):
+    """Each alarm and each recovery once, as the points come; the events have gaps of one and more windows."""
+    points = event_points(spark, sf_dir, stream_of(spark, sf_dir, "events"))
+    folder = shared_dir(spark, "stream-alarms")
+    with alarms.state_store(spark):
+        found = streams.run_to_table(alarms.stream_alarms(points), f"{folder}/table", f"{folder}/state")
+    return found.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query("stream_dedup", "SELECT DISTINCT user_id FROM events")
 def stream_dedup(spark, sf_dir):
     """The delay spans the whole table, so each user is seen once."""
