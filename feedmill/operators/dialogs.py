@@ -87,20 +87,24 @@ def parse_model_response(df: DataFrame, json_col: str = "response") -> DataFrame
     ).drop("_r")
 
 
-def run_dialog(df: DataFrame, fn: Callable[[list[str]], list], batch: int = 25) -> DataFrame:
+def run_dialog(
+    df: DataFrame, fn: Callable[[list[str]], list], batch: int = 25, call: Callable[..., DataFrame] | None = None
+) -> DataFrame:
     """Both model calls: the analysis, then the follow-up on its answer. [PRM6-PRM9]
 
     A failed analysis leaves ``error`` set; a failed follow-up only leaves
     ``top_priority_action`` empty. ``input_tokens`` counts the first call.
+    ``call`` stands in for ``call_model``, such as ``answers.stored_caller``.
     """
     given = df.columns
-    asked = call_model(df.withColumn("request", prompts.request_body(F.col("messages"))), fn, batch)
+    call = call or call_model
+    asked = call(df.withColumn("request", prompts.request_body(F.col("messages"))), fn, batch)
     answered = parse_model_response(asked).withColumnRenamed("error", "_error").drop("request", "response")
     dialog = prompts.followup_messages(F.col("messages"), F.col("_insights"))
     # A failed analysis has nothing to follow up on: its request stays null.
     body = F.when(F.col("_error").isNull(), prompts.request_body(dialog))
     again = answered.withColumnsRenamed({"insights": "_insights", "input_tokens": "_input_tokens"})
-    again = call_model(again.withColumn("request", body), _skip_null(fn), batch)
+    again = call(again.withColumn("request", body), _skip_null(fn), batch)
     parsed = parse_model_response(again)
     return parsed.select(
         *given,

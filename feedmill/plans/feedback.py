@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from feedmill.functions import prompts
 from feedmill.functions.keys import IMAGE_BYTE_LIMIT, fits_inline
 from feedmill.functions.text import normalize_text
-from feedmill.operators import aggregation, dialogs, metrics, normalization, quality, routing, segments, validation
+from feedmill.operators import aggregation, answers, dialogs, metrics, normalization, quality, routing, segments, validation
 from feedmill.operators.ordering import first_rows
 from feedmill.schemas import NLP_TYPE, VALIDATION_TYPE
-from feedmill.sinks import writers
+from feedmill.sinks import commits, writers
 from feedmill.sources import payloads
 from feedmill.streaming import filestate
 
@@ -145,6 +145,7 @@ def run_feedback(
     frames: prompts.Frames = prompts.Frames(),
     limits: prompts.Limits = prompts.Limits(),
     inline_bytes: int = IMAGE_BYTE_LIMIT,
+    answer_store: str | None = None,
 ) -> dict[str, DataFrame]:
     """From branch states to insights, reports, review queue and metric points.
 
@@ -154,7 +155,8 @@ def run_feedback(
     bytes are not stored, ``image_inline`` tells which were. ``notices`` (``ts,
     data_type, status``, from ``parse_notifications``) adds starts, failures and
     skipped objects to points and summary. Files of an unknown type become
-    ``dead_letters``; only the others go on.
+    ``dead_letters``; only the others go on. With an ``answer_store`` only
+    requests are sent that this table does not answer.
     """
     state = states[0]
     for branch in states[1:]:
@@ -172,7 +174,7 @@ def run_feedback(
         none = {c: F.lit(None).cast("string") for c in ("insights", "top_priority_action", "error")}
         answered = answered.withColumns({**none, "input_tokens": F.lit(0).cast("bigint")})
     else:
-        answered = dialogs.run_dialog(answered, model)
+        answered = dialogs.run_dialog(answered, model, call=answers.stored_caller(answer_store) if answer_store else None)
     answered = answered.drop("messages", "content")
     if model is not None:
         # A model call is not repeated for each output; without one there is nothing to keep.
@@ -232,6 +234,12 @@ def write_outputs(out: dict[str, DataFrame], path: str, run: str, rows: DataFram
         writers.write_csv(normal, f"{path}/normalized/run={run}")
 
 
+def commit_outputs(out: dict[str, DataFrame], path: str, run: str, rows: DataFrame | None = None) -> str:
+    """``write_outputs`` as one commit: readers (``commits.read_sink``) see all sinks of a run or none."""
+    spark = out["state"].sparkSession
+    return commits.commit_run(spark, path, run, lambda folder: write_outputs(out, folder, run, rows))
+
+
 def remove_work(spark: SparkSession, work_dir: str) -> None:
     """Delete the work tables of a run, once its outputs are written."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(work_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedmill.functions import text as tx
-from feedmill.operators import etl, normalization, rules, validation
+from feedmill.operators import etl, normalization, rule_history, rules, validation
 from feedmill.operators.ordering import first_rows
 from feedmill.plans.registry import query
 from feedmill.plans.views import (
@@ -17,6 +17,7 @@ from feedmill.plans.views import (
     strip_sql,
     table,
 )
+from feedmill.session import shared_dir
 
 
 def _checked_sql(source: str, col: str) -> str:
@@ -319,6 +320,39 @@ def dq_pass_rates(spark, sf_dir):
     return rules.pass_rates(results, ("source_key", "ruleset"))
 
 
+def _loads_sql() -> str:
+    """The ruleset over the first, the first two and all three loads."""
+    some = [f"r{k} AS (SELECT * FROM reviews WHERE row_no % 3 < {k})" for k in (1, 2, 3)]
+    each = [
+        f"SELECT 'load{k}' AS run, * FROM ({_ruleset_sql('text_reviews', f'r{k}', _REVIEW_COLUMNS)})" for k in (1, 2, 3)
+    ]
+    return f"WITH {REVIEWS_SQL}, {', '.join(some)}, results AS ({' UNION ALL '.join(each)})"
+
+
+def _load_reviews(spark, sf_dir) -> str:
+    state = shared_dir(spark, "rules")
+    rows = reviews(spark, sf_dir)
+    for k in range(3):
+        rule_history.evaluate_load(rows.filter(F.col("row_no") % 3 == k), "text_reviews", state, f"load{k + 1}")
+    return state
+
+
+@query("dq_loads", f"{_loads_sql()} SELECT * FROM results")
+def dq_loads(spark, sf_dir):
+    """Results after each of three loads; each load reads its own rows only."""
+    return rule_history.results(spark, _load_reviews(spark, sf_dir)).select("run", *_RESULT)
+
+
+@query(
+    "dq_pass_rates_over_time",
+    f"""{_loads_sql()} SELECT run, count(*) AS rules, count(*) FILTER (WHERE passed) AS passed_rules,
+  count(*) FILTER (WHERE NOT passed) AS failed_rules, round(count(*) FILTER (WHERE passed) / count(*)::DOUBLE, 4) AS pass_rate
+FROM results GROUP BY 1""",
+)
+def dq_pass_rates_over_time(spark, sf_dir):
+    return rules.pass_rates(rule_history.results(spark, _load_reviews(spark, sf_dir)), "run")
+
+
 @query(
     "validate_encoding",
     """SELECT doc_id, doc_id % 4 = 1 AS bad, length(text) >= 10 AND doc_id % 4 = 1 AND trim(text) <> '' AS reported
