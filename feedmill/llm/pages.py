@@ -22,6 +22,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,13 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from feedmill.llm.common import bounded, slices, small_batches
 
-TRAIN = 192
+TRAIN = 96
 TRAIN_BYTES = 60_000
-ROUNDS = 30
+ROUNDS = 40
+#: Numbers that class, id and role words are hashed to; kinds of parent-child pairs.
+TOKENS, KINDS = 256, 3
+#: An element with this share of the page's text is no part beside the text, whatever it is called.
+MOST_OF_PAGE = 0.5
 
 #: Elements that make blocks, that have no content, and whose content is never text of a page.
 BLOCKS = frozenset(
@@ -81,15 +86,15 @@ STEMS = {
 def _hint(word: str) -> str | None:
     return WORDS.get(word) or next((g for stem, g in STEMS.items() if word.startswith(stem)), None)
 
+#: Where learning starts and what holds for parts that no labelled page has. Groups and tags say less of an element
+#: that holds most of the page's text, so those have no prior there.
 PRIOR = {
-    "bias": -0.5, "tag=article": 2.0, "tag=main": 2.0, "tag=p": 1.0, "tag=h1": 0.5, "tag=h2": 0.5, "tag=h3": 0.5,
-    "tag=blockquote": 0.5, "tag=pre": 0.5, "tag=nav": -3.0, "tag=footer": -3.0, "tag=header": -2.0, "tag=aside": -3.0,
-    "tag=form": -3.0, "tag=menu": -2.0, "tag=dialog": -3.0, "tag=fieldset": -2.0, "tag=address": -1.0,
-    "hidden": -4.0, "links=most": -2.0, "links=some": -0.5, "size=long": 1.0, "size=middle": 0.3, "size=none": -0.3,
-    **{f"hint={g}": (2.0 if g == "body" else -3.0) for g in HINTS},
-    "pair=00": 1.0, "pair=11": 1.0, "pair=10": -0.5, "pair=01": -0.5,
-    # A child of a part that is named as no content stays with it.
-    "under": -1.0,
+    "bias": -0.5, "tag=article": 1.0, "tag=main": 1.0, "tag=p": 0.5, "tag=h1": 0.5, "tag=h2": 0.3, "tag=h3": 0.3,
+    "tag=blockquote": 0.5, "tag=pre": 0.5, "tag=nav": -2.5, "tag=footer": -2.5, "tag=header": -0.5, "tag=aside": -2.5,
+    "tag=form": -2.5, "tag=menu": -2.0, "tag=dialog": -2.5, "tag=fieldset": -2.0,
+    "hidden": -3.0, "links=most": -2.0, "links=some": -0.5, "size=long": 0.5, "size=none": -0.3,
+    **{f"hint={g}": (0.5 if g == "body" else -1.5) for g in HINTS}, "under": -1.5,
+    **{f"pair={k}{y}{y}": 0.5 for k in range(KINDS) for y in "01"},
 }
 
 
@@ -265,64 +270,96 @@ def parse(page: str) -> list[Node]:
 _NAMES = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 
 
+def _step(value: float, *bounds: float) -> int:
+    return sum(value >= b for b in bounds)
+
+
 def features(nodes: list[Node]) -> list[list[str]]:
-    """The names of the features that hold for each node."""
+    """The names of the features that hold for each node: tag, words of its attributes, text, links, place and company."""
     chars, linked = [n.chars for n in nodes], [n.linked for n in nodes]
     for i in range(len(nodes) - 1, 0, -1):
         chars[nodes[i].parent] += chars[i]
         linked[nodes[i].parent] += linked[i]
+    texts: dict[tuple[int, str], int] = {}
+    for n in nodes:
+        if n.chars >= 80 and n.parent >= 0:
+            texts[n.parent, n.tag] = texts.get((n.parent, n.tag), 0) + 1
     out: list[list[str]] = []
-    bad = [False] * len(nodes)
+    # Whether an element above is named as a part beside the text.
+    beside, most, seen = [False] * len(nodes), MOST_OF_PAGE * chars[0], 0
     for i, n in enumerate(nodes):
-        f = ["bias", f"tag={n.tag}"]
+        large = chars[i] > most
+        f = ["bias", f"tag={n.tag}@large" if large else f"tag={n.tag}"]
         groups = set()
         if n.attrs:
             for value in _NAMES.findall(n.attrs):
                 for word in value.strip("\"'").lower().split():
+                    f.append(f"word={crc32(word.encode()) % TOKENS}")
                     for part in {word, *re.split(r"[-_]", word)}:
                         if group := _hint(part):
                             groups.add(group)
             style = n.attrs.lower()
             if "display:none" in style.replace(" ", "") or re.search(r"\bhidden\b", style):
                 f.append("hidden")
-        if len(groups) > 1:
-            groups.discard("body")
-        f += [f"hint={g}" for g in sorted(groups)]
+        f += [f"hint={g}@large" if large else f"hint={g}" for g in sorted(groups)]
         share = linked[i] / chars[i] if chars[i] else 0.0
         f.append("links=most" if share > 0.5 else "links=some" if share > 0.2 else "links=few")
         f.append("size=none" if not chars[i] else "size=short" if chars[i] < 40 else "size=middle" if chars[i] < 200 else "size=long")
-        own = bool(groups - {"body"}) or n.tag in ("nav", "footer", "header", "aside", "form", "dialog", "menu")
-        if n.parent >= 0 and bad[n.parent]:
+        if n.chars:
+            text = n.runs[0][1]
+            f.append(f"own={_step(n.chars, 25, 80, 200, 600)}")
+            f.append("sentence" if any(c in text for c in ".!?") and n.chars >= 40 else "no sentence")
+            f.append(f"like={_step(texts.get((n.parent, n.tag), 0), 1, 2, 4)}")
+            # How much of the page's text stands before it.
+            f.append(f"place={_step(seen / (chars[0] or 1), 0.02, 0.2, 0.8, 0.98)}")
+            if n.parent < 0:
+                f.append("loose")
+                if len(nodes) == 1:
+                    f.append("no markup")
+            seen += n.chars
+        named = not large and (bool(groups - {"body"}) or n.tag in ("nav", "footer", "aside", "form", "dialog", "menu"))
+        if n.parent >= 0 and beside[n.parent]:
             f.append("under")
-        bad[i] = own or (n.parent >= 0 and bad[n.parent])
+        beside[i] = named or (n.parent >= 0 and beside[n.parent])
         out.append(f)
     return out
 
 
+def kinds(nodes: list[Node]) -> list[int]:
+    """The kind of pair that each node makes with its parent: a container below, text below a bare parent, text below text."""
+    return [0 if not n.chars else 1 if n.parent < 0 or not nodes[n.parent].chars else 2 for n in nodes]
+
+
 def _log_add(a: float, b: float) -> float:
     return max(a, b) + math.log1p(math.exp(-abs(a - b)))
 
 
-def marginals(parents: list[int], scores: list[float], pair: list[float]) -> tuple[list[float], list[float]]:
+def marginals(
+    parents: list[int], scores: list[float], pair: list[float], kind: list[int] | None = None
+) -> tuple[list[float], list[float]]:
     """Sum-product on the tree: P(label 1) per node, and the expected number of each parent-child label pair.
 
-    ``scores`` are log-odds of label 1, ``pair`` log potentials in the order 00, 01, 10, 11 (parent first).
+    ``scores`` are log-odds of label 1, ``pair`` log potentials in the order 00, 01, 10, 11 (parent first),
+    four for each kind of pair; ``kind`` names the one of a node and its parent.
     """
     n = len(parents)
-    p00, p01, p10, p11 = pair
+    kind = kind or [0] * n
+    of = [tuple(pair[k : k + 4]) for k in range(0, len(pair), 4)]
     up0, up1 = [0.0] * n, list(scores)
     msg: list[tuple[float, float]] = [(0.0, 0.0)] * n
     for i in range(n - 1, 0, -1):
+        p00, p01, p10, p11 = of[kind[i]]
         m = (_log_add(p00 + up0[i], p01 + up1[i]), _log_add(p10 + up0[i], p11 + up1[i]))
         msg[i] = m
         up0[parents[i]] += m[0]
         up1[parents[i]] += m[1]
     total0, total1 = up0[:], up1[:]
-    expected = [0.0] * 4
+    expected = [0.0] * len(pair)
     chance = [0.0] * n
     for i in range(n):
         if i:
             q = parents[i]
+            p00, p01, p10, p11 = of[kind[i]]
             # All that the parent knows but for this child.
             a0, a1 = total0[q] - msg[i][0], total1[q] - msg[i][1]
             joint = (a0 + p00 + up0[i], a0 + p01 + up1[i], a1 + p10 + up0[i], a1 + p11 + up1[i])
@@ -330,7 +367,7 @@ def marginals(parents: list[int], scores: list[float], pair: list[float]) -> tup
             parts = [math.exp(v - top) for v in joint]
             all_parts = sum(parts)
             for k in range(4):
-                expected[k] += parts[k] / all_parts
+                expected[4 * kind[i] + k] += parts[k] / all_parts
             total0[i] = up0[i] + _log_add(a0 + p00, a1 + p10)
             total1[i] = up1[i] + _log_add(a0 + p01, a1 + p11)
         d = total1[i] - total0[i]
@@ -338,84 +375,120 @@ def marginals(parents: list[int], scores: list[float], pair: list[float]) -> tup
     return chance, expected
 
 
-PAIRS = ["pair=00", "pair=01", "pair=10", "pair=11"]
+PAIRS = [f"pair={k}{x}{y}" for k in range(KINDS) for x in "01" for y in "01"]
 
 
-def train(pages: list[tuple[list[Node], list[int]]], rounds: int = ROUNDS, spread: float = 1.5) -> dict[str, float]:
+def train(pages: list[tuple[list[Node], list[int]]], rounds: int = ROUNDS, spread: float = 1.0) -> dict[str, float]:
     """Weights of largest posterior for ``(nodes, labels)`` pages; ``PRIOR`` without any."""
-    known = [(features(nodes), [n.parent for n in nodes], labels) for nodes, labels in pages]
-    names = sorted({f for fs, _, _ in known for row in fs for f in row} | set(PRIOR) | set(PAIRS))
+    known = [(features(nodes), [n.parent for n in nodes], kinds(nodes), labels) for nodes, labels in pages]
+    names = sorted({f for fs, _, _, _ in known for row in fs for f in row} | set(PRIOR) | set(PAIRS))
     place = {f: i for i, f in enumerate(names)}
     prior = np.array([PRIOR.get(f, 0.0) for f in names])
-    coded = [([[place[f] for f in row] for row in fs], parents, labels) for fs, parents, labels in known]
+    coded = []
+    pairs = np.array([place[p] for p in PAIRS])
+    seen = np.zeros(len(names))
+    for fs, parents, kind, labels in known:
+        flat = np.array([place[f] for row in fs for f in row])
+        sizes = np.array([len(row) for row in fs])
+        starts = np.cumsum([0, *sizes[:-1]])
+        coded.append((flat, sizes, starts, parents, kind, np.array(labels, float)))
+        for i in range(1, len(parents)):
+            seen[pairs[4 * kind[i] + 2 * labels[parents[i]] + labels[i]]] += 1
     weight, speed = prior.copy(), np.full(len(names), 1e-6)
-    pairs = [place[p] for p in PAIRS]
     for _ in range(rounds if coded else 0):
-        slope = (prior - weight) / (spread**2)
-        pair = [float(weight[p]) for p in pairs]
-        for rows, parents, labels in coded:
-            scores = [float(sum(weight[k] for k in row)) for row in rows]
-            chance, expected = marginals(parents, scores, pair)
-            for row, y, p in zip(rows, labels, chance):
-                for k in row:
-                    slope[k] += y - p
-            for k in range(4):
-                slope[pairs[k]] -= expected[k]
-            for i in range(1, len(parents)):
-                slope[pairs[2 * labels[parents[i]] + labels[i]]] += 1
+        slope = (prior - weight) / (spread**2) + seen
+        pair = weight[pairs].tolist()
+        for flat, sizes, starts, parents, kind, y in coded:
+            chance, expected = marginals(parents, np.add.reduceat(weight[flat], starts).tolist(), pair, kind)
+            np.add.at(slope, flat, np.repeat(y - np.array(chance), sizes))
+            slope[pairs] -= expected
         speed += slope**2
         weight += 0.5 * slope / np.sqrt(speed)
     return {f: float(w) for f, w in zip(names, weight)}
 
 
+#: Elements that are no content where they stand inside the article.
+ASIDE = ("nav", "aside", "footer", "form")
+
+
 def labelled(page: str) -> tuple[list[Node], list[int]] | None:
     """Nodes and labels of a page whose markup names one article; parts of other kinds in it are not content."""
     nodes = parse(page)
     if sum(n.tag == "article" for n in nodes) != 1:
         return None
     labels: list[int] = []
-    for i, n in enumerate(nodes):
+    for n in nodes:
         above = n.parent >= 0 and labels[n.parent]
-        labels.append(int((n.tag == "article") or (above and n.tag not in ("nav", "aside", "footer", "header", "form"))))
+        named = not above or not n.attrs or not any(_hint(w) not in (None, "body") for v in _NAMES.findall(n.attrs) for w in v.strip("\"'").lower().split())
+        labels.append(int((n.tag == "article") or (above and n.tag not in ASIDE and named)))
+    return nodes, labels
+
+
+_MARK, _OTHER = "data-main=1", "data-other=1"
+
+
+def _marked(page: str, drop_names: bool = False) -> tuple[list[Node], list[int]]:
+    """Nodes and labels of a page whose article and whose other parts inside it are marked."""
+    nodes = parse(page)
+    labels: list[int] = []
+    for n in nodes:
+        above = n.parent >= 0 and labels[n.parent]
+        other = n.tag in ASIDE or _OTHER in n.attrs
+        labels.append(int(_MARK in n.attrs or bool(above and not other)))
+    for n in nodes:
+        n.attrs = "" if drop_names else n.attrs.replace(_MARK, "").replace(_OTHER, "")
     return nodes, labels
 
 
 def variants(page: str, number: int) -> list[tuple[list[Node], list[int]]]:
-    """The labelled page and a variant: the article in another element, and other parts around and inside it.
+    """The labelled page and variants of it, each with other markup: no article element, paragraphs in other
+    elements, misleading names of the article, a header and a byline in it, no names at all, no markup at all,
+    and with other parts around and inside it.
 
     Parts take words of the article itself, so that their markup and place tell them apart, not their words.
     """
     first = labelled(page)
-    if first is None:
-        return []
-    words = " ".join(t for n in first[0] for _, t in n.runs).split()
+    found = re.search(r"<article[^>]*>(.*)</article\s*>", page, flags=re.I | re.S)
+    words = " ".join(t for n in first[0] for _, t in n.runs).split() if first else []
+    if not found or not words:
+        return [first] if first else []
+    # Names of parts inside the article must not be taken for text of the variants.
+    inner = re.sub(r"<(div|section|ul|p)(\s[^>]*(?:class|id)\s*=[^>]*)>", rf"<\1\2 {_OTHER}>", found.group(1), flags=re.I)
+    before, after = page[: found.start()], page[found.end() :]
     some = lambda k, size: " ".join(words[(number * 31 + k * 17 + j) % len(words)] for j in range(size))
-    if not words:
-        return [first]
-    box = ["div class='post-content'", "main", "section id='content'", "div", "div class='entry'", "article"][number % 6]
     parts = [
         f"<header class='site-header'><div>{some(1, 6)}</div></header>",
         f"<aside class='sidebar'><h3>{some(2, 3)}</h3><p>{some(3, 30)}</p></aside>",
-        f"<div class='comments'><h3>{some(4, 2)}</h3><div class='comment'><p>{some(5, 40)}</p></div><p>{some(6, 25)}</p></div>",
-        f"<div id='cookie-notice'><p>{some(7, 20)}</p></div>",
+        f"<div class='comments' {_OTHER}><h3>{some(4, 2)}</h3><div class='comment'><p>{some(5, 40)}</p></div><p>{some(6, 25)}</p></div>",
+        f"<div id='cookie-notice' {_OTHER}><p>{some(7, 20)}</p></div>",
         f"<form action='/s'><p>{some(8, 8)}</p><label>{some(9, 2)}</label></form>",
-        f"<section class='related'><ul><li><a href='/x'>{some(10, 5)}</a></li></ul><p>{some(11, 18)}</p></section>",
-        f"<div class='advert'><p>{some(12, 15)}</p></div>",
-        f"<div class='share'>{some(13, 4)}</div>",
+        f"<section class='related' {_OTHER}><ul><li><a href='/x'>{some(10, 5)}</a></li></ul><p>{some(11, 18)}</p></section>",
+        f"<div class='advert' {_OTHER}><p>{some(12, 15)}</p></div>",
+        f"<div class='share' {_OTHER}>{some(13, 4)}</div>",
     ]
     pick = [parts[(number + k) % len(parts)] for k in range(4)]
-    made = re.sub(r"<article[^>]*>", f"{pick[0]}<{box} data-main='1'>", page, count=1, flags=re.I)
-    made = re.sub(r"</article\s*>", f"{pick[1]}</{box.split()[0]}>{pick[2]}{pick[3]}", made, count=1, flags=re.I)
-    nodes = parse(made)
-    labels: list[int] = []
-    part = re.compile("site-header|sidebar|comments|cookie|related|advert|share|class=\"ad\"")
-    for n in nodes:
-        above = n.parent >= 0 and labels[n.parent]
-        other = n.tag in ("nav", "aside", "footer", "header", "form") or part.search(n.attrs)
-        labels.append(int("data-main" in n.attrs or bool(above and not other)))
-    for n in nodes:
-        n.attrs = n.attrs.replace("data-main='1'", "")
-    return [first, (nodes, labels)]
+    box = ["div class='post-content'", "main", "section id='content'", "div", "div class='entry'", "article"][number % 6]
+    odd = [
+        "article class='post comments-open'", "div class='post has-sidebar ad-free'", "section class='article related-posts-on'",
+        "article class='entry no-cookie share-bottom'", "main class='with-menu content'", "div id='main' class='story subscribe-wall-off'",
+    ][number % 6]
+    plain = ["div", "section", "article", "main"][number % 4]
+
+    def page_of(box: str, body: str, inside: str = "", around: tuple[str, str] = ("", "")) -> str:
+        return f"{before}{around[0]}<{box} {_MARK}>{body}{inside}</{box.split()[0]}>{around[1]}{after}"
+
+    boxed = re.sub(r"<(/?)p(?=[\s>])", r"<\1div", inner, flags=re.I)
+    heading = f"<header><h2>{some(14, 7)}</h2><p>{some(15, 4)}</p></header>"
+    made = [
+        _marked(page_of(box, inner, pick[1], (pick[0], pick[2] + pick[3]))),
+        _marked(page_of(odd, heading + inner, pick[2], (pick[0], pick[3]))),
+        _marked(page_of(plain, boxed, "", (pick[0], pick[1]))),
+        _marked(page_of(odd if number % 2 else "div", boxed if number % 3 else heading + inner), drop_names=number % 2 == 0),
+    ]
+    if number % 4 == 0:
+        bare = parse(" ".join(words))
+        made.append((bare, [1] * len(bare)))
+    return [first, *made]
 
 
 def main_text(page: str | None, weights: dict[str, float]) -> str:
@@ -425,7 +498,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     nodes = parse(page)
     get = weights.get
     scores = [sum(get(f, 0.0) for f in row) for row in features(nodes)]
-    chance, _ = marginals([n.parent for n in nodes], scores, [weights[p] for p in PAIRS])
+    chance, _ = marginals([n.parent for n in nodes], scores, [weights[p] for p in PAIRS], kinds(nodes))
     runs = sorted(r for n, p in zip(nodes, chance) if p >= 0.5 for r in n.runs)
     return "\n\n".join(text for _, text in runs)
 

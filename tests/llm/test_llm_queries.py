@@ -95,7 +95,7 @@ def test_op6(spark, sf_dir, docs):
 
 
 def test_op7(spark, sf_dir):
-    """Held-out accuracy: the text of the article element of each page."""
+    """All pages: the text of the article element of each. Held-out pages: test_pages_with_other_markup."""
     import html
     import re
 
