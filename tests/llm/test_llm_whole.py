@@ -77,7 +77,7 @@ MARKUP = {
 
 def test_pages_with_other_markup(spark, sf_dir):
     """Held-out pages in markup of many kinds: block precision and recall."""
-    rows = spark.read.parquet(f"{sf_dir}/pages.parquet").where("html is not null").collect()
+    rows = spark.read.parquet(f"{sf_dir}/../sf0.01/pages.parquet").where("html is not null").collect()
     apart = [xxhash.xxh64_intdigest(str(r["page_id"])) % 2 for r in rows]
     seen = [r["html"] for r, x in zip(rows, apart) if x and pages.labelled(r["html"])][: pages.TRAIN]
     held = [r["html"] for r, x in zip(rows, apart) if not x]
