@@ -58,7 +58,7 @@ def _article(page, change):
 
 
 def _renamed(page, box, paragraph=None):
-    inner = re.sub("<(/?)p>", rf"<\\1{paragraph}>", page) if paragraph else page
+    inner = re.sub("<(/?)p>", rf"<\1{paragraph}>", page) if paragraph else page
     return inner.replace("<article>", f"<{box}>").replace("</article>", f"</{box.split()[0]}>")
 
 
