@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmill.llm.common import n_words, store, uniform
+from feedmill.llm.quality import SYMBOLS
 
 #: No document is taken more often than this.
 MOST = 2
@@ -52,6 +53,15 @@ def targets(sizes: DataFrame, weights: list[float], share: float = 1.5, most: fl
     return weighed.withColumn("target", target).select("source", "source_size", "weight", "target")
 
 
+def tidiness(text: str) -> Column:
+    """A relative weight between a half and one: lower the more symbols a text has for its words.
+
+    Above a half of the mean, so that a source whose target is twice its size can still be taken twice.
+    """
+    words, symbols = n_words(F.col(text)), F.coalesce(F.regexp_count(text, F.lit(f"[{SYMBOLS}]")), F.lit(0))
+    return 0.5 + 0.5 * F.coalesce(F.try_divide(words, words + symbols), F.lit(0.0))
+
+
 def _rank(p: Column, seed: int) -> Column:
     """Random odds over inclusion odds, mapped to (0, 1) by x / (1 + x), which keeps the order."""
     u = uniform(F.col("_id"), seed=seed)

@@ -347,7 +347,9 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     spark, model = docs.sparkSession, load(path)
     small_batches(spark)
     hot_ids = spark.sparkContext.broadcast(hot_units(docs, model, text, hot))
-    slim = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_print"), F.col(text).cast("string").alias("_text"))
+    # Two hashes and the length: texts that are equal in all three are one text.
+    whole = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), F.octet_length(text).alias("n"))
+    slim = docs.select(F.col(key).alias("_key"), whole.alias("_print"), F.col(text).cast("string").alias("_text"))
 
     def rare_units(text: str | None, known: dict[str, bytes]) -> list[str]:
         """The units of a text that are not encoded ahead, in an order that both passes agree on."""

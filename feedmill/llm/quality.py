@@ -156,6 +156,15 @@ def thresholds(holdout: DataFrame, stratum: str, risk: float = RISK, delta: floa
     return best.select("_at.stratum", "_b.*", cutoffs.alias("cutoffs"))
 
 
+def _prints(text: str) -> list[Column]:
+    return [F.xxhash64(text).alias("_p1"), F.xxhash64(F.lit(1), text).alias("_p2")]
+
+
+def _once(held: DataFrame) -> DataFrame:
+    """Copies of a text in a stratum are one draw, not several: an exact test wants independent ones."""
+    return held.dropDuplicates(["_stratum", "_p1", "_p2"]).drop("_p1", "_p2")
+
+
 def _good(labels: DataFrame, key: str) -> DataFrame:
     known = labels.filter(F.col(key).isNotNull() & F.col("quality").isNotNull())
     return known.groupBy(F.col(key).alias("_key")).agg(F.min("quality").alias("_low")).filter("_low = 1")
@@ -185,11 +194,11 @@ def judge(
 
     ``labels`` has ``key`` and ``quality`` (1 good, 0 bad); a document labelled
     both ways or not at all is not in the holdout, nor is one that the base
-    rules reject. Repeated label rows count once. Without labels only the base
+    rules reject. Repeated label rows and copies of a text count once. Without labels only the base
     rules reject. The labelled texts are read twice, and no text is moved.
     """
     slim = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(stratum).alias("_stratum"))
-    held = slim.join(_good(labels, key), "_key", "left_semi").select("_text", "_stratum")
+    held = _once(slim.join(_good(labels, key), "_key", "left_semi").select("_text", "_stratum", *_prints("_text")))
     held = store(features(held, "_text").drop("_text"), "holdout")
     seen = features(wrap(docs, _text=F.col(text), _stratum=F.col(stratum)), "_text")
     counts = [c for c in seen.columns if c.startswith("_q_")]
@@ -207,6 +216,6 @@ def report(
 ) -> DataFrame:
     """``judge`` without the texts: key, stratum, counts and verdict, with each text read once."""
     thin = docs.select(F.col(key).alias("_key"), F.col(stratum).alias("_stratum"), F.col(text).alias("_text"))
-    seen = store(features(thin, "_text").drop("_text"), "quality")
-    held = seen.join(_good(labels, key), "_key", "left_semi")
-    return verdicts(seen, held, "_stratum", risk, delta).withColumnsRenamed({"_key": key, "_stratum": stratum})
+    seen = store(features(thin.select("*", *_prints("_text")), "_text").drop("_text"), "quality")
+    held = _once(seen.join(_good(labels, key), "_key", "left_semi"))
+    return verdicts(seen.drop("_p1", "_p2"), held, "_stratum", risk, delta).withColumnsRenamed({"_key": key, "_stratum": stratum})

@@ -14,9 +14,9 @@ from feedmill.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
 @query("op1_pareto_mix")
 def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many words the mix takes of each document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    mixed = mixing.mix(docs, weights=[3.0, 1.0, 2.0], share=1.5)
+    """How many words the mix takes of each document; documents full of symbols have lower odds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source").withColumn("_odds", mixing.tidiness("text"))
+    mixed = mixing.mix(docs, weights=[3.0, 1.0, 2.0], share=1.5, weight="_odds")
     return mixed.select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", "_mix.taken", "_mix.copies")
 
 
@@ -51,14 +51,14 @@ def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
             length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as symbols, coalesce(l.n, 0) as n_lines,
             coalesce(l.dup, 0) as dup, coalesce(c.n, 0) as repeats, len(regexp_extract_all(t, '\p{Lu}')) as uppers
         from t left join covered c using (doc_id) left join lines l using (doc_id)),
-    base as (select *, n_words < 50 or 100 * repeats > 50 * n_words as failed,
+    base as (select counts.*, text.t as text, n_words < 50 or 100 * repeats > 50 * n_words as failed,
             case when n_words > 0 then symbols / n_words else 0 end as r1, case when n_lines > 0 then dup / n_lines else 0 end as r2,
             case when n_words > 0 then repeats / n_words else 0 end as r3, case when n_words > 0 then chars / n_words else 0 end as r4,
-            case when coalesce(chars, 0) > 0 then uppers / chars else 0 end as r5 from counts),
+            case when coalesce(chars, 0) > 0 then uppers / chars else 0 end as r5 from counts join (select doc_id, t from t) text using (doc_id)),
     good as (select doc_id from labels where quality is not null group by 1 having min(quality) = 1),
     tested as (select coalesce(lang, '') as lang, rung, count(*) as n,
             count(*) filter (where r1 > symbols_cut or r2 > dups or r3 > repeats_cut or r4 > chars_cut or r5 > uppers_cut) as k
-        from (select * from base semi join good using (doc_id) where not failed),
+        from (select distinct lang, text, r1, r2, r3, r4, r5 from base semi join good using (doc_id) where not failed),
             (select rung, symbols as symbols_cut, dups, repeats as repeats_cut, chars as chars_cut, uppers as uppers_cut from rungs)
         group by 1, 2),
     proved as (select *, case when k < n * 0.01 then (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)

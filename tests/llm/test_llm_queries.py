@@ -8,7 +8,7 @@ import oracle
 import plain
 import pytest
 
-from feedmill.llm import queries
+from feedmill.llm import quality, queries
 from feedmill.llm.common import store
 
 
@@ -136,6 +136,49 @@ def test_op10(spark, sf_dir, docs):
         assert not (r["base_failed"] and r["kept"])
 
 
+def test_op10_with_proofs(spark, sf_dir):
+    """Enough labels for proofs: the certified rungs and the verdicts against a plain binomial test."""
+    import unicodedata
+    from math import comb
+
+    folder = f"{sf_dir}/../sf0.1"
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    seen = {}
+    for r in spark.read.parquet(f"{folder}/labels.parquet").collect():
+        if r["quality"] is not None:
+            seen[r["doc_id"]] = min(r["quality"], seen.get(r["doc_id"], 1))
+
+    def values(text):
+        words, chars, symbols, dups, repeats = plain.base_counts(text)
+        lines = sum(bool(plain.words(x)) for x in text.split("\n"))
+        uppers = sum(unicodedata.category(c) == "Lu" for c in text)
+        per = lambda a, b: a / b if b else 0.0
+        return per(symbols, words), per(dups, lines), per(repeats, words), per(chars, words), per(uppers, chars)
+
+    good = {(docs[k]["lang"], docs[k]["text"]) for k, q in seen.items() if q == 1 and not plain.base_failed(docs[k]["text"])}
+    held = {}
+    for lang, text in good:
+        held.setdefault(lang, []).append(values(text))
+    rungs = list(zip(*quality.RULES.values()))
+    want = {}
+    for lang, rows in held.items():
+        for i, cuts in enumerate(rungs):
+            n, k = len(rows), sum(any(v > c for v, c in zip(row, cuts)) for row in rows)
+            chance = sum(comb(n, j) * quality.RISK**j * (1 - quality.RISK) ** (n - j) for j in range(k + 1)) if k < n * quality.RISK else 1.0
+            if chance > quality.DELTA / len(held):
+                break
+            want[lang] = i
+    assert len(want) > 1
+    cut = 0
+    got = {r["doc_id"]: r for r in queries.QUERIES["op10_risk_rules"](spark, folder).collect()}
+    for k in list(docs)[::7]:
+        r, text, lang = got[k], docs[k]["text"], docs[k]["lang"]
+        broken = lang in want and any(v > c for v, c in zip(values(text), rungs[want[lang]]))
+        assert r["kept"] == (not plain.base_failed(text) and not broken), k
+        cut += broken and not r["base_failed"]
+    assert cut > 0
+
+
 def test_pipeline(spark, sf_dir):
     """Stage by stage, each on what its predecessor kept."""
     lib = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=queries.PIECES)
