@@ -34,8 +34,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixing.repeat(mixing.mix(docs, weights=[3.0, 1.0, 2.0], share=1.5)).select(*docs.columns)
+    """Documents as often as the mix takes them; those full of symbols have lower odds."""
+    # A name that no column of the documents has.
+    odds = "_odds" + "_" * max([0, *map(len, docs.columns)])
+    weighed = docs.withColumn(odds, mixing.tidiness("text"))
+    return mixing.repeat(mixing.mix(weighed, weights=[3.0, 1.0, 2.0], share=1.5, weight=odds)).select(*docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
