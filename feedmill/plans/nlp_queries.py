@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from feedmill.functions import prompts
 from feedmill.functions import text as tx
-from feedmill.operators import aggregation, annotation, normalization, segments
+from feedmill.operators import aggregation, annotation, normalization, segments, trained
 from feedmill.plans.registry import query
 from feedmill.plans.table_queries import SAMPLED, normalized_sample
 from feedmill.plans.views import (
@@ -327,3 +327,42 @@ def review_prompts(spark, sf_dir):
     prompt = prompts.review_prompt(F.col("source_key"), F.col("nlp"), F.col("normalized_text"))
     return state.select("source_key", prompt.alias("prompt"))
 
+
+
+_HALVES = "doc_id % 2"
+
+
+@query(
+    "language_confusion",
+    r"""WITH d AS (SELECT doc_id, lang, ' ' || trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g')) || ' ' AS t FROM documents WHERE text IS NOT NULL),
+r AS (SELECT doc_id, lang, z[1] || z[2] || z[3] AS run
+  FROM (SELECT doc_id, lang, unnest(list_zip(s, s[2:], s[3:])) AS z FROM (SELECT doc_id, lang, string_split(t, '') AS s FROM d))
+  WHERE z[3] IS NOT NULL),
+n AS (SELECT doc_id, lang, run, count(*) AS n FROM r GROUP BY 1, 2, 3),
+counts AS (SELECT lang, run, sum(n) AS n FROM n WHERE doc_id % 2 = 0 AND lang IS NOT NULL GROUP BY 1, 2),
+totals AS (SELECT lang, -ln(sum(n)::DOUBLE + 2001) AS floor FROM counts GROUP BY 1),
+profile AS (SELECT lang, run, ln(n + 1.0::DOUBLE) AS gain FROM counts QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, run) <= 2000),
+size AS (SELECT doc_id, sum(n) AS size FROM n WHERE doc_id % 2 = 1 GROUP BY 1),
+gains AS (SELECT n.doc_id, p.lang, sum(n.n * gain) AS gain FROM n JOIN profile p USING (run) WHERE n.doc_id % 2 = 1 GROUP BY 1, 2),
+best AS (SELECT doc_id, g.lang AS language FROM gains g JOIN size USING (doc_id) JOIN totals t ON t.lang = g.lang
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(gain + size * floor, 6) DESC, g.lang) = 1)
+SELECT lang, coalesce(language, 'en') AS language, count(*) AS n FROM documents LEFT JOIN best USING (doc_id)
+WHERE doc_id % 2 = 1 GROUP BY 1, 2""",
+)
+def language_confusion(spark, sf_dir):
+    """Profiles of one half of the documents tell the language of the other half."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = trained.language_profiles(docs.filter(f"{_HALVES} = 0"))
+    held = docs.filter(f"{_HALVES} = 1")
+    found = trained.detect_language(held, profiles, "doc_id")
+    return held.select("doc_id", "lang").join(found, "doc_id").groupBy("lang", "language").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("sentiment_trained")
+def sentiment_trained(spark, sf_dir):
+    """Sentiment of the documents of one half by a model of the other half's labels. No SQL: the fit is iterative."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("positive"))
+    model = trained.train_sentiment(rows.filter(f"{_HALVES} = 0").join(labels, "doc_id"))
+    done = model.annotate(rows.filter(f"{_HALVES} = 1"), "text")
+    return done.select("doc_id", "label", F.round("scores.Positive", 4).alias("positive"), F.round("scores.Negative", 4).alias("negative"))

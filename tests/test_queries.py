@@ -7,7 +7,8 @@ import pytest
 
 from feedmill.plans import catalog
 
-ROWS_ONLY = set()
+#: Fitted by iteration; test_trained holds its accuracy on held-out rows.
+ROWS_ONLY = {"sentiment_trained"}
 
 
 @pytest.fixture(scope="module")
