@@ -18,6 +18,7 @@ from feedmill.schemas import RAW_REVIEW_SCHEMA, REVIEW_COLUMNS, REVIEW_SCHEMA
 from feedmill.session import shared_dir
 from feedmill.sinks import writers
 from feedmill.sources import drift, readers
+from feedmill.streaming import streams
 
 _PRESENT = (
     "product_id", "category", "actual_price", "discount_percentage", "rating", "rating_count", "user_id",
@@ -205,8 +206,11 @@ def read_surveys(spark, sf_dir):
 
 @query(
     "read_objects",
-    """SELECT 'surveys/' || (doc_id % 7) AS folder, count(*) AS n, sum(octet_length(encode(text)) + 1)::BIGINT AS bytes,
-  sum(length(text))::BIGINT + count(*) AS chars, count(DISTINCT text) > 0 AS has_content FROM documents GROUP BY 1""",
+    """WITH lines AS (SELECT doc_id % 7 AS k, md5(unnest(string_split(text, chr(10)))) AS h FROM documents),
+ends AS (SELECT k, min(h) AS lowest_line, max(h) AS highest_line, count(DISTINCT h) AS lines FROM lines GROUP BY 1)
+SELECT 'surveys/' || (doc_id % 7) AS folder, count(*) AS n, sum(octet_length(encode(text)) + 1)::BIGINT AS bytes,
+  sum(length(text))::BIGINT + count(*) AS chars, any_value(lowest_line) AS lowest_line, any_value(highest_line) AS highest_line,
+  any_value(lines) AS lines FROM documents JOIN ends ON k = doc_id % 7 GROUP BY 1""",
 )
 def read_objects(spark, sf_dir):
     """Texts written as objects and read back with their bytes."""
@@ -219,10 +223,15 @@ def read_objects(spark, sf_dir):
         F.regexp_replace(F.regexp_extract("source_key", "^(surveys/part=[0-9]+)/", 1), "part=", "").alias("folder"),
         "length",
         F.length(text).cast("bigint").alias("chars"),
+        # Each text ended with a line break of its own.
+        F.split(F.regexp_replace(text, "\n\\z", ""), "\n").alias("own"),
     )
     counts = docs.groupBy(F.concat(F.lit("surveys/"), "part").alias("folder")).agg(F.count(F.lit(1)).alias("n"))
     sums = parts.groupBy("folder").agg(F.sum("length").alias("bytes"), F.sum("chars").alias("chars"))
-    return counts.join(sums, "folder").select("folder", "n", "bytes", "chars", (F.col("chars") > 0).alias("has_content"))
+    digests = parts.select("folder", F.explode(F.transform("own", F.md5)).alias("h")).groupBy("folder").agg(
+        F.min("h").alias("lowest_line"), F.max("h").alias("highest_line"), F.count_distinct("h").alias("lines")
+    )
+    return counts.join(sums, "folder").join(digests, "folder")
 
 
 @query(
@@ -258,30 +267,57 @@ def write_clean(spark, sf_dir):
 
 @query(
     "write_reports",
-    f"""WITH {_answers_sql('current')} SELECT 'audio' AS data_type,
-  CASE WHEN final_score < 70 THEN 'needs_review' ELSE 'passed' END AS quality_status, count(*) AS n,
-  round(sum(final_score), 4) AS total FROM f GROUP BY 1, 2""",
+    f"""WITH {_answers_sql('current')} SELECT source_key, 'audio' AS data_type,
+  CASE WHEN final_score < 70 THEN 'needs_review' ELSE 'passed' END AS quality_status, coalesce(base_score, 50.0::DOUBLE) AS base,
+  round(boost, 2) AS boost, round(adj, 2) AS adjustment, final_score, concerns FROM f""",
 )
 def write_reports(spark, sf_dir):
+    """Reports stored by type and read back, row by row."""
     folder = shared_dir(spark, "reports")
     reports = quality.quality_report(quality.score_quality(answers(spark, sf_dir)))
     writers.write_reports(reports, folder)
-    stored = spark.read.schema(reports.schema).json(folder)
-    return stored.groupBy("data_type", "quality_status").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("score_breakdown.final_score"), 4).alias("total")
-    )
+    b = F.col("score_breakdown")
+    return spark.read.schema(reports.schema).json(folder).select(
+        "source_key", "data_type", "quality_status", b["base_score_from_validation"].alias("base"), b["comprehend_boost"].alias("boost"),
+        b["model_adjustment"].alias("adjustment"), b["final_score"].alias("final_score"), F.array_join(b["model_concerns_identified"], "; ").alias("concerns"),
+    )
 
 
 @query(
     "write_points",
-    f"WITH {_STATE_POINTS} SELECT metric, count(*) AS n, round(sum(value), 4) AS total FROM p GROUP BY 1",
+    f"WITH {_STATE_POINTS} SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, metric, value, k AS data_type, sentiment FROM p",
 )
 def write_points(spark, sf_dir):
+    """Points stored by metric and read back, row by row."""
     folder = shared_dir(spark, "points")
     points = metrics.metric_points(states(spark, sf_dir))
     writers.append_points(points, folder)
     stored = spark.read.schema(points.schema).parquet(folder)
-    return stored.groupBy("metric").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return stored.select(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "metric", "value", F.col("dims")["DataType"].alias("data_type"),
+        F.try_element_at("dims", F.lit("Sentiment")).alias("sentiment"),
+    )
+
+
+@query(
+    "stream_objects",
+    """WITH d AS (SELECT doc_id % 12 AS part, CASE doc_id % 4 WHEN 0 THEN 'text-reviews' WHEN 1 THEN 'images' WHEN 2 THEN 'audio' ELSE 'surveys' END AS prefix, text FROM documents)
+SELECT prefix || '/part=' || part AS folder, replace(prefix, '-', '_') AS data_type, sum(octet_length(encode(text)) + 1)::BIGINT AS bytes,
+  sum(length(text) + 1)::BIGINT AS chars FROM d GROUP BY 1, 2""",
+)
+def stream_objects(spark, sf_dir):
+    """Objects below four prefixes as a stream of files, a few per micro-batch, each seen once; what lies elsewhere is not read."""
+    root, work = f"{shared_dir(spark, 'intake')}/in", shared_dir(spark, "intake-run")
+    docs = table(spark, sf_dir, "documents").select("text", (F.col("doc_id") % 12).alias("part"), (F.col("doc_id") % 4).alias("kind"))
+    for k, prefix in enumerate(("text-reviews", "images", "audio", "surveys", "lost")):
+        own = docs.filter(F.col("kind") == k % 4).select("part", "text")
+        own.write.partitionBy("part").option("lineSep", "\n").text(f"{root}/{prefix}")
+    found = streams.stream_objects(spark, root, max_files=7).select("source_key", "data_type", "length", "content")
+    seen = streams.run_to_table(found, f"{work}/table", f"{work}/state")
+    folder = F.regexp_extract("source_key", "^(.*)/[^/]*$", 1).alias("folder")
+    return seen.groupBy(folder, "data_type").agg(
+        F.sum("length").alias("bytes"), F.sum(F.length(F.decode("content", "UTF-8"))).cast("bigint").alias("chars")
+    )
 
 
 @query(
