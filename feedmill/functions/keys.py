@@ -107,20 +107,25 @@ def normalized_key(key: Column) -> Column:
     return F.when(swapped.startswith(new), swapped).otherwise(F.concat(F.lit(new), swapped))
 
 
+# Folder and ending of each kind of output.
+OUTPUTS = {
+    "transcript": ("normalized/", ".txt"),
+    "ocr": ("textract-output/", ".txt"),
+    "survey": ("survey-summaries/", ".summary.txt"),
+    "quality": ("quality-reports/", ".quality.json"),
+    "insights": ("insights/", ".insights.json"),
+}
+
+
 def output_key(key: Column, kind: str, data_type_col: Column | None = None, ts: Column | None = None) -> Column:
-    """Derived key of one output kind; ``insights`` also needs type and time."""
-    base = basename(key)
+    """Derived key of one output kind; reports lie by type, insights also by day."""
     if kind == "normalized":
         return normalized_key(key)
-    if kind == "transcript":
-        return F.concat(F.lit("normalized/"), base, F.lit(".txt"))
-    if kind == "ocr":
-        return F.concat(F.lit("textract-output/"), base, F.lit(".txt"))
-    if kind == "survey":
-        return F.concat(F.lit("survey-summaries/"), base, F.lit(".summary.txt"))
-    if kind == "quality":
-        return F.concat(F.lit("quality-reports/"), data_type_col, F.lit("/"), base, F.lit(".quality.json"))
+    if kind not in OUTPUTS:
+        raise ValueError(f"unknown output kind: {kind}")
+    folder, ending = OUTPUTS[kind]
+    by = [data_type_col] if kind in ("quality", "insights") else []
     if kind == "insights":
-        day = F.date_format(ts, "yyyy/MM/dd")
-        return F.concat(F.lit("insights/"), data_type_col, F.lit("/"), day, F.lit("/"), base, F.lit(".insights.json"))
-    raise ValueError(f"unknown output kind: {kind}")
+        by.append(F.date_format(ts, "yyyy/MM/dd"))
+    levels = [part for level in by for part in (level, F.lit("/"))]
+    return F.concat(F.lit(folder), *levels, basename(key), F.lit(ending))
