@@ -20,7 +20,7 @@ from feedmill.operators.annotation import (
     language_of,
     tokens_of,
 )
-from feedmill.operators.ordering import first_k
+from feedmill.operators.ordering import deal_rows, first_k
 from feedmill.operators.validation import summary_of, validate
 from feedmill.schemas import ENTITIES_TYPE, ITEMS_TYPE, NLP_TYPE, SCORES_TYPE, SENTIMENT_TYPE
 
@@ -228,7 +228,7 @@ def review_counts(rows: DataFrame, by: str = "source_key", text: str = "review_c
 
     Each row is checked, cleaned and annotated once; blank rows are only checked.
     """
-    checked = validate(rows.select(by, order, text), text)
+    checked = validate(deal_rows(rows.select(by, order, text), by, order), text)
     filled = F.get(one_if_filled(normalize_text(F.col(text))), 0)
     parts = checked.select(by, F.col(order).cast("bigint").alias("seg_no"), "issues", "is_valid", filled.alias("segment"))
     annotated = annotate(parts)

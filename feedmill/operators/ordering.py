@@ -32,6 +32,15 @@ def first_rows(df: DataFrame, by: str, order: str, n: int) -> DataFrame:
     return first_k(df, by, [F.col(order)], n, "_rank").drop("_rank")
 
 
+def deal_rows(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows dealt to all tasks by ``columns``, which tell most rows apart.
+
+    A file is read by as many tasks as it has row groups, often one; a step that
+    costs far more than moving its rows goes over dealt ones.
+    """
+    return df.repartition(*columns)
+
+
 def number_rows(
     df: DataFrame, by: str | Sequence[str], order: str, name: str = "row_number", block: int = 1 << 16
 ) -> DataFrame:

@@ -466,7 +466,7 @@ def stream_file_reports(spark, sf_dir):
     folder = shared_dir(spark, "file-reports")
     rows = reviews(spark, sf_dir).select("source_key", "row_no", "review_content", (F.col("row_no") % 3).alias("load"))
     rows.hint("rebalance", "load").write.partitionBy("load").parquet(f"{folder}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in").drop("load")
+    stream = streams.stream_loads(spark, f"{folder}/in", rows.schema, 3).drop("load")
     process = feedback.file_flow(f"{folder}/files", f"{folder}/work", f"{folder}/out")
     streams.start_batches(stream, process, f"{folder}/state").awaitTermination()
     stored = spark.read.json(f"{folder}/out/quality-reports")

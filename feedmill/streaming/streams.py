@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from feedmill.functions import keys
 from feedmill.functions import text as tx
@@ -33,6 +34,17 @@ def stream_objects(spark: SparkSession, root: str, max_files: int = 1000) -> Dat
     )
 
 
+def stream_loads(spark: SparkSession, folder: str, schema: StructType, loads: int) -> DataFrame:
+    """The files that lie in a Parquet folder as a stream of at most ``loads`` micro-batches.
+
+    Each batch has a fixed cost, and one file is one task for what follows: a
+    batch therefore takes its share of the files, however many there are.
+    """
+    files = len(spark.read.schema(schema).parquet(folder).inputFiles())
+    share = max(1, -(-files // loads))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", share).parquet(folder)
+
+
 def stream_clean(rows: DataFrame, col: str = "review_content", normalize: bool = True) -> DataFrame:
     """Validated (and normalised) rows with their type; stateless. [STR2]"""
     checked = validate(with_data_type(rows), col)

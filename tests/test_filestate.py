@@ -6,8 +6,9 @@ import random
 
 from pyspark.sql import functions as F
 
+from feedmill.operators import aggregation
 from feedmill.plans import feedback
-from feedmill.streaming import filestate
+from feedmill.streaming import filestate, streams
 
 WORDS = "good great bad awful battery life screen ACME Corp Jane Doe 2024 the a of not delivery www.x.com <b>".split()
 
@@ -44,6 +45,26 @@ def test_loads_equal_one(spark, tmp_path):
     assert seen == want
 
 
+def test_many_files_are_few_loads(spark, tmp_path):
+    """Files come in as many batches as there are loads, however many files there are."""
+    folder, seen = str(tmp_path / "in"), []
+    rows = spark.range(50).repartition(11)
+    rows.write.parquet(folder)
+    stream = streams.stream_loads(spark, folder, rows.schema, 3)
+    streams.start_batches(stream, lambda batch, i: seen.append([r["id"] for r in batch.collect()]), str(tmp_path / "state")).awaitTermination()
+    assert len(seen) == 3 and sorted(x for load in seen for x in load) == list(range(50))
+
+
+def test_rows_of_one_file_are_dealt_out(spark, tmp_path):
+    """Annotation is not left to the one task that reads a file."""
+    path = str(tmp_path / "one")
+    text = "good words by Jane Doe 2024-01-02 " * 400
+    rows = spark.range(200).selectExpr("'a' as source_key", "id as row_no", f"concat(id, '{text}') as review_content")
+    rows.coalesce(1).write.parquet(path)
+    plan = aggregation.review_counts(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION" in plan[plan.index("ArrowEvalPython") :]
+
+
 def test_latest(spark):
     df = spark.createDataFrame([("a", "000000000002", 1), ("a", "000000000010", 2), ("b", "000000000001", 3)], "source_key string, run string, v int")
     assert {r["source_key"]: r["v"] for r in filestate.latest(df).collect()} == {"a": 2, "b": 3}
