@@ -508,7 +508,7 @@ def stream_feedback(spark, sf_dir):
         f"{name} as source_key", "timestamp '2024-01-01' as ts", "text as transcript", "turn % 2 as half"
     )
     rows.write.partitionBy("half").parquet(f"{folder}/in")
-    files = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    files = streams.stream_loads(spark, f"{folder}/in", rows.schema, 2)
     routed = routing.route(files.drop("half"))
 
     def build(batch):
