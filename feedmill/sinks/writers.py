@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows of a task, as a power of two, that may go to one partition value's file together.
+BLOCK_BITS = 19
+
+
+def _block() -> Column:
+    """Number of the block of rows inside the task that brings them."""
+    return F.shiftright(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)), BLOCK_BITS)
+
+
 def _by_partition(df: DataFrame, *columns: str) -> DataFrame:
-    """One file per partition value, more for large ones, instead of one per task and value."""
-    return df.hint("rebalance", *columns)
+    """One file per partition value, more for large ones, instead of one per task and value.
+
+    Spark splits a large value by the tasks that bring its rows. One task can
+    bring them all, so it brings them in blocks: the task that writes them, and
+    sorts them for it, holds a few blocks whatever the number of rows.
+    """
+    return df.withColumn("_block", _block()).hint("rebalance", *columns, "_block").drop("_block")
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

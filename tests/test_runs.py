@@ -128,3 +128,17 @@ def test_answers_are_asked_once(spark, tmp_path):
     for n in (1, 1, 0):
         got, calls = ask([*texts, "broken"])
         assert calls == n and "no answer" in got["surveys/4.txt"]["error"] and got["surveys/4.txt"]["insights"] is None
+
+
+def test_one_task_brings_a_large_value_in_blocks(spark, monkeypatch):
+    """All points of a metric from one task do not meet in one writing task."""
+    from feedmill.sinks import writers
+
+    monkeypatch.setattr(writers, "BLOCK_BITS", 5, raising=False)
+    points = spark.range(1000).coalesce(1).selectExpr("'m' as metric", "id as value")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = writers._by_partition(points, "metric").select("metric", "value", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(r["value"] for r in got) == list(range(1000)) and len({r["task"] for r in got}) > 1
