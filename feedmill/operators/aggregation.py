@@ -53,6 +53,25 @@ def _score_sums(scores: str) -> list[Column]:
     return [F.sum(F.col(f"{scores}.{s}").cast(_SCORE_TYPE)).alias(s) for s in SCORES]
 
 
+def _sparse_score_sums(scores: str) -> list[Column]:
+    """``_score_sums`` for rows of which few have scores, the same numbers of the same type.
+
+    A decimal of this length is renewed as an object for every row, one with a
+    null included. Thousandths and the rest below them are longs, which stay in
+    place; both are below 10^9.
+    """
+
+    def total(name: str) -> Column:
+        score = F.col(f"{scores}.{name}").cast(_SCORE_TYPE) * F.lit(1000)
+        high = F.floor(score)
+        low = (score - high) * F.lit(1_000_000_000)
+        sums = [F.sum(part.cast("bigint")).cast("decimal(19,0)") for part in (high, low)]
+        units = [F.expr(f"cast('{unit}' as decimal(12,12))") for unit in ("0.001", "0.000000000001")]
+        return (sums[0] * units[0] + sums[1] * units[1]).cast("decimal(28,12)").alias(name)
+
+    return [total(s) for s in SCORES]
+
+
 def aggregate_sentiment(rows: DataFrame, by: str = "source_key") -> DataFrame:
     """Label counts, average scores, total and dominant label per file. [NLP6]
 
@@ -214,7 +233,7 @@ def _count(rows: DataFrame, facts: Column, by: str) -> DataFrame:
     rows = rows.select(by, "seg_no", "_f.kind", "_f.name", "_f.text", "_f.place", "_f.scores")
     rows = rows.filter("kind <> 'phrase' or text <> ''").withColumn("seen", first_seen("seg_no", "place"))
     return rows.groupBy(by, "kind", "name", "text").agg(
-        F.count(F.lit(1)).alias("cnt"), F.min("seen").alias("seen"), *_score_sums("scores")
+        F.count(F.lit(1)).alias("cnt"), F.min("seen").alias("seen"), *_sparse_score_sums("scores")
     )
 
 

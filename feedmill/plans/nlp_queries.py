@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from feedmill.functions import prompts
 from feedmill.functions import text as tx
 from feedmill.operators import aggregation, annotation, normalization, segments, trained
+from feedmill.operators.ordering import deal_rows
 from feedmill.plans.registry import query
 from feedmill.plans.table_queries import SAMPLED, normalized_sample
 from feedmill.plans.views import (
@@ -246,7 +247,8 @@ nlp AS (SELECT source_key, coalesce(language, 'en') AS language, coalesce(total_
 def review_nlp(spark, sf_dir):
     """NLP results of all rows of every review file."""
     rows = reviews(spark, sf_dir).select("source_key", "row_no", "review_content")
-    normal = normalization.normalize_column(rows).drop("review_content")
+    dealt = deal_rows(rows, "source_key", "row_no")
+    normal = normalization.normalize_column(dealt).drop("review_content")
     parts = segments.segments_from_rows(normal)
     return aggregation.nlp_results(rows.select("source_key").distinct(), parts)
 
@@ -289,7 +291,8 @@ def nlp_blank_files(spark, sf_dir):
         "doc_id as row_no",
         "case when doc_id % 5 > 0 then text when doc_id % 2 = 0 then '  ' end as review_content",
     )
-    parts = segments.segments_from_rows(normalization.normalize_column(rows).drop("review_content"))
+    dealt = deal_rows(rows, "source_key", "row_no")
+    parts = segments.segments_from_rows(normalization.normalize_column(dealt).drop("review_content"))
     found = aggregation.nlp_results(rows.select("source_key").distinct(), parts)
     return found.select("source_key", "nlp.skipped", "nlp.total_documents")
 

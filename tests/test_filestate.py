@@ -65,6 +65,15 @@ def test_rows_of_one_file_are_dealt_out(spark, tmp_path):
     assert "REPARTITION" in plan[plan.index("ArrowEvalPython") :]
 
 
+def test_score_sums_of_mostly_null_scores(spark):
+    """The same exact sums of the same type as by decimals, and no decimal per row."""
+    values = [0.333333333333, 1 / 3, 1e-12, -0.000000000001, -2 / 3, 999999.999999999999, 0.0, 12.0005]
+    rows = [("a", {s: v for s in aggregation.SCORES}) for v in values] + [("b", None), ("b", None)]
+    df = spark.createDataFrame(rows, "k string, scores struct<Positive:double,Negative:double,Neutral:double,Mixed:double>")
+    plain, sparse = (df.groupBy("k").agg(*f("scores")) for f in (aggregation._score_sums, aggregation._sparse_score_sums))
+    assert plain.schema == sparse.schema and sorted(plain.collect()) == sorted(sparse.collect())
+
+
 def test_latest(spark):
     df = spark.createDataFrame([("a", "000000000002", 1), ("a", "000000000010", 2), ("b", "000000000001", 3)], "source_key string, run string, v int")
     assert {r["source_key"]: r["v"] for r in filestate.latest(df).collect()} == {"a": 2, "b": 3}
