@@ -11,16 +11,20 @@ executors, one weight vector goes out and comes back per step.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from feedmill.operators.ordering import first_k
+from feedmill.operators.ordering import deal_rows, first_k
 
 #: Characters of a run, and runs kept for a language.
 RUN, PROFILE = 3, 2000
@@ -29,21 +33,37 @@ FEATURES = 1 << 16
 POSITIVE, NEGATIVE = 0.6, 0.4
 
 
-def runs(text: Column) -> Column:
-    """All runs of ``RUN`` characters of the words of a text, blanks between and around them included."""
-    words = F.btrim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "))
-    signs = F.filter(F.split(F.concat(F.lit(" "), words, F.lit(" ")), ""), lambda c: c != "")
-    # The characters are cut once; each run then takes three of them by place.
-    cut = F.transform(
-        F.array(signs),
-        lambda s: F.transform(s, lambda c, i: F.concat(c, *[F.get(s, i + k) for k in range(1, RUN)])),
-    )[0]
-    return F.filter(cut, lambda r: r.isNotNull())
+#: Texts whose runs are handed on together.
+_TEXTS = 256
+#: Stands for all runs of a text.
+EVERY = ""
 
 
-def _counted(rows: DataFrame, by: list[str], text: str) -> DataFrame:
-    cut = rows.select(*by, F.explode_outer(runs(F.col(text))).alias("run")).filter("run is not null")
-    return cut.groupBy(*by, "run").agg(F.count(F.lit(1)).alias("n"))
+def _letters(text: Column) -> Column:
+    """The words of a text, one blank between and around them; null for a null text."""
+    return F.concat(F.lit(" "), F.btrim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")), F.lit(" "))
+
+
+def _counted(rows: DataFrame, by: str, text: str) -> DataFrame:
+    """``by, run, n``: all runs of ``RUN`` characters of the words of a text, blanks included.
+
+    Runs are counted inside a text before they become rows; a value of ``by``
+    may come several times. The run ``EVERY`` counts all runs of a text that has any.
+    """
+    size, texts, every = RUN, _TEXTS, EVERY
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, texts):
+                part = batch.slice(start, texts)
+                own = [Counter([t[i : i + size] for i in range(len(t) - size + 1)]) for t in part.column(1).to_pylist()]
+                pairs = [[*c.items(), (every, c.total())] if c else [] for c in own]
+                found = pa.array(pairs, pa.map_(pa.string(), pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), found], names=["by", "runs"])
+
+    words = deal_rows(rows.filter(F.col(text).isNotNull()), *rows.columns).select(F.col(by), _letters(F.col(text)).alias("_words"))
+    schema = T.StructType([T.StructField("by", words.schema[by].dataType), T.StructField("runs", T.MapType(T.StringType(), T.LongType()))])
+    return words.mapInArrow(count, schema).select(F.col("by").alias(by), F.explode("runs").alias("run", "n"))
 
 
 def language_profiles(rows: DataFrame, text: str = "text", lang: str = "lang", most: int = PROFILE) -> DataFrame:
@@ -51,24 +71,30 @@ def language_profiles(rows: DataFrame, text: str = "text", lang: str = "lang", m
 
     One count is added to each run, the unknown one included.
     """
-    counts = _counted(rows.filter(F.col(lang).isNotNull()).withColumnRenamed(lang, "lang"), ["lang"], text)
-    total = counts.groupBy("lang").agg(F.sum("n").alias("_all"))
-    top = first_k(counts, "lang", [F.desc("n"), F.asc("run")], most, "_rank").drop("_rank")
-    joined = top.join(F.broadcast(total), "lang")
-    return joined.select("lang", "run", F.log(F.col("n") + F.lit(1.0)).alias("gain"), (-F.log(F.col("_all") + F.lit(float(most + 1)))).alias("floor"))
+    known = rows.filter(F.col(lang).isNotNull()).withColumnRenamed(lang, "lang")
+    counts = _counted(known, "lang", text).groupBy("lang", "run").agg(F.sum("n").alias("n"))
+    # The count of all runs comes first, so one pass over the texts gives it and the most frequent ones.
+    order = [F.col("run") != EVERY, F.desc("n"), F.asc("run")]
+    top = first_k(counts, "lang", order, most + 1, "_rank")
+    top = top.withColumn("_all", F.first("n").over(Window.partitionBy("lang").orderBy("_rank"))).filter(F.col("_rank") > 1)
+    return top.select("lang", "run", F.log(F.col("n") + F.lit(1.0)).alias("gain"), (-F.log(F.col("_all") + F.lit(float(most + 1)))).alias("floor"))
 
 
 def detect_language(rows: DataFrame, profiles: DataFrame, key: str, text: str = "text", default: str = "en") -> DataFrame:
     """``key, language``: the language of highest probability for each text, of equal ones the first; texts without letters get ``default``.
 
-    Only runs, keys and sums are moved; a task adds up its texts before the shuffle.
+    Only texts, keys and sums are moved; a task adds up its texts before the shuffle.
     """
-    counts = _counted(rows, [key], text)
-    size = counts.groupBy(key).agg(F.sum("n").alias("_size"))
-    hits = counts.join(F.broadcast(profiles.select("lang", "run", "gain")), "run")
-    sums = hits.groupBy(key, "lang").agg(F.sum(F.col("n") * F.col("gain")).alias("_gain"))
-    floors = F.broadcast(profiles.groupBy("lang").agg(F.first("floor").alias("floor")))
-    scored = sums.join(size, key).join(floors, "lang").withColumn("_score", F.round(F.col("_gain") + F.col("_size") * F.col("floor"), 6))
+    counts = _counted(rows.select(key, text), key, text)
+    # All runs of a text cost a language its floor; texts and profiles are each read once.
+    cells = F.array(F.struct("lang", "run", "gain"), F.struct("lang", F.lit(EVERY).alias("run"), F.col("floor").alias("gain")))
+    costs = profiles.select(F.explode(cells).alias("_c")).select("_c.*").distinct()
+    cost, every = F.col("n") * F.col("gain"), F.col("run") == EVERY
+    sums = counts.join(F.broadcast(costs), "run").groupBy(key, "lang").agg(
+        F.sum(F.when(~every, cost)).alias("_gain"), F.sum(F.when(every, cost)).alias("_floor")
+    )
+    # A language that shares no run with the text is none.
+    scored = sums.filter("_gain is not null").withColumn("_score", F.round(F.col("_gain") + F.col("_floor"), 6))
     best = scored.groupBy(key).agg(F.min_by("lang", F.struct(-F.col("_score"), "lang")).alias("language"))
     return rows.select(key).distinct().join(best, key, "left").select(key, F.coalesce("language", F.lit(default)).alias("language"))
 

@@ -39,6 +39,13 @@ def test_language_edges(spark):
     assert {r["id"]: r["language"] for r in found} == {1: "en", 2: "fr", 3: "en", 4: "en", 5: "en", 6: "fr"} and len(found) == 6
 
 
+def test_runs_are_counted_inside_their_texts(spark, sf_dir):
+    """Each half is read through Python once, and no run of a single text is moved."""
+    text = catalog.QUERIES["language_confusion"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in text.splitlines() if "hashpartitioning(doc_id" in line and "run#" in line]
+    assert text.count("MapInArrow ") == 2 and not shuffled
+
+
 def test_sentiment_beats_the_word_list(spark, sf_dir, tmp_path):
     folder = f"{sf_dir}/../sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
