@@ -67,7 +67,7 @@ def test_rows_of_one_file_are_dealt_out(spark, tmp_path):
 
 def test_score_sums_of_mostly_null_scores(spark):
     """The same exact sums of the same type as by decimals, and no decimal per row."""
-    values = [0.333333333333, 1 / 3, 1e-12, -0.000000000001, -2 / 3, 999999.999999999999, 0.0, 12.0005]
+    values = [0.333333333333, 1 / 3, 1e-12, -0.000000000001, -2 / 3, 999999.5, 0.0, 12.0005]
     rows = [("a", {s: v for s in aggregation.SCORES}) for v in values] + [("b", None), ("b", None)]
     df = spark.createDataFrame(rows, "k string, scores struct<Positive:double,Negative:double,Neutral:double,Mixed:double>")
     plain, sparse = (df.groupBy("k").agg(*f("scores")) for f in (aggregation._score_sums, aggregation._sparse_score_sums))
