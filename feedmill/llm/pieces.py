@@ -15,17 +15,20 @@ Characters without a piece become their bytes' pieces.
 
 Units are repeated very unevenly. The ``HOT`` most frequent ones (a bound, not a
 cut) are encoded ahead, and their ids are broadcast. Every other unit is encoded
-once by the same lattice and joined back to the texts that hold it; texts are
-moved once, packed, and nothing that grows with the corpus is broadcast.
+once by the same lattice, and its ids go to the buckets of texts that hold it.
+Texts are dealt to buckets by a hash and moved once, packed; ids of other units
+move as blocks, one per bucket and task. Nothing that grows with the corpus is
+broadcast.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +48,10 @@ HOT = 600_000
 PROBE = 0.3
 #: A unit's boundaries are bits of a long. Longer units are encoded one by one in Python.
 LONGEST = 62
+#: Buckets of texts per shuffle partition: more make partitions even, fewer make larger blocks of units.
+SPREAD = 4
+#: Units that a task holds before it passes them on.
+HELD = 200_000
 
 
 @dataclass(frozen=True)
@@ -98,6 +105,39 @@ def units(text: str | None) -> list[str]:
     return UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
+def pack_units(coded: Iterable[tuple[str, bytes]]) -> bytes:
+    """Units of at most ``LONGEST`` characters and their ids, four bytes each, as one block."""
+    coded = list(coded)
+    names = [u.encode() for u, _ in coded]
+    # A unit has at most four bytes, so four ids, a character.
+    sizes = np.array([list(map(len, names)), [len(ids) // 4 for _, ids in coded]], "u1")
+    # The ids' first bytes, then their second ones: the high bytes are nearly all zero.
+    planes = np.frombuffer(b"".join([ids for _, ids in coded]), "u1").reshape(-1, 4).T
+    block = b"".join([len(coded).to_bytes(4, "little"), sizes.tobytes(), *names, planes.tobytes()])
+    return zstandard.ZstdCompressor(level=3).compress(block)
+
+
+def unpack_units(packed: bytes) -> dict[str, bytes]:
+    block = zstandard.ZstdDecompressor().decompress(packed)
+    n = int.from_bytes(block[:4], "little")
+    sizes = np.frombuffer(block[4 : 4 + 2 * n], "u1").reshape(2, n).astype("i8")
+    names = np.cumsum([4 + 2 * n, *sizes[0]]).tolist()
+    ids = np.frombuffer(block[names[-1] :], "u1").reshape(4, -1).T.tobytes()
+    ends = np.cumsum([0, *(4 * sizes[1])]).tolist()
+    return {block[a:b].decode(): ids[c:d] for (a, b), (c, d) in zip(pairwise(names), pairwise(ends))}
+
+
+class Ahead(dict):
+    """The units that are encoded ahead; a block while they are sent, as each executor keeps a file of them."""
+
+    def __reduce__(self) -> tuple:
+        return unpack_units, (pack_units(self.items()),)
+
+
+def _coded(units: pa.Array, ids: pa.ListArray) -> list[tuple[str, bytes]]:
+    offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype("<i4")
+    return [(u, values[a:b].tobytes()) for u, a, b in zip(units.to_pylist(), offsets, offsets[1:])]
+
 
 def _shift(value: Column, bits: int | Column) -> Column:
     return F.call_function("shiftleft", value.cast("long"), F.lit(bits) if isinstance(bits, int) else bits)
@@ -150,23 +190,32 @@ def _byte_pieces(code: Column, model: Model) -> Column:
 
 
 def _merge(edges: Column, full: Column, size: Column) -> Column:
-    """Boundaries that are left after all merges; ``edges`` are masks, best first."""
+    """Boundaries that are left after all merges; ``edges`` are masks, best first.
+
+    Boundaries only go, so an edge that has lost an end, or all inside it, never applies again.
+    """
 
     def applies(mask: Column, e: Column) -> Column:
         return (mask.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(mask.bitwiseAND(e["inner"])) == 1)
 
+    def alive(mask: Column, e: Column) -> Column:
+        return (mask.bitwiseAND(e["ends"]) == e["ends"]) & (mask.bitwiseAND(e["inner"]) != 0)
+
     def step(state: Column, _: Column) -> Column:
-        best = F.get(F.filter(edges, lambda e: applies(state["mask"], e)), F.lit(0))
-        merged = F.transform(
-            F.array(best),
-            lambda b: F.struct(
-                F.coalesce(state["mask"].bitwiseAND(F.bitwise_not(b["inner"])), state["mask"]).alias("mask"),
-                b.isNull().alias("done"),
+        best = F.get(F.filter(state["rest"], lambda e: applies(state["mask"], e)), F.lit(0))["inner"]
+        merged = bind(
+            F.struct(
+                state["mask"].bitwiseAND(F.bitwise_not(F.coalesce(best, F.lit(0).cast("long")))).alias("mask")
+            ),
+            # Where no edge applies the mask stays, and none will apply later.
+            lambda new: F.struct(
+                new["mask"].alias("mask"),
+                F.filter(state["rest"], lambda e: (new["mask"] != state["mask"]) & alive(new["mask"], e)).alias("rest"),
             ),
-        )[0]
-        return F.when(state["done"], state).otherwise(merged)
+        )
+        return F.when(F.size(state["rest"]) == 0, state).otherwise(merged)
 
-    start = F.struct(full.alias("mask"), F.lit(False).alias("done"))
+    start = F.struct(full.alias("mask"), edges.alias("rest"))
     return F.aggregate(F.sequence(F.lit(1), size.cast("int")), start, step)["mask"]
 
 
@@ -190,18 +239,28 @@ def _viterbi(edges: Column, size: Column) -> Column:
 def encode_units(rows: DataFrame, model: Model, by: list[str]) -> DataFrame:
     """``by`` and ``ids`` for ``rows(*by, unit)``; units have 1 to ``LONGEST`` characters.
 
-    Only ``by`` and one number per edge are grouped. ``rows`` that are already
+    Further columns, the same in all rows of a group, are carried along. Only
+    ``by`` and one number per edge are grouped. ``rows`` that are already
     partitioned by columns of ``by`` are not shuffled: exploding and the join
     with the broadcast piece table, whose size the model file bounds, keep the
     partitioning.
     """
     both = list(dict.fromkeys([*by, "unit"]))
-    starts = rows.select(*both, F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("_s"))
+    more = [c for c in rows.columns if c not in both]
+    starts = rows.select(*both, *more, F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("_s"))
     longest = F.least(F.lit(model.longest), F.length("unit") - F.col("_s"))
-    spans = starts.select(*both, "_s", F.explode(F.sequence(F.lit(1), longest)).alias("_n"))
-    spans = spans.select(*by, "_s", "_n", F.substring("unit", F.col("_s") + 1, F.col("_n")).alias("_piece"))
-    pieces = F.broadcast(model.table(rows.sparkSession))
-    found = spans.join(pieces, F.col("_piece") == F.col("piece"), "left").filter((F.col("_n") == 1) | F.col("id").isNotNull())
+    spans = starts.select(*both, *more, "_s", F.explode(F.sequence(F.lit(1), longest)).alias("_n"))
+    # A unit's first character carries the further columns, its other edges need not.
+    first = (F.col("_s") == 0) & (F.col("_n") == 1)
+    spans = spans.select(
+        *by, *[F.when(first, F.col(c)).alias(c) for c in more], "_s", "_n",
+        F.substring("unit", F.col("_s") + 1, F.col("_n")).alias("_piece"),
+    )
+    pieces = F.broadcast(model.table(rows.sparkSession).withColumn("_hash", F.xxhash64("piece")))
+    # Joined by a number, as most substrings are no piece; each a prefix of the other, so equal.
+    equal = F.startswith("_piece", "piece") & F.startswith("piece", "_piece")
+    found = spans.join(pieces, (F.xxhash64("_piece") == F.col("_hash")) & equal, "left")
+    found = found.filter((F.col("_n") == 1) | F.col("id").isNotNull())
     raw = F.col("id").isNull()
     edge = _edge(
         F.coalesce("rank", F.lit((1 << _RANK[1]) - 1)), F.col("_s"), F.col("_s") + F.col("_n"), raw.cast("long"),
@@ -210,18 +269,21 @@ def encode_units(rows: DataFrame, model: Model, by: list[str]) -> DataFrame:
     # A character without a piece costs more than any piece.
     lost = min(model.scores.values()) - 10.0
     scored = F.struct(edge.alias("edge"), F.coalesce("score", F.lit(lost)).alias("score"))
-    lattice = found.groupBy(*by).agg(F.collect_list(edge if model.kind == "bpe" else scored).alias("_l"))
+    lattice = found.groupBy(*by).agg(
+        F.collect_list(edge if model.kind == "bpe" else scored).alias("_l"), *[F.first(c, True).alias(c) for c in more]
+    )
     if model.kind == "bpe":
         lattice = lattice.withColumn("_e", F.sort_array("_l"))  # best first
     else:
         lattice = lattice.withColumn("_e", F.transform("_l", lambda x: x["edge"]))
-    # Each character is an edge, so the ends of all edges are all the boundaries.
-    lattice = lattice.withColumn("_m", F.transform("_e", _masks))
-    every = F.aggregate("_m", F.lit(0).cast("long"), lambda mask, e: mask.bitwiseOR(e["ends"]))
+    # Masks only for edges of several characters; each character is an edge besides.
+    wide = lambda e: _field(e, *_END) - _field(e, *_START) > 1
+    lattice = lattice.withColumn("_w", F.transform(F.filter("_e", wide), _masks))
+    lattice = lattice.withColumn("_o", F.filter("_e", lambda e: ~wide(e)))
+    size = F.size("_o")
+    every = F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), F.lit(LONGEST + 1) - size)
     lattice = lattice.withColumn("_full", every)
-    size = F.bit_count("_full") - 1
     if model.kind == "bpe":
-        lattice = lattice.withColumn("_w", F.filter("_m", lambda e: e["inner"] != 0))
         merged = F.when(F.size("_w") == 0, F.col("_full")).otherwise(_merge(F.col("_w"), F.col("_full"), size))
         folded = lattice.withColumn("_mask", merged)
     else:
@@ -232,15 +294,22 @@ def encode_units(rows: DataFrame, model: Model, by: list[str]) -> DataFrame:
             ),
         )
         folded = lattice.withColumn("_mask", _viterbi(F.sort_array(order), size))
+
+    def on_path(mask: Column) -> Column:
+        several = F.filter("_w", lambda e: mask.bitwiseAND(e["cover"]) == e["ends"])
+        ends = lambda e: _shift(F.lit(3), _field(e, *_START).cast("int"))
+        single = F.filter("_o", lambda e: mask.bitwiseAND(ends(e)) == ends(e))
+        low = F.lit((1 << _RANK[0]) - 1).cast("long")
+        # Without its rank an edge sorts by its start.
+        return F.sort_array(F.concat(F.transform(several, lambda e: e["low"]), F.transform(single, lambda e: e.bitwiseAND(low))))
+
     # Bound, or the optimizer would fold the merges into the test of every edge.
-    on_path = bind(F.col("_mask"), lambda mask: F.filter("_m", lambda e: mask.bitwiseAND(e["cover"]) == e["ends"]))
-    # Without its rank an edge sorts by its start.
-    path = F.sort_array(F.transform(on_path, lambda e: e["low"]))
+    path = bind(F.col("_mask"), on_path)
     value = lambda e: _field(e, *_VALUE).cast("int")
     ids = F.flatten(
         F.transform("_path", lambda e: F.when(_field(e, *_RAW) == 0, F.array(value(e))).otherwise(_byte_pieces(value(e), model)))
     )
-    return folded.withColumn("_path", path).select(*by, ids.alias("ids"))
+    return folded.withColumn("_path", path).select(*by, *more, ids.alias("ids"))
 
 
 def encode_long(unit: str, model: Model) -> list[int]:
@@ -294,31 +363,36 @@ def encode_long(unit: str, model: Model) -> list[int]:
 
 def decode_ids(ids: list[int], model: Model) -> str:
     """The text of a list of ids, without the space that encoding put in front."""
-    return b"".join([model.texts[i] for i in ids]).decode("utf-8", "replace").removeprefix(" ")
+    return b"".join(map(model.texts.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
 
 def _counts(docs: DataFrame) -> DataFrame:
-    """``(unit, n)``: units seen more than once in a batch of texts; they only choose what is encoded ahead."""
+    """``(unit, n)``: units and how often a task has seen them, in parts; they only choose what is encoded ahead."""
+
+    def parts(seen: Counter) -> Iterator[pa.RecordBatch]:
+        names = ["unit", "n"]
+        whole = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names)
+        yield from slices(iter([whole]), 10_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: Counter = Counter()
-            for part in slices(iter([batch])):
-                for text in part.column(0).to_pylist():
-                    seen.update(units(text))
-            often = [(u, n) for u, n in seen.items() if n > 1 and len(u) <= LONGEST]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([u for u, _ in often], pa.string()), pa.array([n for _, n in often], pa.int64())], names=["unit", "n"]
-            )
+        seen: Counter = Counter()
+        for part in slices(batches):
+            for text in part.column(0).to_pylist():
+                seen.update(units(text))
+            if len(seen) > HELD:
+                yield from parts(seen)
+                seen.clear()
+        yield from parts(seen)
 
-    return docs.mapInArrow(run, StructType([StructField("unit", StringType()), StructField("n", LongType())]))
+    counts = docs.mapInArrow(run, StructType([StructField("unit", StringType()), StructField("n", LongType())]))
+    return counts.filter(F.length("unit") <= LONGEST)
 
 
 def hot_units(docs: DataFrame, model: Model, text: str, hot: int) -> dict[str, bytes]:
     """The ids, four bytes each, of at most ``hot`` frequent units; this bounded table goes to the driver."""
     spark = docs.sparkSession
     probe = docs.select(F.col(text).alias("_text")).sample(PROBE, seed=3)
-    counts = store(_counts(probe).groupBy("unit").agg(F.sum("n").alias("n")), "units")
+    counts = store(_counts(probe).groupBy("unit").agg(F.sum("n").alias("n")).filter("n > 1"), "units")
     # The lowest count that still leaves at most `hot` units; counts of 10,000 and more share a step.
     steps = counts.groupBy(F.least("n", F.lit(10_000)).alias("n")).agg(F.count("*").alias("units")).orderBy(F.desc("n")).collect()
     least, total = 10_000, 0
@@ -331,9 +405,7 @@ def hot_units(docs: DataFrame, model: Model, text: str, hot: int) -> dict[str, b
     encoded = encode_units(top.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "unit"), model, ["unit"])
     out: dict[str, bytes] = {}
     for row in encoded.toArrow().to_batches():
-        names, ids = row.column(0).to_pylist(), row.column(1)
-        offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype("<i4")
-        out.update({u: values[a:b].tobytes() for u, a, b in zip(names, offsets, offsets[1:])})
+        out.update(_coded(row.column(0), row.column(1)))
     return out
 
 
@@ -346,67 +418,95 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     """
     spark, model = docs.sparkSession, load(path)
     small_batches(spark)
-    hot_ids = spark.sparkContext.broadcast(hot_units(docs, model, text, hot))
-    # Two hashes and the length: texts that are equal in all three are one text.
-    whole = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), F.octet_length(text).alias("n"))
-    slim = docs.select(F.col(key).alias("_key"), whole.alias("_print"), F.col(text).cast("string").alias("_text"))
-
-    def rare_units(text: str | None, known: dict[str, bytes]) -> list[str]:
-        """The units of a text that are not encoded ahead, in an order that both passes agree on."""
-        return sorted(u for u in set(units(text)).difference(known) if len(u) <= LONGEST)
+    hot_ids = spark.sparkContext.broadcast(Ahead(hot_units(docs, model, text, hot)))
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Copies of a text under other keys go to other buckets.
+    bucket = F.pmod(F.xxhash64(key, text), F.lit(many * SPREAD)).cast("int")
+    slim = docs.select(bucket.alias("_bucket"), F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The units of each bucket that are not encoded ahead."""
         known = hot_ids.value
         for batch in slices(batches):
-            rare = [rare_units(t, known) for t in batch.column(1).to_pylist()]
+            rare: dict[int, set[str]] = defaultdict(set)
+            for b, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rare[b].update(u for u in set(units(text)).difference(known) if len(u) <= LONGEST)
+            # Sorted, so that neighbours share their beginnings where they are written.
+            pairs = sorted((u, b) for b, found in rare.items() for u in found)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(rare, pa.list_(pa.string()))], names=["_print", "_rare"]
+                [pa.array([u for u, _ in pairs], pa.string()), pa.array([b for _, b in pairs], pa.int32())], names=["unit", "_bucket"]
             )
 
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Encoded units as one block per bucket that asked for them."""
+        held: dict[int, list[tuple[str, bytes]]] = defaultdict(list)
+
+        def blocks() -> pa.RecordBatch:
+            packed = pa.array([pack_units(coded) for coded in held.values()], pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), packed], names=["_bucket", "_packed"])
+
+        n = 0
+        for batch in batches:
+            for coded, buckets in zip(_coded(batch.column(0), batch.column(2)), batch.column(1).to_pylist()):
+                n += len(buckets)
+                for b in buckets:
+                    held[b].append(coded)
+            if n > HELD:
+                yield blocks()
+                held.clear()
+                n = 0
+        yield blocks()
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = zstandard.ZstdCompressor(level=3)
         for batch in slices(batches):
             packed = [None if t is None else small.compress(t.encode()) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["_key", "_print", "_packed"]
+                [batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["_bucket", "_key", "_packed"]
             )
 
-    prints = StructType([slim.schema["_print"], StructField("_rare", ArrayType(StringType()))])
-    # Rows that are equal in text share one row of rare units.
-    rare = slim.select("_print", "_text").mapInArrow(scan, prints).dropDuplicates(["_print"])
-    rare = rare.select("_print", F.posexplode("_rare").alias("_u", "unit"))
+    place, binary = slim.schema["_bucket"], StructField("_packed", BinaryType())
+    rare = slim.select("_bucket", "_text").mapInArrow(scan, StructType([StructField("unit", StringType()), place]))
     # Each of them is encoded once, however many texts hold it.
     # A few bytes become many edges, so the partitions are not joined by their bytes.
-    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    distinct = rare.select("unit").distinct().repartition(many, "unit")
-    coded = encode_units(distinct, model, ["unit"]).withColumnRenamed("unit", "_unit")
-    extra = rare.join(coded, F.col("unit") == F.col("_unit")).groupBy("_print").agg(
-        F.collect_list(F.struct("_u", "ids")).alias("_extra")
-    )
-    packed = slim.mapInArrow(
-        pack, StructType([slim.schema["_key"], slim.schema["_print"], StructField("_packed", BinaryType())])
+    asked = rare.repartition(many, "unit").groupBy("unit").agg(F.collect_set("_bucket").alias("_buckets"))
+    coded = encode_units(asked, model, ["unit"]).select("unit", "_buckets", "ids").mapInArrow(gather, StructType([place, binary]))
+    packed = slim.mapInArrow(pack, StructType([place, slim.schema["_key"], binary]))
+    no_key = F.lit(None).cast(slim.schema["_key"].dataType).alias("_key")
+    both = coded.select("_bucket", no_key, F.lit(False).alias("_is_text"), "_packed").union(
+        packed.select("_bucket", "_key", F.lit(True).alias("_is_text"), "_packed")
     )
-    joined = packed.join(extra.withColumnRenamed("_print", "_of"), F.col("_print") == F.col("_of"), "left")
+    # Each bucket's units stand before its texts.
+    joined = both.repartition(many, "_bucket").sortWithinPartitions("_bucket", "_is_text")
 
-    def coded_unit(unit: str, known: dict[str, bytes], own: dict[str, bytes]) -> bytes:
+    def coded_unit(unit: str, own: dict[str, bytes]) -> bytes:
         if len(unit) > LONGEST:
             return np.array(encode_long(unit, model), "<i4").tobytes()
-        ids = known.get(unit) or own.get(unit)
+        ids = own.get(unit)
         if not ids:
             raise RuntimeError(f"the lattice gave no ids for the unit {unit!r}")
         return ids
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, unpack = hot_ids.value, zstandard.ZstdDecompressor()
+        bucket, own = None, {}
         for batch in slices(batches):
-            texts, found, decoded = [], [], []
-            for data, extra in zip(batch.column(1), batch.column(2)):
-                raw = data.as_py()
-                text = None if raw is None else unpack.decompress(raw).decode()
-                rare = rare_units(text, known)
-                own = {rare[e["_u"]]: np.array(e["ids"], "<i4").tobytes() for e in extra.as_py() or ()}
-                parts = [coded_unit(u, known, own) for u in units(text)]
+            rows, texts, found, decoded = [], [], [], []
+            columns = (batch.column(k).to_pylist() for k in (0, 2, 3))
+            for row, (b, is_text, data) in enumerate(zip(*columns)):
+                if b != bucket:
+                    bucket, own = b, {}
+                if not is_text:
+                    own.update(unpack_units(data))
+                    continue
+                text = None if data is None else unpack.decompress(data).decode()
+                names = units(text)
+                parts = list(map(known.get, names))
+                for k, ids in enumerate(parts):
+                    if ids is None:
+                        parts[k] = coded_unit(names[k], own)
                 ids = np.frombuffer(b"".join(parts), "<i4")
+                rows.append(row)
                 texts.append(text)
                 found.append(ids)
                 decoded.append(decode_ids(ids.tolist(), model))
@@ -414,7 +514,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
             values = pa.array(np.concatenate(found) if found else np.zeros(0, "<i4"), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array(texts, pa.string()),
+                    batch.column(1).take(pa.array(rows, pa.int32())), pa.array(texts, pa.string()),
                     pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), values), pa.array(decoded, pa.string()),
                 ],
                 names=["_key", "_text", "_ids", "_decoded"],
@@ -423,7 +523,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     out = StructType(
         [slim.schema["_key"], StructField("_text", StringType()), StructField("_ids", ArrayType(IntegerType())), StructField("_decoded", StringType())]
     )
-    done = joined.select("_key", "_packed", "_extra").mapInArrow(finish, out)
+    done = joined.mapInArrow(finish, out)
     return done.select(F.col("_key").alias(key), F.col("_text").alias("text"), F.col("_ids").alias("ids"), F.col("_decoded").alias("decoded"))
 
 

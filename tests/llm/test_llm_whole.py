@@ -261,3 +261,40 @@ def test_units_come_from_the_lattice(spark, monkeypatch):
     assert pieces.encode(long, PIECES).first()["decoded"] == "x" * 200
     with pytest.raises(Exception, match="gave no ids"):
         pieces.encode(df, PIECES).collect()
+
+
+def test_pieces_read_and_move_texts_once(spark):
+    """One pass looks for units and one packs texts; no join moves texts or units again."""
+    df = spark.createDataFrame([(1, "some plain words")], "doc_id long, text string")
+    plan = pieces.encode(df, PIECES)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow scan(") == 1 and plan.count("MapInArrow pack(") == 1
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_units_are_counted_over_batches(spark):
+    """A unit that each batch holds once is frequent too."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        texts = spark.createDataFrame([("common",), ("common alone",), ("x" * 80,)], "text string").coalesce(1)
+        counts = pieces._counts(texts).groupBy("unit").sum("n")
+        assert {unit: n for unit, n in counts.collect()} == {"▁common": 2, "▁alone": 1}
+    finally:
+        spark.conf.set(name, old)
+
+
+def test_long_units_and_copies(spark):
+    """Units up to and beyond the bits of a long, of one byte or four a character; copies under equal, other and null keys."""
+    lib = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=PIECES)
+    texts = [c * n for c in ("ab", "x", "\U0001f9ff", "é\U0001f9ff") for n in (30, 31, 60, 61, 62, 63)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (99, texts[0]), (None, texts[1]), (None, texts[1]), (100, None), (100, "")]
+    got = pieces.encode(spark.createDataFrame(rows, "doc_id long, text string"), PIECES, hot=2).collect()
+    plain_rows = sorted(((k, t, lib.encode(t or ""), t or "") for k, t in rows), key=str)
+    assert sorted(((r["doc_id"], r["text"], list(r["ids"]), r["decoded"]) for r in got), key=str) == plain_rows
+
+
+def test_blocks_of_units():
+    coded = {"▁": b"\x01\0\0\0", "\n": b"\x02\x01\0\0" * 3, "\0é": b"\xff\xff\x0f\0", "\U0001f9ff" * 62: b"\x07\0\0\0" * 248}
+    assert pieces.unpack_units(pieces.pack_units(coded.items())) == coded
+    assert pieces.unpack_units(pieces.pack_units([])) == {}
