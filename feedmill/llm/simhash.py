@@ -137,13 +137,14 @@ def link_groups(prints: DataFrame, bits: int = BITS) -> DataFrame:
     spread = dealt(first, "group")
     mixed = spread.groupBy("slot", "part").agg(F.min("group").alias("_lo"), F.max("group").alias("_hi"))
     mixed = mixed.filter("_lo <> _hi").select("slot", "part")
-    rows = spread.join(mixed, ["slot", "part"])
+    # The exploded keys are many times what Spark sizes them at, so they are never broadcast.
+    rows = spread.hint("merge").join(mixed, ["slot", "part"])
     left = rows.select("slot", "part", "start", F.col("fp").alias("a"), F.col("group").alias("ga"))
     right = rows.select(F.col("slot").alias("_slot"), F.col("part").alias("_part"), F.col("fp").alias("b"), F.col("group").alias("gb"))
     x = F.col("a").bitwiseXOR(F.col("b"))
     same = (F.col("slot") == F.col("_slot")) & (F.col("part") == F.col("_part"))
     close = (F.col("ga") < F.col("gb")) & _viable(F.col("start"), x, bits) & (F.bit_count(x) <= bits)
-    far = left.join(right, same & close).select(F.col("ga").alias("a"), F.col("gb").alias("b"))
+    far = left.hint("merge").join(right, same & close).select(F.col("ga").alias("a"), F.col("gb").alias("b"))
     second = components(far, "far")
     return first.join(second, F.col("group") == F.col("node"), "left").select(
         "fp", F.coalesce("component", "group").alias("group")
@@ -160,10 +161,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bi
     prints = store(fingerprints(docs, key, text), "fingerprints")
     groups = store(link_groups(prints, bits), "fp_groups")
     # The smallest key per fingerprint comes first, so a group of copies is summed up on the map side.
+    # Prints and groups have no size bound and are small only as files, so they are never broadcast.
     least = prints.groupBy("fp").agg(F.min("_key").alias("_least"))
-    named = groups.join(least, "fp").groupBy("group").agg(F.min("_least").alias("component_id"))
-    named = groups.join(named, "group").select(F.col("fp").alias("_fp"), "component_id")
-    return prints.join(named, F.col("fp") == F.col("_fp")).select(F.col("_key").alias(key), "fp", "component_id")
+    named = groups.hint("merge").join(least, "fp").groupBy("group").agg(F.min("_least").alias("component_id"))
+    named = groups.hint("merge").join(named, "group").select(F.col("fp").alias("_fp"), "component_id")
+    return prints.hint("merge").join(named, F.col("fp") == F.col("_fp")).select(F.col("_key").alias(key), "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:

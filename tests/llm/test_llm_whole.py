@@ -13,7 +13,8 @@ import plain
 import pytest
 import xxhash
 
-from feedmill.llm import embeddings, line_dedup, pages, pieces, pii
+from feedmill.llm import embeddings, line_dedup, pages, pieces, pii, simhash
+from feedmill.llm.common import components
 from feedmill.llm.queries import PIECES
 
 
@@ -298,3 +299,41 @@ def test_blocks_of_units():
     coded = {"▁": b"\x01\0\0\0", "\n": b"\x02\x01\0\0" * 3, "\0é": b"\xff\xff\x0f\0", "\U0001f9ff" * 62: b"\x07\0\0\0" * 248}
     assert pieces.unpack_units(pieces.pack_units(coded.items())) == coded
     assert pieces.unpack_units(pieces.pack_units([])) == {}
+
+
+def _below(node):
+    """A plan's node and all nodes under it, through the stages of an adaptive plan."""
+    under = [node.plan()] if "QueryStage" in node.nodeName() else [node.children().apply(i) for i in range(node.children().size())]
+    return [node, *(n for child in under for n in _below(child))]
+
+
+def _sent_whole(df):
+    """What ``df``, once run, broadcast with no more than the files' size to go by: there is no exchange under it."""
+    df.collect()
+    sent = [n for n in _below(df._jdf.queryExecution().executedPlan().executedPlan()) if n.nodeName() == "BroadcastExchange"]
+    return [n.toString() for n in sent if not any(x.nodeName() in ("Exchange", "ReusedExchange") for x in _below(n)[1:])]
+
+
+def test_simhash_broadcasts_no_keys(spark, monkeypatch):
+    """The keys are 18 rows per fingerprint: a small file of fingerprints is a large table of keys."""
+    found = {}
+
+    def spy(edges, name):
+        found[name] = edges
+        return components(edges, name)
+
+    monkeypatch.setattr(simhash, "components", spy)
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(2000)]
+    rows = [(i, t) for i, t in enumerate([*texts, *texts[:50]])]
+    # Fewer bytes than the buckets take, more than the files' share of them.
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, str(200_000))
+    try:
+        done = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert _sent_whole(found["far"]) == []
+        assert _sent_whole(done) == []
+        assert {r["doc_id"]: r["component_id"] for r in done.collect()} == {i: i % 2000 for i, _ in rows}
+    finally:
+        spark.conf.set(threshold, before)
