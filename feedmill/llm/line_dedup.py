@@ -157,7 +157,8 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     often = places.groupBy("hash", "more").agg(F.count("*").alias("_n")).filter("_n > 1")
     often = often.select(F.col("hash").alias("_hash"), F.col("more").alias("_more"))
     same = (F.col("hash") == F.col("_hash")) & (F.col("more") == F.col("_more"))
-    found = store(places.join(often, same).drop("_hash", "_more"), "repeated_chunks")
+    # Chunks have no size bound and take many times their files' bytes in memory, so they are never broadcast.
+    found = store(places.hint("merge").join(often, same).drop("_hash", "_more"), "repeated_chunks")
     # A struct compares null keys as equal.
     own = F.struct("_key", "_print")
     chunk = F.struct("first", "end", "hash", "more")
@@ -180,7 +181,7 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     )
     # Equal hashes of 128 bits over different bytes, should they ever meet, are left alone.
     groups = groups.filter(F.col("_lo") == F.col("_hi")).select(F.col("hash").alias("_hash"), F.col("more").alias("_more"), "_first")
-    seen = found.join(groups, same)
+    seen = found.hint("merge").join(groups, same)
     here = F.col("_first._key").eqNullSafe(F.col("_key")) & (F.col("_first._print").eqNullSafe(F.col("_print")))
     lines = F.struct("first", "end")
     # F.when without a match is null, which collect_set leaves out.

@@ -337,3 +337,12 @@ def test_simhash_broadcasts_no_keys(spark, monkeypatch):
         assert {r["doc_id"]: r["component_id"] for r in done.collect()} == {i: i % 2000 for i, _ in rows}
     finally:
         spark.conf.set(threshold, before)
+
+
+def test_line_stage_broadcasts_no_chunks(spark):
+    """The chunks that occur twice grow with the corpus and are small only as a file."""
+    line = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, f"{line} {i % 40}\nanother line {i}") for i in range(80)]
+    gone = line_dedup.removals(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert _sent_whole(gone) == []
+    assert {r["_key"] for r in gone.collect()} == set(range(40, 80))
