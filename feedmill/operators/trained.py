@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmill.operators.ordering import deal_rows, first_k
+from feedmill.session import shared_dir
 
 #: Characters of a run, and runs kept for a language.
 RUN, PROFILE = 3, 2000
@@ -140,4 +141,7 @@ def train_sentiment(rows: DataFrame, text: str = "text", positive: str = "positi
         featuresCol="_features", labelCol="_label", probabilityCol="_chance", rawPredictionCol="_raw", predictionCol="_prediction",
         maxIter=steps, regParam=prior,
     )
-    return Sentiment(Pipeline(stages=[words, hashed, fit]).fit(known))
+    # A model just fitted holds its session, which no task can take once a counter was observed in it; a stored one does not.
+    path = shared_dir(rows.sparkSession, "sentiment")
+    Sentiment(Pipeline(stages=[words, hashed, fit]).fit(known)).save(path)
+    return Sentiment.load(path)

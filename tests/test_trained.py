@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedmill.operators import annotation, trained
+from feedmill.operators import annotation, etl, trained
 from feedmill.plans import catalog
 
 
@@ -60,3 +60,12 @@ def test_sentiment_beats_the_word_list(spark, sf_dir, tmp_path):
     edge = spark.createDataFrame([(1, None), (2, ""), (3, "?!"), (4, "some words")], "id long, segment string")
     got = {r["id"]: (r["label"], r["scores"]) for r in trained.Sentiment.load(str(tmp_path / "weights")).annotate(edge).collect()}
     assert [got[i][0] for i in (1, 2, 3)] == ["NEUTRAL"] * 3 and all(abs(sum(s) - 1) < 1e-9 for _, s in got.values())
+
+
+def test_sentiment_after_an_observed_counter(spark):
+    """A model can be sent to tasks whatever else its session has done."""
+    seen, watch = etl.observed(spark.range(3), "rows before")
+    assert len(seen.collect()) == 3 and watch.get == {"rows": 3}
+    rows = spark.createDataFrame([("good fine words", 1), ("bad poor words", 0)] * 8, "text string, positive int")
+    got = trained.train_sentiment(rows).annotate(spark.createDataFrame([("good",), ("bad",)], "segment string")).collect()
+    assert {r["segment"]: r["label"] for r in got} == {"good": "POSITIVE", "bad": "NEGATIVE"}
